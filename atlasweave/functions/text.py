@@ -151,11 +151,11 @@ def has_iso3_suffix(code: Column) -> Column:
 
 
 def strip_suffix_array(codes: Column) -> Column:
-    return F.transform(codes, strip_last_segment)
+    return F.transform(codes, lambda c: strip_last_segment(c))
 
 
 def all_iso3_suffix(codes: Column) -> Column:
-    return F.coalesce(F.forall(codes, has_iso3_suffix), F.lit(True))
+    return F.coalesce(F.forall(codes, lambda c: has_iso3_suffix(c)), F.lit(True))
 
 
 def parse_units(col: Column) -> Column:

@@ -124,11 +124,13 @@ def code_pair_counts(
     small = F.size("sig") <= max_subset_codes
 
     def subsets(df: DataFrame, attrs: Sequence[str], name: str) -> DataFrame:
-        masks = F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size("sig")) - 1)
+        # every mask 1 .. 2^k - 1 names one subset: bit i keeps code i
+        masks = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("sig")) - 1)
         picked = F.transform(
             masks,
             lambda m: F.filter(
-                F.col("sig"), lambda _, i: F.shiftright(m, i).bitwiseAND(F.lit(1)) == 1
+                F.col("sig"),
+                lambda _, i: F.call_function("shiftright", m, i).bitwiseAND(F.lit(1)) == 1,
             ),
         )
         return (

@@ -73,7 +73,7 @@ def daily(
     if not fill_gaps:
         return days
     following = F.lead("date").over(Window.partitionBy(*keys).orderBy("date"))
-    upto = F.coalesce(F.date_sub(following, 1), F.col("date"))
-    return days.select(
-        *keys, F.col("date").alias("_day"), F.explode(F.sequence(F.col("date"), upto)).alias("date"), "value", "unit"
+    reach = days.withColumn("_upto", F.coalesce(F.date_sub(following, 1), F.col("date")))
+    return reach.select(
+        *keys, F.col("date").alias("_day"), F.explode(F.sequence("date", "_upto")).alias("date"), "value", "unit"
     ).select(*keys, "date", F.when(F.col("date") == F.col("_day"), F.col("value")).alias("value"), "unit")

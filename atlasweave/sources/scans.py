@@ -49,18 +49,18 @@ def read_sheet(spark: SparkSession, path: str, workbook: str, sheet: str, fmt: s
     )
 
 
-def read_features(spark: SparkSession, path: str, properties: str, fmt: str = "geojson") -> DataFrame:
+def read_features(spark: SparkSession, path: str, properties: str, one_per_line: bool = False) -> DataFrame:
     """Feature collections -> one row per feature: its properties and ``rings``.
 
     ``properties`` is the DDL of the property struct. One collection per file
-    (``multiLine``); files are read in parallel.
+    (or per line); files are read in parallel.
     """
     schema = (
         "type string, features array<struct<type:string,"
         f"properties:struct<{properties}>,"
         "geometry:struct<type:string,coordinates:string>>>"
     )
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", not one_per_line).json(path)
     feature = raw.select(F.explode("features").alias("f"))
     return feature.select("f.properties.*", rings_from_geojson(F.col("f.geometry")).alias("rings"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from atlasweave.operators.keys import upsert
+from atlasweave.operators.keys import keep_last
 
 MANIFEST = T.StructType(
     [
@@ -65,43 +65,41 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
 
 
 def upsert_stream(
-    spark: SparkSession,
     stream: DataFrame,
     target: str,
     checkpoint: str,
     keys: Sequence[str],
-    replaced: Sequence[str],
     order: Sequence[str],
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     level: int = 0,
-) -> str:
-    """Upsert every micro-batch into a versioned folder table, marking files as done.
+) -> None:
+    """Log every micro-batch of an upsert and mark its files as done.
 
-    Batch n reads version n-1 and writes version n and its manifest part. A
-    batch that is replayed after a failure writes the same version again from
-    the same inputs, so loading is idempotent. Returns the newest version.
+    A batch costs what it holds, not what the table holds: its rows are reduced
+    to one per key and written to their own ``batch`` folder. A batch replayed
+    after a failure overwrites the same folder with the same rows, so loading is
+    idempotent. :func:`current_rows` reads the table.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        incoming = prepare(batch)
-        columns = [*keys, *[c for c in incoming.columns if c not in {*keys, *order, "file_path"}]]
-        previous = f"{target}/v={batch_id - 1:06d}"
-        if batch_id == 0:
-            existing = incoming.select(*columns).where(F.lit(False))
-        else:
-            existing = session.read.parquet(previous)
-        merged = upsert(existing, incoming, keys, replaced, order)
-        merged.write.mode("overwrite").parquet(f"{target}/v={batch_id:06d}")
-        mark_done(batch, level).write.mode("overwrite").parquet(f"{target}_manifest/batch={batch_id:06d}")
-
-    query = (
+        newest = keep_last(prepare(batch), keys, order)
+        newest.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        mark_done(batch, level).write.mode("overwrite").parquet(f"{target}_manifest/batch={batch_id}")
+
+    run_to_end(
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
-    run_to_end(query)
-    last = query.lastProgress["batchId"] if query.lastProgress else 0
-    return f"{target}/v={last:06d}"
+
+
+def current_rows(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The upserted table: the row of the latest batch (then ``order``) per key."""
+    return keep_last(spark.read.parquet(target), keys, ["batch", *order]).drop("batch")
+
+
+def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str], out: str) -> None:
+    """Write the current rows as one new log whose only batch is number 0."""
+    current_rows(spark, target, keys, order).write.mode("errorifexists").parquet(f"{out}/batch=0")
 
 
 def daily_stream(stream: DataFrame, keys: Sequence[str], lateness: str = "1 day") -> DataFrame:
