@@ -147,7 +147,7 @@ SELECT event_id, string_agg(coalesce(main, name), '|' ORDER BY pos) AS names FRO
 def j12(spark, d):
     low = F.lower("c_mktsegment")
     src = t.order_places(spark, d).select(
-        F.col("o_orderkey").alias("event_id"), t.country_code(F.col("n_nationkey"), SPECIAL_CODES).alias("iso"),
+        F.col("o_orderkey").alias("event_id"), t.country_code("n_nationkey", SPECIAL_CODES).alias("iso"),
         F.array(low, F.lit("Elsewhere"), F.concat(F.lit("Old "), low, F.lit(" town"))).alias("names"))
     out = places.alias_lookup(src, t.place_mapping(spark, d), "event_id", "iso", "names", 2)
     return out.select("event_id", F.array_join("names", "|").alias("names"))
@@ -231,7 +231,7 @@ SELECT event_id, CASE iso WHEN 'HKG' THEN 'CHN' WHEN 'MAC' THEN 'CHN' WHEN 'ANT'
   CASE WHEN iso IN ('HKG', 'MAC', 'ANT') THEN 'first|' || country ELSE 'first' END AS admin1, CASE WHEN iso = 'AB9' THEN 'Abyei Area' ELSE '' END AS admin2 FROM src""")
 def j17(spark, d):
     src = t.order_places(spark, d).select(
-        F.col("o_orderkey").alias("event_id"), t.country_code(F.col("n_nationkey"), SPECIAL_CODES).alias("iso"), F.col("n_name").alias("country"),
+        F.col("o_orderkey").alias("event_id"), t.country_code("n_nationkey", SPECIAL_CODES).alias("iso"), F.col("n_name").alias("country"),
         F.array(F.lit("first")).alias("admin1"), F.array().cast("array<string>").alias("admin2"))
     out = codes.remap_countries(src, codes.REMAPS_WITH_PLACES, "iso", "country", "admin1", "admin2")
     return out.select("event_id", "iso", "country", F.array_join("admin1", "|").alias("admin1"), F.array_join("admin2", "|").alias("admin2"))

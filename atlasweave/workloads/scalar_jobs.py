@@ -290,7 +290,7 @@ def f22(spark, d):
     )
     boxes = t.table(spark, d, "supplier").select(
         "s_suppkey", F.concat(F.lit("S"), s.cast("string")).alias("gid"),
-        t.shape_rings(F.lit(0), (s % 30).cast("double"), (s % 20).cast("double"), F.lit(2.0), F.lit(1.0)).alias("rings"))
+        t.shape_rings("0", "CAST(s_suppkey % 30 AS DOUBLE)", "CAST(s_suppkey % 20 AS DOUBLE)", "2.0D", "1.0D").alias("rings"))
     return rejected_units(boxes.select("gid", F.when(s % 7 != 2, broken).alias("rings")))
 
 

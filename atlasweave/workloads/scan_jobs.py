@@ -48,7 +48,7 @@ def feature_lines(spark, d):
     ring = F.col("rings")[0]["points"]
     coords = F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"])))
     shaped = t.table(spark, d, "supplier").select(
-        "*", t.shape_rings(F.lit(0), (s % 30).cast("double"), (s % 20).cast("double"), F.lit(2.0), F.lit(1.0)).alias("rings"))
+        "*", t.shape_rings("0", "CAST(s_suppkey % 30 AS DOUBLE)", "CAST(s_suppkey % 20 AS DOUBLE)", "2.0D", "1.0D").alias("rings"))
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(

@@ -46,14 +46,13 @@ def r4(spark, d):
 
 
 @query("r5_stream_daily", with_("cells") + """
-SELECT variable, time::DATE AS date, count(*) AS n_values, round(sum(value), 4) AS sum, round(avg(value), 4) AS mean, round(min(value), 4) AS min, round(max(value), 4) AS max FROM hourly GROUP BY ALL""")
+SELECT variable, time::DATE AS date, count(*) AS n_values, round(sum(value), 6) AS sum, round(avg(value), 6) AS mean, round(min(value), 6) AS min, round(max(value), 6) AS max FROM hourly GROUP BY ALL""")
 def r5(spark, d):
     """Days the stream has emitted, completed by a batch run over the days it has not."""
     cells = t.hourly_cells(spark, d)
-    names = F.create_map(*[F.lit(x) for pair in t.CLIMATE_BY_EVENT.items() for x in pair])
-    stream = _event_files(spark, d).select(
-        F.col("ts").cast("timestamp").alias("time"), names[F.col("event_type")].alias("variable"),
-        F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"))
+    stream = _event_files(spark, d).selectExpr(
+        "CAST(ts AS TIMESTAMP) AS time", f"{t.climate_variable('event_type')} AS variable",
+        "CASE WHEN event_id % 11 <> 0 THEN value END AS value")
     target = scratch_path(spark, "daily-stream")
     inc.append_stream(inc.daily_stream(stream, ["variable"]), target, scratch_path(spark, "daily-state"))
     emitted = spark.read.parquet(target)
@@ -64,4 +63,4 @@ def r5(spark, d):
             F.sum("value").alias("sum"), F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
             F.count(F.lit(1)).alias("n_values")))
     return emitted.unionByName(rest).select(
-        "variable", "date", "n_values", *[F.round(c, 4).alias(c) for c in ("sum", "mean", "min", "max")])
+        "variable", "date", "n_values", *[F.round(c, 6).alias(c) for c in ("sum", "mean", "min", "max")])

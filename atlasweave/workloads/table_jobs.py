@@ -50,13 +50,13 @@ def a6(spark, d):
 
 @query("a7_event_rollup", with_("ev") + """
 SELECT start_date AS date, iso3_code AS iso3, disaster_type AS variable, count(*) AS selected_value, sum(total_deaths)::BIGINT AS total_deaths, sum(number_injured)::BIGINT AS number_injured,
-  sum(number_affected)::BIGINT AS number_affected, sum(number_homeless)::BIGINT AS number_homeless, sum(total_affected)::BIGINT AS total_affected, round(sum(total_damage_adjusted), 2) AS total_damage_adjusted,
-  round(sum(reconstruction_costs_adjusted), 2) AS reconstruction_costs_adjusted, round(sum(aid_contribution), 2) AS aid_contribution, sum(disaster_internal_displacements)::BIGINT AS disaster_internal_displacements
+  sum(number_affected)::BIGINT AS number_affected, sum(number_homeless)::BIGINT AS number_homeless, sum(total_affected)::BIGINT AS total_affected, round(sum(total_damage_adjusted), 4) AS total_damage_adjusted,
+  round(sum(reconstruction_costs_adjusted), 4) AS reconstruction_costs_adjusted, round(sum(aid_contribution), 4) AS aid_contribution, sum(disaster_internal_displacements)::BIGINT AS disaster_internal_displacements
 FROM ev GROUP BY ALL""")
 def a7(spark, d):
     out = views.event_rollup(t.events(spark, d))
     money = ("total_damage_adjusted", "reconstruction_costs_adjusted", "aid_contribution")
-    return out.select(*[F.round(c, 2).alias(c) if c in money else F.col(c) for c in out.columns])
+    return out.select(*[F.round(c, 4).alias(c) if c in money else F.col(c) for c in out.columns])
 
 
 @query("a13_having_avg", with_("obs") + """

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasweave.operators.grids import Grid
-from atlasweave.plans.indicators import INDEX_VARIABLES
+from atlasweave.plans.indicators import AGE_GROUPS, INDEX_VARIABLES
 from atlasweave.schemas import DATASETS
 
 GRID = Grid("g1", lon0=0.0, lat0=0.0, dlon=0.5, dlat=0.5, ncols=72, nrows=48)
@@ -45,16 +45,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+# The mappings below are written as SQL text: one call per expression instead of
+# one per operator keeps building the plans cheap.
 
 
-def iso3_of(region: Column) -> Column:
-    return F.concat(F.lit("R0"), region.cast("string"))
+def _pick(values: list[str], index: str) -> Column:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return F.expr(f"element_at(array({listed}), CAST({index} + 1 AS INT))")
 
 
-def gid1_of(region: Column, nation: Column) -> Column:
-    return F.concat(iso3_of(region), F.lit("."), nation.cast("string"), F.lit("_1"))
+def iso3_of(region: str) -> Column:
+    return F.expr(f"concat('R0', {region})")
+
+
+def gid1_of(region: str, nation: str) -> Column:
+    return F.expr(f"concat('R0', {region}, '.', {nation}, '_1')")
 
 
 def order_places(spark: SparkSession, d: str) -> DataFrame:
@@ -71,53 +76,43 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
     """Monthly observations at levels 0 and 1 of eleven datasets."""
     places = (
         table(spark, d, "orders").select("o_orderkey", "o_custkey")
-        .join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, d, "nation").select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.expr("o_custkey = c_custkey"))
+        .join(table(spark, d, "nation").select("n_nationkey", "n_regionkey"), F.expr("c_nationkey = n_nationkey"))
         .select("o_orderkey", "n_nationkey", "n_regionkey")
     )
-    li = table(spark, d, "lineitem")
-    v6 = (
-        F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2) * 2
-        + F.when(F.col("l_linestatus") == "F", 0).otherwise(1)
+    rows = table(spark, d, "lineitem").selectExpr(
+        "l_orderkey", "CAST(l_partkey % 11 AS INT) AS ds",
+        "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END * 2 + CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END AS v6",
+        "trunc(CAST(l_shipdate AS DATE), 'month') AS date", "l_quantity AS q", "l_discount",
     )
     fine = (
-        li.join(places, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(
-            (F.col("l_partkey") % 11).cast("int").alias("ds"), v6.alias("v6"), "n_nationkey", "n_regionkey",
-            F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date"),
-        )
-        .agg(
-            F.sum("l_quantity").alias("s"), F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("lo"),
-            F.max("l_quantity").alias("hi"), F.count_if(F.col("l_discount") < 0.03).alias("gaps"),
-        )
-    )
-    levels = F.array(
-        F.struct(F.lit(0).alias("admin_level"), iso3_of(F.col("n_regionkey")).alias("gid")),
-        F.struct(F.lit(1).alias("admin_level"), gid1_of(F.col("n_regionkey"), F.col("n_nationkey")).alias("gid")),
+        rows.join(places, F.expr("l_orderkey = o_orderkey"))
+        .groupBy("ds", "v6", "n_nationkey", "n_regionkey", "date")
+        .agg(*[F.expr(e) for e in (
+            "sum(q) AS s", "count(1) AS n", "min(q) AS lo", "max(q) AS hi", "count_if(l_discount < 0.03) AS gaps")])
     )
+    # the country level is added up from the (far smaller) unit level
     named = fine.select(
-        "ds", _pick(VARIABLES, F.col("ds") * 6 + F.col("v6")).alias("variable"), "date", "s", "n", "lo", "hi", "gaps",
-        F.explode(levels).alias("u"),
+        "ds", _pick(VARIABLES, "ds * 6 + v6").alias("variable"), "date", "s", "n", "lo", "hi", "gaps",
+        F.expr(
+            "explode(array(named_struct('admin_level', 0, 'gid', concat('R0', n_regionkey)),"
+            " named_struct('admin_level', 1, 'gid', concat('R0', n_regionkey, '.', n_nationkey, '_1')))) AS u"),
     )
-    ds = F.col("ds")
     return (
         named.groupBy("ds", "variable", "date", "u.admin_level", "u.gid")
-        .agg(
-            F.sum("s").alias("s"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-            F.sum("gaps").alias("gaps"),
-        )
-        .select(
-            _pick(DATASETS, ds).alias("dataset"), "gid", "admin_level", "date", "variable",
-            F.when(ds < 8, F.col("s")).alias("sum"),
-            F.when((ds < 8) & (ds != 5), F.col("s") / F.col("n")).alias("mean"),
-            F.when((ds < 8) & (ds != 5), F.col("lo")).alias("min"),
-            F.when((ds < 8) & (ds != 5), F.col("hi")).alias("max"),
-            F.when((ds >= 8) | (ds == 5) | F.col("variable").startswith("2021"), F.col("s") * 2).alias("raw_value"),
-            F.when((ds < 8) & (F.col("n") != 3), F.round(100.0 * F.col("gaps") / F.col("n"), 2)).alias("missing_value_percentage"),
-            F.lit(None).cast("string").alias("note"),
-            F.concat(F.lit("SRC_"), _pick(DATASETS, ds)).alias("source"),
-            F.when(ds % 2 == 0, F.lit("u")).alias("unit"),
-            F.lit(None).cast("string").alias("metadata"),
+        .agg(*[F.expr(e) for e in (
+            "sum(s) AS s", "sum(n) AS n", "min(lo) AS lo", "max(hi) AS hi", "sum(gaps) AS gaps")])
+        .withColumn("dataset", _pick(DATASETS, "ds"))
+        .selectExpr(
+            "dataset", "gid", "admin_level", "date", "variable",
+            "CASE WHEN ds < 8 THEN s END AS sum",
+            "CASE WHEN ds < 8 AND ds <> 5 THEN s / n END AS mean",
+            "CASE WHEN ds < 8 AND ds <> 5 THEN lo END AS min",
+            "CASE WHEN ds < 8 AND ds <> 5 THEN hi END AS max",
+            "CASE WHEN ds >= 8 OR ds = 5 OR startswith(variable, '2021') THEN s * 2 END AS raw_value",
+            "CASE WHEN ds < 8 AND n <> 3 THEN round(100.0D * gaps / n, 2) END AS missing_value_percentage",
+            "CAST(NULL AS STRING) AS note", "concat('SRC_', dataset) AS source",
+            "CASE WHEN ds % 2 = 0 THEN 'u' END AS unit", "CAST(NULL AS STRING) AS metadata",
         )
     )
 
@@ -136,23 +131,20 @@ def catalog(spark: SparkSession, d: str) -> DataFrame:
 def flat_layer(spark: SparkSession, d: str) -> DataFrame:
     """One row per (nation, market segment), as a flat boundary layer."""
     pairs = table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
-    n, r = F.col("n_nationkey"), F.col("r_regionkey")
-    text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    gid1 = gid1_of(r, n)
     return (
-        pairs.join(table(spark, d, "nation"), F.col("c_nationkey") == n)
-        .join(table(spark, d, "region"), F.col("n_regionkey") == r)
-        .select(
-            iso3_of(r).alias("gid_0"), F.col("r_name").alias("name_0"),
-            gid1.alias("gid_1"), text("ISO-", n.cast("string")).alias("iso_1"), F.col("n_name").alias("name_1"),
-            text("Nation ", n.cast("string"), "|N-", n.cast("string")).alias("varname_1"),
-            F.when(n % 3 == 0, text("Ñ ", n.cast("string"))).when(n % 3 == 1, F.lit("")).alias("nl_name_1"),
-            F.when(n % 2 == 0, F.lit("Province")).alias("type_1"),
-            text(iso3_of(r), ".", n.cast("string"), ".", F.substring("c_mktsegment", 1, 4), "_1").alias("gid_2"),
-            F.initcap("c_mktsegment").alias("name_2"),
-            F.lower("c_mktsegment").alias("varname_2"), F.lit(None).cast("string").alias("nl_name_2"),
-            F.lit(None).cast("string").alias("type_2"),
-            shape_rings(n * 7 % 4, (n % 5) * 7 + 0.3, F.floor(n / 5) * 4.6 + 0.2, F.lit(6.5), F.lit(4.3)).alias("rings"),
+        pairs.join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "concat('R0', r_regionkey) AS gid_0", "r_name AS name_0",
+            "concat('R0', r_regionkey, '.', n_nationkey, '_1') AS gid_1", "concat('ISO-', n_nationkey) AS iso_1", "n_name AS name_1",
+            "concat('Nation ', n_nationkey, '|N-', n_nationkey) AS varname_1",
+            "CASE n_nationkey % 3 WHEN 0 THEN concat('Ñ ', n_nationkey) WHEN 1 THEN '' END AS nl_name_1",
+            "CASE WHEN n_nationkey % 2 = 0 THEN 'Province' END AS type_1",
+            "concat('R0', r_regionkey, '.', n_nationkey, '.', substring(c_mktsegment, 1, 4), '_1') AS gid_2",
+            "initcap(c_mktsegment) AS name_2", "lower(c_mktsegment) AS varname_2", "CAST(NULL AS STRING) AS nl_name_2",
+            "CAST(NULL AS STRING) AS type_2",
+            "array(named_struct('hole', false, 'points', transform(array(0, 1, 2, 3, 0), i -> "
+            "named_struct('x', CAST(n_nationkey + i % 2 AS DOUBLE), 'y', CAST(i AS DOUBLE))))) AS rings",
         )
     )
 
@@ -163,35 +155,35 @@ def units(spark: SparkSession, d: str) -> DataFrame:
     return admin_units(flat_layer(spark, d))
 
 
-def shape_rings(kind: Column, x0: Column, y0: Column, w: Column, h: Column) -> Column:
+def shape_rings(kind: str, x0: str, y0: str, w: str, h: str) -> Column:
     """A rectangle, a triangle (clockwise), a concave shape or a rectangle with a hole."""
 
-    def ring(hole: bool, *points: tuple[float, float]) -> Column:
-        return F.struct(
-            F.lit(hole).alias("hole"),
-            F.array(*[F.struct((x0 + w * px).alias("x"), (y0 + h * py).alias("y")) for px, py in points]).alias("points"),
+    def ring(hole: str, *points: tuple[float, float]) -> str:
+        pts = ", ".join(
+            f"named_struct('x', ({x0}) + ({w}) * {px}D, 'y', ({y0}) + ({h}) * {py}D)" for px, py in points
         )
+        return f"named_struct('hole', {hole}, 'points', array({pts}))"
 
-    box = ring(False, (0, 0), (1, 0), (1, 1), (0, 1), (0, 0))
-    hole = ring(True, (0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75), (0.25, 0.25))
-    return (
-        F.when(kind == 0, F.array(box))
-        .when(kind == 1, F.array(ring(False, (0, 0), (0, 1), (1, 0), (0, 0))))
-        .when(kind == 2, F.array(ring(False, (0, 0), (1, 0), (1, 1), (0.5, 0.25), (0, 1), (0, 0))))
-        .otherwise(F.array(box, hole))
+    box = ring("false", (0, 0), (1, 0), (1, 1), (0, 1), (0, 0))
+    hole = ring("true", (0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75), (0.25, 0.25))
+    triangle = ring("false", (0, 0), (0, 1), (1, 0), (0, 0))
+    concave = ring("false", (0, 0), (1, 0), (1, 1), (0.5, 0.25), (0, 1), (0, 0))
+    if kind == "0":
+        return F.expr(f"array({box})")
+    return F.expr(
+        f"CASE {kind} WHEN 0 THEN array({box}) WHEN 1 THEN array({triangle}) WHEN 2 THEN array({concave}) ELSE array({box}, {hole}) END"
     )
 
 
 def shaped_units(spark: SparkSession, d: str) -> DataFrame:
     """Units with geometry: nations at level 1, suppliers at level 2."""
-    n, s = F.col("n_nationkey"), F.col("s_suppkey")
     nations = table(spark, d, "nation").select(
-        gid1_of(F.col("n_regionkey"), n).alias("gid"), F.lit(1).alias("admin_level"), F.col("n_name").alias("name"),
-        shape_rings(n % 4, (n % 5) * 7 + 0.3, F.floor(n / 5) * 4.6 + 0.2, F.lit(6.5), F.lit(4.3)).alias("rings"),
+        gid1_of("n_regionkey", "n_nationkey").alias("gid"), F.lit(1).alias("admin_level"), F.col("n_name").alias("name"),
+        shape_rings("n_nationkey % 4", "(n_nationkey % 5) * 7 + 0.3D", "(n_nationkey div 5) * 4.6D + 0.2D", "6.5D", "4.3D").alias("rings"),
     )
     suppliers = table(spark, d, "supplier").select(
-        F.concat(F.lit("S"), s.cast("string")).alias("gid"), F.lit(2).alias("admin_level"), F.col("s_name").alias("name"),
-        shape_rings(s % 4, (s * 37 % 300) / 10, (s * 53 % 190) / 10, 2.0 + s % 5, 1.5 + s % 3).alias("rings"),
+        F.expr("concat('S', s_suppkey) AS gid"), F.lit(2).alias("admin_level"), F.col("s_name").alias("name"),
+        shape_rings("s_suppkey % 4", "(s_suppkey * 37 % 300) / 10.0D", "(s_suppkey * 53 % 190) / 10.0D", "2.0D + s_suppkey % 5", "1.5D + s_suppkey % 3").alias("rings"),
     )
     return nations.unionByName(suppliers)
 
@@ -205,20 +197,19 @@ CLIMATE_BY_EVENT = {
 }
 
 
+def climate_variable(event_type: str) -> str:
+    whens = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in CLIMATE_BY_EVENT.items())
+    return f"CASE {event_type} {whens} END"
+
+
 def hourly_cells(spark: SparkSession, d: str) -> DataFrame:
     """Readings of grid cells from the events table."""
-    ev = table(spark, d, "events")
-    variable = F.lit(None).cast("string")
-    for kind, name in CLIMATE_BY_EVENT.items():
-        variable = F.when(F.col("event_type") == kind, name).otherwise(variable)
-    lat_idx = (F.col("user_id") * 7 % GRID.nrows).cast("int")
-    lon_idx = (F.col("user_id") * 13 % GRID.ncols).cast("int")
-    return ev.select(
-        F.lit(GRID.grid_id).alias("grid_id"), F.col("ts").alias("time"), lat_idx.alias("lat_idx"), lon_idx.alias("lon_idx"),
-        GRID.lat_centre(lat_idx).alias("lat"), GRID.lon_centre(lon_idx).alias("lon"), variable.alias("variable"),
-        F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"),
-        F.when(F.col("event_id") % 5 != 0, F.lit("K")).alias("unit"),
+    cells = table(spark, d, "events").selectExpr(
+        f"'{GRID.grid_id}' AS grid_id", "ts AS time", f"CAST(user_id * 7 % {GRID.nrows} AS INT) AS lat_idx",
+        f"CAST(user_id * 13 % {GRID.ncols} AS INT) AS lon_idx", f"{climate_variable('event_type')} AS variable",
+        "CASE WHEN event_id % 11 <> 0 THEN value END AS value", "CASE WHEN event_id % 5 <> 0 THEN 'K' END AS unit",
     )
+    return cells.withColumns({"lat": GRID.lat_centre(F.col("lat_idx")), "lon": GRID.lon_centre(F.col("lon_idx"))})
 
 
 def daily_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -229,86 +220,80 @@ def daily_cells(spark: SparkSession, d: str) -> DataFrame:
 
 def bands(spark: SparkSession, d: str) -> DataFrame:
     """Red, near-infrared and quality bands per cell and month."""
-    li, part = table(spark, d, "lineitem"), table(spark, d, "part")
-    return li.join(part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey")).select(
-        F.lit(GRID.grid_id).alias("grid_id"), (F.col("l_orderkey") % GRID.nrows).cast("int").alias("lat_idx"),
-        (F.col("l_partkey") % GRID.ncols).cast("int").alias("lon_idx"),
-        F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date"),
-        (F.col("l_quantity") * 10).cast("int").alias("red"),
-        F.when(F.col("l_partkey") % 17 == 0, F.lit(32767)).otherwise(F.floor("p_retailprice").cast("int")).alias("nir"),
-        F.col("l_linenumber").cast("int").alias("quality"),
+    part = table(spark, d, "part").select("p_partkey", "p_retailprice")
+    return table(spark, d, "lineitem").join(part, F.expr("l_partkey = p_partkey")).selectExpr(
+        f"'{GRID.grid_id}' AS grid_id", f"CAST(l_orderkey % {GRID.nrows} AS INT) AS lat_idx",
+        f"CAST(l_partkey % {GRID.ncols} AS INT) AS lon_idx", "trunc(CAST(l_shipdate AS DATE), 'month') AS date",
+        "CAST(l_quantity * 10 AS INT) AS red",
+        "CASE WHEN l_partkey % 17 = 0 THEN 32767 ELSE CAST(floor(p_retailprice) AS INT) END AS nir",
+        "CAST(l_linenumber AS INT) AS quality",
     )
 
 
 def class_cells(spark: SparkSession, d: str) -> DataFrame:
-    p = F.col("p_partkey")
-    return table(spark, d, "part").select(
-        F.lit(GRID.grid_id).alias("grid_id"), (p % GRID.nrows).cast("int").alias("lat_idx"),
-        (p * 5 % GRID.ncols).cast("int").alias("lon_idx"), F.lit("2020-01-01").cast("date").alias("date"),
-        F.when(p % 13 != 0, F.col("p_size") % 8).cast("int").alias("value"),
+    return table(spark, d, "part").selectExpr(
+        f"'{GRID.grid_id}' AS grid_id", f"CAST(p_partkey % {GRID.nrows} AS INT) AS lat_idx",
+        f"CAST(p_partkey * 5 % {GRID.ncols} AS INT) AS lon_idx", "DATE '2020-01-01' AS date",
+        "CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size % 8 AS INT) END AS value",
     )
 
 
 def class_flags(spark: SparkSession, d: str) -> DataFrame:
-    value = (F.col("p_size") % 8).cast("int")
-    return table(spark, d, "part").select(value.alias("value")).distinct().where("value <> 7").select(
-        "value", F.concat(F.lit("class"), F.col("value").cast("string")).alias("meaning")
+    return table(spark, d, "part").selectExpr("CAST(p_size % 8 AS INT) AS value").distinct().where("value <> 7").selectExpr(
+        "value", "concat('class', value) AS meaning"
     )
 
 
+_KIND_A = {"1-URGENT": "Earthquake", "2-HIGH": "Flood", "3-MEDIUM": "Storm", "5-LOW": "Drought"}
+_KIND_B = {"error": "Flood", "view": "Storm", "click": "Earthquake", "purchase": "Drought", "signup": "Wildfire"}
+
+
+def _case(column: str, mapping: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
 def events_a(spark: SparkSession, d: str) -> DataFrame:
     """Clean source-A events from orders."""
-    k = F.col("o_orderkey")
-    glide = F.when(k % 12 == 0, F.array(F.concat(F.lit("FL-"), (F.floor(k / 4) % 5000).cast("string")), F.concat(F.lit("EQ-"), (k % 1000).cast("string")))).when(
-        k % 4 == 0, F.array(F.concat(F.lit("FL-"), (F.floor(k / 4) % 5000).cast("string")))
-    )
-    kind = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Earthquake").when(F.col("o_orderpriority") == "2-HIGH", "Flood")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "Storm").when(F.col("o_orderpriority") == "5-LOW", "Drought")
-    )
-    start = F.col("o_orderdate").cast("date")
-    return order_places(spark, d).select(
-        k.alias("event_id"), F.concat(F.lit("A-"), k.cast("string")).alias("event_name"),
-        F.when(k % 10 != 0, F.lit("Natural")).alias("disaster_group"), F.lit(None).cast("string").alias("disaster_subgroup"),
-        kind.alias("disaster_type"),
-        F.when(F.col("o_orderstatus") == "F", "Flash").when(F.col("o_orderstatus") == "O", "Riverine").alias("disaster_subtype"),
-        F.when(k % 50 != 0, iso3_of(F.col("r_regionkey"))).alias("iso3_code"), F.col("r_name").alias("admin_level_0"),
-        F.when(k % 3 == 1, F.array("n_name")).when(k % 3 == 2, F.array().cast("array<string>")).alias("admin_level_1"),
-        F.when(k % 4 == 0, F.array(F.initcap("c_mktsegment"), F.lit("Nowhere"))).alias("admin_level_2"),
-        start.alias("start_date"), F.date_add(start, (k % 10).cast("int")).alias("end_date"),
-        F.when(k % 7 != 0, k % 100).alias("total_deaths"), (k % 30).alias("number_injured"),
-        F.when(k % 2 == 0, k % 1000).alias("number_affected"), F.lit(None).cast("bigint").alias("number_homeless"),
-        F.when(k % 5 != 0, k % 500).alias("total_affected"), F.col("o_totalprice").alias("total_damage_adjusted"),
-        F.lit(None).cast("double").alias("reconstruction_costs_adjusted"),
-        F.when(k % 9 == 0, F.col("o_totalprice") / 4).alias("aid_contribution"),
-        F.lit(None).cast("bigint").alias("disaster_internal_displacements"), F.lit("EMDAT").alias("source"),
-        F.lit(None).cast("string").alias("metadata"), F.lit(None).cast("array<string>").alias("usgs"), glide.alias("glide"),
-        F.lit(None).cast("array<string>").alias("dfo"),
+    none = "CAST(NULL AS ARRAY<STRING>)"
+    return order_places(spark, d).selectExpr(
+        "o_orderkey AS event_id", "concat('A-', o_orderkey) AS event_name",
+        "CASE WHEN o_orderkey % 10 <> 0 THEN 'Natural' END AS disaster_group", "CAST(NULL AS STRING) AS disaster_subgroup",
+        f"{_case('o_orderpriority', _KIND_A)} AS disaster_type",
+        "CASE o_orderstatus WHEN 'F' THEN 'Flash' WHEN 'O' THEN 'Riverine' END AS disaster_subtype",
+        "CASE WHEN o_orderkey % 50 <> 0 THEN concat('R0', r_regionkey) END AS iso3_code", "r_name AS admin_level_0",
+        "CASE o_orderkey % 3 WHEN 1 THEN array(n_name) WHEN 2 THEN CAST(array() AS ARRAY<STRING>) END AS admin_level_1",
+        "CASE WHEN o_orderkey % 4 = 0 THEN array(initcap(c_mktsegment), 'Nowhere') END AS admin_level_2",
+        "CAST(o_orderdate AS DATE) AS start_date", "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 10 AS INT)) AS end_date",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 100 END AS total_deaths", "o_orderkey % 30 AS number_injured",
+        "CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 1000 END AS number_affected", "CAST(NULL AS BIGINT) AS number_homeless",
+        "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 500 END AS total_affected", "o_totalprice AS total_damage_adjusted",
+        "CAST(NULL AS DOUBLE) AS reconstruction_costs_adjusted",
+        "CASE WHEN o_orderkey % 9 = 0 THEN o_totalprice / 4 END AS aid_contribution",
+        "CAST(NULL AS BIGINT) AS disaster_internal_displacements", "'EMDAT' AS source", "CAST(NULL AS STRING) AS metadata",
+        f"{none} AS usgs",
+        "CASE WHEN o_orderkey % 12 = 0 THEN array(concat('FL-', o_orderkey div 4 % 5000), concat('EQ-', o_orderkey % 1000)) "
+        "WHEN o_orderkey % 4 = 0 THEN array(concat('FL-', o_orderkey div 4 % 5000)) END AS glide",
+        f"{none} AS dfo",
     )
 
 
 def events_b(spark: SparkSession, d: str) -> DataFrame:
     """Clean source-B events from the events table."""
-    k = F.col("event_id")
-    fl = F.concat(F.lit("FL-"), (F.floor(k / 3) % 5000).cast("string"))
-    glide = F.when(k % 15 == 0, F.array(fl, F.concat(F.lit("EQ-"), (k % 1000).cast("string")))).when(k % 3 == 0, F.array(fl))
-    kinds = {"error": "Flood", "view": "Storm", "click": "Earthquake", "purchase": "Drought", "signup": "Wildfire"}
-    kind = F.lit(None).cast("string")
-    for old, new in kinds.items():
-        kind = F.when(F.col("event_type") == old, new).otherwise(kind)
-    none = F.lit(None).cast("array<string>")
+    none = "CAST(NULL AS ARRAY<STRING>)"
     return (
         table(spark, d, "events")
-        .join(table(spark, d, "nation"), F.col("user_id") % 25 == F.col("n_nationkey"))
-        .join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            "event_id", F.concat(F.lit("B-"), k.cast("string")).alias("event_name"), kind.alias("disaster_type"),
-            F.lit(None).cast("string").alias("disaster_subtype"), iso3_of(F.col("r_regionkey")).alias("iso3_code"),
-            F.col("r_name").alias("admin_level_0"), F.when(k % 2 == 0, F.array("n_name")).alias("admin_level_1"),
-            none.alias("admin_level_2"), F.date_add(F.lit("1995-01-01").cast("date"), (k % 2500).cast("int")).alias("start_date"),
-            F.when(k % 6 != 0, F.floor("value").cast("bigint")).alias("disaster_internal_displacements"),
-            F.lit("IDMC").alias("source"), F.lit(None).cast("string").alias("metadata"), glide.alias("glide"),
-            none.alias("local_identifier"), none.alias("ifrc_appeal_id"), none.alias("government_assigned_identifier"),
+        .join(table(spark, d, "nation"), F.expr("user_id % 25 = n_nationkey"))
+        .join(table(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "event_id", "concat('B-', event_id) AS event_name", f"{_case('event_type', _KIND_B)} AS disaster_type",
+            "CAST(NULL AS STRING) AS disaster_subtype", "concat('R0', r_regionkey) AS iso3_code", "r_name AS admin_level_0",
+            "CASE WHEN event_id % 2 = 0 THEN array(n_name) END AS admin_level_1", f"{none} AS admin_level_2",
+            "date_add(DATE '1995-01-01', CAST(event_id % 2500 AS INT)) AS start_date",
+            "CASE WHEN event_id % 6 <> 0 THEN CAST(floor(value) AS BIGINT) END AS disaster_internal_displacements",
+            "'IDMC' AS source", "CAST(NULL AS STRING) AS metadata",
+            "CASE WHEN event_id % 15 = 0 THEN array(concat('FL-', event_id div 3 % 5000), concat('EQ-', event_id % 1000)) "
+            "WHEN event_id % 3 = 0 THEN array(concat('FL-', event_id div 3 % 5000)) END AS glide",
+            f"{none} AS local_identifier", f"{none} AS ifrc_appeal_id", f"{none} AS government_assigned_identifier",
         )
     )
 
@@ -323,136 +308,115 @@ def events(spark: SparkSession, d: str) -> DataFrame:
 SPECIAL_CODES = ["HKG", "MAC", "ANT", "SCG", "AB9", "XKK", "SRB", "MNE", "CHN", "XKO"]
 
 
-def country_code(nation: Column, codes: list[str]) -> Column:
-    out = F.concat(F.lit("N"), F.lpad(nation.cast("string"), 2, "0"))
-    for i, code in enumerate(codes):
-        out = F.when(nation == i, code).otherwise(out)
-    return out
+def code_sql(nation: str, codes: list[str]) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{code}'" for i, code in enumerate(codes))
+    return f"CASE {nation} {whens} ELSE concat('N', lpad(CAST({nation} AS STRING), 2, '0')) END"
+
+
+def country_code(nation: str, codes: list[str]) -> Column:
+    return F.expr(code_sql(nation, codes))
 
 
 def place_mapping(spark: SparkSession, d: str) -> DataFrame:
     """The place mapping: a row per (nation, market segment)."""
     pairs = table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
-    n, seg = F.col("c_nationkey"), F.col("c_mktsegment")
-    t = n.cast("string")
-    return pairs.where(n > 5).select(
-        country_code(n, SPECIAL_CODES).alias("iso3"),
-        (n * 100 + F.ascii(seg)).cast("bigint").alias("seq"),
-        F.concat(F.lit("Country "), t).alias("main0"), F.concat(F.lit("Land "), t).alias("alt0"),
-        F.concat(F.lit("NATION_"), t).alias("main1"),
-        F.concat(F.lit("Nat "), t, F.lit("|Great Nat "), t).alias("alt1"), F.lit(None).cast("string").alias("local1"),
-        F.concat(F.initcap(seg), F.lit(" District")).alias("main2"),
-        F.concat(F.lower(seg), F.lit("|Old "), F.lower(seg), F.lit(" town")).alias("alt2"),
-        F.when(n % 2 == 0, F.concat(F.lit("L"), F.lower(seg))).alias("local2"),
+    return pairs.where("c_nationkey > 5").selectExpr(
+        f"{code_sql('c_nationkey', SPECIAL_CODES)} AS iso3",
+        "CAST(c_nationkey * 100 + ascii(c_mktsegment) AS BIGINT) AS seq",
+        "concat('Country ', c_nationkey) AS main0", "concat('Land ', c_nationkey) AS alt0",
+        "concat('NATION_', c_nationkey) AS main1",
+        "concat('Nat ', c_nationkey, '|Great Nat ', c_nationkey) AS alt1", "CAST(NULL AS STRING) AS local1",
+        "concat(initcap(c_mktsegment), ' District') AS main2",
+        "concat(lower(c_mktsegment), '|Old ', lower(c_mktsegment), ' town') AS alt2",
+        "CASE WHEN c_nationkey % 2 = 0 THEN concat('L', lower(c_mktsegment)) END AS local2",
     )
 
 
 def raw_events_a(spark: SparkSession, d: str) -> DataFrame:
-    k, n = F.col("o_orderkey"), F.col("n_nationkey")
-    t = n.cast("string")
-    c = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    other = F.when(k % 3 == 0, "NATION_6").when(k % 3 == 1, "NATION_7").otherwise(F.lit("Elsewhere"))
-    units_text = (
-        F.when(k % 5 == 0, F.lit("not a list"))
-        .when(n == 3, c("[{'adm1_name':'", other, "'}]"))
-        .when(k % 5 == 1, c("[{'adm1_name':'Nat ", t, "'},{'adm2_name':'", F.lower("c_mktsegment"), "'}]"))
-        .when(k % 5 == 2, c('[{"adm2_code": 5, "adm2_name": "Old ', F.lower("c_mktsegment"), ' town"}, {"adm2_name": "Unknown"}]'))
-    )
-    none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
-    return order_places(spark, d).select(
-        k.alias("event_id"), c("D-", k.cast("string")).alias("DisNo."), F.lit("nat-x").alias("Classification Key"),
-        F.lit("Natural").alias("Disaster Group"), none_s.alias("Disaster Subgroup"),
-        F.when(k % 6 != 0, F.col("o_orderpriority")).alias("Disaster Type"),
-        F.when(k % 4 != 0, F.col("o_orderstatus")).alias("Disaster Subtype"),
-        F.when(k % 4 == 0, c("GLIDE:FL-", (F.floor(k / 4) % 5000).cast("string"), "|USGS:us:", k.cast("string"), "|junk"))
-        .when(k % 4 == 1, c("GLIDE:A-", k.cast("string"), "|GLIDE:B-", k.cast("string"))).alias("External IDs"),
-        none_s.alias("Event Name"), country_code(n, SPECIAL_CODES).alias("ISO"), F.col("n_name").alias("Country"),
-        F.col("r_name").alias("Subregion"), F.col("r_name").alias("Region"), none_s.alias("Location"),
-        (F.col("o_totalprice")).alias("AID Contribution ('000 US$)"), none_d.alias("Latitude"), none_d.alias("Longitude"),
-        none_s.alias("River Basin"), F.year("o_orderdate").alias("Start Year"),
-        F.when(k % 7 != 0, F.month("o_orderdate")).alias("Start Month"),
-        F.when(k % 11 == 0, F.lit(31)).when(k % 3 != 0, F.dayofmonth("o_orderdate")).alias("Start Day"),
-        F.year("o_orderdate").alias("End Year"), F.when(k % 2 == 0, F.month("o_orderdate")).alias("End Month"),
-        F.lit(1).alias("End Day"), F.when(k % 7 != 0, (k % 100).cast("double")).alias("Total Deaths"),
-        (k % 30).cast("double").alias("No. Injured"), F.when(k % 2 == 0, (k % 1000).cast("double")).alias("No. Affected"),
-        none_d.alias("No. Homeless"), (k % 500).cast("double").alias("Total Affected"),
-        none_d.alias("Reconstruction Costs, Adjusted ('000 US$)"), F.when(k % 8 != 0, (k * 3).cast("double")).alias("Total Damage, Adjusted ('000 US$)"),
-        units_text.alias("Admin Units"),
-    )
+    """Source-A rows with the source's own columns."""
+    other = "CASE o_orderkey % 3 WHEN 0 THEN 'NATION_6' WHEN 1 THEN 'NATION_7' ELSE 'Elsewhere' END"
+    seg = "lower(c_mktsegment)"
+    unit_list = f"""CASE WHEN o_orderkey % 5 = 0 THEN 'not a list'
+        WHEN n_nationkey = 3 THEN concat("[{{'adm1_name':'", {other}, "'}}]")
+        WHEN o_orderkey % 5 = 1 THEN concat("[{{'adm1_name':'Nat ", n_nationkey, "'}},{{'adm2_name':'", {seg}, "'}}]")
+        WHEN o_orderkey % 5 = 2 THEN concat('[{{"adm2_code": 5, "adm2_name": "Old ', {seg}, ' town"}}, {{"adm2_name": "Unknown"}}]') END"""
+    k, none_s, none_d = "o_orderkey", "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
+    columns = {
+        "event_id": k, "DisNo.": f"concat('D-', {k})", "Classification Key": "'nat-x'", "Disaster Group": "'Natural'",
+        "Disaster Subgroup": none_s, "Disaster Type": f"CASE WHEN {k} % 6 <> 0 THEN o_orderpriority END",
+        "Disaster Subtype": f"CASE WHEN {k} % 4 <> 0 THEN o_orderstatus END",
+        "External IDs": f"CASE {k} % 4 WHEN 0 THEN concat('GLIDE:FL-', {k} div 4 % 5000, '|USGS:us:', {k}, '|junk') "
+        f"WHEN 1 THEN concat('GLIDE:A-', {k}, '|GLIDE:B-', {k}) END",
+        "Event Name": none_s, "ISO": code_sql("n_nationkey", SPECIAL_CODES), "Country": "n_name", "Subregion": "r_name",
+        "Region": "r_name", "Location": none_s, "AID Contribution ('000 US$)": "o_totalprice", "Latitude": none_d,
+        "Longitude": none_d, "River Basin": none_s, "Start Year": "year(o_orderdate)",
+        "Start Month": f"CASE WHEN {k} % 7 <> 0 THEN month(o_orderdate) END",
+        "Start Day": f"CASE WHEN {k} % 11 = 0 THEN 31 WHEN {k} % 3 <> 0 THEN dayofmonth(o_orderdate) END",
+        "End Year": "year(o_orderdate)", "End Month": f"CASE WHEN {k} % 2 = 0 THEN month(o_orderdate) END", "End Day": "1",
+        "Total Deaths": f"CASE WHEN {k} % 7 <> 0 THEN CAST({k} % 100 AS DOUBLE) END", "No. Injured": f"CAST({k} % 30 AS DOUBLE)",
+        "No. Affected": f"CASE WHEN {k} % 2 = 0 THEN CAST({k} % 1000 AS DOUBLE) END", "No. Homeless": none_d,
+        "Total Affected": f"CAST({k} % 500 AS DOUBLE)", "Reconstruction Costs, Adjusted ('000 US$)": none_d,
+        "Total Damage, Adjusted ('000 US$)": f"CASE WHEN {k} % 8 <> 0 THEN CAST({k} * 3 AS DOUBLE) END",
+        "Admin Units": unit_list,
+    }
+    return order_places(spark, d).selectExpr(*[f"{e} AS `{name}`" for name, e in columns.items()])
 
 
 SPECIAL_CODES_B = ["HKG", "MAC", "ANT", "SCG", "AB9", "XKX", "SRB", "MNE", "CHN", "XKO"]
 
 
 def raw_events_b(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("event_id")
-    n = F.col("user_id") % 25
-    t = n.cast("string")
-    segs = ["automobile", "Old building town", "furniture", "household", "OLD MACHINERY TOWN"]
-    seg = _pick(segs, k % 5)
-    c = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    text = (
-        F.when(k % 4 == 0, c("Flood - nation_", t, " - ", seg, " 20240101"))
-        .when(k % 4 == 1, c("Storm in Great Nat ", t, ", ", seg, "/household"))
-        .when(k % 4 == 2, c("Quake near Nat ", t, "0 and x", seg, "x"))
-        .otherwise(c("Land ", t, ": ", seg))
-    )
-    codes = (
-        F.when(k % 3 == 0, c("FL-", (F.floor(k / 3) % 5000).cast("string"), "-ABC:Glide Number; x:", k.cast("string"), ":IFRC Appeal ID"))
-        .when(k % 3 == 1, c("loc", k.cast("string"), ":Local Identifier"))
-    )
-    return table(spark, d, "events").select(
-        "event_id", c(country_code(n, SPECIAL_CODES_B), " ").alias("ISO3"), c("Nation ", t).alias("Country / Territory"),
-        F.year("ts").alias("Year"), text.alias("Event Name"), F.col("ts").cast("date").alias("Date of Event (start)"),
-        F.when(k % 6 != 0, F.floor("value").cast("double")).alias("Disaster Internal Displacements"),
-        F.col("event_type").alias("Hazard Type"), F.when(k % 2 == 0, F.col("event_type")).alias("Hazard Sub Type"),
-        codes.alias("Event Codes (Code:Type)"),
-    )
+    """Source-B rows with the source's own columns."""
+    seg = "element_at(array('automobile', 'Old building town', 'furniture', 'household', 'OLD MACHINERY TOWN'), CAST(event_id % 5 + 1 AS INT))"
+    n = "(user_id % 25)"
+    columns = {
+        "event_id": "event_id", "ISO3": f"concat({code_sql(n, SPECIAL_CODES_B)}, ' ')", "Country / Territory": f"concat('Nation ', {n})",
+        "Year": "year(ts)",
+        "Event Name": f"CASE event_id % 4 WHEN 0 THEN concat('Flood - nation_', {n}, ' - ', {seg}, ' 20240101') "
+        f"WHEN 1 THEN concat('Storm in Great Nat ', {n}, ', ', {seg}, '/household') "
+        f"WHEN 2 THEN concat('Quake near Nat ', {n}, '0 and x', {seg}, 'x') ELSE concat('Land ', {n}, ': ', {seg}) END",
+        "Date of Event (start)": "CAST(ts AS DATE)",
+        "Disaster Internal Displacements": "CASE WHEN event_id % 6 <> 0 THEN CAST(floor(value) AS DOUBLE) END",
+        "Hazard Type": "event_type", "Hazard Sub Type": "CASE WHEN event_id % 2 = 0 THEN event_type END",
+        "Event Codes (Code:Type)": "CASE event_id % 3 WHEN 0 THEN concat('FL-', event_id div 3 % 5000, '-ABC:Glide Number; x:', event_id, ':IFRC Appeal ID') "
+        "WHEN 1 THEN concat('loc', event_id, ':Local Identifier') END",
+    }
+    return table(spark, d, "events").selectExpr(*[f"{e} AS `{name}`" for name, e in columns.items()])
 
 
 def type_map(spark: SparkSession, d: str) -> DataFrame:
     """Hazard pairs that occur -> disaster pairs; one type is left unmapped."""
     seen = table(spark, d, "events").where("event_type <> 'error'").select("event_type").distinct()
-    kind = F.col("event_type")
-    both = seen.select(
-        kind.alias("Hazard Type"), kind.alias("Hazard Sub Type"), F.upper(kind).alias("Disaster Type"),
-        F.concat(F.lit("Sub "), kind).alias("Disaster Subtype"), F.lit(1).alias("seq"),
+    both = seen.selectExpr(
+        "event_type AS `Hazard Type`", "event_type AS `Hazard Sub Type`", "upper(event_type) AS `Disaster Type`",
+        "concat('Sub ', event_type) AS `Disaster Subtype`", "1 AS seq",
     )
-    only = seen.where("event_type <> 'view'").select(
-        kind.alias("Hazard Type"), F.lit(None).cast("string").alias("Hazard Sub Type"), F.initcap(kind).alias("Disaster Type"),
-        F.lit(None).cast("string").alias("Disaster Subtype"), F.lit(2).alias("seq"),
+    only = seen.where("event_type <> 'view'").selectExpr(
+        "event_type AS `Hazard Type`", "CAST(NULL AS STRING) AS `Hazard Sub Type`", "initcap(event_type) AS `Disaster Type`",
+        "CAST(NULL AS STRING) AS `Disaster Subtype`", "2 AS seq",
     )
     return both.unionByName(only)
 
 
 def raw_indicators(spark: SparkSession, d: str) -> DataFrame:
     """Indicator file rows, values as text with blanks and junk."""
-    k, n = F.col("o_orderkey"), F.col("n_nationkey")
-    t, m = n.cast("string"), ((n + 5) % 25).cast("string")
-    c = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    k, n, m = "o_orderkey", "n_nationkey", "((n_nationkey + 5) % 25)"
     region = (
-        F.when(k % 8 == 0, c("NATION_", t))
-        .when(k % 8 == 1, c("NATION_", t, " and NATION_", m))
-        .when(k % 8 == 2, c("Central (NATION_", t, " NATION_", m, ")"))
-        .when(k % 8 == 3, c("County of NATION_", t))
-        .when(k % 8 == 4, c("II- NATION_", t, " Region"))
-        .when(k % 8 == 5, c("North, BUILDING, Lowest 25%"))
-        .when(k % 8 == 6, c("Group (NATION_", t, ", incl. Atlantis ", (k % 97).cast("string"), ")"))
-        .otherwise(c("Nation ", t, ", NATION_", ((n + 1) % 25).cast("string")))
+        f"CASE {k} % 8 WHEN 0 THEN concat('NATION_', {n}) WHEN 1 THEN concat('NATION_', {n}, ' and NATION_', {m}) "
+        f"WHEN 2 THEN concat('Central (NATION_', {n}, ' NATION_', {m}, ')') WHEN 3 THEN concat('County of NATION_', {n}) "
+        f"WHEN 4 THEN concat('II- NATION_', {n}, ' Region') WHEN 5 THEN 'North, BUILDING, Lowest 25%' "
+        f"WHEN 6 THEN concat('Group (NATION_', {n}, ', incl. Atlantis ', {k} % 97, ')') "
+        f"ELSE concat('Nation ', {n}, ', NATION_', ({n} + 1) % 25) END"
     )
-
-    def value(i: int) -> Column:
-        return (
-            F.when((k + i) % 9 == 0, " ").when((k + i) % 23 == 0, "n/a").otherwise((k * i % 1000).cast("string"))
-        )
-
-    return order_places(spark, d).select(
-        k.alias("seq"), iso3_of(F.col("r_regionkey")).alias("iso_code"), F.col("r_name").alias("country"),
-        F.when(k % 3 != 0, F.lit("World")).alias("continent"),
-        F.when(k % 20 == 0, "National").otherwise(F.lit("Subnat")).alias("level"),
-        c(iso3_of(F.col("r_regionkey")), "r", t).alias("GDLCODE"), region.alias("region"), F.year("o_orderdate").alias("year"),
-        c("SHDI_", (k % 2).cast("string"), ".csv").alias("source_file"),
-        *[value(i + 1).alias(v) for i, v in enumerate(INDEX_VARIABLES)],
+    values = [
+        f"CASE WHEN ({k} + {i}) % 9 = 0 THEN ' ' WHEN ({k} + {i}) % 23 = 0 THEN 'n/a' ELSE CAST({k} * {i} % 1000 AS STRING) END AS {v}"
+        for i, v in enumerate(INDEX_VARIABLES, 1)
+    ]
+    return order_places(spark, d).selectExpr(
+        f"{k} AS seq", "concat('R0', r_regionkey) AS iso_code", "r_name AS country",
+        f"CASE WHEN {k} % 3 <> 0 THEN 'World' END AS continent", f"CASE WHEN {k} % 20 = 0 THEN 'National' ELSE 'Subnat' END AS level",
+        f"concat('R0', r_regionkey, 'r', {n}) AS GDLCODE", f"{region} AS region", "year(o_orderdate) AS year",
+        f"concat('SHDI_', {k} % 2, '.csv') AS source_file", *values,
     )
 
 
@@ -460,24 +424,20 @@ DISPLACED_CODES = ["HKG", "MAC", "CHN", "XKX", "AB9", "SDN"]
 
 
 def raw_displacement(spark: SparkSession, d: str) -> DataFrame:
-    k, n = F.col("o_orderkey"), F.col("n_nationkey")
-    num = lambda i: F.when((k + i) % 3 != 0, (k * i % 1000).cast("double"))
-    return order_places(spark, d).select(
-        k.alias("seq"), country_code(n, DISPLACED_CODES).alias("ISO3"), F.col("n_name").alias("Name"),
-        F.when(k % 40 != 0, F.year("o_orderdate")).alias("Year"),
-        F.concat(F.lit("book_sheet"), (k % 2).cast("string")).alias("source_file"),
-        num(1).alias("Conflict Stock Displacement"), num(2).alias("Conflict Internal Displacements"),
-        num(3).alias("Disaster Internal Displacements"), F.lit(None).cast("double").alias("Disaster Stock Displacement"),
+    num = lambda i: f"CASE WHEN (o_orderkey + {i}) % 3 <> 0 THEN CAST(o_orderkey * {i} % 1000 AS DOUBLE) END"
+    return order_places(spark, d).selectExpr(
+        "o_orderkey AS seq", f"{code_sql('n_nationkey', DISPLACED_CODES)} AS ISO3", "n_name AS Name",
+        "CASE WHEN o_orderkey % 40 <> 0 THEN year(o_orderdate) END AS Year", "concat('book_sheet', o_orderkey % 2) AS source_file",
+        f"{num(1)} AS `Conflict Stock Displacement`", f"{num(2)} AS `Conflict Internal Displacements`",
+        f"{num(3)} AS `Disaster Internal Displacements`", "CAST(NULL AS DOUBLE) AS `Disaster Stock Displacement`",
     )
 
 
 def raw_displacement_groups(spark: SparkSession, d: str) -> DataFrame:
-    k, n = F.col("o_orderkey"), F.col("n_nationkey")
-    num = lambda i: F.when((k + i) % 4 != 0, (k * i % 1000).cast("double"))
-    return order_places(spark, d).select(
-        k.alias("seq"), country_code(n, DISPLACED_CODES).alias("ISO3"), F.col("n_name").alias("Country"),
-        F.when(F.col("o_orderstatus") == "F", "Female").when(F.col("o_orderstatus") == "O", "Male").alias("Sex"),
-        F.when(F.col("o_orderpriority") < "3", "Conflict").otherwise(F.lit("Disaster")).alias("Cause"),
-        F.year("o_orderdate").alias("Year"), F.lit("book_groups").alias("source_file"),
-        *[num(i + 1).alias(a) for i, a in enumerate(["0-4", "5-11", "12-17", "18-59", "60+"])],
+    num = lambda i: f"CASE WHEN (o_orderkey + {i}) % 4 <> 0 THEN CAST(o_orderkey * {i} % 1000 AS DOUBLE) END"
+    return order_places(spark, d).selectExpr(
+        "o_orderkey AS seq", f"{code_sql('n_nationkey', DISPLACED_CODES)} AS ISO3", "n_name AS Country",
+        "CASE o_orderstatus WHEN 'F' THEN 'Female' WHEN 'O' THEN 'Male' END AS Sex",
+        "CASE WHEN o_orderpriority < '3' THEN 'Conflict' ELSE 'Disaster' END AS Cause", "year(o_orderdate) AS Year",
+        "'book_groups' AS source_file", *[f"{num(i)} AS `{a}`" for i, a in enumerate(AGE_GROUPS, 1)],
     )

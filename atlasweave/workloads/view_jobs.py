@@ -30,7 +30,7 @@ def m12(spark, d):
 
 
 _MEASURES = ", ".join(
-    f"round(sum({m}), 2) AS {m}" if "damage" in m or "costs" in m or "aid" in m else f"sum({m})::BIGINT AS {m}" for m in views.EVENT_MEASURES)
+    f"round(sum({m}), 4) AS {m}" if "damage" in m or "costs" in m or "aid" in m else f"sum({m})::BIGINT AS {m}" for m in views.EVENT_MEASURES)
 _MONEY = ["total_damage_adjusted", "reconstruction_costs_adjusted", "aid_contribution"]
 
 
@@ -43,7 +43,7 @@ SELECT date, gid, coalesce(e.data_source, g.data_source, o.source), {CATEGORY.re
 FROM obs o LEFT JOIN catalog e ON e.dataset = o.dataset AND e.variable = o.variable LEFT JOIN catalog g ON g.dataset IS NULL AND g.variable = o.variable WHERE o.admin_level = 0""")
 def m14(spark, d):
     v = views.eav_view(t.observations(spark, d), t.catalog(spark, d), t.events(spark, d))
-    rounded = {c: F.round(c, 2) for c in _MONEY} | {"selected_value": F.round("selected_value", 4)}
+    rounded = {c: F.round(c, 4) for c in _MONEY} | {"selected_value": F.round("selected_value", 4)}
     return v.withColumns(rounded)
 
 
