@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions.geo import bounding_box, cell_area, geometry_problem, ring_area2
 from atlasweave.functions.numbers import normalized_difference
+from atlasweave.session import sized_broadcast
 
 # Shares below this are rounding noise of an edge that only touches a cell.
 _MIN_SHARE = 1e-9
@@ -242,6 +243,7 @@ def zonal_statistics(
     cov: DataFrame,
     missing: str = "box",
     legacy_null_weight: bool = False,
+    broadcast_cells: int = 500_000,
 ) -> DataFrame:
     """Weighted mean, plain sum/min/max and missing share per unit, date, variable.
 
@@ -251,9 +253,14 @@ def zonal_statistics(
     without any value on a date still gets a row: null statistics, 100 missing.
     ``missing`` relates absent cells to the enclosing ``box`` or to the
     ``covered`` cells.
+
+    A coverage table of up to ``broadcast_cells`` rows (counted) is sent to every
+    task: the cells are then read once, weighed and pre-aggregated in place, and
+    only partial sums are shuffled. Larger ones join by cell index; tables
+    bucketed by it (``sinks.write_bucketed``) join without moving the cells.
     """
     joined = cells.select(*_CELL, "date", "variable", "value").join(
-        cov.select(*_CELL, "gid", "admin_level", "weight"), _CELL
+        sized_broadcast(cov.select(*_CELL, "gid", "admin_level", "weight"), broadcast_cells), _CELL
     )
     v, w = F.col("value"), F.col("weight")
     weigh = w if legacy_null_weight else F.when(v.isNotNull(), w)
@@ -285,7 +292,9 @@ def band_index_cells(bands: DataFrame, variable: str, unit: str = "unitless") ->
     )
 
 
-def class_histogram(cells: DataFrame, cov: DataFrame, flags: DataFrame) -> DataFrame:
+def class_histogram(
+    cells: DataFrame, cov: DataFrame, flags: DataFrame, broadcast_cells: int = 500_000
+) -> DataFrame:
     """Per unit, date and class: cell count and share of the valid cells.
 
     Null cells do not count; a unit and date without valid cells has no row. A
@@ -295,7 +304,7 @@ def class_histogram(cells: DataFrame, cov: DataFrame, flags: DataFrame) -> DataF
     counted = (
         cells.where(F.col("value").isNotNull())
         .select(*_CELL, "date", F.col("value").cast("int").alias("class_id"))
-        .join(cov.select(*_CELL, "gid", "admin_level"), _CELL)
+        .join(sized_broadcast(cov.select(*_CELL, "gid", "admin_level"), broadcast_cells), _CELL)
         .groupBy("gid", "admin_level", "date", "class_id")
         .agg(F.count(F.lit(1)).alias("n_cells"))
     )

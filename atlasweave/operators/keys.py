@@ -36,6 +36,16 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(pick).select(*keys, "_row.*").select(*df.columns)
 
 
+def _known_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The incoming keys that exist already.
+
+    Semi-joining the key columns of the large table with the incoming keys lets
+    the optimizer broadcast the incoming side when it is small, so loading a
+    small batch does not shuffle the table.
+    """
+    return existing.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
+
+
 def insert_ignore(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
@@ -45,8 +55,8 @@ def insert_ignore(
     """
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     keyed = keep_first(incoming.where(~has_null), keys, order)
-    new = keyed.join(existing.select(*keys), list(keys), "left_anti").select(*incoming.columns)
-    return new.unionByName(incoming.where(has_null))
+    new = keyed.join(_known_keys(existing, keyed, keys), list(keys), "left_anti")
+    return new.select(*incoming.columns).unionByName(incoming.where(has_null))
 
 
 def upsert(
@@ -56,27 +66,31 @@ def upsert(
     replaced: Sequence[str],
     order: Sequence[str],
 ) -> DataFrame:
-    """``existing`` after loading ``incoming``: the last incoming row wins per key.
+    """``existing`` (unique, non-null keys) after loading ``incoming``.
 
-    Only the ``replaced`` columns change on a conflict; the other columns keep
-    the value of the row that created the key. ``order`` names columns of
-    ``incoming`` that fix the load order. One union and one aggregation.
+    The last incoming row wins per key. Only the ``replaced`` columns change on a
+    conflict; the other columns keep the value of the row that created the key.
+    ``order`` names columns of ``incoming`` that fix the load order. The batch is
+    reduced to one row per key first; both joins can then broadcast it.
     """
     others = [c for c in existing.columns if c not in set(keys) | set(replaced)]
-    old = existing.select("*", F.struct(F.lit(0).alias("_gen"), *[
-        F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order
-    ]).alias("_ord"))
-    new = incoming.select(
-        *[F.col(c) for c in existing.columns],
-        F.struct(F.lit(1).alias("_gen"), *[F.col(c) for c in order]).alias("_ord"),
-    )
-    both = old.unionByName(new)
-    aggs = [F.max_by(F.struct(*replaced), F.col("_ord")).alias("_new")]
-    cols = [F.col(k) for k in keys] + [F.col("_new")[c].alias(c) for c in replaced]
+    by = _order_struct(order)
+    aggs = [F.max_by(F.struct(*replaced), by).alias("_new")]
     if others:
-        aggs.append(F.min_by(F.struct(*others), F.col("_ord")).alias("_kept"))
-        cols += [F.col("_kept")[c].alias(c) for c in others]
-    return both.groupBy(*keys).agg(*aggs).select(*cols).select(*existing.columns)
+        aggs.append(F.min_by(F.struct(*others), by).alias("_first"))
+    batch = incoming.groupBy(*keys).agg(*aggs)
+    hit = F.col("_new").isNotNull()
+    changed = existing.join(batch.select(*keys, "_new"), list(keys), "left").select(
+        *keys,
+        *[F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in replaced],
+        *others,
+    )
+    added = batch.join(_known_keys(existing, batch, keys), list(keys), "left_anti").select(
+        *keys,
+        *[F.col("_new")[c].alias(c) for c in replaced],
+        *[F.col("_first")[c].alias(c) for c in others],
+    )
+    return changed.unionByName(added).select(*existing.columns)
 
 
 def hash_id(columns: Sequence[str], bits: int = 60) -> Column:
@@ -85,34 +99,21 @@ def hash_id(columns: Sequence[str], bits: int = 60) -> Column:
     return F.conv(F.substring(digest, 1, bits // 4), 16, 10).cast("bigint")
 
 
-def dense_id(df: DataFrame, key: str, name: str = "id", slices: int = 256) -> DataFrame:
-    """Number the rows 1..n in the order of a unique numeric ``key``, in parallel.
+def dense_id(df: DataFrame, key: str, name: str = "id", digits: int = 4) -> DataFrame:
+    """Number the rows 1..n without gaps, in parallel and repeatably.
 
-    A global ``row_number`` would sort everything in one task. Here the key
-    range is cut at ``slices`` approximate quantiles (one bounded row, read to
-    the driver so that both uses below see the same cuts); rows are numbered
-    inside their slice and shifted by the number of rows in earlier slices. The
-    cuts only balance the work: the result does not depend on them.
+    A global ``row_number`` would sort everything in one task. Rows are spread
+    evenly over ``16 ** digits`` buckets by the hash of a unique ``key``, numbered
+    inside their bucket by ``key``, and shifted by the size of earlier buckets.
     """
-    probs = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(F.col(key), probs, 10000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    sliced = df.withColumn("_slice", F.size(F.filter(edges, lambda e: e < F.col(key))))
-    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select(
-        "_slice",
-        # at most `slices` rows reach this window
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_before"),
-    )
+    spread = df.withColumn("_slice", F.substring(F.sha2(F.col(key).cast("string"), 256), 1, digits))
+    sizes = spread.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per bucket reaches this window, however many rows are numbered
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_slice").orderBy(key))
     return (
-        sliced.withColumn("_rn", within)
+        spread.withColumn("_rn", within)
         .join(before, "_slice")
         .withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
         .drop("_slice", "_rn", "_before")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlasweave.functions.text import NameRule, normalize_name
+from atlasweave.session import sized_broadcast
 
 
 def gazetteer(units: DataFrame, rule: NameRule = normalize_name) -> DataFrame:
@@ -69,50 +70,73 @@ def match_rate(matched: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def alias_table(mapping: DataFrame, level: int) -> DataFrame:
-    """(iso3, alias) -> main name of the first mapping row that lists the alias.
+def alias_table(mapping: DataFrame, levels: Sequence[int] = (1, 2)) -> DataFrame:
+    """(level, iso3, alias) -> main name of the first mapping row that lists the alias.
 
     ``mapping`` has ``iso3, seq, main{level}, alt{level}, local{level}``; alt and
     local are pipe lists.
     """
-    main, alt, local = (F.col(f"{p}{level}") for p in ("main", "alt", "local"))
     empty = F.array().cast("array<string>")
-    aliases = F.concat(
-        F.array(main),
-        F.coalesce(F.split(alt, r"\|"), empty),
-        F.coalesce(F.split(local, r"\|"), empty),
-    )
+
+    def names_of(level: int) -> Column:
+        main, alt, local = (F.col(f"{p}{level}") for p in ("main", "alt", "local"))
+        every = F.concat(
+            F.array(main), F.coalesce(F.split(alt, r"\|"), empty), F.coalesce(F.split(local, r"\|"), empty)
+        )
+        return F.struct(F.lit(level).alias("level"), main.alias("main"), F.array_distinct(every).alias("aliases"))
+
     return (
-        mapping.select("iso3", "seq", main.alias("main"), F.explode(F.array_distinct(aliases)).alias("alias"))
+        mapping.select("iso3", "seq", F.explode(F.array(*[names_of(n) for n in levels])).alias("m"))
+        .select("iso3", "seq", "m.level", "m.main", F.explode("m.aliases").alias("alias"))
         .where(F.col("alias").isNotNull())
-        .groupBy("iso3", "alias")
+        .groupBy("level", "iso3", "alias")
         .agg(F.min_by("main", "seq").alias("main"))
     )
 
 
+def _at_level(level: int):
+    return lambda item: item["level"] == level
+
+
 def alias_lookup(
-    df: DataFrame, mapping: DataFrame, row_id: str, iso3: str, names: str, level: int
+    df: DataFrame, mapping: DataFrame, row_id: str, iso3: str, columns: Mapping[int, str]
 ) -> DataFrame:
-    """Rewrite each name of an array to its main name; unknown names stay.
+    """Rewrite each name of the array columns to its main name; unknown names stay.
 
-    Only the id, the country and the array take part in the exploded join; the
-    order of the array is kept.
+    ``columns``: level -> array column. Only the id, the country and the names
+    take part in the exploded join, all levels in one pass; array order is kept.
     """
-    table = alias_table(mapping, level).withColumnRenamed("iso3", "_iso")
-    items = df.select(row_id, F.col(iso3).alias("_c"), F.posexplode(names).alias("_pos", "_name"))
+    table = alias_table(mapping, list(columns)).withColumnsRenamed({"iso3": "_iso", "level": "_lv"})
+    empty = F.array().cast("array<string>")
+
+    def items_of(level: int, column: str) -> Column:
+        return F.transform(
+            F.coalesce(F.col(column), empty),
+            lambda name, at: F.struct(F.lit(level).alias("level"), at.alias("at"), name.alias("name")),
+        )
+
+    listed = F.concat(*[items_of(level, column) for level, column in columns.items()])
+    items = df.select(row_id, F.col(iso3).alias("_c"), F.explode(listed).alias("i")).select(row_id, "_c", "i.*")
+    hit = (F.col("_c") == F.col("_iso")) & (F.col("level") == F.col("_lv")) & (F.col("name") == F.col("alias"))
     renamed = (
-        items.join(table, (F.col("_c") == F.col("_iso")) & (F.col("_name") == F.col("alias")), "left")
-        .select(row_id, "_pos", F.coalesce("main", "_name").alias("_name"))
+        items.join(table, hit, "left")
         .groupBy(row_id)
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_name"))).alias("_items"))
-        .select(row_id, F.transform("_items", lambda s: s["_name"]).alias("_renamed"))
-    )
-    return (
-        df.join(renamed, row_id, "left")
-        .withColumn(names, F.coalesce("_renamed", names))
-        .drop("_renamed")
-        .select(*df.columns)
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("level", "at", F.coalesce("main", "name").alias("name")))
+            ).alias("_items")
+        )
     )
+    rewritten = {
+        column: F.coalesce(
+            F.transform(
+                F.filter("_items", _at_level(level)), lambda s: s["name"]
+            ),
+            column,
+        )
+        for level, column in columns.items()
+    }
+    return df.join(renamed, row_id, "left").withColumns(rewritten).select(*df.columns)
 
 
 def contains_lookup(found: DataFrame, mapping: DataFrame, level: int) -> DataFrame:
@@ -189,7 +213,7 @@ def _runs(text: Column) -> Column:
 
 
 def scan_names(
-    texts: DataFrame, names: DataFrame, row_id: str, iso3: str, text: str
+    texts: DataFrame, names: DataFrame, row_id: str, iso3: str, text: str, broadcast_names: int = 300_000
 ) -> DataFrame:
     """All gazetteer names of a text's country found in it as whole words.
 
@@ -197,7 +221,10 @@ def scan_names(
     first, ignoring case: from the left, the longest name that starts there wins
     and the search goes on behind it. Built as an equi join: the text is cut into
     phrases of as many runs as names have, joined on (country, phrase), and the
-    overlapping hits of a text are thinned from left to right.
+    overlapping hits of a text are thinned from left to right. A gazetteer of up to
+    ``broadcast_names`` phrases (counted) goes to every task, so that phrases are
+    looked up where they are cut and only hits are shuffled; a larger one is
+    joined by shuffling the phrases.
 
     -> (row_id, iso3, name, level), one row per name entry that was found.
     """
@@ -233,7 +260,7 @@ def scan_names(
         .select(row_id, "_c", "p.at", "p.n", "p.phrase")
     )
     hits = phrases.join(
-        entries.withColumnRenamed("phrase", "_phrase"),
+        sized_broadcast(entries.withColumnRenamed("phrase", "_phrase"), broadcast_names),
         (F.col("_c") == F.col("_iso")) & (F.col("phrase") == F.col("_phrase")),
     ).select(
         row_id, "_c",
@@ -310,14 +337,17 @@ def resolve_by_evidence(
 def attach_units(places: DataFrame, units: DataFrame, iso3: str, level: str, name: str) -> DataFrame:
     """Inner join of place rows to units on (level, name) and country.
 
-    A place row without a country matches units of any country. The wildcard
-    would make the condition a nested loop, so it is two equi joins instead.
+    A place row without a country matches units of any country. Each unit is
+    therefore listed under its country and under a wildcard, and a place row
+    looks up one of the two: a single equi join instead of an OR condition.
     """
-    u = units.select(
+    rest = [c for c in units.columns if c not in ("admin_level", "name", "iso3")]
+    listed = units.select(
         F.col("admin_level").alias("_level"), F.col("name").alias("_name"),
-        F.col("iso3").alias("_iso"), "gid", *[c for c in units.columns if c not in ("admin_level", "name", "iso3", "gid")],
+        F.explode(F.array(F.col("iso3"), F.lit("*"))).alias("_iso"), *rest,
     )
-    same = (F.col(level) == F.col("_level")) & (F.col(name) == F.col("_name"))
-    known = places.where(F.col(iso3).isNotNull()).join(u, same & (F.col(iso3) == F.col("_iso")))
-    unknown = places.where(F.col(iso3).isNull()).join(u, same)
-    return known.unionByName(unknown).drop("_level", "_name", "_iso")
+    return places.join(
+        listed,
+        (F.col(level) == F.col("_level")) & (F.col(name) == F.col("_name"))
+        & (F.coalesce(F.col(iso3), F.lit("*")) == F.col("_iso")),
+    ).drop("_level", "_name", "_iso")

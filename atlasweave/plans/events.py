@@ -120,8 +120,7 @@ def clean_events_a(raw: DataFrame, mapping: DataFrame) -> DataFrame:
         )
         .drop("_iso", "_main0", "_plain")
     )
-    for level in (1, 2):
-        named = alias_lookup(named, mapping, "event_id", "iso3_code", f"admin_level_{level}", level)
+    named = alias_lookup(named, mapping, "event_id", "iso3_code", {1: "admin_level_1", 2: "admin_level_2"})
     label = event_label(
         F.col("iso3_code"), F.col("disaster_type"), F.col("disaster_subtype"), F.col("start_date"),
         [F.lit(SOURCE_A), F.col("event_id")],

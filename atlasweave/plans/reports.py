@@ -12,6 +12,7 @@ from atlasweave.functions.text import nonempty
 from atlasweave.operators.codes import code_pair_counts, code_semi, shared_code_countries
 from atlasweave.operators.keys import top_k
 from atlasweave.operators.summaries import completeness, exact_quantiles
+from atlasweave.session import scratch_path
 from atlasweave.schemas import GRID_DATASETS, NAMED_DATASETS, TableRules
 
 # --- fixed values: columns of the completeness report ---------------------------
@@ -48,9 +49,14 @@ def event_matching(a: DataFrame, b: DataFrame, merged: DataFrame) -> DataFrame:
         )
     )
     matched = code_semi(b, a, "event_id", "glide").agg(F.countDistinct("event_name").alias("b_matched"))
-    sizes = b.agg(total.alias("n"))
+    # the two single rows are stacked and added up rather than joined
+    both = matched.select("b_matched", F.lit(0).cast("bigint").alias("n")).unionByName(
+        b.agg(total.alias("n")).select(F.lit(0).cast("bigint").alias("b_matched"), "n")
+    )
     part_match = melt(
-        matched.join(sizes).select("b_matched", (F.col("n") - F.col("b_matched")).alias("b_unmatched"))
+        both.agg(
+            F.sum("b_matched").alias("b_matched"), (F.sum("n") - F.sum("b_matched")).alias("b_unmatched")
+        )
     )
     part_merged = melt(merged.agg(total.alias("total_merged")))
     by_source = merged.groupBy("source").agg(total.cast("double").alias("value")).select(
@@ -290,8 +296,8 @@ def parent_violations(units: DataFrame) -> DataFrame:
 def run_sections(spark: SparkSession, sections: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
     """All report sections as (section, line, error) rows; a failing one is one error row.
 
-    Each section is executed on its own and reduced to JSON lines; a failure in
-    planning or running it is isolated. Reports are small by construction.
+    Each section runs once, on its own, and its lines are kept in the scratch
+    folder; a failure in planning or running it is isolated.
     """
     parts = []
     for name, build in sections.items():
@@ -301,8 +307,9 @@ def run_sections(spark: SparkSession, sections: Mapping[str, Callable[[], DataFr
                 F.lit(name).alias("section"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("line"),
                 F.lit(None).cast("string").alias("error"),
             )
-            lines.write.format("noop").mode("overwrite").save()
-            parts.append(lines)
+            path = scratch_path(spark, f"report-{name}")
+            lines.write.parquet(path)
+            parts.append(spark.read.schema(lines.schema).parquet(path))
         except Exception as problem:  # noqa: BLE001 - any failure becomes a row
             parts.append(
                 spark.range(1).select(

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on. All are runtime settings, so they also apply to
 # a session that somebody else created.
@@ -59,3 +60,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`scratch_root`; nothing is ever overwritten."""
     return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast of ``df`` only after counting that it is small enough.
+
+    The count stops at ``max_rows + 1`` rows. Beyond the limit the plan is left
+    alone and the join shuffles both sides. Meant for lookup sides (gazetteer,
+    coverage) that meet a far larger table, where shuffling the large side is
+    what has to be avoided.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.operators.keys import insert_ignore, upsert
+from atlasweave.operators.keys import insert_ignore, keep_last
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -21,18 +21,13 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def write_monthly(df: DataFrame, date: str, path: str) -> None:
     """One folder per year and month.
 
-    Rows are clustered by month before the write so that a month is a handful
-    of files rather than one per task; ``maxRecordsPerFile`` and the extra hash
-    keep a heavy month parallel.
+    ``rebalance`` clusters rows by month so that a month is a few files, and
+    lets adaptive execution cut a heavy month into several tasks.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(8))
     (
         df.withColumns({"year": F.year(date), "month": F.month(date)})
-        .withColumn("_spread", spread)
-        .repartition("year", "month", "_spread")
-        .drop("_spread")
+        .hint("rebalance", "year", "month")
         .write.mode("errorifexists")
-        .option("maxRecordsPerFile", 5_000_000)
         .partitionBy("year", "month")
         .parquet(path)
     )
@@ -61,25 +56,6 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     writer.saveAsTable(table)
 
 
-def load_upsert(
-    spark: SparkSession, target: str, incoming: DataFrame, keys: Sequence[str], replaced: Sequence[str],
-    order: Sequence[str], version: str,
-) -> str:
-    """Upsert into a versioned folder table; returns the folder of the new version.
-
-    Plain files have no in-place merge and a job must not overwrite what it
-    reads, so every load writes ``{target}/{version}``.
-    """
-    latest = latest_version(spark, target)
-    existing = spark.read.parquet(latest) if latest else incoming.select(
-        *[c for c in incoming.columns if c not in set(order) - set(keys) - set(replaced)]
-    ).where(F.lit(False))
-    merged = upsert(existing, incoming, keys, replaced, order)
-    out = f"{target}/{version}"
-    merged.write.mode("errorifexists").parquet(out)
-    return out
-
-
 def load_insert_ignore(
     spark: SparkSession, target: str, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> None:
@@ -88,16 +64,20 @@ def load_insert_ignore(
     new.write.mode("append").parquet(target)
 
 
-def latest_version(spark: SparkSession, target: str) -> str | None:
-    """The newest finished version folder (one with a ``_SUCCESS`` mark), if any."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    done = [
-        s.getPath().toString()
-        for s in fs.listStatus(path)
-        if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-    ]
-    return max(done) if done else None
+def write_batch(df: DataFrame, target: str, batch: int, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Log one upsert batch in its own folder, reduced to its last row per key.
+
+    Plain files have no in-place merge. A batch costs what it holds, not what the
+    table holds, and writing it again replaces it by the same rows.
+    """
+    keep_last(df, keys, order).write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+
+def current_rows(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The upserted table: the row of the latest batch (then ``order``) per key."""
+    return keep_last(spark.read.parquet(target), keys, ["batch", *order]).drop("batch")
+
+
+def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str], out: str) -> None:
+    """Write the current rows as a new log whose only batch is number 0."""
+    current_rows(spark, target, keys, order).write.mode("errorifexists").parquet(f"{out}/batch=0")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from atlasweave.operators.keys import keep_last
+from atlasweave.sources.sinks import write_batch
 
 MANIFEST = T.StructType(
     [
@@ -78,12 +78,11 @@ def upsert_stream(
     A batch costs what it holds, not what the table holds: its rows are reduced
     to one per key and written to their own ``batch`` folder. A batch replayed
     after a failure overwrites the same folder with the same rows, so loading is
-    idempotent. :func:`current_rows` reads the table.
+    idempotent. ``sinks.current_rows`` reads the table.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        newest = keep_last(prepare(batch), keys, order)
-        newest.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        write_batch(prepare(batch), target, batch_id, keys, order)
         mark_done(batch, level).write.mode("overwrite").parquet(f"{target}_manifest/batch={batch_id}")
 
     run_to_end(
@@ -92,16 +91,6 @@ def upsert_stream(
     )
 
 
-def current_rows(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The upserted table: the row of the latest batch (then ``order``) per key."""
-    return keep_last(spark.read.parquet(target), keys, ["batch", *order]).drop("batch")
-
-
-def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str], out: str) -> None:
-    """Write the current rows as one new log whose only batch is number 0."""
-    current_rows(spark, target, keys, order).write.mode("errorifexists").parquet(f"{out}/batch=0")
-
-
 def daily_stream(stream: DataFrame, keys: Sequence[str], lateness: str = "1 day") -> DataFrame:
     """Daily aggregates of arriving cells; a day is emitted when the watermark passes it."""
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlasweave.operators import grids, resample
+from atlasweave.plans import zonal
 from atlasweave.session import scratch_path
 from atlasweave.sources import sinks
 from atlasweave.workloads import query
@@ -35,10 +36,14 @@ zonal AS (SELECT e.gid, e.admin_level, d.date, d.variable, d.unit, s AS "sum", m
   FROM ext e CROSS JOIN dates d LEFT JOIN stats s ON s.gid = e.gid AND s.date = d.date AND s.variable = d.variable)"""
 
 
+def stored(spark, d):
+    return zonal.stored_coverage(spark, t.shaped_units(spark, d), t.GRID)
+
+
 @query("z3_zonal_mean", with_("coverage", "cells") + _zonal_sql("daily", "cell_area", "box") + """
 SELECT gid, admin_level, date, variable, unit, round(mean, 6) AS mean, round("min", 6) AS min, round("max", 6) AS max FROM zonal""")
 def z3(spark, d):
-    cov = grids.touched_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.touched(stored(spark, d))
     z = grids.zonal_statistics(t.daily_cells(spark, d), cov)
     return z.select("gid", "admin_level", "date", "variable", "unit", *[F.round(c, 6).alias(c) for c in ("mean", "min", "max")])
 
@@ -46,7 +51,7 @@ def z3(spark, d):
 @query("z3_zonal_mean_fractional", with_("coverage", "cells") + _zonal_sql("daily", "cell_area * fraction", "covered") + """
 SELECT gid, admin_level, date, variable, round(mean, 6) AS mean, missing_value_percentage FROM zonal""")
 def z3_fraction(spark, d):
-    cov = grids.weighted_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.weighted(stored(spark, d))
     z = grids.zonal_statistics(t.daily_cells(spark, d), cov, missing="covered")
     return z.select("gid", "admin_level", "date", "variable", F.round("mean", 6).alias("mean"), "missing_value_percentage")
 
@@ -54,7 +59,7 @@ def z3_fraction(spark, d):
 @query("z4_zonal_sum_min_max", with_("coverage", "cells") + _zonal_sql("daily", "cell_area", "box") + """
 SELECT gid, date, variable, round("sum", 4) AS sum, round("min", 4) AS min, round("max", 4) AS max FROM zonal WHERE "sum" IS NOT NULL""")
 def z4(spark, d):
-    cov = grids.touched_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.touched(stored(spark, d))
     z = grids.zonal_statistics(t.daily_cells(spark, d), cov).where(F.col("sum").isNotNull())
     return z.select("gid", "date", "variable", *[F.round(c, 4).alias(c) for c in ("sum", "min", "max")])
 
@@ -62,14 +67,14 @@ def z4(spark, d):
 @query("z5_missing_pct", with_("coverage", "cells") + _zonal_sql("daily", "cell_area", "box") + """
 SELECT gid, date, variable, missing_value_percentage, mean IS NULL AS empty FROM zonal""")
 def z5(spark, d):
-    cov = grids.touched_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.touched(stored(spark, d))
     z = grids.zonal_statistics(t.daily_cells(spark, d), cov)
     return z.select("gid", "date", "variable", "missing_value_percentage", F.col("mean").isNull().alias("empty"))
 
 
 @query("z6_class_histogram", with_("classes") + "SELECT gid, date, variable, n_cells, round(percentage, 4) AS percentage FROM histogram")
 def z6(spark, d):
-    cov = grids.touched_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.touched(stored(spark, d))
     h = grids.class_histogram(t.class_cells(spark, d), cov, t.class_flags(spark, d))
     return h.select("gid", "date", "variable", "n_cells", F.round("percentage", 4).alias("percentage"))
 
@@ -77,7 +82,7 @@ def z6(spark, d):
 @query("z7_class_json", with_("classes") + """
 SELECT gid, date, count(*) AS n_classes, string_agg(variable || ':' || n_cells, ',' ORDER BY n_cells DESC, variable) AS classes FROM histogram GROUP BY ALL""")
 def z7(spark, d):
-    cov = grids.touched_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.touched(stored(spark, d))
     packed = grids.class_json(grids.class_histogram(t.class_cells(spark, d), cov, t.class_flags(spark, d)))
     back = F.from_json("metadata", "array<struct<class:string,count:bigint,percentage:double>>")
     return packed.select("gid", "date", back.alias("m")).select(
@@ -88,7 +93,7 @@ def z7(spark, d):
 @query("z8_band_zonal", with_("coverage", "bands") + _zonal_sql("band_cells", "cell_area", "covered") + """
 SELECT gid, date, round(mean, 6) AS mean, round("min", 6) AS min, round("max", 6) AS max FROM zonal""")
 def z8(spark, d):
-    cov = grids.touched_cells(t.shaped_units(spark, d), t.GRID)
+    cov = zonal.touched(stored(spark, d))
     z = grids.zonal_statistics(grids.band_index_cells(t.bands(spark, d), "NDVI"), cov, missing="covered")
     return z.select("gid", "date", *[F.round(c, 6).alias(c) for c in ("mean", "min", "max")])
 

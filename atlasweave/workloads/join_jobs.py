@@ -149,7 +149,7 @@ def j12(spark, d):
     src = t.order_places(spark, d).select(
         F.col("o_orderkey").alias("event_id"), t.country_code("n_nationkey", SPECIAL_CODES).alias("iso"),
         F.array(low, F.lit("Elsewhere"), F.concat(F.lit("Old "), low, F.lit(" town"))).alias("names"))
-    out = places.alias_lookup(src, t.place_mapping(spark, d), "event_id", "iso", "names", 2)
+    out = places.alias_lookup(src, t.place_mapping(spark, d), "event_id", "iso", {2: "names"})
     return out.select("event_id", F.array_join("names", "|").alias("names"))
 
 

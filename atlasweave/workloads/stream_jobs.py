@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlasweave.session import scratch_path
+from atlasweave.sources import sinks
 from atlasweave.streaming import incremental as inc
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
@@ -42,7 +43,7 @@ def r4(spark, d):
     inc.upsert_stream(
         _event_files(spark, d), target, scratch_path(spark, "upsert-state"), key, order,
         prepare=lambda df: df.select(*key, "value", *order))
-    return inc.current_rows(spark, target, key, order).select(*key, "value", *order)
+    return sinks.current_rows(spark, target, key, order).select(*key, "value", *order)
 
 
 @query("r5_stream_daily", with_("cells") + """

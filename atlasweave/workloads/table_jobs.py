@@ -114,10 +114,10 @@ def w1(spark, d):
 
 
 @query("w3_surrogate_id", """
-SELECT event_id, row_number() OVER (ORDER BY event_id DESC) AS id, CAST('0x' || substr(sha256(event_type || '|' || event_id), 1, 15) AS BIGINT) AS hash_id FROM events""")
+SELECT event_id, row_number() OVER (ORDER BY substr(sha256(event_id::VARCHAR), 1, 4), event_id) AS id, CAST('0x' || substr(sha256(event_type || '|' || event_id), 1, 15) AS BIGINT) AS hash_id FROM events""")
 def w3(spark, d):
-    ev = t.table(spark, d, "events").select("event_id", "event_type", (-F.col("event_id")).alias("k"))
-    return keys.dense_id(ev, "k").select("event_id", "id", keys.hash_id(["event_type", "event_id"]).alias("hash_id"))
+    ev = t.table(spark, d, "events").select("event_id", "event_type")
+    return keys.dense_id(ev, "event_id").select("event_id", "id", keys.hash_id(["event_type", "event_id"]).alias("hash_id"))
 
 
 @query("w6_top_k", with_("ev") + "SELECT iso3_code, disaster_type, count(*) AS n_events FROM ev GROUP BY ALL ORDER BY n_events DESC, iso3_code NULLS FIRST, disaster_type NULLS FIRST LIMIT 10")
