@@ -164,12 +164,21 @@ def parse_units(col: Column) -> Column:
         col, "array<struct<adm1_name:string,adm2_name:string>>", {"allowSingleQuotes": "true"}
     )
     empty = F.array().cast("array<string>")
-    first = F.transform(F.filter(items, lambda i: i["adm1_name"].isNotNull()), lambda i: i["adm1_name"])
-    second = F.transform(
-        F.filter(items, lambda i: i["adm1_name"].isNull() & i["adm2_name"].isNotNull()),
+    first = lambda of: F.transform(
+        F.filter(of, lambda i: i["adm1_name"].isNotNull()), lambda i: i["adm1_name"]
+    )
+    second = lambda of: F.transform(
+        F.filter(of, lambda i: i["adm1_name"].isNull() & i["adm2_name"].isNotNull()),
         lambda i: i["adm2_name"],
     )
-    return F.struct(F.coalesce(first, empty).alias("admin1"), F.coalesce(second, empty).alias("admin2"))
+    # one-element transform: the text is parsed once for both lists
+    both = F.transform(
+        F.array(items),
+        lambda of: F.struct(
+            F.coalesce(first(of), empty).alias("admin1"), F.coalesce(second(of), empty).alias("admin2")
+        ),
+    )
+    return both[0]
 
 
 def event_label(

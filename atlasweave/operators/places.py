@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlasweave.functions.text import NameRule, normalize_name
-from atlasweave.session import sized_broadcast
+from atlasweave.session import at_most
 
 
 def gazetteer(units: DataFrame, rule: NameRule = normalize_name) -> DataFrame:
@@ -201,11 +201,11 @@ def name_sets(mapping: DataFrame) -> DataFrame:
     )
 
 
-# A text is a row of runs: word characters and everything between them. Word
-# boundaries lie exactly between two runs (and at a text end next to a word), so
-# "name as a whole word or phrase" means "a sequence of whole runs".
-_RUNS = r"(?U)\w+|\W+"
-_WORD = r"(?U)^\w"
+# A text alternates between runs of word characters and runs of everything else.
+# Word boundaries lie exactly between two runs (and at a text end next to a
+# word), so "name as a whole word or phrase" means "a sequence of whole runs".
+_RUNS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
+_WORD = r"^[\p{L}\p{N}_]"
 
 
 def _runs(text: Column) -> Column:
@@ -228,23 +228,27 @@ def scan_names(
 
     -> (row_id, iso3, name, level), one row per name entry that was found.
     """
-    entries = (
-        names.where(F.col("name") != "")
-        .groupBy(F.col("iso3").alias("_iso"), F.lower("name").alias("phrase"))
-        .agg(F.sort_array(F.collect_set(F.struct("level", "name"))).alias("entries"))
+    listed = names.where(F.col("name") != "").select(
+        F.col("iso3").alias("_iso"), F.lower("name").alias("_phrase"), "level", "name"
     )
-    # how many runs names have, per country: a handful of small numbers
+    lookup = F.broadcast if at_most(listed, broadcast_names) else lambda df: df
+    known = lookup(listed.select("_iso", "_phrase").distinct())
+    same = (F.col("_c") == F.col("_iso")) & (F.col("phrase") == F.col("_phrase"))
+    # per country: how many runs its names have (a handful of small numbers), and
+    # the distance between places where a name can start: runs alternate, so it
+    # is every second one unless some name starts with a non-word character
     sizes = names.groupBy(F.col("iso3").alias("_iso")).agg(
-        F.sort_array(F.collect_set(F.size(_runs(F.lower("name"))))).alias("sizes")
+        F.sort_array(F.collect_set(F.size(_runs(F.lower("name"))))).alias("sizes"),
+        F.when(F.bool_and(F.col("name").rlike(_WORD)), 2).otherwise(1).alias("step"),
     )
     runs, total = F.col("runs"), F.size(F.col("runs"))
+    # a text end is a word boundary only next to a word, so a first or last run
+    # of other characters cannot be part of a phrase
+    first = F.when(F.get(runs, F.lit(0)).rlike(_WORD), 1).otherwise(2)
+    last = F.when(F.get(runs, total - 1).rlike(_WORD), total).otherwise(total - 1)
 
     def of_size(n: Column) -> Column:
-        # a text end is a word boundary only next to a word, so an unwordly
-        # first or last run cannot be part of a phrase
-        first = F.when(F.element_at(runs, 1).rlike(_WORD), F.lit(1)).otherwise(F.lit(2))
-        last = F.when(F.element_at(runs, -1).rlike(_WORD), total).otherwise(total - 1)
-        starts = F.when(last - n + 1 >= first, F.sequence(first, last - n + 1))
+        starts = F.when(F.col("last") - n + 1 >= F.col("first"), F.sequence("first", F.col("last") - n + 1, F.col("step")))
         return F.transform(
             F.coalesce(starts, F.array().cast("array<int>")),
             lambda i: F.struct(
@@ -254,40 +258,39 @@ def scan_names(
 
     phrases = (
         texts.select(F.col(row_id), F.col(iso3).alias("_c"), _runs(F.lower(text)).alias("runs"))
-        .where(total > 0)
+        .withColumns({"first": first, "last": last})
         .join(sizes, F.col("_c") == F.col("_iso"))
         .select(row_id, "_c", F.explode(F.flatten(F.transform("sizes", of_size))).alias("p"))
         .select(row_id, "_c", "p.at", "p.n", "p.phrase")
     )
-    hits = phrases.join(
-        sized_broadcast(entries.withColumnRenamed("phrase", "_phrase"), broadcast_names),
-        (F.col("_c") == F.col("_iso")) & (F.col("phrase") == F.col("_phrase")),
-    ).select(
-        row_id, "_c",
-        F.struct(
-            F.col("at"), (-F.col("n")).alias("neg_n"), F.col("entries")
-        ).alias("hit"),
+    hits = phrases.join(known, same, "left_semi")
+    # Cut the hits of a text into groups that overlap; between groups nothing has
+    # to be decided. All of this happens after one exchange on the text's id.
+    along = Window.partitionBy(row_id).orderBy("at", F.col("n").desc())
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    grouped = (
+        hits.withColumn("_reach", F.max(F.col("at") + F.col("n") - 1).over(earlier))
+        .withColumn("_new", F.when(F.col("at") <= F.col("_reach"), 0).otherwise(1))
+        .withColumn("_group", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(row_id, "_c", "_group")
+        .agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("neg_n"), "phrase"))).alias("hits"))
     )
-    # The hits of one text are bounded by its own length; thin them left to right.
-    per_text = hits.groupBy(row_id, "_c").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    # inside a group the leftmost hit wins, the longest of those, then the next behind it
     kept = F.aggregate(
         "hits",
-        F.struct(
-            F.lit(0).alias("upto"),
-            F.array().cast("array<array<struct<level:int,name:string>>>").alias("kept"),
-        ),
+        F.struct(F.lit(0).alias("upto"), F.array().cast("array<string>").alias("kept")),
         lambda acc, h: F.when(
             h["at"] > acc["upto"],
             F.struct(
                 (h["at"] - h["neg_n"] - 1).alias("upto"),
-                F.array_append(acc["kept"], h["entries"]).alias("kept"),
+                F.array_append(acc["kept"], h["phrase"]).alias("kept"),
             ),
         ).otherwise(acc),
-        lambda acc: F.array_distinct(F.flatten(acc["kept"])),
+        lambda acc: acc["kept"],
     )
-    return (
-        per_text.select(row_id, F.col("_c").alias("iso3"), F.explode(kept).alias("e"))
-        .select(row_id, "iso3", F.col("e.name").alias("name"), F.col("e.level").alias("level"))
+    found = grouped.select(row_id, "_c", F.explode(kept).alias("phrase")).distinct()
+    return found.join(lookup(listed), same).select(
+        row_id, F.col("_c").alias("iso3"), "name", "level"
     )
 
 

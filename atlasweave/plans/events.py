@@ -76,10 +76,10 @@ def clean_events_a(raw: DataFrame, mapping: DataFrame) -> DataFrame:
     the place mapping: iso3, seq, main0, alt0, main1, alt1, local1, main2, alt2,
     local2 (alt and local are pipe lists).
     """
-    units = parse_units(_q("Admin Units"))
+    raw = raw.withColumns({"_units": parse_units(_q("Admin Units")), "_codes": typed_codes(_q("External IDs"))})
+    units, codes = F.col("_units"), F.col("_codes")
     start = partial_date(_q("Start Year"), _q("Start Month"), _q("Start Day"))
     end = partial_date(_q("End Year"), _q("End Month"), _q("End Day"))
-    codes = typed_codes(_q("External IDs"))
     remapped = {r.old for r in REMAPS_WITH_PLACES} | {DISSOLVED_COUNTRY}
     base = raw.select(
         "event_id",
@@ -166,8 +166,8 @@ def clean_events_b(raw: DataFrame, mapping: DataFrame, type_map: DataFrame) -> D
     ``type_map``: seq, ``Hazard Type``, ``Hazard Sub Type``, ``Disaster Type``,
     ``Disaster Subtype``.
     """
-    codes = valued_codes(_q("Event Codes (Code:Type)"))
-    base = raw.select(
+    codes = F.col("_codes")
+    base = raw.withColumn("_codes", valued_codes(_q("Event Codes (Code:Type)"))).select(
         "event_id",
         strip(_q("ISO3")).alias("iso3_code"),
         _q("Country / Territory").alias("admin_level_0"),

@@ -49,11 +49,12 @@ def located_indicators(
     National rows carry the country itself at level 0. Each place of a region
     label becomes its own row. ``raw`` needs ``seq``, the load order.
     """
-    places = extractor(F.col("region"))
+    raw = raw.withColumn("_places", extractor(F.col("region")))
+    places = F.col("_places")
     national = F.col("level") == NATIONAL
     listed = F.when(F.coalesce(national, F.lit(False)), F.array(F.col("iso_code"))).otherwise(places)
     rows = raw.select(
-        "*", F.posexplode(listed).alias("_pos", "place"),
+        *[c for c in raw.columns if c != "_places"], F.posexplode(listed).alias("_pos", "place"),
         F.when(~F.coalesce(national, F.lit(False)), extraction_note(F.col("region"), places)).alias("note"),
     )
     matched = match_names(rows, names, "iso_code", "place", rule)

@@ -62,13 +62,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has no more than ``max_rows`` rows; counting stops one beyond."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast of ``df`` only after counting that it is small enough.
 
-    The count stops at ``max_rows + 1`` rows. Beyond the limit the plan is left
-    alone and the join shuffles both sides. Meant for lookup sides (gazetteer,
-    coverage) that meet a far larger table, where shuffling the large side is
-    what has to be avoided.
+    Beyond the limit the plan is left alone and the join shuffles both sides.
+    Meant for lookup sides (gazetteer, coverage) that meet a far larger table,
+    where shuffling the large side is what has to be avoided.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if at_most(df, max_rows) else df

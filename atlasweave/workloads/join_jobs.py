@@ -8,6 +8,7 @@ from atlasweave.operators import codes, places
 from atlasweave.operators.reshape import flatten_levels
 from atlasweave.plans import reports, views
 from atlasweave.plans.events import found_places, place_targets
+from atlasweave.session import scratch_path
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
 from atlasweave.workloads.sql import case_codes, normalize, with_
@@ -185,10 +186,12 @@ names AS (SELECT lang, p FROM phrases UNION SELECT lang, string_split(p, ' ')[2]
 patterns AS (SELECT lang, '\\b(?:' || string_agg(p, '|' ORDER BY length(p) DESC, p) || ')\\b' AS pat FROM names GROUP BY lang)
 SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), pat)) AS name FROM docs JOIN patterns USING (lang)""")
 def j14_documents(spark, d):
-    docs = t.table(spark, d, "documents").select("doc_id", "lang", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("text"))
+    docs = t.spread_table(spark, d, "documents", "doc_id", "lang", "text").select("doc_id", "lang", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("text"))
     phrases = docs.select("lang", F.lower(F.regexp_extract("text", r"([A-Za-z]+ [A-Za-z]+)\.", 1)).alias("p")).where("p <> ''").distinct()
     names = phrases.select("lang", F.explode(F.array("p", F.element_at(F.split("p", " "), 2))).alias("name")).distinct()
-    found = places.scan_names(docs, names.select(F.col("lang").alias("iso3"), F.lit(1).alias("level"), "name"), "doc_id", "lang", "text")
+    path = scratch_path(spark, "names")  # a gazetteer is a table; here it is derived from the texts first
+    names.select(F.col("lang").alias("iso3"), F.lit(1).alias("level"), "name").write.parquet(path)
+    found = places.scan_names(docs, spark.read.parquet(path), "doc_id", "lang", "text")
     return found.select("doc_id", "name")
 
 

@@ -214,7 +214,7 @@ def f8(spark, d):
 @query("f9_normalize_name", f"""
 SELECT doc_id, md5({normalize('text')}) AS normalized, md5({normalize("translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ', 'aaaaaaceeeeiiiinoooooouuuuyy')")}) AS folded FROM documents""")
 def f9(spark, d):
-    return t.table(spark, d, "documents").select(
+    return t.spread_table(spark, d, "documents", "doc_id", "text").select(
         "doc_id", F.md5(text.normalize_name(F.col("text"))).alias("normalized"),
         F.md5(text.normalize_name(F.col("text"), fold_accents=True)).alias("folded"))
 
