@@ -299,19 +299,23 @@ def class_histogram(
 
     Null cells do not count; a unit and date without valid cells has no row. A
     class without a flag is ``Unknown``. -> (gid, admin_level, date, class_id,
-    variable, n_cells, percentage)
+    variable, n_cells, percentage, missing_value_percentage of the enclosing box)
     """
     counted = (
         cells.where(F.col("value").isNotNull())
         .select(*_CELL, "date", F.col("value").cast("int").alias("class_id"))
         .join(sized_broadcast(cov.select(*_CELL, "gid", "admin_level"), broadcast_cells), _CELL)
-        .groupBy("gid", "admin_level", "date", "class_id")
+        .groupBy("grid_id", "gid", "admin_level", "date", "class_id")
         .agg(F.count(F.lit(1)).alias("n_cells"))
     )
     # after the count a unit and date has one row per class
-    total = F.sum("n_cells").over(Window.partitionBy("gid", "admin_level", "date"))
-    named = counted.withColumn("percentage", 100.0 * F.col("n_cells") / total)
-    return label_classes(named, flags)
+    total = F.sum("n_cells").over(Window.partitionBy("grid_id", "gid", "admin_level", "date"))
+    shares = counted.withColumn("_valid", total).join(unit_extents(cov), ["grid_id", "gid", "admin_level"]).select(
+        "gid", "admin_level", "date", "class_id", "n_cells",
+        (100.0 * F.col("n_cells") / F.col("_valid")).alias("percentage"),
+        (100.0 * (F.col("box_cells") - F.col("_valid")) / F.col("box_cells")).alias("missing_value_percentage"),
+    )
+    return label_classes(shares, flags)
 
 
 def label_classes(df: DataFrame, flags: DataFrame) -> DataFrame:

@@ -128,12 +128,10 @@ def alias_lookup(
         )
     )
     rewritten = {
-        column: F.coalesce(
-            F.transform(
-                F.filter("_items", _at_level(level)), lambda s: s["name"]
-            ),
-            column,
-        )
+        column: F.when(
+            F.col("_items").isNotNull() & F.col(column).isNotNull(),
+            F.transform(F.filter("_items", _at_level(level)), lambda s: s["name"]),
+        ).otherwise(F.col(column))
         for level, column in columns.items()
     }
     return df.join(renamed, row_id, "left").withColumns(rewritten).select(*df.columns)

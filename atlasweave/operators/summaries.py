@@ -81,29 +81,31 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     merged = df.where(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("v")).agg(
         F.count(F.lit(1)).alias("c")
     )
-    # everything below a bracket becomes one counted row (null), in the same pass,
-    # so the approximate marks are read exactly once
+    # What lies below or above a bracket becomes one counted row each, in the same
+    # pass, so the approximate marks are read exactly once. Of those two rows only
+    # the value next to the bracket can be asked for.
+    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
     counted = (
         merged.join(brackets, group)
-        .where(F.col("v") <= F.col("hi"))
-        .groupBy(group, "prob", "n", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v"))
-        .agg(F.sum("c").alias("c"))
-    )
-    upto = Window.partitionBy(group, "prob").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.select(
-        group, "prob", "n", "v",
-        F.sum("c").over(upto).alias("last"),
-        (F.sum("c").over(upto) - F.col("c")).alias("before"),
+        .withColumn("side", side)
+        .groupBy(group, "prob", "n", "side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
+        .agg(F.sum("c").alias("c"), F.min("v").alias("first"), F.max("v").alias("final"))
     )
+    upto = Window.partitionBy(group, "prob").orderBy("side", "v")
+    ranked = counted.withColumn("last", F.sum("c").over(upto)).withColumn("before", F.col("last") - F.col("c"))
     position = F.col("prob") * (F.col("n") - 1)
     low, high = F.floor(position), F.ceil(position)
-    hits = lambda p: (F.col("before") <= p) & (p < F.col("last"))
+
+    def at(rank: Column) -> Column:
+        return (
+            F.when((F.col("side") == 0) & (F.col("before") <= rank) & (rank < F.col("last")), F.col("first"))
+            .when((F.col("side") == -1) & (rank == F.col("last") - 1), F.col("final"))
+            .when((F.col("side") == 1) & (rank == F.col("before")), F.col("first"))
+        )
+
     return (
         ranked.groupBy(group, "prob", "n")
-        .agg(
-            F.max(F.when(hits(low), F.col("v"))).alias("a"),
-            F.max(F.when(hits(high), F.col("v"))).alias("b"),
-        )
+        .agg(F.max(at(low)).alias("a"), F.max(at(high)).alias("b"))
         .select(
             group, "prob",
             (F.col("a") + (F.col("b") - F.col("a")) * (position - low)).alias("quantile"),

@@ -52,6 +52,6 @@ def class_observations(histogram: DataFrame, packed: DataFrame, dataset: str = "
     return histogram.join(packed, ["gid", "admin_level", "date"]).select(
         F.lit(dataset).alias("dataset"), "gid", "admin_level", "date", "variable",
         F.col("n_cells").cast("double").alias("sum"), none.alias("mean"), none.alias("min"), none.alias("max"),
-        F.col("percentage").alias("raw_value"), none.alias("missing_value_percentage"),
+        F.col("percentage").alias("raw_value"), "missing_value_percentage",
         F.lit(CLASS_NOTE).alias("note"), F.lit(CLASS_SOURCE).alias("source"), F.lit(CLASS_UNIT).alias("unit"), "metadata",
     )

@@ -72,11 +72,15 @@ def z5(spark, d):
     return z.select("gid", "date", "variable", "missing_value_percentage", F.col("mean").isNull().alias("empty"))
 
 
-@query("z6_class_histogram", with_("classes") + "SELECT gid, date, variable, n_cells, round(percentage, 4) AS percentage FROM histogram")
+@query("z6_class_histogram", with_("classes") + """
+, ext AS (SELECT gid, (max(lat_idx) - min(lat_idx) + 1) * (max(lon_idx) - min(lon_idx) + 1) AS box FROM coverage GROUP BY gid)
+SELECT h.gid, date, variable, n_cells, round(percentage, 4) AS percentage,
+  round(100.0::DOUBLE * (box - sum(n_cells) OVER (PARTITION BY h.gid, date)) / box, 4) AS missing_value_percentage FROM histogram h JOIN ext e ON h.gid = e.gid""")
 def z6(spark, d):
     cov = zonal.touched(stored(spark, d))
     h = grids.class_histogram(t.class_cells(spark, d), cov, t.class_flags(spark, d))
-    return h.select("gid", "date", "variable", "n_cells", F.round("percentage", 4).alias("percentage"))
+    return h.select(
+        "gid", "date", "variable", "n_cells", *[F.round(c, 4).alias(c) for c in ("percentage", "missing_value_percentage")])
 
 
 @query("z7_class_json", with_("classes") + """
