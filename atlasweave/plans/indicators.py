@@ -20,9 +20,19 @@ INDEX_VARIABLES = [
     "healthindexm", "edindexf", "edindexm", "lifexp", "lifexpf", "lifexpm", "lgnic", "pop",
 ]
 WEATHER_VARIABLES = ["surfacetempyear", "relhumidityyear", "totprecipyear"]
+AREA_VARIABLES = [
+    "iwi", "iwipov70", "iwipov50", "iwipov35", "internet", "cellphone", "thtwithin", "thtbetween",
+    "urban", "edyr25", "womedyr25", "menedyr25", "workwom", "wagri", "wwrklow", "wwrkhigh", "hagri",
+    "hwrklow", "hwrkhigh", "agedifmar", "agemarw20", "tfr", "stunting", "haz", "whz", "waz", "bmiz",
+    "dtp3age1", "measlage1", "regpopm", "popshare", "age09", "age1019", "age2029", "age3039",
+    "age4049", "age5059", "age6069", "age7079", "age8089", "age90hi", "hhsize", "popworkage",
+    "popold", "infmort", "u5mort", "pipedwater", "electr",
+]
 INDEX_SCALE = {"pop": 1000.0}
 AREA_SCALE = {"regpopm": 1000000.0}
 INDICATOR_METADATA = ["country", "continent", "iso_code", "level", "GDLCODE", "region", "year"]
+WEATHER_METADATA = ["iso_code", "country", "GDLCODE", "level", "region", "continent", "year"]
+AREA_METADATA = ["iso_code", "ISO2", "iso_num", "country", "year", "datasource", "GDLCODE", "level", "region"]
 NATIONAL = "National"
 
 # --- fixed values: displacement variables -------------------------------------
@@ -68,7 +78,10 @@ def located_indicators(
 
 
 def indicator_observations(
-    located: DataFrame, variables: Sequence[str], scale: Mapping[str, float] | None = None
+    located: DataFrame,
+    variables: Sequence[str],
+    scale: Mapping[str, float] | None = None,
+    metadata: Sequence[str] = tuple(INDICATOR_METADATA),
 ) -> DataFrame:
     """Matched rows -> long observations, the last input row winning per key."""
     scale = scale or {}
@@ -76,7 +89,7 @@ def indicator_observations(
     wide = located.where(F.col("gid").isNotNull()).select(
         "gid", "admin_level", year_to_date(F.col("year")).alias("date"), "note",
         F.col("source_file").alias("source"),
-        pack_json([F.col(c) for c in INDICATOR_METADATA], keep_nulls=True).alias("metadata"),
+        pack_json([F.col(c) for c in metadata], keep_nulls=True).alias("metadata"),
         "seq", "_pos", *[c.alias(v) for v, c in numeric.items()],
     )
     # Pick the winning row per unit and date before the unpivot: all variables of
@@ -88,12 +101,16 @@ def indicator_observations(
 
 
 def load_indicators(
-    raw: DataFrame, names: DataFrame, variables: Sequence[str], scale: Mapping[str, float] | None = None
+    raw: DataFrame,
+    names: DataFrame,
+    variables: Sequence[str],
+    scale: Mapping[str, float] | None = None,
+    metadata: Sequence[str] = tuple(INDICATOR_METADATA),
 ) -> tuple[DataFrame, DataFrame]:
     """(observations, unmatched names) of one kind of indicator files."""
     located = located_indicators(raw, names)
     return (
-        indicator_observations(located, variables, scale),
+        indicator_observations(located, variables, scale, metadata),
         unmatched_names(located, "iso_code", "place", "region"),
     )
 

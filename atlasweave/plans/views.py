@@ -77,6 +77,41 @@ POPULATION_LABELS = {
     "population_density": "WorldPop - Population Density",
 }
 
+BURNT_AREA_LABELS = {"Monthly Burnt Area (Total)": "Monthly Total Burnt Area"}
+SOIL_MOISTURE_LABELS = {"SMrz": "Root-zone Soil Moisture"}
+VEGETATION_LABELS = {"NDVI": "Normalized Difference Vegetation Index"}
+DENSITY_LABELS = {"Population_Weighted_Density_G": "WorldPop - Population Weighted Density - Geometric Mean"}
+
+
+def age_sex_labels() -> dict[str, str]:
+    """Column names of the population variables by sex and age, from their rule.
+
+    18 plain groups (<1, 1-4, then five years each, 80+) and 21 dated ones (five
+    years each, 100+) per sex. Names of dated male columns end in a blank.
+    """
+    labels = {}
+    for code, sex in (("f", "Female"), ("m", "Male")):
+        for start in [0, 1, *range(5, 81, 5)]:
+            span = {0: "<1", 1: "1-4", 80: "80+"}.get(start, f"{start}-{start + 4}")
+            labels[f"population_sex_age_{code}_{start}_count"] = f"Total {sex} Population Age {span}"
+    for code, sex, tail in (("f", "Female", ""), ("m", "Male", " ")):
+        for start in range(0, 101, 5):
+            upto = "2022" if start == 100 else str(start + 4)
+            span = "100+" if start == 100 else f"{start}-{start + 4}"
+            name = f"2021_2022_population_sex_age_{code}_{start}_{upto}_count"
+            labels[name] = f"Total {sex} Population Aged {span} (2021-2022){tail}"
+    return labels
+
+
+def catalog_labels(catalog: DataFrame, dataset: str) -> dict[str, str]:
+    """Variable -> column name of a dataset, for a pivot.
+
+    The catalog describes each variable in one row; a pivot needs its column names
+    when it is planned, so the rows of one dataset (tens) are read.
+    """
+    rows = catalog.where(F.col("dataset") == dataset).select("variable", "label").distinct()
+    return {r["variable"]: r["label"] for r in rows.orderBy("variable").collect()}
+
 
 def selected_value(dataset: Column, variable: Column) -> Column:
     """The statistic that is the value of interest of a dataset and variable."""

@@ -18,6 +18,11 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def write_view(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Materialise a serving view; refreshing it is writing it to a new path."""
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+
+
 def write_monthly(df: DataFrame, date: str, path: str) -> None:
     """One folder per year and month.
 

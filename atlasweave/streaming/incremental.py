@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -91,25 +91,38 @@ def upsert_stream(
     )
 
 
+def _daily_values() -> list[Column]:
+    return [
+        F.sum("value").alias("sum"), F.avg("value").alias("mean"), F.min("value").alias("min"),
+        F.max("value").alias("max"), F.count(F.lit(1)).alias("n_values"),
+    ]
+
+
 def daily_stream(stream: DataFrame, keys: Sequence[str], lateness: str = "1 day") -> DataFrame:
     """Daily aggregates of arriving cells; a day is emitted when the watermark passes it."""
     return (
         stream.withWatermark("time", lateness)
         .groupBy(F.window("time", "1 day").alias("w"), *keys)
-        .agg(
-            F.sum("value").alias("sum"), F.avg("value").alias("mean"),
-            F.min("value").alias("min"), F.max("value").alias("max"),
-            F.count(F.lit(1)).alias("n_values"),
-        )
+        .agg(*_daily_values())
         .select(*keys, F.to_date("w.start").alias("date"), "sum", "mean", "min", "max", "n_values")
     )
 
 
-def late_rows(source: DataFrame, emitted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(key, day) groups of the source that the daily stream has not emitted.
+def completed_days(source: DataFrame, emitted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The daily table as of now: emitted days, and a batch pass over the others.
 
-    These are the days still open and the groups whose rows all came too late;
-    a batch run of the daily resample over them completes the table.
+    A stream drops rows that come later than the watermark, and days the watermark
+    has not passed are not out yet. Both show as a row count that differs from the
+    source's; such days are aggregated again from the source and replace the
+    emitted ones.
     """
-    days = source.select(*keys, F.to_date("time").alias("date")).distinct()
-    return days.join(emitted.select(*keys, "date"), [*keys, "date"], "left_anti")
+    on = [*keys, "date"]
+    dated = source.withColumn("date", F.to_date("time"))
+    counts = dated.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    redo = (
+        counts.join(emitted.select(*on, "n_values"), on, "left")
+        .where(F.col("n_values").isNull() | (F.col("n_values") != F.col("_n")))
+        .select(*on)
+    )
+    again = dated.join(redo, on, "left_semi").groupBy(*on).agg(*_daily_values())
+    return emitted.join(redo, on, "left_anti").select(*again.columns).unionByName(again)

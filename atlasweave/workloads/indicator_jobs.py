@@ -27,6 +27,21 @@ def n5(spark, d):
     return obs
 
 
+_AREA_VALUES = ", ".join(
+    f"TRY_CAST(nullif(trim({v}), '') AS DOUBLE)" + (" * 1000000" if v == "regpopm" else "") for v in ind.AREA_VARIABLES)
+
+
+@query("n5_area_match", with_("indicators") + f"""
+, winners AS (SELECT * FROM located WHERE gid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gid, admin_level, year ORDER BY seq DESC, pos DESC) = 1)
+SELECT gid, admin_level, make_date(year, 1, 1) AS date,
+  '{{"iso_code":"' || iso_code || '","ISO2":"' || ISO2 || '","iso_num":"' || iso_num || '","country":"' || country || '","year":' || year || ',"datasource":' || coalesce('"' || datasource || '"', 'null') || ',"GDLCODE":"' || GDLCODE || '","level":"' || level || '","region":"' || region || '"}}' AS metadata,
+  unnest({texts(ind.AREA_VARIABLES)}) AS variable, unnest([{_AREA_VALUES}]) AS raw_value FROM winners""")
+def n5_area(spark, d):
+    names = places.gazetteer(t.units(spark, d))
+    obs, _ = ind.load_indicators(t.raw_indicators(spark, d, ind.AREA_VARIABLES), names, ind.AREA_VARIABLES, ind.AREA_SCALE, ind.AREA_METADATA)
+    return obs.select("gid", "admin_level", "date", "metadata", "variable", "raw_value")
+
+
 @query("n5_unmatched", with_("indicators") + "SELECT DISTINCT iso_code, place, region FROM located WHERE gid IS NULL")
 def n5_unmatched(spark, d):
     names = places.gazetteer(t.units(spark, d))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from atlasweave.plans.indicators import INDEX_VARIABLES
+from atlasweave.plans.indicators import AREA_VARIABLES, INDEX_VARIABLES
 from atlasweave.schemas import DATASETS, GRID_DATASETS, MEAN_DATASETS
 from atlasweave.workloads.tables import (
     CLIMATE_BY_EVENT,
@@ -305,7 +305,7 @@ _RAWB = f"""raw_b AS (
 
 _IND_VALUES = ", ".join(
     f"CASE WHEN (o_orderkey + {i}) % 9 = 0 THEN ' ' WHEN (o_orderkey + {i}) % 23 = 0 THEN 'n/a' ELSE (o_orderkey * {i} % 1000)::VARCHAR END AS {v}"
-    for i, v in enumerate(INDEX_VARIABLES, 1)
+    for names in (INDEX_VARIABLES, AREA_VARIABLES) for i, v in enumerate(names, 1)
 )
 _M = "((n_nationkey + 5) % 25)"
 _IND = f"""raw_ind AS (
@@ -316,7 +316,8 @@ _IND = f"""raw_ind AS (
       WHEN 4 THEN 'II- NATION_' || n_nationkey || ' Region' WHEN 5 THEN 'North, BUILDING, Lowest 25%'
       WHEN 6 THEN 'Group (NATION_' || n_nationkey || ', incl. Atlantis ' || (o_orderkey % 97) || ')'
       ELSE 'Nation ' || n_nationkey || ', NATION_' || ((n_nationkey + 1) % 25) END AS region,
-    year(o_orderdate)::INT AS year, 'SHDI_' || (o_orderkey % 2) || '.csv' AS source_file, {_IND_VALUES}
+    year(o_orderdate)::INT AS year, 'SHDI_' || (o_orderkey % 2) || '.csv' AS source_file,
+    'I' || r_regionkey AS ISO2, n_nationkey::VARCHAR AS iso_num, CASE WHEN o_orderkey % 2 = 0 THEN 'survey' END AS datasource, {_IND_VALUES}
   FROM order_places),
 placed AS (
   SELECT *, CASE WHEN level = 'National' THEN [iso_code] ELSE {extract_places('region')} END AS places FROM raw_ind),

@@ -57,11 +57,5 @@ def r5(spark, d):
     target = scratch_path(spark, "daily-stream")
     inc.append_stream(inc.daily_stream(stream, ["variable"]), target, scratch_path(spark, "daily-state"))
     emitted = spark.read.parquet(target)
-    open_days = inc.late_rows(cells, emitted, ["variable"])
-    rest = (
-        cells.withColumn("date", F.to_date("time")).join(open_days, ["variable", "date"], "left_semi")
-        .groupBy("variable", "date").agg(
-            F.sum("value").alias("sum"), F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
-            F.count(F.lit(1)).alias("n_values")))
-    return emitted.unionByName(rest).select(
+    return inc.completed_days(cells, emitted, ["variable"]).select(
         "variable", "date", "n_values", *[F.round(c, 6).alias(c) for c in ("sum", "mean", "min", "max")])

@@ -419,7 +419,7 @@ def type_map(spark: SparkSession, d: str) -> DataFrame:
     return both.unionByName(only)
 
 
-def raw_indicators(spark: SparkSession, d: str) -> DataFrame:
+def raw_indicators(spark: SparkSession, d: str, variables: list[str] = INDEX_VARIABLES) -> DataFrame:
     """Indicator file rows, values as text with blanks and junk."""
     k, n, m = "o_orderkey", "n_nationkey", "((n_nationkey + 5) % 25)"
     region = (
@@ -431,13 +431,14 @@ def raw_indicators(spark: SparkSession, d: str) -> DataFrame:
     )
     values = [
         f"CASE WHEN ({k} + {i}) % 9 = 0 THEN ' ' WHEN ({k} + {i}) % 23 = 0 THEN 'n/a' ELSE CAST({k} * {i} % 1000 AS STRING) END AS {v}"
-        for i, v in enumerate(INDEX_VARIABLES, 1)
+        for i, v in enumerate(variables, 1)
     ]
     return order_places(spark, d).selectExpr(
         f"{k} AS seq", "concat('R0', r_regionkey) AS iso_code", "r_name AS country",
         f"CASE WHEN {k} % 3 <> 0 THEN 'World' END AS continent", f"CASE WHEN {k} % 20 = 0 THEN 'National' ELSE 'Subnat' END AS level",
         f"concat('R0', r_regionkey, 'r', {n}) AS GDLCODE", f"{region} AS region", "year(o_orderdate) AS year",
-        f"concat('SHDI_', {k} % 2, '.csv') AS source_file", *values,
+        f"concat('SHDI_', {k} % 2, '.csv') AS source_file", "concat('I', r_regionkey) AS ISO2", f"CAST({n} AS STRING) AS iso_num",
+        f"CASE WHEN {k} % 2 = 0 THEN 'survey' END AS datasource", *values,
     )
 
 

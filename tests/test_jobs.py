@@ -154,3 +154,40 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = last._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
     assert last.where("k = 'hot'").first()["o"] == 19998
+
+
+def test_age_sex_labels_follow_their_rule():
+    labels = views.age_sex_labels()
+    assert len(labels) == 36 + 42
+    assert labels["population_sex_age_f_0_count"] == "Total Female Population Age <1"
+    assert labels["population_sex_age_m_80_count"] == "Total Male Population Age 80+"
+    assert labels["2021_2022_population_sex_age_f_5_9_count"] == "Total Female Population Aged 5-9 (2021-2022)"
+    assert labels["2021_2022_population_sex_age_m_100_2022_count"] == "Total Male Population Aged 100+ (2021-2022) "
+
+
+def test_wide_view_with_many_columns_uses_the_selected_statistic(spark):
+    obs = spark.createDataFrame([
+        ("population_age_sex", "USA", 0, "population_sex_age_f_0_count", 5.0, 1.0, None),
+        ("population_age_sex", "USA", 0, "2021_2022_population_sex_age_m_0_4_count", 9.0, None, 7.0),
+        ("climate", "USA", 0, "t2m", 9.0, 1.0, 7.0),
+    ], "dataset string, gid string, admin_level int, variable string, sum double, mean double, raw_value double").withColumn("date", F.lit("2020-01-01").cast("date"))
+    row = views.wide_view(obs, "population_age_sex", views.age_sex_labels()).collect()
+    assert len(row) == 1 and len(row[0]) == 3 + 78
+    assert row[0]["Total Female Population Age <1"] == 5.0 and row[0]["Total Male Population Aged 0-4 (2021-2022) "] == 7.0
+
+
+def test_late_rows_make_a_day_be_aggregated_again(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    put = lambda name, data: spark.createDataFrame(data, "k string, time string, value double").withColumn("time", F.col("time").cast("timestamp")).coalesce(1).write.parquet(f"{source}/{name}")
+    put("f1", [("a", "2020-01-01 01:00:00", 1.0), ("a", "2020-01-05 01:00:00", 5.0)])
+    schema = spark.read.parquet(f"{source}/f1").schema
+
+    def run():
+        stream = inc.stream_files(spark, source, schema, pattern="*.parquet")
+        inc.append_stream(inc.daily_stream(stream.drop("file_path"), ["k"]), target, state)
+        emitted, everything = spark.read.parquet(target), spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        return {str(r["date"]): (r["sum"], r["n_values"]) for r in inc.completed_days(everything, emitted, ["k"]).collect()}
+
+    assert run() == {"2020-01-01": (1.0, 1), "2020-01-05": (5.0, 1)}
+    put("f2", [("a", "2020-01-01 02:00:00", 10.0), ("a", "2020-01-09 01:00:00", 9.0)])
+    assert run() == {"2020-01-01": (11.0, 2), "2020-01-05": (5.0, 1), "2020-01-09": (9.0, 1)}

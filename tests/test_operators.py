@@ -163,3 +163,15 @@ def test_completeness(spark):
     df = spark.createDataFrame([("A", None, ["x"]), ("A", 1, []), ("B", 2, None)], "source string, n int, l array<string>")
     got = {(r["subset"], r["column_name"]): (r["total"], r["non_null"], r["pct"]) for r in summaries.completeness(df, ["n", "l"], "source").collect()}
     assert got[("ALL", "n")] == (3, 2, 66.7) and got[("A", "l")] == (2, 1, 50.0) and got[("B", "l")] == (1, 0, 0.0)
+
+
+def test_hot_code_is_counted_without_pairs(spark):
+    """A third of both sides shares one code: 10^10 pairs, counted from profiles."""
+    def side(type_name):
+        n = F.col("id")
+        listed = F.when(n % 3 == 0, F.array(F.lit("hot"), F.concat(F.lit("c"), (n % 7).cast("string")))).otherwise(F.array(n.cast("string")))
+        return spark.range(300_000).select(n.alias("event_id"), F.lit("USA").alias("iso"), F.lit("x").alias(type_name), listed.alias("glide"))
+
+    got = codes.code_pair_counts(side("a_type"), side("b_type"), "event_id", "glide", "iso", ["a_type"], ["b_type"])
+    # every hot row pairs with every hot row once, whatever else they share; the rest pair with themselves
+    assert got.first()["n_pairs"] == 100_000**2 + 200_000
