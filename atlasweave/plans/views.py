@@ -87,17 +87,19 @@ def age_sex_labels() -> dict[str, str]:
     """Column names of the population variables by sex and age, from their rule.
 
     18 plain groups (<1, 1-4, then five years each, 80+) and 21 dated ones (five
-    years each, 100+) per sex. Names of dated male columns end in a blank.
+    years each, 100+) per sex. Names of dated male columns end in a blank from
+    age 45 on.
     """
     labels = {}
     for code, sex in (("f", "Female"), ("m", "Male")):
         for start in [0, 1, *range(5, 81, 5)]:
             span = {0: "<1", 1: "1-4", 80: "80+"}.get(start, f"{start}-{start + 4}")
             labels[f"population_sex_age_{code}_{start}_count"] = f"Total {sex} Population Age {span}"
-    for code, sex, tail in (("f", "Female", ""), ("m", "Male", " ")):
+    for code, sex in (("f", "Female"), ("m", "Male")):
         for start in range(0, 101, 5):
             upto = "2022" if start == 100 else str(start + 4)
             span = "100+" if start == 100 else f"{start}-{start + 4}"
+            tail = " " if code == "m" and start >= 45 else ""
             name = f"2021_2022_population_sex_age_{code}_{start}_{upto}_count"
             labels[name] = f"Total {sex} Population Aged {span} (2021-2022){tail}"
     return labels

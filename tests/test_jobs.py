@@ -173,7 +173,7 @@ def test_wide_view_with_many_columns_uses_the_selected_statistic(spark):
     ], "dataset string, gid string, admin_level int, variable string, sum double, mean double, raw_value double").withColumn("date", F.lit("2020-01-01").cast("date"))
     row = views.wide_view(obs, "population_age_sex", views.age_sex_labels()).collect()
     assert len(row) == 1 and len(row[0]) == 3 + 78
-    assert row[0]["Total Female Population Age <1"] == 5.0 and row[0]["Total Male Population Aged 0-4 (2021-2022) "] == 7.0
+    assert row[0]["Total Female Population Age <1"] == 5.0 and row[0]["Total Male Population Aged 0-4 (2021-2022)"] == 7.0
 
 
 def test_late_rows_make_a_day_be_aggregated_again(spark, tmp_path):
