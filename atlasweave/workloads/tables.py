@@ -74,10 +74,6 @@ def _pick(values: list[str], index: str) -> Column:
     return F.expr(f"element_at(array({listed}), CAST({index} + 1 AS INT))")
 
 
-def iso3_of(region: str) -> Column:
-    return F.expr(f"concat('R0', {region})")
-
-
 def gid1_of(region: str, nation: str) -> Column:
     return F.expr(f"concat('R0', {region}, '.', {nation}, '_1')")
 
