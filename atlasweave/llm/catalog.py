@@ -34,6 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     from atlasweave.llm import (  # noqa: F401
+        bpe,
+        decontaminate,
         exact_dedup,
+        language_id,
+        licenses,
+        passages,
+        quality,
         simhash,
+        token_files,
+        toxicity,
     )
