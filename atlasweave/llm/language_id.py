@@ -178,7 +178,7 @@ def build(grams: list[tuple[str, int, int]], min_context: int) -> Model:
             shorter[c] = at[order, c]
         found = shorter[every % width**order]
         row_of = np.where(found >= 0, found, row_of)
-    return Model(languages, bytes(classes), width, row_of, costs.reshape(-1, len(languages)))
+    return Model(languages, bytes(classes), width, row_of, costs.reshape(len(numbers) * width, len(languages)))
 
 
 def learn(labelled: DataFrame, sample_rows: int = 3000, min_context: int = 12) -> Model:

@@ -35,7 +35,7 @@ from atlasweave.llm.decontaminate import words
 from atlasweave.llm.license_texts import TEMPLATES
 
 COVERAGE = 0.8
-#: Of templates with fewer words every word must be aligned: one word is what tells such notices apart.
+#: Of templates with fewer words every word must be aligned, with none between: one word tells such notices apart.
 SHORT = 12
 #: Gaps without anchors are aligned exactly up to so many pairs of words, beyond that word by word from the left.
 EXACT_PAIRS = 40_000
@@ -162,8 +162,14 @@ class Scanner:
             for middle in sorted(k for i in rare for k in places.get(i, ())):
                 if middle < done:
                     continue  # inside the stretch that was just matched
-                low = bisect_left(at, at[middle] - reach)
-                high = bisect_left(at, at[middle] + reach + 1)
+                if size < SHORT:  # a notice stands word by word
+                    low = next((middle - k for k in range(min(size, middle + 1)) if ids[middle - k : middle - k + size] == template), middle)
+                    high = low + size
+                    if high > len(ids) or at[high - 1] - at[low] != size - 1:
+                        continue
+                else:
+                    low = bisect_left(at, at[middle] - reach)
+                    high = bisect_left(at, at[middle] + reach + 1)
                 if high - low < least:
                     continue
                 pairs = aligned(template, ids[low:high])
