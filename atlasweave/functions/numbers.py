@@ -17,8 +17,12 @@ MISSING_LOW, MISSING_MEDIUM, MISSING_HIGH = 10, 30, 50
 
 
 def safe_double(col: Column) -> Column:
-    """Blank or unreadable text -> null, everything else -> double."""
-    return F.nullif(F.trim(col), F.lit("")).try_cast("double")
+    """Text that is a decimal number, white space aside -> double; anything else -> null.
+
+    The cast alone would also read type suffixes, hexadecimal numbers and NaN.
+    """
+    text = F.regexp_replace(col.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double"))
 
 
 def nullable_int(col: Column) -> Column:

@@ -81,7 +81,7 @@ def extract_places(region: Column) -> Column:
     listed = (
         F.when(
             body.contains("(") & body.contains(")"),
-            F.when(inner.contains(","), by_comma(inner)).otherwise(F.split(strip(inner), r"\s+")),
+            F.when(inner.contains(","), by_comma(inner)).otherwise(F.split(strip(inner), r"(?U)\s+")),
         )
         .otherwise(F.filter(by_comma(body), lambda p: p != ""))
     )
@@ -158,10 +158,20 @@ def all_iso3_suffix(codes: Column) -> Column:
     return F.coalesce(F.forall(codes, lambda c: has_iso3_suffix(c)), F.lit(True))
 
 
+def literal_to_json(col: Column) -> Column:
+    """``None``, ``True`` and ``False`` outside quotes as JSON writes them."""
+    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        # What goes before, quoted text as a whole, is kept.
+        before = rf"""(?:[^'"{word[0]}]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|{word[0]}(?!{word[1:]}\b))*+"""
+        col = F.regexp_replace(col, rf"\G({before}){word}\b", f"$1{json}")
+    return col
+
+
 def parse_units(col: Column) -> Column:
     """List-of-dicts text -> struct(admin1 array, admin2 array); unreadable -> empty."""
     items = F.from_json(
-        col, "array<struct<adm1_name:string,adm2_name:string>>", {"allowSingleQuotes": "true"}
+        literal_to_json(col), "array<struct<adm1_name:string,adm2_name:string>>",
+        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
     )
     empty = F.array().cast("array<string>")
     first = lambda of: F.transform(

@@ -45,13 +45,15 @@ def build_session(app_name: str = "atlasweave", master: str | None = None, **con
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (unit tests on one machine) a temporary
-    folder is made and remembered in the session.
+    Only on one machine (a local master) that names none, a temporary folder is made
+    and remembered in the session; executors elsewhere could not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.atlasweave.scratch", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="atlasweave-")
         spark.conf.set("spark.atlasweave.scratch", root)
     return root

@@ -91,6 +91,13 @@ def v8(spark, d):
     return reports.top_countries(t.events(spark, d))
 
 
+@query("v12_hazard_variety", with_("ev") + """
+SELECT iso3_code, max(admin_level_0) AS country_name, count(*) AS event_count, count(DISTINCT disaster_type) AS hazard_types, string_agg(DISTINCT source, ', ' ORDER BY source) AS sources
+FROM ev WHERE iso3_code IS NOT NULL GROUP BY iso3_code ORDER BY event_count DESC, iso3_code LIMIT 30""")
+def v12(spark, d):
+    return reports.top_countries(t.events(spark, d), k=30)
+
+
 @query("v8_countries_by_source", with_("ev") + """
 SELECT 'ALL' AS source, count(DISTINCT iso3_code) AS countries, count(*) AS events FROM ev UNION ALL SELECT coalesce(source, 'NULL'), count(DISTINCT iso3_code), count(*) FROM ev GROUP BY source""")
 def v8_sources(spark, d):

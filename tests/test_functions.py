@@ -166,3 +166,15 @@ def test_cell_area(spark):
     at = spark.range(1).select(
         geo.cell_area(F.lit(0.0), 0.25, 0.25).alias("a"), geo.cell_area(F.lit(60.0), 0.25, 0.25).alias("b")).first()
     assert at["a"] / 1e6 == pytest.approx(772.77, abs=0.01) and at["b"] == pytest.approx(at["a"] / 2)
+
+
+def test_safe_double_reads_decimal_numbers_only(one):
+    col = numbers.safe_double(F.col("s"))
+    for s in ("12d", "1f", "0x1p3", "NaN", "Infinity", "1_000", "1 2", ""):
+        assert one(col, s=s) is None
+    assert one(col, s="\u00a0-1.5e2\t") == -150.0 and one(col, s=".5") == 0.5
+
+
+def test_parse_units_reads_python_literals(one):
+    got = one(text.parse_units(F.col("s")), s="""[{'adm1_name': 'None of it', 'adm2_name': None, 'ok': True}, {'adm1_name': None, 'adm2_name': "D'Or"}, {'adm1_name': 'L\\'Aquila', 'x': False}]""")
+    assert got["admin1"] == ["None of it", "L'Aquila"] and got["admin2"] == ["D'Or"]
