@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atlasweave.llm.catalog import query, table
+from atlasweave.session import sized_broadcast
 
 ORDER = 3
 _LETTERS_ONLY = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -57,7 +58,8 @@ def sampled(rows: DataFrame, group: str, most: int, seed: int) -> DataFrame:
     """About ``most`` rows of each value of ``group``, picked by a hash of doc_id."""
     sizes = rows.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__size"))
     share = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(sizes, F.col(group) == F.col("__group")).where(share * F.col("__size") < most).drop("__group", "__size")
+    # A row per value of the group; beyond a checked number of them both sides are shuffled.
+    return rows.join(sized_broadcast(sizes, 10_000), F.col(group) == F.col("__group")).where(share * F.col("__size") < most).drop("__group", "__size")
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
