@@ -243,6 +243,7 @@ def assessed(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, ste
     if trusted.isEmpty():
         trusted = rows.where("trusted")
     mean = trusted.groupBy(F.col("lang").alias("m_lang")).agg((F.sum("total_bits") / F.greatest(F.sum("n_words"), F.lit(1))).alias("mean"))
+    mean = stored(mean, "quality-means")  # of a known size, so the optimizer need not deal documents by language
     overall = trusted.agg((F.sum("total_bits") / F.greatest(F.sum("n_words"), F.lit(1))).alias("mean")).first()["mean"] or 0.0
 
     def per_word(part: DataFrame) -> DataFrame:
@@ -262,7 +263,7 @@ def assessed(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, ste
 
     total = bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("one", F.lit(1))
     top = reached(total, ["one"]).first()
-    limits = reached(bins, ["lang"]).select(F.col("lang").alias("t_lang"), "threshold")
+    limits = stored(reached(bins, ["lang"]).select(F.col("lang").alias("t_lang"), "threshold"), "quality-limits")
     rows = per_word(rows).join(limits, F.col("lang") == F.col("t_lang"), "left")
     limit = F.coalesce("threshold", F.lit(float(top["threshold"]) if top else float("inf")))
     return rows.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "n_words", "bits", limit.alias("threshold"),
