@@ -16,8 +16,13 @@ from atlasweave.functions.geo import bounding_box, cell_area, geometry_problem,
 from atlasweave.functions.numbers import normalized_difference
 from atlasweave.session import sized_broadcast
 
-# Shares below this are rounding noise of an edge that only touches a cell.
-_MIN_SHARE = 1e-9
+# Outlines are taken to this fine a part of a column or row (10 nm of a cell of a quarter
+# degree), which is what rounding of coordinates leaves. Widths counted in such parts are
+# integers: they cancel to exactly zero below an outline, so no share decides what is inside.
+_TICKS = float(1 << 40)
+# An area is nothing when it is this small against the sum of the areas it was
+# subtracted from. Relative, so a tiny unit keeps its cell.
+_ROUNDING = 1e-12
 
 
 @dataclass(frozen=True)
@@ -106,6 +111,13 @@ def coverage(units: DataFrame, grid: Grid) -> DataFrame:
     x_lo, x_hi = F.least("xa", "xb"), F.greatest("xa", "xb")
     c_first = F.greatest(F.floor((x_lo - g.lon0) / g.dlon), F.lit(0)).cast("int")
     c_last = F.least(F.ceil((x_hi - g.lon0) / g.dlon) - 1, F.lit(g.ncols - 1)).cast("int")
+    at = lambda x: F.round((F.col(x) - F.col("x0")) / g.dlon * _TICKS).cast("bigint")
+    ticks = (F.col("side") * F.signum(F.col("xb") - F.col("xa"))).cast("bigint") * (at("xr") - at("xl"))
+
+    def rows_up(x: str) -> Column:
+        y = F.col("ya") + F.col("slope") * (F.col(x) - F.col("xa"))
+        return F.round((y - g.lat0) / g.dlat * _TICKS) / _TICKS
+
     cut = (
         edges(units)
         .where(c_first <= c_last)
@@ -113,18 +125,18 @@ def coverage(units: DataFrame, grid: Grid) -> DataFrame:
         .withColumn("x0", F.lit(g.lon0) + F.col("lon_idx") * g.dlon)
         .withColumn("xl", F.greatest(x_lo, F.col("x0")))
         .withColumn("xr", F.least(x_hi, F.lit(g.lon0) + (F.col("lon_idx") + 1) * g.dlon))
-        .where("xr > xl")
+        .where(at("xr") > at("xl"))
         .withColumn("slope", (F.col("yb") - F.col("ya")) / (F.col("xb") - F.col("xa")))
-        .withColumn("yl", F.col("ya") + F.col("slope") * (F.col("xl") - F.col("xa")))
-        .withColumn("yr", F.col("ya") + F.col("slope") * (F.col("xr") - F.col("xa")))
+        .withColumn("rl", rows_up("xl"))
+        .withColumn("rr", rows_up("xr"))
         .select(
-            "gid", "admin_level", "lon_idx", "yl", "yr",
+            "gid", "admin_level", "lon_idx", "rl", "rr", ticks.alias("ticks"),
+            (F.lit(g.lat0) + F.col("rl") * g.dlat).alias("yl"), (F.lit(g.lat0) + F.col("rr") * g.dlat).alias("yr"),
             # signed width: what one unit of height below this piece is worth
             (F.col("side") * F.signum(F.col("xb") - F.col("xa")) * (F.col("xr") - F.col("xl"))).alias("w"),
         )
     )
-    row_of = lambda y: F.floor((y - g.lat0) / g.dlat).cast("int")
-    r_lo, r_hi = row_of(F.least("yl", "yr")), row_of(F.greatest("yl", "yr"))
+    r_lo, r_hi = F.floor(F.least("rl", "rr")).cast("int"), F.floor(F.greatest("rl", "rr")).cast("int")
     first, last = F.greatest(r_lo, F.lit(0)), F.least(r_hi, F.lit(g.nrows - 1))
 
     def partial(r: Column) -> Column:
@@ -138,14 +150,14 @@ def coverage(units: DataFrame, grid: Grid) -> DataFrame:
             (_below(yr, y0, y1) - _below(yl, y0, y1)) / F.when(level, 1.0).otherwise(yr - yl)
         )
         return F.struct(
-            r.alias("row"), (F.col("w") * mean_height).alias("part"), F.lit(0.0).alias("step")
+            r.alias("row"), (F.col("w") * mean_height).alias("part"), F.lit(0.0).alias("step"), F.lit(0).cast("bigint").alias("ticks")
         )
 
     crossings = F.when(first <= last, F.transform(F.sequence(first, last), partial))
-    empty = F.array().cast("array<struct<row:int,part:double,step:double>>")
+    empty = F.array().cast("array<struct<row:int,part:double,step:double,ticks:bigint>>")
     step = F.when(
         r_lo > 0,
-        F.array(F.struct(F.least(r_lo, F.lit(g.nrows)).alias("row"), F.lit(0.0).alias("part"), F.col("w").alias("step"))),
+        F.array(F.struct(F.least(r_lo, F.lit(g.nrows)).alias("row"), F.lit(0.0).alias("part"), F.col("w").alias("step"), F.col("ticks"))),
     )
     marks = (
         cut.select(
@@ -155,40 +167,46 @@ def coverage(units: DataFrame, grid: Grid) -> DataFrame:
         # one exchange serves the aggregation and the running sum
         .repartition("gid", "lon_idx")
         .groupBy("gid", "admin_level", "lon_idx", F.col("m.row").alias("row"))
-        .agg(F.sum("m.part").alias("part"), F.sum("m.step").alias("step"))
+        .agg(
+            F.sum("m.part").alias("part"), F.sum(F.abs("m.part")).alias("size"),
+            F.sum("m.step").alias("step"), F.sum("m.ticks").alias("ticks"),
+        )
     )
     down = Window.partitionBy("gid", "admin_level", "lon_idx").orderBy(F.col("row").desc())
+    to_here, above = down.rowsBetween(Window.unboundedPreceding, 0), down.rowsBetween(Window.unboundedPreceding, -1)
     swept = marks.select(
-        "gid", "admin_level", "lon_idx", "row", "part",
-        F.sum("step").over(down.rowsBetween(Window.unboundedPreceding, 0)).alias("_incl"),
-        F.coalesce(
-            F.sum("step").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-        ).alias("_excl"),
+        "gid", "admin_level", "lon_idx", "row", "part", "size",
+        F.sum("step").over(to_here).alias("_incl"),
+        (F.sum("ticks").over(to_here) != 0).alias("_inside"),
+        F.when(F.sum("ticks").over(above) != 0, F.sum("step").over(above)).otherwise(0.0).alias("_excl"),
         F.coalesce(F.lead("row").over(down), F.lit(-1)).alias("_next"),
     )
     own = F.when(
         F.col("row") < g.nrows,
-        F.array(F.struct(F.col("row").alias("lat_idx"), (F.col("part") + F.col("_excl") * g.dlat).alias("area"))),
+        F.array(F.struct(
+            F.col("row").alias("lat_idx"), (F.col("part") + F.col("_excl") * g.dlat).alias("area"),
+            (F.col("size") + F.abs("_excl") * g.dlat).alias("size"))),
     )
     inside = F.when(
-        (F.col("_next") + 1 <= F.col("row") - 1) & (F.abs("_incl") > _MIN_SHARE * g.dlon),
+        (F.col("_next") + 1 <= F.col("row") - 1) & F.col("_inside"),
         F.transform(
             F.sequence(F.col("_next") + 1, F.col("row") - 1),
-            lambda r: F.struct(r.alias("lat_idx"), (F.col("_incl") * g.dlat).alias("area")),
+            lambda r: F.struct(
+                r.alias("lat_idx"), (F.col("_incl") * g.dlat).alias("area"), (F.abs("_incl") * g.dlat).alias("size")),
         ),
     )
-    none = F.array().cast("array<struct<lat_idx:int,area:double>>")
+    none = F.array().cast("array<struct<lat_idx:int,area:double,size:double>>")
     return (
         swept.select(
             "gid", "admin_level", "lon_idx",
             F.explode(F.concat(F.coalesce(own, none), F.coalesce(inside, none))).alias("c"),
         )
+        .where(F.col("c.area") > _ROUNDING * F.col("c.size"))
         .select(
             F.lit(g.grid_id).alias("grid_id"), "gid", "admin_level",
             F.col("c.lat_idx").alias("lat_idx"), "lon_idx",
             (F.col("c.area") / (g.dlon * g.dlat)).alias("fraction"),
         )
-        .where(F.col("fraction") > _MIN_SHARE)
         .withColumn("cell_area", cell_area(g.lat_centre(F.col("lat_idx")), g.dlat, g.dlon))
     )
 
@@ -223,19 +241,24 @@ def unit_extents(cov: DataFrame) -> DataFrame:
     )
 
 
-def with_every_date(extents: DataFrame, cells: DataFrame, salts: int = 16) -> DataFrame:
+def with_every_date(extents: DataFrame, cells: DataFrame, units: DataFrame | None = None) -> DataFrame:
     """One row per unit and (date, variable) of its grid, as the result needs.
 
     The two sides meet on (grid, salt): a grid that holds most units is spread
-    over ``salts`` tasks.
+    over as many tasks as the session shuffles into. With ``units`` every one of
+    them gets the dates of every grid, and null extents where it covers no cell.
     """
+    salts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dates = (
         cells.groupBy("grid_id", "date", "variable")
         .agg(F.max("unit").alias("unit"))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    salted = extents.withColumn("_salt", F.pmod(F.hash("gid"), F.lit(salts)))
-    return salted.join(dates, ["grid_id", "_salt"]).drop("_salt")
+    salt = F.pmod(F.hash("gid"), F.lit(salts)).alias("_salt")
+    if units is None:
+        return extents.select("*", salt).join(dates, ["grid_id", "_salt"]).drop("_salt")
+    named = units.select("gid", "admin_level").distinct().select("*", salt)
+    return named.join(dates, "_salt").drop("_salt").join(extents, ["grid_id", "gid", "admin_level"], "left")
 
 
 def zonal_statistics(
@@ -244,6 +267,7 @@ def zonal_statistics(
     missing: str = "box",
     legacy_null_weight: bool = False,
     broadcast_cells: int = 500_000,
+    units: DataFrame | None = None,
 ) -> DataFrame:
     """Weighted mean, plain sum/min/max and missing share per unit, date, variable.
 
@@ -251,6 +275,8 @@ def zonal_statistics(
     ``cov``: output of :func:`touched_cells` or :func:`weighted_cells`.
     Null cells carry no weight (``legacy_null_weight`` lets them). A unit
     without any value on a date still gets a row: null statistics, 100 missing.
+    So does, on every grid, one of ``units`` (gid, admin_level) without a covered
+    cell; units without coverage are unknown where ``units`` is not given.
     ``missing`` relates absent cells to the enclosing ``box`` or to the
     ``covered`` cells.
 
@@ -272,13 +298,13 @@ def zonal_statistics(
         F.max(v).alias("max"),
         F.count(v).alias("valid_cells"),
     )
-    spine = with_every_date(unit_extents(cov), cells)
+    spine = with_every_date(unit_extents(cov), cells, units)
     total = F.col("box_cells") if missing == "box" else F.col("covered_cells")
     valid = F.coalesce("valid_cells", F.lit(0))
     return spine.join(stats, _GROUP, "left").select(
         "gid", "admin_level", "date", "variable",
         "sum", (F.col("_vw") / F.nullif("_w", F.lit(0.0))).alias("mean"), "min", "max",
-        F.round(100.0 * (total - valid) / total, 2).alias("missing_value_percentage"),
+        F.coalesce(F.round(100.0 * (total - valid) / total, 2), F.lit(100.0)).alias("missing_value_percentage"),
         "unit",
     )
 

@@ -30,9 +30,9 @@ def weighted(cov: DataFrame) -> DataFrame:
     return cov.withColumn("weight", F.col("cell_area") * F.col("fraction"))
 
 
-def grid_observations(cells: DataFrame, cov: DataFrame, dataset: str, source: str, missing: str = "box") -> DataFrame:
+def grid_observations(cells: DataFrame, cov: DataFrame, dataset: str, source: str, missing: str = "box", units: DataFrame | None = None) -> DataFrame:
     """Canonical observation rows of a gridded dataset, levels side by side."""
-    z = zonal_statistics(cells, cov, missing)
+    z = zonal_statistics(cells, cov, missing, units=units)
     return z.select(
         F.lit(dataset).alias("dataset"), "gid", "admin_level", "date", "variable", "sum", "mean", "min", "max",
         F.lit(None).cast("double").alias("raw_value"), "missing_value_percentage", F.lit(None).cast("string").alias("note"),

@@ -28,11 +28,12 @@ def j21(spark, d):
 def _zonal_sql(cells: str, weight: str, total: str) -> str:
     return f"""
 , dates AS (SELECT date, variable, max(unit) AS unit FROM {cells} GROUP BY ALL),
-ext AS (SELECT gid, admin_level, count(*) AS covered, (max(lat_idx) - min(lat_idx) + 1) * (max(lon_idx) - min(lon_idx) + 1) AS box FROM coverage GROUP BY ALL),
+ext AS (SELECT s.gid, s.admin_level, nullif(count(lat_idx), 0) AS covered, (max(lat_idx) - min(lat_idx) + 1) * (max(lon_idx) - min(lon_idx) + 1) AS box
+  FROM shapes s LEFT JOIN coverage c ON s.gid = c.gid AND s.admin_level = c.admin_level GROUP BY s.gid, s.admin_level),
 stats AS (SELECT gid, admin_level, date, variable, sum(value * {weight}) / nullif(sum(CASE WHEN value IS NOT NULL THEN {weight} END), 0) AS mean,
   sum(value) AS s, min(value) AS lo, max(value) AS hi, count(value) AS valid FROM {cells} JOIN coverage USING (lat_idx, lon_idx) GROUP BY ALL),
 zonal AS (SELECT e.gid, e.admin_level, d.date, d.variable, d.unit, s AS "sum", mean, lo AS "min", hi AS "max",
-  round(100.0::DOUBLE * ({total} - coalesce(valid, 0)) / {total}, 2) AS missing_value_percentage
+  coalesce(round(100.0::DOUBLE * ({total} - coalesce(valid, 0)) / {total}, 2), 100.0) AS missing_value_percentage
   FROM ext e CROSS JOIN dates d LEFT JOIN stats s ON s.gid = e.gid AND s.date = d.date AND s.variable = d.variable)"""
 
 
@@ -44,7 +45,7 @@ def stored(spark, d):
 SELECT gid, admin_level, date, variable, unit, round(mean, 6) AS mean, round("min", 6) AS min, round("max", 6) AS max FROM zonal""")
 def z3(spark, d):
     cov = zonal.touched(stored(spark, d))
-    z = grids.zonal_statistics(t.daily_cells(spark, d), cov)
+    z = grids.zonal_statistics(t.daily_cells(spark, d), cov, units=t.shaped_units(spark, d))
     return z.select("gid", "admin_level", "date", "variable", "unit", *[F.round(c, 6).alias(c) for c in ("mean", "min", "max")])
 
 
@@ -52,15 +53,15 @@ def z3(spark, d):
 SELECT gid, admin_level, date, variable, round(mean, 6) AS mean, missing_value_percentage FROM zonal""")
 def z3_fraction(spark, d):
     cov = zonal.weighted(stored(spark, d))
-    z = grids.zonal_statistics(t.daily_cells(spark, d), cov, missing="covered")
+    z = grids.zonal_statistics(t.daily_cells(spark, d), cov, missing="covered", units=t.shaped_units(spark, d))
     return z.select("gid", "admin_level", "date", "variable", F.round("mean", 6).alias("mean"), "missing_value_percentage")
 
 
 @query("z4_zonal_sum_min_max", with_("coverage", "cells") + _zonal_sql("daily", "cell_area", "box") + """
-SELECT gid, date, variable, round("sum", 4) AS sum, round("min", 4) AS min, round("max", 4) AS max FROM zonal WHERE "sum" IS NOT NULL""")
+SELECT gid, date, variable, round("sum", 4) AS sum, round("min", 4) AS min, round("max", 4) AS max FROM zonal""")
 def z4(spark, d):
     cov = zonal.touched(stored(spark, d))
-    z = grids.zonal_statistics(t.daily_cells(spark, d), cov).where(F.col("sum").isNotNull())
+    z = grids.zonal_statistics(t.daily_cells(spark, d), cov, units=t.shaped_units(spark, d))
     return z.select("gid", "date", "variable", *[F.round(c, 4).alias(c) for c in ("sum", "min", "max")])
 
 
@@ -68,7 +69,7 @@ def z4(spark, d):
 SELECT gid, date, variable, missing_value_percentage, mean IS NULL AS empty FROM zonal""")
 def z5(spark, d):
     cov = zonal.touched(stored(spark, d))
-    z = grids.zonal_statistics(t.daily_cells(spark, d), cov)
+    z = grids.zonal_statistics(t.daily_cells(spark, d), cov, units=t.shaped_units(spark, d))
     return z.select("gid", "date", "variable", "missing_value_percentage", F.col("mean").isNull().alias("empty"))
 
 
@@ -98,7 +99,7 @@ def z7(spark, d):
 SELECT gid, date, round(mean, 6) AS mean, round("min", 6) AS min, round("max", 6) AS max FROM zonal""")
 def z8(spark, d):
     cov = zonal.touched(stored(spark, d))
-    z = grids.zonal_statistics(grids.band_index_cells(t.bands(spark, d), "NDVI"), cov, missing="covered")
+    z = grids.zonal_statistics(grids.band_index_cells(t.bands(spark, d), "NDVI"), cov, missing="covered", units=t.shaped_units(spark, d))
     return z.select("gid", "date", *[F.round(c, 6).alias(c) for c in ("mean", "min", "max")])
 
 

@@ -215,11 +215,15 @@ def _shape(kind: str, x0: str, y0: str, w: str, h: str) -> str:
 
 _NX, _NY = "(n_nationkey % 5) * 7 + 0.3::DOUBLE", "(n_nationkey // 5) * 4.6::DOUBLE + 0.2::DOUBLE"
 _SX, _SY = "(s_suppkey * 37 % 300) / 10.0::DOUBLE", "(s_suppkey * 53 % 190) / 10.0::DOUBLE"
+_TX = "(CASE WHEN r_regionkey % 2 = 0 THEN r_regionkey * 3 + 0.1::DOUBLE ELSE 200.0::DOUBLE END)"
+_TSIZE = "(CASE WHEN r_regionkey % 2 = 0 THEN 0.000002::DOUBLE ELSE 1.0::DOUBLE END)"
 _COV = f"""shapes AS (
   SELECT 'R0' || n_regionkey || '.' || n_nationkey || '_1' AS gid, 1 AS admin_level,
     {_shape('n_nationkey % 4', _NX, _NY, '6.5::DOUBLE', '4.3::DOUBLE')} AS edges FROM nation
   UNION ALL SELECT 'S' || s_suppkey, 2,
-    {_shape('s_suppkey % 4', _SX, _SY, '(2.0::DOUBLE + s_suppkey % 5)', '(1.5::DOUBLE + s_suppkey % 3)')} FROM supplier),
+    {_shape('s_suppkey % 4', _SX, _SY, '(2.0::DOUBLE + s_suppkey % 5)', '(1.5::DOUBLE + s_suppkey % 3)')} FROM supplier
+  UNION ALL SELECT 'T' || r_regionkey, 0,
+    {_shape('0', _TX, 'r_regionkey + 0.2::DOUBLE', _TSIZE, _TSIZE)} FROM region),
 edges AS (
   SELECT gid, admin_level, e.xa AS xa, e.ya AS ya, e.xb AS xb, e.yb AS yb FROM (SELECT gid, admin_level, unnest(edges) AS e FROM shapes)),
 boxes AS (
@@ -241,7 +245,7 @@ below AS (
 coverage AS (
   SELECT gid, admin_level, lat_idx::INT AS lat_idx, lon_idx::INT AS lon_idx, fraction, {cell_area(f'(lat_idx + 0.5) * {GRID.dlat}')} AS cell_area FROM (
     SELECT gid, admin_level, lat_idx, lon_idx, abs(sum(sgn * (xr - xl) * CASE WHEN abs(yr - yl) < 1e-12 THEN greatest(least(yl, y1), y0) - y0 ELSE (cr - cl) / (yr - yl) END)) / {GRID.dlon * GRID.dlat} AS fraction
-    FROM below GROUP BY ALL) WHERE fraction > 1e-9)"""
+    FROM below GROUP BY ALL) WHERE fraction > 1e-12 AND lon_idx < {GRID.ncols} AND lat_idx < {GRID.nrows})"""
 
 _EV_VAR = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in CLIMATE_BY_EVENT.items())
 _CELLS = f"""hourly AS (

@@ -192,7 +192,10 @@ def shape_rings(kind: str, x0: str, y0: str, w: str, h: str) -> Column:
 
 
 def shaped_units(spark: SparkSession, d: str) -> DataFrame:
-    """Units with geometry: nations at level 1, suppliers at level 2."""
+    """Units with geometry: nations at level 1, suppliers at level 2, regions at level 0.
+
+    Regions are far smaller than a cell, or outside the grid.
+    """
     nations = table(spark, d, "nation").select(
         gid1_of("n_regionkey", "n_nationkey").alias("gid"), F.lit(1).alias("admin_level"), F.col("n_name").alias("name"),
         shape_rings("n_nationkey % 4", "(n_nationkey % 5) * 7 + 0.3D", "(n_nationkey div 5) * 4.6D + 0.2D", "6.5D", "4.3D").alias("rings"),
@@ -201,7 +204,13 @@ def shaped_units(spark: SparkSession, d: str) -> DataFrame:
         F.expr("concat('S', s_suppkey) AS gid"), F.lit(2).alias("admin_level"), F.col("s_name").alias("name"),
         shape_rings("s_suppkey % 4", "(s_suppkey * 37 % 300) / 10.0D", "(s_suppkey * 53 % 190) / 10.0D", "2.0D + s_suppkey % 5", "1.5D + s_suppkey % 3").alias("rings"),
     )
-    return nations.unionByName(suppliers)
+    tiny = "r_regionkey % 2 = 0"
+    regions = table(spark, d, "region").select(
+        F.expr("concat('T', r_regionkey) AS gid"), F.lit(0).alias("admin_level"), F.col("r_name").alias("name"),
+        shape_rings("0", f"CASE WHEN {tiny} THEN r_regionkey * 3 + 0.1D ELSE 200.0D END", "r_regionkey + 0.2D",
+                    f"CASE WHEN {tiny} THEN 0.000002D ELSE 1.0D END", f"CASE WHEN {tiny} THEN 0.000002D ELSE 1.0D END").alias("rings"),
+    )
+    return nations.unionByName(suppliers).unionByName(regions)
 
 
 CLIMATE_BY_EVENT = {

@@ -122,6 +122,20 @@ def test_zonal_statistics(spark, limit):
         assert (got[key]["mean"], got[key]["sum"], got[key]["missing_value_percentage"]) == (None, None, 100.0)
 
 
+def test_units_of_no_size_and_outside_the_grid(spark):
+    box = lambda x, y, s: [(False, _closed([(x, y), (x + s, y), (x + s, y + s), (x, y + s)]))]
+    units = spark.createDataFrame([("tiny", 1, box(0.1, 0.1, 2e-6)), ("across", 1, box(0.5 - 1e-6, 0.25 - 1e-6, 2e-6)), ("outside", 1, box(50.0, 50.0, 1.0))], UNITS)
+    cov = grids.coverage(units, G)
+    got = {(r["gid"], r["lon_idx"], r["lat_idx"]): r["fraction"] * G.dlon * G.dlat for r in cov.collect()}
+    assert set(got) == {("tiny", 4, 4), *[("across", c, r) for c in (4, 5) for r in (4, 5)]}
+    assert got["tiny", 4, 4] == pytest.approx(4e-12, rel=1e-6)
+    assert all(got["across", c, r] == pytest.approx(1e-12, rel=1e-6) for c in (4, 5) for r in (4, 5))
+    cells = _cells(spark, {(4, 4, "2020-01-01"): 3.0, (4, 4, "2020-01-02"): 5.0})
+    rows = {(r["gid"], str(r["date"])): r for r in grids.zonal_statistics(cells, grids.weighted_cells(units, G), units=units).collect()}
+    assert len(rows) == 6 and rows["tiny", "2020-01-02"]["mean"] == 5.0
+    assert [(rows["outside", d]["mean"], rows["outside", d]["missing_value_percentage"]) for d in ("2020-01-01", "2020-01-02")] == [(None, 100.0)] * 2
+
+
 def test_mean_of_a_constant_grid_is_the_constant(spark):
     rng = random.Random(4)
     units = spark.createDataFrame([(f"u{i}", 1, [(False, _closed(star(rng, 1, 1, 2)))]) for i in range(5)], UNITS)
