@@ -53,18 +53,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table whose rows are expensive to process, over all cores.
-
-    The benchmark tables are one file with one row group, hence one task. A table
-    of at least as many files as cores is left as it is.
-    """
-    rows = table(spark, sf_dir, name)
-    rows = rows.select(*columns) if columns else rows
-    cores = spark.sparkContext.defaultParallelism
-    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores)
-
-
 # The mappings below are written as SQL text: one call per expression instead of
 # one per operator keeps building the plans cheap.
 
@@ -81,7 +69,7 @@ def gid1_of(region: str, nation: str) -> Column:
 def order_places(spark: SparkSession, d: str) -> DataFrame:
     """Orders with their nation, region and market segment."""
     return (
-        spread_table(spark, d, "orders")
+        table(spark, d, "orders")
         .join(table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -246,7 +234,7 @@ def daily_cells(spark: SparkSession, d: str) -> DataFrame:
 def bands(spark: SparkSession, d: str) -> DataFrame:
     """Red, near-infrared and quality bands per cell and month."""
     part = table(spark, d, "part").select("p_partkey", "p_retailprice")
-    lines = spread_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_shipdate", "l_quantity", "l_linenumber")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity", "l_linenumber")
     return lines.join(part, F.expr("l_partkey = p_partkey")).selectExpr(
         f"'{GRID.grid_id}' AS grid_id", f"CAST(l_orderkey % {GRID.nrows} AS INT) AS lat_idx",
         f"CAST(l_partkey % {GRID.ncols} AS INT) AS lon_idx", "trunc(CAST(l_shipdate AS DATE), 'month') AS date",
@@ -407,7 +395,7 @@ def raw_events_b(spark: SparkSession, d: str) -> DataFrame:
         "Event Codes (Code:Type)": "CASE event_id % 3 WHEN 0 THEN concat('FL-', event_id div 3 % 5000, '-ABC:Glide Number; x:', event_id, ':IFRC Appeal ID') "
         "WHEN 1 THEN concat('loc', event_id, ':Local Identifier') END",
     }
-    return spread_table(spark, d, "events").selectExpr(*[f"{e} AS `{name}`" for name, e in columns.items()])
+    return table(spark, d, "events").selectExpr(*[f"{e} AS `{name}`" for name, e in columns.items()])
 
 
 def type_map(spark: SparkSession, d: str) -> DataFrame:
