@@ -1,8 +1,8 @@
 """Joins of event tables on shared codes held in arrays, and code remapping.
 
 Array overlap is always rewritten to hash joins on exploded codes, with one
-side reduced to one row per code first. Pairs of rows are never built: a code
-shared by a third of both tables costs as much as any other code.
+side reduced to one row per code first. Pairs of rows are built under codes that
+few rows share only: a code shared by a third of both tables is counted.
 """
 
 from __future__ import annotations
@@ -91,84 +91,84 @@ def code_pair_counts(
     country: str,
     left_attrs: Sequence[str],
     right_attrs: Sequence[str],
-    max_subset_codes: int = 8,
+    light: int = 10_000,
 ) -> DataFrame:
     """Number of same-country row pairs sharing a code, by the sides' attributes.
 
-    The pairs themselves are never made. Rows become profiles (country, shared
-    codes, attributes) with a count. A pair that shares k codes must count once,
-    not k times, so profiles are counted for every non-empty subset of their
-    codes and the products are added with alternating sign (inclusion-exclusion).
-    Profiles with more than ``max_subset_codes`` shared codes, for which that
-    would be 2^k subsets, are paired profile by profile instead; both ways are
-    exact and together they cover every pair. Attribute columns must have
+    A code's weight is the number of row pairs it makes in a country.
+
+    * Codes of at most ``light`` pairs are joined directly. A pair that shares several
+      counts at the smallest of them, and not here if it also shares a heavier code.
+    * Pairs that share a heavier code are never made. Rows become profiles (country,
+      heavy codes, attributes) with a count, profiles are counted for every non-empty
+      subset of their heavy codes, and the products are added with alternating sign
+      (inclusion-exclusion). A row has 2^h subsets of its h heavy codes, whatever
+      number of light codes it has.
+
+    Every pair is in exactly one of the two parts. Attribute columns must have
     different names on the two sides.
     """
-    shared = (
-        exploded_codes(left, [country], codes)
-        .distinct()
-        .join(exploded_codes(right, [country], codes).distinct(), [country, "code"], "left_semi")
+
+    def carried(df: DataFrame, name: str) -> DataFrame:
+        return exploded_codes(df, [country], codes).groupBy(country, "code").agg(F.count(F.lit(1)).alias(name))
+
+    weighed = carried(left, "wl").join(carried(right, "wr"), [country, "code"]).select(
+        country, "code", (F.col("wl") * F.col("wr") > light).alias("heavy")
     )
 
-    def profiles(df: DataFrame, attrs: Sequence[str]) -> DataFrame:
+    def profiles(df: DataFrame, attrs: Sequence[str], side: str) -> DataFrame:
+        listed = lambda cond: F.sort_array(F.collect_set(F.when(cond, F.col("code"))))
         return (
             exploded_codes(df, [row_id, country, *attrs], codes)
-            .join(shared, [country, "code"], "left_semi")
+            .join(weighed, [country, "code"])
             .groupBy(row_id, country, *attrs)
-            .agg(F.sort_array(F.collect_set("code")).alias("sig"))
-            .groupBy(country, *attrs, "sig")
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(listed(F.col("heavy")).alias(f"heavy_{side}"), listed(~F.col("heavy")).alias(f"light_{side}"))
+            .groupBy(country, *attrs, f"heavy_{side}", f"light_{side}")
+            .agg(F.count(F.lit(1)).alias(f"n_{side}"))
         )
 
-    lp, rp = profiles(left, left_attrs), profiles(right, right_attrs)
-    small = F.size("sig") <= max_subset_codes
+    lp, rp = profiles(left, left_attrs, "l"), profiles(right, right_attrs, "r")
 
-    def subsets(df: DataFrame, attrs: Sequence[str], name: str) -> DataFrame:
-        # every mask 1 .. 2^k - 1 names one subset: bit i keeps code i
-        masks = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("sig")) - 1)
+    def subsets(df: DataFrame, attrs: Sequence[str], side: str) -> DataFrame:
+        # every mask 1 .. 2^h - 1 names one subset: bit i keeps code i
+        sig, one = F.col(f"heavy_{side}"), F.lit(1).cast("long")
+        masks = F.sequence(one, F.call_function("shiftleft", one, F.size(sig)) - 1)
         picked = F.transform(
             masks,
             lambda m: F.filter(
-                F.col("sig"),
+                sig,
                 lambda _, i: F.call_function("shiftright", m, i).bitwiseAND(F.lit(1)) == 1,
             ),
         )
         return (
-            df.where(small)
+            df.where(F.size(sig) > 0)
+            .groupBy(country, *attrs, f"heavy_{side}")
+            .agg(F.sum(f"n_{side}").alias("n"))
             .select(country, *attrs, "n", F.explode(picked).alias("sub"))
             .groupBy(country, *attrs, "sub")
-            .agg(F.sum("n").alias(name))
+            .agg(F.sum("n").alias(f"n_{side}"))
         )
 
-    by_subset = (
-        subsets(lp, left_attrs, "nl")
-        .join(subsets(rp, right_attrs, "nr"), [country, "sub"])
-        .withColumn(
-            "n_pairs",
-            F.when(F.size("sub") % 2 == 1, F.col("nl") * F.col("nr")).otherwise(
-                -F.col("nl") * F.col("nr")
-            ),
+    product = F.col("n_l") * F.col("n_r")
+    heavy_pairs = (
+        subsets(lp, left_attrs, "l")
+        .join(subsets(rp, right_attrs, "r"), [country, "sub"])
+        .select(
+            country, *left_attrs, *right_attrs,
+            F.when(F.size("sub") % 2 == 1, product).otherwise(-product).alias("n_pairs"),
         )
-        .select(country, *left_attrs, *right_attrs, "n_pairs")
     )
-
-    def one_side(df: DataFrame, attrs: Sequence[str], sig: str, n: str) -> DataFrame:
-        return df.select(
-            country, *attrs, F.col("sig").alias(sig), F.col("n").alias(n), F.explode("sig").alias("code")
+    light_pairs = (
+        lp.withColumn("code", F.explode("light_l"))
+        .join(rp.withColumn("code", F.explode("light_r")), [country, "code"])
+        .where(
+            (F.col("code") == F.array_min(F.array_intersect("light_l", "light_r")))
+            & ~F.arrays_overlap("heavy_l", "heavy_r")
         )
-
-    lp_all, rp_all = one_side(lp, left_attrs, "ls", "nl"), one_side(rp, right_attrs, "rs", "nr")
-    big_left = F.size("ls") > max_subset_codes
-    big_right = F.size("rs") > max_subset_codes
-    long_pairs = (
-        lp_all.where(big_left).join(rp_all, [country, "code"])
-        .unionByName(lp_all.where(~big_left).join(rp_all.where(big_right), [country, "code"]))
-        .select(country, *left_attrs, *right_attrs, "ls", "rs", "nl", "nr")
-        .distinct()
-        .select(country, *left_attrs, *right_attrs, (F.col("nl") * F.col("nr")).alias("n_pairs"))
+        .select(country, *left_attrs, *right_attrs, product.alias("n_pairs"))
     )
     return (
-        by_subset.unionByName(long_pairs)
+        heavy_pairs.unionByName(light_pairs)
         .groupBy(country, *left_attrs, *right_attrs)
         .agg(F.sum("n_pairs").alias("n_pairs"))
         .where("n_pairs <> 0")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from atlasweave.session import scratch_path
+
 
 def value_counts(df: DataFrame, column: str, name: str = "n_rows") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), F.asc(column))
@@ -41,57 +43,50 @@ def completeness(df: DataFrame, columns: Sequence[str], by: str | None = None, a
     return rows.withColumn("pct", pct)
 
 
+def _found(col: Column) -> Column:
+    """The value, or an error: a quantile outside its bracket must not pass for a missing one."""
+    return F.coalesce(col, F.raise_error(F.lit("a quantile lies outside its approximate bracket")).cast("double"))
+
+
 def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
     """Exact, linearly interpolated quantiles per group -> (group, prob, quantile).
 
     ``percentile`` would hold all distinct values of a group in one task. Here
     each quantile is first bracketed by two approximate quantiles with a known
-    rank error; rows below the bracket are only counted, and just the few values
-    inside it are ranked. Equal values are merged before ranking, so a value
-    that fills a third of the table is one row.
+    rank error. The brackets, a row per group and prob, are written and meet the rows
+    as they lie: what is outside a bracket is counted before anything is shuffled, and
+    just the values inside it, 6 in ``accuracy`` rows, are ranked. Equal values are
+    merged before ranking, so a value that fills a third of the table is one row.
+    Should a quantile lie outside its bracket, the query fails.
     """
     accuracy = 20000
     margin = 3.0 / accuracy
     probs = list(probs)
     marks = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    rows = df.where(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("v"))
+    wanted = [
+        F.struct(F.lit(p).alias("prob"), F.col("m")[i].alias("lo"), F.col("m")[i + len(probs)].alias("hi"))
+        for i, p in enumerate(probs)
+    ]
     brackets = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(value, marks, accuracy).alias("m"),
-        )
-        .select(
-            group, "n",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(p).alias("prob"),
-                            F.col("m")[i].alias("lo"),
-                            F.col("m")[i + len(probs)].alias("hi"),
-                        )
-                        for i, p in enumerate(probs)
-                    ]
-                )
-            ).alias("b"),
-        )
+        rows.groupBy(group)
+        .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", marks, accuracy).alias("m"))
+        .select(group, "n", F.explode(F.array(*wanted)).alias("b"))
         .select(group, "n", "b.*")
     )
-    merged = df.where(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("v")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    # What lies below or above a bracket becomes one counted row each, in the same
-    # pass, so the approximate marks are read exactly once. Of those two rows only
-    # the value next to the bracket can be asked for.
+    path = scratch_path(df.sparkSession, "brackets")  # of a known size, so the optimizer need not deal rows by group
+    brackets.write.parquet(path)
+    brackets = df.sparkSession.read.schema(brackets.schema).parquet(path)
+    # What lies below or above a bracket becomes one counted row each. Of those two
+    # rows only the value next to the bracket can be asked for.
     side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
     counted = (
-        merged.join(brackets, group)
+        rows.join(brackets, group)
         .withColumn("side", side)
-        .groupBy(group, "prob", "n", "side", F.when(F.col("side") == 0, F.col("v")).alias("v"))
-        .agg(F.sum("c").alias("c"), F.min("v").alias("first"), F.max("v").alias("final"))
+        .groupBy(group, "prob", "n", "side", F.when(F.col("side") == 0, F.col("v")).alias("inside"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("first"), F.max("v").alias("final"))
     )
-    upto = Window.partitionBy(group, "prob").orderBy("side", "v")
+    upto = Window.partitionBy(group, "prob").orderBy("side", "inside")
     ranked = counted.withColumn("last", F.sum("c").over(upto)).withColumn("before", F.col("last") - F.col("c"))
     position = F.col("prob") * (F.col("n") - 1)
     low, high = F.floor(position), F.ceil(position)
@@ -108,7 +103,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
         .agg(F.max(at(low)).alias("a"), F.max(at(high)).alias("b"))
         .select(
             group, "prob",
-            (F.col("a") + (F.col("b") - F.col("a")) * (position - low)).alias("quantile"),
+            (_found(F.col("a")) + (_found(F.col("b")) - F.col("a")) * (position - low)).alias("quantile"),
         )
     )
 

@@ -167,7 +167,7 @@ def j13(spark, d):
 
 @query("j14_gazetteer_scan", with_("mapping", "raw_b") + """
 , patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM name_sets) GROUP BY iso3),
-hits AS (SELECT DISTINCT event_id, iso3, unnest(regexp_extract_all(lower(text), p)) AS low FROM raw_b JOIN patterns ON iso3 = CASE iso_raw WHEN 'HKG' THEN 'CHN' WHEN 'MAC' THEN 'CHN' WHEN 'XKX' THEN 'XKO' ELSE iso_raw END)
+hits AS (SELECT DISTINCT event_id, iso3, unnest(regexp_extract_all(lower(text), p)) AS low FROM raw_b JOIN patterns ON iso3 = CASE iso_raw WHEN 'HKG' THEN 'CHN' WHEN 'MAC' THEN 'CHN' WHEN 'ANT' THEN 'NLD' WHEN 'AB9' THEN 'SDN' WHEN 'XKX' THEN 'XKO' ELSE iso_raw END)
 SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN name_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name)""")
 def j14(spark, d):
     raw = codes.remap_countries(

@@ -281,11 +281,11 @@ histogram AS (
 
 _MAPPING = f"""mapping AS (
   SELECT {case_codes('c_nationkey', SPECIAL_CODES)} AS iso3, (c_nationkey * 100 + ascii(c_mktsegment))::BIGINT AS seq,
-    'Country ' || c_nationkey AS main0, 'Land ' || c_nationkey AS alt0, 'NATION_' || c_nationkey AS main1,
-    'Nat ' || c_nationkey || '|Great Nat ' || c_nationkey AS alt1, NULL::VARCHAR AS local1,
+    'Country ' || c_nationkey AS main0, 'Land ' || c_nationkey AS alt0, CASE WHEN c_nationkey > 5 THEN 'NATION_' ELSE 'Hinterland ' END || c_nationkey AS main1,
+    CASE WHEN c_nationkey > 5 THEN 'Nat ' || c_nationkey || '|Great Nat ' || c_nationkey ELSE 'Far Land ' || c_nationkey END AS alt1, NULL::VARCHAR AS local1,
     {initcap('c_mktsegment')} || ' District' AS main2, lower(c_mktsegment) || '|Old ' || lower(c_mktsegment) || ' town' AS alt2,
     CASE WHEN c_nationkey % 2 = 0 THEN 'L' || lower(c_mktsegment) END AS local2
-  FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer) WHERE c_nationkey > 5),
+  FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer)),
 main_country AS (SELECT iso3, arg_min(main0, seq) AS main0 FROM mapping GROUP BY iso3),
 name_sets AS (
   SELECT DISTINCT iso3, level, trim(name) AS name FROM (

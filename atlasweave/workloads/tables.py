@@ -332,14 +332,14 @@ def country_code(nation: str, codes: list[str]) -> Column:
 
 
 def place_mapping(spark: SparkSession, d: str) -> DataFrame:
-    """The place mapping: a row per (nation, market segment)."""
+    """The place mapping: a row per (nation, market segment); texts do not use the names of the first nations."""
     pairs = table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
-    return pairs.where("c_nationkey > 5").selectExpr(
+    return pairs.selectExpr(
         f"{code_sql('c_nationkey', SPECIAL_CODES)} AS iso3",
         "CAST(c_nationkey * 100 + ascii(c_mktsegment) AS BIGINT) AS seq",
         "concat('Country ', c_nationkey) AS main0", "concat('Land ', c_nationkey) AS alt0",
-        "concat('NATION_', c_nationkey) AS main1",
-        "concat('Nat ', c_nationkey, '|Great Nat ', c_nationkey) AS alt1", "CAST(NULL AS STRING) AS local1",
+        "concat(CASE WHEN c_nationkey > 5 THEN 'NATION_' ELSE 'Hinterland ' END, c_nationkey) AS main1",
+        "CASE WHEN c_nationkey > 5 THEN concat('Nat ', c_nationkey, '|Great Nat ', c_nationkey) ELSE concat('Far Land ', c_nationkey) END AS alt1", "CAST(NULL AS STRING) AS local1",
         "concat(initcap(c_mktsegment), ' District') AS main2",
         "concat(lower(c_mktsegment), '|Old ', lower(c_mktsegment), ' town') AS alt2",
         "CASE WHEN c_nationkey % 2 = 0 THEN concat('L', lower(c_mktsegment)) END AS local2",

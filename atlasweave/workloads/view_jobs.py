@@ -75,6 +75,26 @@ def m13(spark, d):
     return wide.select("gid", "admin_level", "date", *[F.round(f"`{c}`", 4).alias(c) for c in _ALL.values()])
 
 
+_SHOWN = [c for c in views.EVENT_LABELS if c not in _ARRAYS and c not in ("iso3_code", "start_date")]
+
+
+@query("m16_country_event_view", with_("obs", "ev") + f"""
+, s AS (SELECT gid, admin_level, date, dataset, variable, {SELECTED} AS v FROM obs),
+w AS (SELECT gid, admin_level, date, """ + ", ".join(
+    f"round(max(CASE WHEN dataset = '{ds}' AND variable = '{v}' THEN v END), 4) AS \"{label}\"" for (ds, v), label in _ALL.items()) + """ FROM s GROUP BY ALL)
+SELECT coalesce(w.gid, e.iso3_code) AS gid, w.admin_level, coalesce(w.date, e.start_date) AS date, """ + ", ".join(
+    f'"{label}"' for label in _ALL.values()) + ", " + ", ".join(f'{"NULL::VARCHAR" if c in _ABSENT else "e." + c} AS "{views.EVENT_LABELS[c]}"' for c in _SHOWN) + """
+FROM w FULL JOIN ev e ON w.gid = e.iso3_code AND w.date = e.start_date""")
+def m16(spark, d):
+    """All variables of all datasets with the labelled events of the country and date."""
+    wide = views.combined_view(t.observations(spark, d), _ALL)
+    shown = t.events(spark, d).select("iso3_code", "start_date", *[F.col(c).alias(views.EVENT_LABELS[c]) for c in _SHOWN])
+    both = views.country_event_view(wide, shown)
+    return both.select(
+        "gid", "admin_level", "date", *[F.round(f"`{c}`", 4).alias(c) for c in _ALL.values()],
+        *[F.col(f"`{views.EVENT_LABELS[c]}`") for c in _SHOWN])
+
+
 def _wide(number: int, index: int) -> None:
     dataset, labels = DATASETS[index], {v: v for v in _variables(index)}
     sql = with_("obs") + f", s AS (SELECT gid, admin_level, date, variable, dataset, {SELECTED} AS v FROM obs WHERE dataset = '{dataset}') SELECT gid, admin_level, date, " + ", ".join(

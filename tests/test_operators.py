@@ -45,7 +45,7 @@ def test_dense_id_has_no_gaps(spark):
 def _random_events(rng, n, n_codes, hot):
     out = []
     for i in range(n):
-        picked = {f"c{rng.randrange(n_codes)}" for _ in range(rng.randrange(4))}
+        picked = {f"c{rng.randrange(n_codes)}" for _ in range(rng.choice([0, 1, 2, 3, 12]))}
         if rng.random() < hot:
             picked.add("hot")
         listed = sorted(picked) or (None if rng.random() < 0.5 else [])
@@ -53,7 +53,7 @@ def _random_events(rng, n, n_codes, hot):
     return out
 
 
-@pytest.mark.parametrize("limit", [1, 2, 8])
+@pytest.mark.parametrize("limit", [1, 2, 8, 400, 10**9])
 def test_pair_counts_match_brute_force(spark, limit):
     rng = random.Random(limit)
     a, b = _random_events(rng, 120, 25, 0.35), _random_events(rng, 90, 25, 0.35)
@@ -63,7 +63,7 @@ def test_pair_counts_match_brute_force(spark, limit):
             want[(x[1], x[2], y[2])] = want.get((x[1], x[2], y[2]), 0) + 1
     left = spark.createDataFrame(a, "event_id int, iso string, a_type string, glide array<string>")
     right = spark.createDataFrame(b, "event_id int, iso string, b_type string, glide array<string>")
-    got = codes.code_pair_counts(left, right, "event_id", "glide", "iso", ["a_type"], ["b_type"], max_subset_codes=limit)
+    got = codes.code_pair_counts(left, right, "event_id", "glide", "iso", ["a_type"], ["b_type"], light=limit)
     assert {(r["iso"], r["a_type"], r["b_type"]): r["n_pairs"] for r in got.collect()} == want
 
 
@@ -159,6 +159,13 @@ def test_exact_quantiles(spark, kind):
         assert got[p] == pytest.approx(np.quantile(values, p), abs=1e-9)
 
 
+def test_quantile_outside_its_bracket_fails(spark):
+    df = spark.createDataFrame([(None,), (1.0,)], "v double")
+    assert df.where("v = 1").select(summaries._found(F.col("v")).alias("v")).first()["v"] == 1.0
+    with pytest.raises(Exception, match="outside its approximate bracket"):
+        df.select(summaries._found(F.col("v"))).collect()
+
+
 def test_completeness(spark):
     df = spark.createDataFrame([("A", None, ["x"]), ("A", 1, []), ("B", 2, None)], "source string, n int, l array<string>")
     got = {(r["subset"], r["column_name"]): (r["total"], r["non_null"], r["pct"]) for r in summaries.completeness(df, ["n", "l"], "source").collect()}
