@@ -35,7 +35,7 @@ from atlasweave.llm.catalog import query, table
 #: A portion ends at so many tokens of text or distinct pieces.
 PORTION_TOKENS, PORTION_PIECES = 4_000_000, 700_000
 #: The same for units, which hold white space and are encoded by way of their pieces.
-PORTION_UNITS = 220_000
+UNIT_TOKENS, PORTION_UNITS = 500_000, 80_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -327,7 +327,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = Merges(ranks.value)
         split, pieces_of = units(regex.compile(pattern).findall)
-        portions = Portions(split, lambda fresh: encode_units(fresh, pieces_of, merges), PORTION_TOKENS // 3, PORTION_UNITS)
+        portions = Portions(split, lambda fresh: encode_units(fresh, pieces_of, merges), UNIT_TOKENS, PORTION_UNITS)
         rows = ((key, ids.astype("<u4").tobytes()) for key, ids in portions.over(texts(batches, [])))
         yield from packed(rows, [arrow_id, pa.binary()], ["doc_id", "ids"])
 
