@@ -1,17 +1,16 @@
 """Quality classification by the perplexity of a Kneser-Ney model of trusted text.
 
-1. Vocabulary: the words (between white space) that make up at least ``share`` of all
-   words of all documents, hence at most 1 / share. Tasks first count hash buckets, of
-   which only heavy ones can hold such a word, then the words in heavy buckets.
-2. Every text becomes a sequence of word numbers, all other words being one unknown
-   word, whose probability is shared evenly by ``unknown_words``.
-3. Trigrams of trusted documents (labelled quality 1, in four of five folds) are
+1. Every text becomes a sequence of words (between white space), each as 64 bits of hash.
+   The vocabulary is every word of trusted text, however rare; what that leaves to
+   words without a count is shared evenly by the vocabulary and ``UNKNOWN_WORDS`` others.
+2. Trigrams of trusted documents (labelled quality 1, in four of five folds) are
    counted, and the tables of an interpolated modified Kneser-Ney model derived from
-   them: continuation counts, contexts, discounts from counts of counts.
-4. Documents lie in shards of a bounded number of words. The distinct trigrams of
-   each shard are joined with the count tables, and the answers go back to the shard,
+   them: continuation counts, contexts, discounts from counts of counts. N-grams of all
+   orders are rows of one table, keyed by their hashes.
+3. Documents lie in shards of a bounded number of words. The distinct n-grams of
+   each shard are joined with that table, and the answers go back to the shard,
    in which each document adds up its bits.
-5. Thresholds: per language, a quantile of the bits per word of the trusted documents
+4. Thresholds: per language, a quantile of the bits per word of the trusted documents
    in the fifth fold, which were not counted. Few words say little, so a document's
    mean is drawn to the language's by ``steady`` words.
 
@@ -42,15 +41,23 @@ from atlasweave.llm.catalog import query, table
 from atlasweave.llm.language_id import remainder
 from atlasweave.llm.stored import stored
 
-SHARE = 2e-4
 BUCKETS = 1 << 16
 UNKNOWN_WORDS = 1 << 20
-SHARD_WORDS = 8_000_000
+SHARD_WORDS = 2_000_000
 FOLDS = 5
 QUANTILE = 0.999
 STEADY = 20
 BINS = 256  # of a bit
-_FIELD = 20  # bits of a word number in a packed n-gram
+_FIELD = 20  # bits of a small word number in a packed n-gram
+
+
+def word_id(word: str) -> int:
+    """64 bits of a word, never 0."""
+    return xxh64_intdigest(word) or 1
+
+
+#: Stands before the first word of a text; no word has white space.
+BEGIN = word_id(" ")
 
 
 def _bucket(word: str) -> int:
@@ -71,7 +78,7 @@ def _counted(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator
     yield held
 
 
-def vocabulary(docs: DataFrame, share: float = SHARE) -> tuple[list[str], int]:
+def vocabulary(docs: DataFrame, share: float) -> tuple[list[str], int]:
     """(words that make up at least ``share`` of all words, number of all words)."""
     texts = docs.select(F.col("text").cast("binary").alias("text"))
 
@@ -99,22 +106,28 @@ def vocabulary(docs: DataFrame, share: float = SHARE) -> tuple[list[str], int]:
     return sorted(r["word"] for r in found.select("word").collect()), number  # 1 / share words at most
 
 
-def numbered(docs: DataFrame, words: list[str]) -> DataFrame:
-    """(doc_id, lang, n_words, ids): ids are compressed 16-bit numbers, 0 for unknown words."""
+def numbered(docs: DataFrame, words: list[str] | None = None) -> DataFrame:
+    """(doc_id, lang, n_words, ids): ids are compressed 64-bit hashes of words; 0 for what is not in ``words``, if given."""
     shipped = docs.sparkSession.sparkContext.broadcast(words)
     kind = docs.schema["doc_id"].dataType
     arrow_id = to_arrow_type(kind)
 
     def run(batches):
-        number = {w: k for k, w in enumerate(shipped.value, 1)}
+        only = None if shipped.value is None else set(shipped.value)
+        known: dict[str, int] = {}
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
                 sizes, packed = [], []
+                if len(known) > 500_000:
+                    known.clear()
                 for text in part.column(2):
                     own = text.as_py().decode("utf-8", "replace").split() if text.is_valid else []
-                    ids = np.array([number.get(w, 0) for w in own], np.uint16)
+                    for w in own:
+                        if w not in known:
+                            known[w] = word_id(w) if only is None or w in only else 0
+                    ids = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
                     sizes.append(len(ids))
                     packed.append(packer.compress(ids.tobytes()))
                 yield pa.RecordBatch.from_arrays(
@@ -128,26 +141,69 @@ def numbered(docs: DataFrame, words: list[str]) -> DataFrame:
 
 
 def trigrams(ids: np.ndarray, begin: int) -> np.ndarray:
-    """Packed trigrams that end at each word; ``begin`` goes twice before the first."""
+    """Trigrams of small word numbers, packed, that end at each word; ``begin`` goes twice before the first."""
     x = np.concatenate([[begin, begin], ids.astype(np.int64)])
     return (x[:-2] << 2 * _FIELD) | (x[1:-1] << _FIELD) | x[2:]
 
 
-def _distinct(packed: list[bytes], begin: int) -> tuple[np.ndarray, np.ndarray]:
+def chained(x: np.ndarray, seed) -> np.ndarray:
+    """Spark's xxhash64 of a long: that of two columns is chained(second, chained(first, 42))."""
+    one, two, three, four, five = (np.uint64(k) for k in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def rolled(v, k):
+        return (v << np.uint64(k)) | (v >> np.uint64(64 - k))
+
+    h = np.zeros(len(x), np.uint64) + seed + five + np.uint64(8)
+    h ^= rolled(x * two, 31) * one
+    h = rolled(h, 27) * one + four
+    h ^= h >> np.uint64(33)
+    h *= two
+    h ^= h >> np.uint64(29)
+    h *= three
+    return h ^ (h >> np.uint64(32))
+
+
+def grams(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Keys of the context (a, b), the trigram and the bigram (b, w); words are their own keys."""
+    seed = np.uint64(42)
+    before = chained(b, chained(a, seed))
+    return before, chained(w, before), chained(w, chained(b, seed))
+
+
+_EDGE = [np.full(1, BEGIN, np.uint64), grams(*np.full((3, 1), BEGIN, np.uint64))[0]]
+
+
+def _words(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, w): every word w of the documents with the two before it."""
     unpack = zstandard.ZstdDecompressor().decompress
-    found = [trigrams(np.frombuffer(unpack(p), np.uint16), begin) for p in packed]
-    return np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+    edge = np.full(2, BEGIN, np.uint64)
+    found = [np.concatenate([edge, np.frombuffer(unpack(p), np.uint64)]) for p in packed]
+    if not found:
+        return (np.empty(0, np.uint64),) * 3
+    x = np.concatenate([*found, edge])
+    first = np.cumsum([0] + [len(f) for f in found[:-1]])
+    real = np.ones(len(x), bool)
+    real[first] = real[first + 1] = real[-2:] = False
+    at = np.flatnonzero(real)
+    return x[at - 2], x[at - 1], x[at]
 
 
-def counted_trigrams(rows: DataFrame, begin: int) -> DataFrame:
-    """(key, c): how often each trigram occurs in ``rows`` (ids)."""
+def _longs(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
+
+
+def counted_trigrams(rows: DataFrame) -> DataFrame:
+    """(a, b, w, c): how often each trigram occurs in ``rows`` (ids)."""
 
     def run(batches):
         for batch in batches:
-            keys, n = _distinct([x.as_py() for x in batch.column(0)], begin)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "c"])
+            for start in range(0, batch.num_rows, 1024):
+                a, b, w = _words([x.as_py() for x in batch.slice(start, 1024).column(0)])
+                _, at, n = np.unique(grams(a, b, w)[1], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([_longs(a[at]), _longs(b[at]), _longs(w[at]), pa.array(n.astype(np.int64))], ["a", "b", "w", "c"])
 
-    return rows.select("ids").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    return rows.select("ids").mapInArrow(run, "a long, b long, w long, c long").groupBy("a", "b", "w").agg(F.sum("c").alias("c"))
 
 
 def _discounts(counts: DataFrame, c: str) -> list[float]:
@@ -161,76 +217,106 @@ def _discounts(counts: DataFrame, c: str) -> list[float]:
     return [float(min(max(d, 0.05), k - 0.05)) for k, d in enumerate(raw, 1)]
 
 
-def _discounted(c: str, d: list[float]):
-    """Count less its discount."""
-    col = F.col(c)
-    return col - F.when(col == 1, d[0]).when(col == 2, d[1]).otherwise(d[2])
-
+def model(counts: DataFrame, words: int | None = None) -> tuple[DataFrame, float, float]:
+    """Tables of the model of ``counts`` (a, b, w, c): (key, own, total, left), count of words in contexts, share of an unknown word.
 
-def _contexts(rows: DataFrame, context: str, c: str, d: list[float], name: str) -> DataFrame:
-    """Total of each context and the weight that its discounts leave to the next shorter one."""
-    col = F.col(c)
-    left = F.sum(F.when(col == 1, d[0]).when(col == 2, d[1]).otherwise(d[2]))
-    return rows.groupBy(context).agg(F.sum(c).alias(f"total{name}"), left.alias("left")).select(
-        F.col(context).alias(f"of{name}"), f"total{name}", (F.col("left") / F.col(f"total{name}")).alias(f"weight{name}"))
+    A row per n-gram: ``own`` is its count less its discount, ``total`` what it has as a
+    context, and ``left`` what discounts leave of that to the next shorter context.
+    """
+    c2 = stored(counts.groupBy("b", "w").agg(F.count(F.lit(1)).alias("c")), "kn-2")
+    c1 = stored(c2.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "kn-1")
+
+    def parts(table, key, context=None):
+        d = _discounts(table, "c")
+        off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+        zero = F.lit(0.0)
+        own = table.select(key.alias("key"), (F.col("c") - off).alias("own"), zero.alias("total"), zero.alias("left"))
+        if context is None:
+            return own, table.agg(F.sum("c").alias("total"), F.sum(off).alias("left")).first()
+        return own, table.groupBy(context.alias("key")).agg(F.sum("c").cast("double").alias("total"), F.sum(off).alias("left")).select(
+            "key", zero.alias("own"), "total", "left")
+
+    own3, of3 = parts(counts, F.xxhash64("a", "b", "w"), F.xxhash64("a", "b"))
+    own2, of2 = parts(c2, F.xxhash64("b", "w"), F.col("b"))
+    own1, whole = parts(c1, F.col("w"))
+    if words is None:
+        words = c1.where("w <> 0").count()
+    total, left = float(whole["total"] or 0), float(whole["left"] or 0)
+    short = own1.unionByName(own2).unionByName(of2).unionByName(of3).groupBy("key").agg(*[F.sum(x).alias(x) for x in ("own", "total", "left")])
+    rows = short.unionByName(own3).select("key", *[F.col(x).cast("float").alias(x) for x in ("own", "total", "left")])
+    return rows, total or 1.0, (left / total if total else 1.0) / (words + UNKNOWN_WORDS)
+
+
+def code_lengths(a: np.ndarray, b: np.ndarray, w: np.ndarray, answers: pa.Table, total: float, even: float) -> np.ndarray:
+    """Bits of each word w after a and b; ``answers`` are the rows of the model that they have."""
+    keys = answers.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys = np.concatenate([keys[order], np.zeros(1, np.uint64)])
+    held = {x: np.concatenate([answers.column(x).to_numpy()[order], np.zeros(1, np.float32)]) for x in ("own", "total", "left")}
+
+    def place(asked):  # the last place stands for what the model does not have
+        at = np.searchsorted(keys[:-1], asked)
+        return np.where(keys[at] == asked, at, len(keys) - 1)
+
+    def step(of, context, shorter):
+        all_of = held["total"][context].astype(np.float64)
+        seen = all_of > 0
+        all_of[~seen] = 1
+        return held["own"][of] / all_of + np.where(seen, held["left"][context] / all_of, 1.0) * shorter
+
+    before, whole, end = (place(x) for x in grams(a, b, w))
+    p = held["own"][place(w)] / total + even * np.where(w == 0, UNKNOWN_WORDS, 1)
+    p = step(whole, before, step(end, place(b), p))
+    return np.where(w == 0, np.log2(UNKNOWN_WORDS), 0.0) - np.log2(p)
 
 
 def with_bits(keys: DataFrame, counts: DataFrame, words: int) -> DataFrame:
-    """``keys`` (key) with ``bits``, their code length under the model of ``counts`` (key, c)."""
-    low, pair = (1 << _FIELD) - 1, (1 << 2 * _FIELD) - 1
-    end2 = F.col("key").bitwiseAND(F.lit(pair))
-    c3 = counts
-    c2 = stored(c3.groupBy(end2.alias("key2")).agg(F.count(F.lit(1)).alias("c2")), "kn-2")
-    c1 = stored(c2.groupBy(F.col("key2").bitwiseAND(F.lit(low)).alias("key1")).agg(F.count(F.lit(1)).alias("c1")), "kn-1")
-    d3, d2, d1 = _discounts(c3, "c"), _discounts(c2, "c2"), _discounts(c1, "c1")
-    of3 = _contexts(c3.withColumn("ctx", F.shiftright("key", _FIELD)), "ctx", "c", d3, "3")
-    of2 = _contexts(c2.withColumn("ctx", F.shiftright("key2", _FIELD)), "ctx", "c2", d2, "2")
-    whole = c1.agg(F.sum("c1").alias("t"), F.sum(F.col("c1") - _discounted("c1", d1)).alias("left")).first()
-    total, left = float(whole["t"] or 0), float(whole["left"] or 0)
-    even = (left / total if total else 1.0) / (words + 1)
-    asked = keys.select(
-        "key", end2.alias("k2"), F.shiftright("key", _FIELD).alias("x3"),
-        F.shiftright(end2, _FIELD).alias("x2"), F.col("key").bitwiseAND(F.lit(low)).alias("k1"))
-    got = asked.join(c3.select(F.col("key").alias("k3"), "c"), F.col("key") == F.col("k3"), "left")
-    got = got.join(of3, F.col("x3") == F.col("of3"), "left").join(c2, F.col("k2") == F.col("key2"), "left")
-    # One row per word of the vocabulary on these sides, whose size is bounded.
-    got = got.join(F.broadcast(of2), F.col("x2") == F.col("of2"), "left").join(F.broadcast(c1), F.col("k1") == F.col("key1"), "left")
-    p1 = F.coalesce(_discounted("c1", d1) / F.lit(total or 1.0), F.lit(0.0)) + F.lit(even)
-    p2 = F.coalesce(_discounted("c2", d2) / F.col("total2"), F.lit(0.0)) + F.coalesce("weight2", F.lit(1.0)) * p1
-    p3 = F.coalesce(_discounted("c", d3) / F.col("total3"), F.lit(0.0)) + F.coalesce("weight3", F.lit(1.0)) * p2
-    unknown = F.when(F.col("k1") == 0, F.lit(float(np.log2(UNKNOWN_WORDS)))).otherwise(0.0)
-    return got.select("key", (unknown - F.log2(p3)).cast("float").alias("bits"))
-
-
-def scored(docs: DataFrame, labels: DataFrame, share: float = SHARE, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(doc_id, lang, n_words, total_bits, trusted, held) of every row of ``docs``."""
-    words, number = vocabulary(docs, share)
-    begin = len(words) + 1
-    shards = max(1, -(-number // shard_words))
+    """``keys`` (packed trigrams of small word numbers) with ``bits``, for a model of ``counts`` (key, c) that one process holds."""
+    low = F.lit((1 << _FIELD) - 1)
+    split = [F.shiftright("key", k * _FIELD).bitwiseAND(low).alias(x) for k, x in ((2, "a"), (1, "b"), (0, "w"))]
+    rows, total, even = model(stored(counts.select(*split, "c"), "trigrams"), words)
+    answers = rows.toArrow()
+
+    def run(batches):
+        for batch in batches:
+            a, b, w = (batch.column(k).to_numpy().astype(np.uint64) for k in (1, 2, 3))
+            bits = code_lengths(a, b, w, answers, total, even)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.astype(np.float32))], ["key", "bits"])
+
+    return keys.select("key", *split).mapInArrow(run, "key long, bits float")
+
+
+def scored(docs: DataFrame, labels: DataFrame, share: float | None = None, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(doc_id, lang, n_words, total_bits, trusted, held) of every row of ``docs``.
+
+    With ``share``, words that are not that common are one word, 0; without, every word of trusted text counts.
+    """
     good = labels.groupBy(F.col("doc_id").alias("__id")).agg((F.max("quality") == 1).alias("trusted"))
-    rows = numbered(docs, words).join(good, F.col("doc_id") == F.col("__id"), "left").select(
-        F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int").alias("shard"), "doc_id", "lang", "n_words", "ids",
+    rows = numbered(docs, None if share is None else vocabulary(docs, share)[0])
+    rows = rows.join(good, F.col("doc_id") == F.col("__id"), "left").select(
+        "doc_id", "lang", "n_words", "ids",
         F.coalesce("trusted", F.lit(False)).alias("trusted"), F.coalesce(remainder(F.col("doc_id"), FOLDS) == FOLDS - 1, F.lit(False)).alias("held"))
     rows = stored(rows, "numbered")
-    counts = stored(counted_trigrams(rows.where("trusted AND NOT held"), begin), "trigrams")
+    shards = max(1, -(-(rows.agg(F.sum("n_words").alias("n")).first()["n"] or 0) // shard_words))
+    known, whole, even = model(stored(counted_trigrams(rows.where("trusted AND NOT held")), "trigrams"))
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int").alias("shard"), "*")
 
     def wanted(key, table):
-        keys, _ = _distinct([x.as_py() for x in table.column("ids")], begin)
-        return pa.table({"shard": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "key": pa.array(keys)})
+        a, b, w = _words([x.as_py() for x in table.column("ids")])
+        _, tri, two = grams(a, b, w)
+        # Every context is also a bigram or begins a document.
+        keys = np.unique(np.concatenate([w, two, tri, *_EDGE]))
+        return pa.table({"shard": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "key": _longs(keys)})
 
     def total(key, docs, answers):
-        order = np.argsort(keys := answers.column("key").to_numpy())
-        keys, bits = keys[order], answers.column("bits").to_numpy().astype(np.float64)[order]
-        unpack = zstandard.ZstdDecompressor().decompress
-        sums = []
-        for packed in docs.column("ids"):
-            own = trigrams(np.frombuffer(unpack(packed.as_py()), np.uint16), begin)
-            sums.append(float(bits[np.searchsorted(keys, own)].sum()) if len(own) else 0.0)
-        return docs.drop_columns(["shard", "ids"]).append_column("total_bits", pa.array(sums, pa.float64()))
-
-    asked = stored(rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "shard int, key long"), "asked")
-    bits = with_bits(asked.select("key").distinct(), counts, len(words)).withColumnRenamed("key", "answer")
-    answers = asked.join(bits, F.col("key") == F.col("answer")).select("shard", "key", "bits")
+        parts, sizes = docs.column("ids").to_pylist(), docs.column("n_words").to_numpy()
+        bits = code_lengths(*_words(parts), answers, whole, even)
+        ends = np.cumsum(sizes)
+        sums = np.concatenate([[0.0], np.cumsum(bits)])
+        return docs.drop_columns(["shard", "ids"]).append_column("total_bits", pa.array(sums[ends] - sums[ends - sizes], pa.float64()))
+
+    asked = rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "shard int, key long")
+    answers = asked.withColumnRenamed("key", "asked").join(known, F.col("asked") == F.col("key")).select("shard", "key", "own", "total", "left")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
         total, f"doc_id {kind}, lang string, n_words long, trusted boolean, held boolean, total_bits double")

@@ -346,6 +346,25 @@ def test_quality(spark, odd, empty):
     assert quality.accepted(odd, nothing(spark, "doc_id long, quality int")).count() == odd.count()
 
 
+def test_every_trusted_word_is_known(spark):
+    """30,000 words, none of which is common: documents of words that trusted text has cost less than others in every language."""
+    rng = random.Random(11)
+    own = {"en": [f"w{k}" for k in range(27_000)], "fi": [f"s{k}" for k in range(3_000)]}
+    texts, langs = [], {}
+    for lang, n in (("en", 90), ("fi", 10)):
+        for _ in range(n):
+            langs[len(texts)] = lang
+            texts.append(" ".join(rng.sample(own[lang], 1_500)))
+    for lang in ("en", "fi"):
+        for known in (True, False):
+            langs[len(texts)] = lang
+            texts.append(" ".join(w if known else "no" + w for w in rng.sample(own[lang], 1_500)))
+    labels = spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["total_bits"] / r["n_words"] for r in quality.scored(frame(spark, texts, langs=langs), labels, shard_words=20_000).collect()}
+    assert len(got) == 104
+    assert got[100] + 3 < got[101] and got[102] + 3 < got[103]
+
+
 # passages
 
 def test_compact_windows_are_those_of_the_definition():
