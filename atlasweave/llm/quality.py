@@ -12,7 +12,9 @@
    in which each document adds up its bits.
 4. Thresholds: per language, a quantile of the bits per word of the trusted documents
    in the fifth fold, which were not counted. Few words say little, so a document's
-   mean is drawn to the language's by ``steady`` words.
+   mean is drawn to the language's by ``steady`` words; few documents carry no quantile,
+   so the threshold is drawn to the language's mean plus the quantile over all languages
+   of how far documents are above theirs, by as many as have ``BEYOND`` beyond it.
 
 All statistics cover all documents and grow with them.
 
@@ -45,7 +47,8 @@ BUCKETS = 1 << 16
 UNKNOWN_WORDS = 1 << 20
 SHARD_WORDS = 2_000_000
 FOLDS = 5
-QUANTILE = 0.999
+QUANTILE = 0.99
+BEYOND = 5
 STEADY = 20
 BINS = 256  # of a bit
 _FIELD = 20  # bits of a small word number in a packed n-gram
@@ -349,7 +352,15 @@ def assessed(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, ste
 
     total = bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("one", F.lit(1))
     top = reached(total, ["one"]).first()
-    limits = stored(reached(bins, ["lang"]).select(F.col("lang").alias("t_lang"), "threshold"), "quality-limits")
+    above = bins.join(mean, F.col("lang") == F.col("m_lang")).withColumn("one", F.lit(1))
+    above = above.groupBy("one", F.ceil(F.col("bin") - F.col("mean") * BINS).alias("bin")).agg(F.sum("n").alias("n"))
+    spread = reached(above, ["one"]).first()
+    spread = float(spread["threshold"]) if spread else 0.0
+    sizes = bins.groupBy(F.col("lang").alias("s_lang")).agg(F.sum("n").alias("size"))
+    own = reached(bins, ["lang"]).join(sizes, F.col("lang") == F.col("s_lang")).join(mean, F.col("lang") == F.col("m_lang"))
+    carried = F.col("size") / (F.col("size") + F.lit(BEYOND / max(1 - quantile, 1e-9)))
+    limits = stored(own.select(F.col("lang").alias("t_lang"), (carried * F.col("threshold") + (1 - carried) * (F.col("mean") + spread)).alias("threshold")),
+                    "quality-limits")
     rows = per_word(rows).join(limits, F.col("lang") == F.col("t_lang"), "left")
     limit = F.coalesce("threshold", F.lit(float(top["threshold"]) if top else float("inf")))
     return rows.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), "n_words", "bits", limit.alias("threshold"),

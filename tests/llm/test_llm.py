@@ -365,6 +365,19 @@ def test_every_trusted_word_is_known(spark):
     assert got[100] + 3 < got[101] and got[102] + 3 < got[103]
 
 
+def test_threshold_is_no_maximum(spark, monkeypatch):
+    """One bad label in two hundred does not set a threshold, nor does the only held-out document of a language."""
+    kind = "doc_id long, lang string, n_words long, trusted boolean, held boolean, total_bits double"
+    rng = random.Random(12)
+    bits = [rng.gauss(10, 0.5) for _ in range(400)] + [30.0, 30.0]
+    rows = [(k, "en", 1000, True, True, 1000 * x) for k, x in enumerate(bits)]
+    rows += [(1000, "fi", 1000, True, True, 12_000.0), (1001, "fi", 1000, False, False, 12_300.0), (1002, "fi", 1000, False, False, 20_000.0)]
+    monkeypatch.setattr(quality, "scored", lambda docs, labels: spark.createDataFrame(rows, kind))
+    got = {r["doc_id"]: r["accepted"] for r in quality.assessed(None, None).collect()}
+    assert sum(got[k] for k in range(400)) >= 394 and not got[400] and not got[401]
+    assert got[1000] and got[1001] and not got[1002]
+
+
 # passages
 
 def test_compact_windows_are_those_of_the_definition():
