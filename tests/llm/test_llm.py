@@ -413,6 +413,20 @@ def test_passages(spark, odd, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_with_wide_gaps_and_edits_near_an_end():
+    shingles = lambda words: passages.Tokens()(" ".join(words).encode())
+    fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
+    own = fresh(80, "p")
+    a = shingles(fresh(30, "a") + own + fresh(30, "b"))
+    b = shingles(fresh(20, "c") + own[:40] + fresh(7, "new") + own[40:] + fresh(20, "d"))
+    assert passages.repeated(a, b, 46) == [(30, 106, 20, 103)] and passages.repeated(b, a, 46) == [(20, 103, 30, 106)]
+    own = fresh(52, "q")
+    a, b = shingles(own), shingles([*own[:2], "other", *own[3:]])
+    assert len(passages.repeated(a, b, 46)) == 1 and len(passages.repeated(b, a, 46)) == 1
+    a, b = (shingles(fresh(30, x) + own[:40] + fresh(30, y)) for x, y in ("ef", "gh"))  # 36 of 56 at best
+    assert passages.repeated(a, b, 46) == []
+
+
 # licenses
 
 def test_patience_alignment():
