@@ -40,6 +40,7 @@ def load_all() -> None:
         language_id,
         licenses,
         passages,
+        periodic_runs,
         quality,
         simhash,
         token_files,
