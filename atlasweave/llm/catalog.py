@@ -43,6 +43,7 @@ def load_all() -> None:
         periodic_runs,
         quality,
         simhash,
+        spelling,
         token_files,
         toxicity,
     )
