@@ -106,14 +106,19 @@ def symbols_for(words: int) -> int:
     return next(s for s in range(4, len(LETTERS) + 1) if s**7 >= words or s == len(LETTERS))
 
 
+def symbol(s: int) -> str:
+    """One of the symbols: a character that needs no escape in SQL."""
+    return chr(ord("0") + s if s < 43 else 0x100 + s)
+
+
 def reduced(word, symbols: int):
     """``word`` with each letter replaced by one of ``symbols`` symbols."""
-    return F.translate(word, "".join(LETTERS), "".join(chr(ord("0") + ord(c) % symbols) for c in LETTERS))
+    return F.translate(word, "".join(LETTERS), "".join(symbol(ord(c) % symbols) for c in LETTERS))
 
 
 def neighbourhood(symbols: int) -> str:
     """All strings one edit from ``short``, itself included, that are not greater than it, as SQL."""
-    alphabet = ", ".join(f"'{chr(ord('0') + s)}'" for s in range(symbols))
+    alphabet = ", ".join(f"'{symbol(s)}'" for s in range(symbols))
     return f"""filter(array_distinct(concat(
         array(short),
         transform(sequence(1, length(short)), i -> concat(left(short, i - 1), substr(short, i + 1))),
