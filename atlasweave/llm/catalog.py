@@ -37,6 +37,7 @@ def load_all() -> None:
         bpe,
         decontaminate,
         exact_dedup,
+        jaccard_join,
         language_id,
         licenses,
         passages,
