@@ -7,16 +7,19 @@ shuffled with the set's size and the n-gram's place, and sets meet where they sh
 
 * length and positional filter: what follows the first shared n-gram must still allow
   the overlap asked for,
-* suffix filter: sets are cut into 16 parts by hash; differences of the sizes of parts
-  bound from below what the sets do not share,
+* suffix filter: sets are cut into 512 parts by hash; parts of which one set has an odd
+  and the other an even number of n-grams bound from below what the sets do not share,
 * what passes is verified once per pair, on the shingles themselves.
 
 Under an n-gram that very many sets share, pairs are not listed. In a first round each
-set is paired with the least set under the n-gram only; what that links are clusters.
-In a second round only sets of *different* clusters are paired: under each n-gram those
-outside its largest cluster with all others. So every pair that passes the filters is
-either verified or inside a cluster already, no link is lost, and a cluster of copies
-costs what it has members, not pairs.
+set is paired with the least set under the n-gram only; what that links are clusters. In a
+second round the clusters under an n-gram that many sets share are connected by a least
+spanning forest of the pairs that pass the filters, the closest first, which joins what
+belongs together. In a third round only sets of *different* clusters are left to pair:
+under each n-gram those outside its largest cluster with all others. So every pair that
+passes the filters is either verified or inside a cluster already, no link is lost, and
+a cluster of copies costs what it has members, not pairs. N-grams with more than
+``CROWD`` sets are compared in blocks inside tasks, from which only pairs that pass leave.
 
 Rare first needs counts of n-grams over all documents. They are taken in a table of
 2^20 buckets by hash, the same at every size; n-grams of one bucket are told apart by
@@ -55,7 +58,10 @@ PERCENT = 85
 #: Buckets in which n-grams are counted: 4 MB in each task, at every size of the input.
 BUCKETS = 1 << 20
 CHUNK = 1 << 16
-PARTS = 16
+PARTS = 512
+#: Sets under one n-gram that are joined row by row; more are compared in blocks of ``BLOCK``.
+CROWD = 64
+BLOCK = 2048
 #: An n-gram with more sets than this, about, is dealt to several tasks.
 HOT = 200_000
 #: Partners of one set that are verified in one go.
@@ -87,28 +93,34 @@ def set_id(grams: np.ndarray) -> int:
     return value - (value >> 63 << 64)
 
 
+def parities(grams: np.ndarray) -> list[int]:
+    """Of each part whether it has an odd number of the n-grams, as bits of eight numbers."""
+    counts = np.bincount((grams >> np.uint64(55)).astype(np.int64), minlength=PARTS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist()
+
+
 def enough(shared, total, percent: int = PERCENT):
     """Whether ``shared`` of two sets with ``total`` n-grams together is the similarity asked for."""
     return (100 + percent) * shared >= percent * total
 
 
 def _scan(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, set, n, parts) of documents and (chunk, counts) of n-gram counts, by task."""
+    """Rows (doc_id, set, n, bits) of documents and (chunk, counts) of n-gram counts, by task."""
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("set", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("parts", T.ArrayType(T.IntegerType())), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+        T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int32)
-        names = ["doc_id", "set", "n", "parts", "chunk", "counts"]
+        names = ["doc_id", "set", "n", "bits", "chunk", "counts"]
         ids = None
         for batch in batches:
-            ids, sets, sizes, parts, held, waiting = batch.column("doc_id"), [], [], [], [], 0
+            ids, sets, sizes, odd, held, waiting = batch.column("doc_id"), [], [], [], [], 0
             for text in batch.column("text"):
                 grams = hashes(text.as_py(), width)
                 sets.append(set_id(grams) if len(grams) else None)
                 sizes.append(len(grams))
-                parts.append(np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=PARTS).tolist())
+                odd.append(parities(grams))
                 held.append((grams & np.uint64(BUCKETS - 1)).astype(np.int64))
                 waiting += len(grams)
                 if waiting > BUCKETS:
@@ -118,13 +130,13 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
                 counts += np.bincount(np.concatenate(held), minlength=BUCKETS).astype(np.int32)
             m = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(parts, pa.list_(pa.int32())),
+                [ids, pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(odd, pa.list_(pa.int64())),
                  pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         if ids is not None:
             m = BUCKETS // CHUNK
             packed = [zlib.compress(counts[i * CHUNK : (i + 1) * CHUNK].astype(np.int64).tobytes(), 1) for i in range(m)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int32())),
+                [pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())),
                  pa.array(range(m), pa.int32()), pa.array(packed, pa.binary())], names)
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
@@ -226,14 +238,95 @@ def _passes(n: Column, pos: Column, other_n: Column, other_pos: Column, percent:
     return F.lit(100 + percent) * F.least(n - pos, other_n - other_pos) >= F.lit(percent) * (n + other_n)
 
 
+def _crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(set, n, pos, label, bits) of each run of rows with one key and part, of which a block is at most twice."""
+    rest: list[np.ndarray] | None = None
+
+    def cut(rows: list[np.ndarray], to: int) -> Iterator[tuple[np.ndarray, ...]]:
+        key, part = rows[0][:to], rows[1][:to]
+        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])])) if to else []
+        for a, b in zip(starts, [*starts[1:], to]):
+            yield tuple(c[a:b] for c in rows[2:])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "set", "n", "pos", "label")]
+        rows.append(batch.column("bits").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, -1))
+        if rest is not None:
+            rows = [np.concatenate([a, b]) for a, b in zip(rest, rows)]
+        last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]))
+        at = last[-1] + 1 if len(last) else 0
+        yield from cut(rows, at)
+        rest = [c[at:] for c in rows]
+    if rest is not None:
+        yield from cut(rest, len(rest[0]))
+
+
+def _near(i: int, others: np.ndarray, n: np.ndarray, pos: np.ndarray, bits: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``others`` pass all filters with row ``i``, and how far they are at least, as a share of both."""
+    total = n[others] + n[i]
+    apart = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
+    ahead = np.minimum(n[others] - pos[others], n[i] - pos[i])
+    return enough(ahead, total, percent) & enough(total - apart, 2 * total, percent), apart / total
+
+
+def _closest(crowd: tuple[np.ndarray, ...], percent: int) -> tuple[list[int], list[int]]:
+    """A least spanning forest of the pairs that pass, sets of one label being connected already."""
+    sets, n, pos, label, bits = crowd
+    one, two = [], []
+    left = np.arange(len(sets))
+    cost, via = np.full(len(sets), np.inf), np.zeros(len(sets), np.int64)
+    while len(left):
+        k = int(np.argmin(cost[left]))
+        i = left[k]
+        if 0 <= cost[i] < np.inf:
+            one.append(int(sets[via[i]]))
+            two.append(int(sets[i]))
+        left = np.delete(left, k)
+        passes, far = _near(i, left, n, pos, bits, percent)
+        reach = np.where(label[left] == label[i], -1.0, np.where(passes, far, np.inf))
+        better = left[reach < cost[left]]
+        cost[better], via[better] = reach[reach < cost[left]], i
+    return one, two
+
+
+def _remaining(crowd: tuple[np.ndarray, ...], percent: int) -> tuple[list[int], list[int]]:
+    """All pairs of different labels that pass."""
+    sets, n, pos, label, bits = crowd
+    one, two = [], []
+    for i in range(len(sets) - 1):
+        others = np.arange(i + 1, len(sets))
+        others = others[label[others] != label[i]]
+        others = others[_near(i, others, n, pos, bits, percent)[0]]
+        one.extend([int(sets[i])] * len(others))
+        two.extend(sets[others].tolist())
+    return one, two
+
+
+def _compared(crowds: DataFrame, how, percent: int) -> DataFrame:
+    """Pairs (a, b) that ``how`` picks of the rows (key, n_sets, set, n, pos, label, bits) under each key, in pairs of blocks."""
+    blocks = F.ceil(F.col("n_sets") / BLOCK)
+    placed = crowds.withColumn("own", F.pmod(F.xxhash64("set"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    placed = placed.select("key", (F.least("own", "other") * blocks + F.greatest("own", "other")).alias("part"), "set", "n", "pos", "label", "bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for crowd in _crowds(batches):
+            one, two = how(crowd, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["one", "two"])
+
+    pairs = placed.repartition("key", "part").sortWithinPartitions("key", "part", "set").mapInArrow(run, "one long, two long")
+    return pairs.select(*_ordered("one", "two")).distinct()
+
+
 def _ordered(one: str, two: str) -> list[Column]:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Of pairs (a, b) of sets, each once, those similar enough; ``sets`` is (set, least_id, n, parts)."""
-    size = [sets.select(F.col("set").alias(k), F.col("n").alias(f"n_{k}"), F.col("parts").alias(f"parts_{k}")) for k in "ab"]
-    apart = F.expr("aggregate(zip_with(parts_a, parts_b, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
+    """Of pairs (a, b) of sets, each once, those similar enough; ``sets`` is (set, least_id, n, bits)."""
+    size = [sets.select(F.col("set").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "ab"]
+    apart = F.expr("aggregate(zip_with(bits_a, bits_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
     total = F.col("n_a") + F.col("n_b")
     chosen = stored(pairs.join(size[0], "a").join(size[1], "b").where(enough((total - apart) / 2, total, percent)).select("a", "b"), "candidates")
     needed = chosen.select(F.col("a").alias("set")).union(chosen.select("b")).distinct().join(sets, "set").select(
@@ -282,9 +375,9 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int = WI
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     scan = stored(_scan(docs, width), "sets")
-    rows = scan.where("chunk IS NULL").select("doc_id", "set", "n", "parts")
+    rows = scan.where("chunk IS NULL").select("doc_id", "set", "n", "bits")
     sets = stored(rows.where("set IS NOT NULL").groupBy("set").agg(
-        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("parts").alias("parts")), "distinct-sets")
+        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "distinct-sets")
     counts = bucket_counts(scan.where("chunk IS NOT NULL"))
     placed = _prefixes(docs, counts, width, percent, hot).withColumn("salt", F.pmod("set", "salts").cast("int"))
     met = stored(placed.repartition("key", "salt").sortWithinPartitions("key", "salt", "set").mapInArrow(
@@ -300,19 +393,33 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
         F.col("n"), F.col("pos"), F.col("head_n"), F.col("head_pos"), percent)).select(*_ordered("set", "head")).distinct(), "stars")
     links = verified(tried, docs, sets, width, percent)
 
-    # What is in different clusters and shares a prefix n-gram.
-    clusters = components(links).select(F.col("node").alias("member"), "root")
-    labelled = met.select("key", "set", "n", "pos").distinct().join(clusters, F.col("set") == F.col("member"), "left").select(
-        "key", "set", "n", "pos", F.coalesce("root", "set").alias("label"))
-    labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-        F.max(F.struct("c", "label")).alias("largest"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select(
-        F.col("key").alias("k"), F.col("largest.label").alias("main"))
-    within = stored(labelled.join(mixed, F.col("key") == F.col("k")).drop("k"), "mixed")
-    small = within.where("label <> main").select("key", *(F.col(c).alias(f"x_{c}") for c in ("set", "n", "pos", "label")))
-    crossing = small.join(within, "key").where(
+    # Sets of different clusters that share a prefix n-gram.
+    owned = met.select("key", "set", "n", "pos").distinct()
+
+    def mixed(found: DataFrame) -> DataFrame:
+        """Rows under n-grams with several clusters: ``main`` is the largest, ``n_sets`` counts the rows."""
+        clusters = components(found).select(F.col("node").alias("member"), "root")
+        labelled = stored(owned.join(clusters, F.col("set") == F.col("member"), "left").select(
+            "key", "set", "n", "pos", F.coalesce("root", "set").alias("label")), "labelled")
+        several = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+            F.max(F.struct("c", "label")).alias("largest"), F.count(F.lit(1)).alias("labels"), F.sum("c").alias("n_sets")).where("labels > 1").select(
+            F.col("key").alias("k"), F.col("largest.label").alias("main"), "n_sets")
+        return stored(labelled.join(several, F.col("key") == F.col("k")).drop("k"), "mixed")
+
+    def crowded(within: DataFrame) -> DataFrame:
+        return within.where(F.col("n_sets") > CROWD).join(sets.select(F.col("set").alias("of"), "bits"), F.col("set") == F.col("of")).drop("of")
+
+    closest = stored(_compared(crowded(mixed(links)), _closest, percent).join(tried, ["a", "b"], "left_anti"), "closest")
+    links = links.unionByName(verified(closest, docs, sets, width, percent))
+    tried = tried.unionByName(closest)
+
+    within = mixed(links)
+    few = within.where(F.col("n_sets") <= CROWD)
+    small = few.where("label <> main").select("key", *(F.col(c).alias(f"x_{c}") for c in ("set", "n", "pos", "label")))
+    crossing = small.join(few, "key").where(
         (F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("main")) | (F.col("x_set") < F.col("set")))
-        & _passes(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), percent)).select(*_ordered("set", "x_set")).distinct()
+        & _passes(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), percent)).select(*_ordered("set", "x_set"))
+    crossing = crossing.unionByName(_compared(crowded(within), _remaining, percent)).distinct()
     crossing = stored(crossing.join(tried, ["a", "b"], "left_anti"), "crossing")
     links = links.unionByName(verified(crossing, docs, sets, width, percent))
 

@@ -60,6 +60,8 @@ def texts(rng):
 @pytest.mark.parametrize("seed, hot", [(1, jj.HOT), (2, 4), (3, 1)])
 def test_components_are_those_of_all_pairs(spark, seed, hot, monkeypatch):
     monkeypatch.setattr(jj, "SPREAD", 3)
+    monkeypatch.setattr(jj, "CROWD", {1: jj.CROWD, 2: 3, 3: 0}[seed])
+    monkeypatch.setattr(jj, "BLOCK", 5 if seed == 3 else jj.BLOCK)
     monkeypatch.setattr(jj, "IDS", 10 if seed == 2 else jj.IDS)
     rng = random.Random(seed)
     rows = [(i * 3 + 1, t) for i, t in enumerate(texts(rng))]
@@ -69,6 +71,39 @@ def test_components_are_those_of_all_pairs(spark, seed, hot, monkeypatch):
     assert got == brute(rows)
 
 
+def test_parities_bound_the_difference_and_the_forest_connects():
+    rng = random.Random(9)
+    sets = [np.unique(np.array([rng.getrandbits(64) for _ in range(60)], np.uint64))]
+    for _ in range(40):
+        base = rng.choice(sets)
+        sets.append(np.unique(np.concatenate([base[rng.randrange(4):], np.array([rng.getrandbits(64) for _ in range(3)], np.uint64)])))
+    bits = np.array([jj.parities(g) for g in sets], np.int64).view(np.uint64)
+    n = np.array([len(g) for g in sets])
+    crowd = (np.arange(len(sets)), n, np.zeros(len(sets), np.int64), np.arange(len(sets)), bits)
+    pairs = set(zip(*jj._remaining(crowd, 85)))
+    for i, a in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            apart = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            shared = len(np.intersect1d(a, sets[j]))
+            assert apart <= len(a) + len(sets[j]) - 2 * shared
+            assert (i, j) in pairs or not jj.enough(shared, len(a) + len(sets[j]))
+    forest = {tuple(sorted(p)) for p in zip(*jj._closest(crowd, 85))}
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def classes(edges):
+        root[:] = range(len(sets))
+        for a, b in edges:
+            root[find(a)] = find(b)
+        return [min(k for k in range(len(sets)) if find(k) == find(i)) for i in range(len(sets))]
+
+    assert forest <= pairs and classes(forest) == classes(pairs) and len(forest) == len(sets) - len(set(classes(pairs)))
+
+
 def test_rows_under_a_key_whatever_the_batches():
     rng = np.random.default_rng(3)
     rows = sorted({(int(k), int(s) % 2, int(s)) for k, s in rng.integers(0, 12, (60, 2))} | {(99, 0, 4)})
