@@ -66,6 +66,8 @@ BLOCK = 2048
 HOT = 200_000
 #: Partners of one set that are verified in one go.
 SPREAD = 256
+#: Texts whose prefixes leave a task together.
+PORTION = 512
 #: Texts to verify are found by a broadcast of their ids up to so many, of 16 bytes each; by a shuffle beyond.
 IDS = 250_000
 
@@ -177,7 +179,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int, hot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (b.slice(at, PORTION) for b in batches for at in range(0, b.num_rows, PORTION)):
             keys, sets, sizes, places, loads = [], [], [], [], []
             for text in batch.column("text"):
                 grams = hashes(text.as_py(), width)
