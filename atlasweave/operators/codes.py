@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atlasweave.session import stored
+
 
 def exploded_codes(df: DataFrame, keep: Sequence[str], codes: str) -> DataFrame:
     """One row per distinct non-null code of a row, with the ``keep`` columns."""
@@ -99,64 +101,55 @@ def code_pair_counts(
 
     * Codes of at most ``light`` pairs are joined directly. A pair that shares several
       counts at the smallest of them, and not here if it also shares a heavier code.
-    * Pairs that share a heavier code are never made. Rows become profiles (country,
-      heavy codes, attributes) with a count, profiles are counted for every non-empty
-      subset of their heavy codes, and the products are added with alternating sign
-      (inclusion-exclusion). A row has 2^h subsets of its h heavy codes, whatever
-      number of light codes it has.
-
-    Every pair is in exactly one of the two parts. Attribute columns must have
-    different names on the two sides.
+    * Pairs that share a heavier code are never made. The distinct sets of heavy codes of
+      a country are a dictionary; sets of both sides are joined at the smallest heavy
+      code they share, so each pair of sets meets once however many codes a set has,
+      and what meets is multiplied by the counts of rows per set and attributes.
+
+    Every pair is in exactly one of the two parts. Both tables are read once, as their
+    exploded codes are stored. Attribute columns must have different names on the two sides.
     """
 
-    def carried(df: DataFrame, name: str) -> DataFrame:
-        return exploded_codes(df, [country], codes).groupBy(country, "code").agg(F.count(F.lit(1)).alias(name))
+    def exploded(df: DataFrame, attrs: Sequence[str], side: str) -> DataFrame:
+        return stored(exploded_codes(df, [row_id, country, *attrs], codes), f"codes-{side}")
 
-    weighed = carried(left, "wl").join(carried(right, "wr"), [country, "code"]).select(
-        country, "code", (F.col("wl") * F.col("wr") > light).alias("heavy")
-    )
+    le, re = exploded(left, left_attrs, "l"), exploded(right, right_attrs, "r")
+    carried = lambda df, name: df.groupBy(country, "code").agg(F.count(F.lit(1)).alias(name))
+    weighed = stored(
+        carried(le, "wl").join(carried(re, "wr"), [country, "code"]).select(
+            country, "code", (F.col("wl") * F.col("wr") > light).alias("heavy")), "weights")
 
     def profiles(df: DataFrame, attrs: Sequence[str], side: str) -> DataFrame:
         listed = lambda cond: F.sort_array(F.collect_set(F.when(cond, F.col("code"))))
-        return (
-            exploded_codes(df, [row_id, country, *attrs], codes)
-            .join(weighed, [country, "code"])
+        rows = (
+            df.join(weighed, [country, "code"])
             .groupBy(row_id, country, *attrs)
             .agg(listed(F.col("heavy")).alias(f"heavy_{side}"), listed(~F.col("heavy")).alias(f"light_{side}"))
             .groupBy(country, *attrs, f"heavy_{side}", f"light_{side}")
             .agg(F.count(F.lit(1)).alias(f"n_{side}"))
         )
+        return stored(rows, f"profiles-{side}")
 
-    lp, rp = profiles(left, left_attrs, "l"), profiles(right, right_attrs, "r")
-
-    def subsets(df: DataFrame, attrs: Sequence[str], side: str) -> DataFrame:
-        # every mask 1 .. 2^h - 1 names one subset: bit i keeps code i
-        sig, one = F.col(f"heavy_{side}"), F.lit(1).cast("long")
-        masks = F.sequence(one, F.call_function("shiftleft", one, F.size(sig)) - 1)
-        picked = F.transform(
-            masks,
-            lambda m: F.filter(
-                sig,
-                lambda _, i: F.call_function("shiftright", m, i).bitwiseAND(F.lit(1)) == 1,
-            ),
-        )
-        return (
-            df.where(F.size(sig) > 0)
-            .groupBy(country, *attrs, f"heavy_{side}")
-            .agg(F.sum(f"n_{side}").alias("n"))
-            .select(country, *attrs, "n", F.explode(picked).alias("sub"))
-            .groupBy(country, *attrs, "sub")
-            .agg(F.sum("n").alias(f"n_{side}"))
-        )
+    lp, rp = profiles(le, left_attrs, "l"), profiles(re, right_attrs, "r")
+
+    def counted(df: DataFrame, attrs: Sequence[str], side: str) -> DataFrame:
+        return df.where(F.size(f"heavy_{side}") > 0).groupBy(country, f"heavy_{side}", *attrs).agg(F.sum(f"n_{side}").alias(f"n_{side}"))
+
+    def dictionary(df: DataFrame, side: str) -> DataFrame:
+        sets = df.where(F.size(f"heavy_{side}") > 0).select(country, f"heavy_{side}").distinct()
+        return sets.withColumn("code", F.explode(f"heavy_{side}"))
 
     product = F.col("n_l") * F.col("n_r")
+    met = (
+        dictionary(lp, "l")
+        .join(dictionary(rp, "r"), [country, "code"])
+        .where(F.col("code") == F.array_min(F.array_intersect("heavy_l", "heavy_r")))
+        .select(country, "heavy_l", "heavy_r")
+    )
     heavy_pairs = (
-        subsets(lp, left_attrs, "l")
-        .join(subsets(rp, right_attrs, "r"), [country, "sub"])
-        .select(
-            country, *left_attrs, *right_attrs,
-            F.when(F.size("sub") % 2 == 1, product).otherwise(-product).alias("n_pairs"),
-        )
+        met.join(counted(lp, left_attrs, "l"), [country, "heavy_l"])
+        .join(counted(rp, right_attrs, "r"), [country, "heavy_r"])
+        .select(country, *left_attrs, *right_attrs, product.alias("n_pairs"))
     )
     light_pairs = (
         lp.withColumn("code", F.explode("light_l"))
@@ -171,7 +164,6 @@ def code_pair_counts(
         heavy_pairs.unionByName(light_pairs)
         .groupBy(country, *left_attrs, *right_attrs)
         .agg(F.sum("n_pairs").alias("n_pairs"))
-        .where("n_pairs <> 0")
     )
 
 

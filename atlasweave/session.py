@@ -52,7 +52,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.atlasweave.scratch", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local["):
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="atlasweave-")
         spark.conf.set("spark.atlasweave.scratch", root)
@@ -64,6 +65,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below :func:`scratch_root` and read back, with its schema.
+
+    For a table that several branches of a plan use: they read a narrow table of known
+    size instead of computing it again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def at_most(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has no more than ``max_rows`` rows; counting stops one beyond."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -159,11 +160,44 @@ def test_exact_quantiles(spark, kind):
         assert got[p] == pytest.approx(np.quantile(values, p), abs=1e-9)
 
 
-def test_quantile_outside_its_bracket_fails(spark):
-    df = spark.createDataFrame([(None,), (1.0,)], "v double")
-    assert df.where("v = 1").select(summaries._found(F.col("v")).alias("v")).first()["v"] == 1.0
-    with pytest.raises(Exception, match="outside its approximate bracket"):
-        df.select(summaries._found(F.col("v"))).collect()
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 1.0 + 2**-52, 1.0 - 2**-53, 2.0**-537,
+         1e300, -1e300, 1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 3.0, -7.25, 2.0**1023, 8.0 - 2**-50]
+
+
+def test_order_keys_keep_order_and_every_bit(spark):
+    rng = random.Random(3)
+    values = EDGES + [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values = [v for v in values if v == v]
+    df = spark.createDataFrame([(v,) for v in values], "v double").withColumn("k", summaries.order_key(F.col("v")))
+    got = [(r["v"], r["k"], r["back"]) for r in df.withColumn("back", summaries.of_order_key(F.col("k"))).collect()]
+    assert all(v == back for v, _, back in got)
+    by_key = sorted(got, key=lambda g: g[1])
+    assert [g[0] for g in by_key] == sorted(v for v, _, _ in got)
+    assert len({g[1] for g in got}) == len({g[0] for g in got})
+    assert spark.range(1).select(summaries.order_key(F.lit(float("nan"))).alias("k")).first()["k"] > max(g[1] for g in got)
+
+
+def test_a_million_values_close_together_and_half_of_all_rows_equal(spark):
+    n = 1_000_000
+    close = spark.range(n).select(F.lit("close").alias("g"), (F.lit(50.0) + F.col("id") * 1e-9).alias("v"))
+    equal = spark.range(n).select(F.lit("equal").alias("g"), F.when(F.col("id") % 2 == 0, 42.0).otherwise(F.col("id").cast("double")).alias("v"))
+    none = spark.createDataFrame([("none", None), (None, 3.0), (None, 4.0)], "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    got = {(r["g"], r["prob"]): r["quantile"] for r in summaries.exact_quantiles(close.union(equal).union(none), "g", "v", probs).collect()}
+    ids = np.arange(n)
+    for g, values in (("close", 50.0 + ids * 1e-9), ("equal", np.where(ids % 2 == 0, 42.0, ids)), (None, np.array([3.0, 4.0]))):
+        for p in probs:
+            assert got.pop((g, p)) == pytest.approx(np.quantile(values, p), rel=1e-15, abs=0)
+    assert not got
+
+
+def test_quantiles_rank_no_rows(spark):
+    """No window, and what is shuffled are counts per bin."""
+    rows = summaries.key_rows(spark.range(1000).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v")), "g", "v")
+    plan = summaries._bins(rows, 48, "group")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.index("Exchange hashpartitioning(group") > plan.index("HashAggregate")
+    final = summaries.key_quantiles(rows, [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in final and "selection-" in final
 
 
 def test_completeness(spark):
@@ -182,3 +216,18 @@ def test_hot_code_is_counted_without_pairs(spark):
     got = codes.code_pair_counts(side("a_type"), side("b_type"), "event_id", "glide", "iso", ["a_type"], ["b_type"])
     # every hot row pairs with every hot row once, whatever else they share; the rest pair with themselves
     assert got.first()["n_pairs"] == 100_000**2 + 200_000
+
+
+def test_pairs_of_rows_with_forty_heavy_codes(spark):
+    rng = random.Random(1)
+    side = lambda n: [(i, "USA", rng.choice(["x", "y"]), rng.sample([f"c{k}" for k in range(60)], 40) + [f"own{i % 7}"]) for i in range(n)]
+    a, b = side(60), side(50)
+    b += [(99, "USA", "x", [f"d{k}" for k in range(45)]), (100, "USA", "y", None)]
+    want = {}
+    for x, y in itertools.product(a, b):
+        if set(x[3]) & set(y[3] or []):
+            want[(x[2], y[2])] = want.get((x[2], y[2]), 0) + 1
+    left = spark.createDataFrame(a, "event_id int, iso string, a_type string, glide array<string>")
+    right = spark.createDataFrame(b, "event_id int, iso string, b_type string, glide array<string>")
+    got = codes.code_pair_counts(left, right, "event_id", "glide", "iso", ["a_type"], ["b_type"], light=100)
+    assert {(r["a_type"], r["b_type"]): r["n_pairs"] for r in got.collect()} == want
