@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions.geo import bounding_box, cell_area, geometry_problem, ring_area2
 from atlasweave.functions.numbers import normalized_difference
-from atlasweave.session import sized_broadcast
+from atlasweave.session import sized_broadcast, stored
 
 # Outlines are taken to this fine a part of a column or row (10 nm of a cell of a quarter
 # degree), which is what rounding of coordinates leaves. Widths counted in such parts are
@@ -241,19 +241,16 @@ def unit_extents(cov: DataFrame) -> DataFrame:
     )
 
 
-def with_every_date(extents: DataFrame, cells: DataFrame, units: DataFrame | None = None) -> DataFrame:
+def with_every_date(extents: DataFrame, dates: DataFrame, units: DataFrame | None = None) -> DataFrame:
     """One row per unit and (date, variable) of its grid, as the result needs.
 
-    The two sides meet on (grid, salt): a grid that holds most units is spread
-    over as many tasks as the session shuffles into. With ``units`` every one of
-    them gets the dates of every grid, and null extents where it covers no cell.
+    ``dates``: grid_id, date, variable, unit. The two sides meet on (grid, salt): a grid
+    that holds most units is spread over as many tasks as the session shuffles into.
+    With ``units`` every one of them gets the dates of every grid, and null extents
+    where it covers no cell.
     """
-    salts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dates = (
-        cells.groupBy("grid_id", "date", "variable")
-        .agg(F.max("unit").alias("unit"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
+    salts = int(dates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dates = dates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salt = F.pmod(F.hash("gid"), F.lit(salts)).alias("_salt")
     if units is None:
         return extents.select("*", salt).join(dates, ["grid_id", "_salt"]).drop("_salt")
@@ -285,20 +282,26 @@ def zonal_statistics(
     only partial sums are shuffled. Larger ones join by cell index; tables
     bucketed by it (``sinks.write_bucketed``) join without moving the cells.
     """
-    joined = cells.select(*_CELL, "date", "variable", "value").join(
-        sized_broadcast(cov.select(*_CELL, "gid", "admin_level", "weight"), broadcast_cells), _CELL
+    # Cells outside all units stay, without a unit: their dates count. So one pass over the
+    # cells gives both the sums per unit and, added up from those, the dates of each grid.
+    joined = cells.select(*_CELL, "date", "variable", "value", "unit").join(
+        sized_broadcast(cov.select(*_CELL, "gid", "admin_level", "weight"), broadcast_cells), _CELL, "left"
     )
     v, w = F.col("value"), F.col("weight")
     weigh = w if legacy_null_weight else F.when(v.isNotNull(), w)
-    stats = joined.groupBy(*_GROUP).agg(
+    passed = joined.groupBy(*_GROUP).agg(
         F.sum(v * w).alias("_vw"),
         F.sum(weigh).alias("_w"),
         F.sum(v).alias("sum"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
         F.count(v).alias("valid_cells"),
+        F.max("unit").alias("unit"),
     )
-    spine = with_every_date(unit_extents(cov), cells, units)
+    passed = stored(passed, "zonal-sums")
+    dates = passed.groupBy("grid_id", "date", "variable").agg(F.max("unit").alias("unit"))
+    stats = passed.where(F.col("gid").isNotNull()).drop("unit")
+    spine = with_every_date(unit_extents(cov), dates, units)
     total = F.col("box_cells") if missing == "box" else F.col("covered_cells")
     valid = F.coalesce("valid_cells", F.lit(0))
     return spine.join(stats, _GROUP, "left").select(

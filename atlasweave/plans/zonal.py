@@ -2,22 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasweave.operators.grids import Grid, coverage, zonal_statistics
-from atlasweave.session import scratch_path
+from atlasweave.session import scratch_root, stored
+from atlasweave.sources import committed
+
+
+def coverage_key(grid: Grid) -> Column:
+    """Digest of a unit's rings and of the grid: what its coverage depends on."""
+    shape = f"{grid.lon0!r} {grid.lat0!r} {grid.dlon!r} {grid.dlat!r} {grid.ncols} {grid.nrows} "
+    return F.sha2(F.concat(F.lit(shape), F.to_json("rings")), 256)
 
 
 def stored_coverage(spark: SparkSession, units: DataFrame, grid: Grid, path: str | None = None) -> DataFrame:
-    """Compute a grid's coverage once, keep it as a table, and read it back.
+    """Coverage of ``units`` from a store that computes each outline on each grid once.
 
-    Every dataset, date and level on the same grid uses the same table.
+    The store holds cells by :func:`coverage_key`; only units whose key it does not have
+    are computed, in a part that is committed with the number of cells of every
+    unit, none included. Every dataset, date, level and later run on the same grid reads
+    it. Without ``path`` it is the session's, in the shared scratch folder.
     """
-    path = path or scratch_path(spark, f"coverage-{grid.grid_id}")
-    table = coverage(units, grid)
-    table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    path = path or f"{scratch_root(spark)}/coverage-store"
+    keyed = stored(units.select("gid", "admin_level", "rings", coverage_key(grid).alias("key")), "keyed-units")
+    known = committed.manifest(spark, path).select("path")
+    todo = stored(
+        keyed.groupBy("key").agg(F.first("rings").alias("rings")).join(known, F.col("key") == F.col("path"), "left_anti"), "new-outlines")
+    if not todo.isEmpty():
+        batch = committed.last_batch(spark, path) + 1
+        cells = coverage(todo.select(F.col("key").alias("gid"), F.lit(0).alias("admin_level"), "rings"), grid)
+        part = committed.write_part(cells.select(F.col("gid").alias("key"), "lat_idx", "lon_idx", "fraction", "cell_area"), path, batch)
+        counts = spark.read.parquet(f"{path}/data/batch={batch}/part={part}").groupBy(F.col("key").alias("path")).agg(
+            F.count(F.lit(1)).alias("cells"))
+        done = todo.select(F.col("key").alias("path")).join(counts, "path", "left").select(
+            "path", F.lit(0).alias("admin_level"), F.coalesce("cells", F.lit(0)).alias("loaded_rows"))
+        committed.commit(done, path, batch, part)
+    # two sessions may have computed an outline at the same time: one of its parts is read
+    owner = committed.commits(spark, path).groupBy(F.col("path").alias("_key")).agg(F.min(F.struct("batch", "part")).alias("of")).select(
+        "_key", F.col("of.batch").alias("_batch"), F.col("of.part").alias("_part"))
+    mine = keyed.select("gid", "admin_level", "key").join(owner, F.col("key") == F.col("_key")).drop("key")
+    cells = spark.read.parquet(f"{path}/data").withColumn("batch", F.col("batch").cast("long"))
+    return cells.join(
+        mine, (F.col("key") == F.col("_key")) & (F.col("batch") == F.col("_batch")) & (F.col("part") == F.col("_part"))
+    ).select(F.lit(grid.grid_id).alias("grid_id"), "gid", "admin_level", "lat_idx", "lon_idx", "fraction", "cell_area")
 
 
 def touched(cov: DataFrame) -> DataFrame:

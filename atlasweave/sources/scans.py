@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,21 +106,6 @@ def grid_cells(df: DataFrame, variable: str | None = None) -> DataFrame:
     return picked.withColumn("unit", F.coalesce("unit", F.lit("unknown")))
 
 
-def with_path_parts(df: DataFrame) -> DataFrame:
-    """Adds ``file_path`` and ``source_file`` of each row's file."""
-    return df.select(
-        "*", F.col("_metadata.file_path").alias("file_path"), file_name().alias("source_file")
-    )
-
-
-def base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
-
-
-def join_path(*parts: str) -> str:
-    return posixpath.join(*parts)
-
-
 def read_relation(spark: SparkSession, name: str, **jdbc) -> DataFrame:
     """A table by name; with ``url=...`` options, a partitioned read of a database."""
     if jdbc:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasweave.operators.keys import insert_ignore, keep_last
+from atlasweave.operators.keys import insert_ignore
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -19,10 +19,15 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_view(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Materialise a serving view; refreshing it is writing it to a new path."""
+    """Materialise a serving view."""
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite the partitions that ``df`` has rows of; all others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def write_monthly(df: DataFrame, date: str, path: str) -> None:
     """One folder per year and month.
 
@@ -67,22 +72,3 @@ def load_insert_ignore(
     """Append the rows whose key is not in the table yet."""
     new = insert_ignore(spark.read.parquet(target), incoming, keys, order)
     new.write.mode("append").parquet(target)
-
-
-def write_batch(df: DataFrame, target: str, batch: int, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Log one upsert batch in its own folder, reduced to its last row per key.
-
-    Plain files have no in-place merge. A batch costs what it holds, not what the
-    table holds, and writing it again replaces it by the same rows.
-    """
-    keep_last(df, keys, order).write.mode("overwrite").parquet(f"{target}/batch={batch}")
-
-
-def current_rows(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The upserted table: the row of the latest batch (then ``order``) per key."""
-    return keep_last(spark.read.parquet(target), keys, ["batch", *order]).drop("batch")
-
-
-def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str], out: str) -> None:
-    """Write the current rows as a new log whose only batch is number 0."""
-    current_rows(spark, target, keys, order).write.mode("errorifexists").parquet(f"{out}/batch=0")

@@ -1,8 +1,9 @@
 """Incremental loading on Structured Streaming.
 
-Files are discovered by the file source and remembered in the checkpoint; a
-load manifest keyed by (path, level) says what is done, so a rerun skips it and
-a repeated batch changes nothing.
+Files are discovered by the file source and remembered in the checkpoint. What has been
+loaded is told by the commits of the target (``atlasweave.sources.committed``): a file
+that is committed is skipped, whatever the checkpoint knows, and a batch that broke
+before its commit is loaded again.
 """
 
 from __future__ import annotations
@@ -14,15 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from atlasweave.sources.sinks import write_batch
-
-MANIFEST = T.StructType(
-    [
-        T.StructField("path", T.StringType(), False),
-        T.StructField("admin_level", T.IntegerType(), False),
-        T.StructField("loaded_rows", T.LongType(), True),
-    ]
-)
+from atlasweave.sources import committed
+from atlasweave.sources.committed import MANIFEST, pending  # noqa: F401
+from atlasweave.sources.upsert_log import reduced_batch
 
 
 def stream_files(
@@ -39,12 +34,6 @@ def stream_files(
     return reader.load(path).select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
-def pending(files: DataFrame, manifest: DataFrame, level: int) -> DataFrame:
-    """Files not yet loaded at this level or a higher one."""
-    done = manifest.where(F.col("admin_level") >= level).select("path").distinct()
-    return files.join(done, "path", "left_anti")
-
-
 def mark_done(loaded: DataFrame, level: int) -> DataFrame:
     """Manifest rows of the files of a loaded batch."""
     return loaded.groupBy(F.col("file_path").alias("path")).agg(
@@ -64,26 +53,39 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
     )
 
 
-def upsert_stream(
+def load_stream(
     stream: DataFrame,
     target: str,
     checkpoint: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    reduce: Callable[[DataFrame], DataFrame],
     level: int = 0,
+    before_commit: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Log every micro-batch of an upsert and mark its files as done.
+    """Load all available files as committed parts of ``target``, each file once.
 
-    A batch costs what it holds, not what the table holds: its rows are reduced
-    to one per key and written to their own ``batch`` folder. A batch replayed
-    after a failure overwrites the same folder with the same rows, so loading is
-    idempotent. ``sinks.current_rows`` reads the table.
+    Files that the manifest has at ``level`` or a higher one are left out. What
+    ``reduce`` makes of the others is written first and committed with their manifest
+    rows second; ``before_commit`` may look at the written part in between, and a part
+    it rejects by raising stays invisible. A micro-batch is read once: it is kept while
+    its files are counted and its rows are written.
     """
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        write_batch(prepare(batch), target, batch_id, keys, order)
-        mark_done(batch, level).write.mode("overwrite").parquet(f"{target}_manifest/batch={batch_id}")
+    def load(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            files = mark_done(batch, level)
+            todo = pending(files, committed.manifest(spark, target), level).persist()
+            if not todo.isEmpty():
+                fresh = batch.join(F.broadcast(todo.select(F.col("path").alias("file_path"))), "file_path", "left_semi")
+                number = committed.last_batch(spark, target) + 1
+                part = committed.write_part(reduce(fresh.select(*batch.columns)), target, number)
+                if before_commit is not None:
+                    before_commit(spark.read.parquet(f"{target}/data/batch={number}/part={part}"))
+                committed.commit(todo, target, number, part)
+            todo.unpersist()
+        finally:
+            batch.unpersist()
 
     run_to_end(
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -91,6 +93,31 @@ def upsert_stream(
     )
 
 
+def upsert_stream(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df.drop("file_path"),
+    replaced: Sequence[str] | None = None,
+    level: int = 0,
+    before_commit: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Log every micro-batch of an upsert with the manifest rows of its files.
+
+    ``replaced`` columns (all but the keys by default) take the value of a key's last
+    row. ``upsert_log.current`` reads the table.
+    """
+
+    def reduce(batch: DataFrame) -> DataFrame:
+        rows = prepare(batch)
+        columns = list(replaced) if replaced is not None else [c for c in rows.columns if c not in keys]
+        return reduced_batch(rows, keys, columns, order)
+
+    load_stream(stream, target, checkpoint, reduce, level, before_commit)
+
+
 def _daily_values() -> list[Column]:
     return [
         F.sum("value").alias("sum"), F.avg("value").alias("mean"), F.min("value").alias("min"),
@@ -98,6 +125,31 @@ def _daily_values() -> list[Column]:
     ]
 
 
+def load_daily(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """Load cells (time, value, file_path and keys) as one partial aggregate per file, day and key.
+
+    Partial aggregates merge, so a file that comes late costs its own days and nothing
+    that was loaded before is read again. ``daily_table`` merges them.
+    """
+
+    def reduce(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("file_path", *keys, F.to_date("time").alias("date")).agg(
+            F.sum("value").alias("sum"), F.count("value").alias("n_present"), F.min("value").alias("min"),
+            F.max("value").alias("max"), F.count(F.lit(1)).alias("n_values"),
+        )
+
+    load_stream(stream, target, checkpoint, reduce)
+
+
+def daily_table(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """Daily values of all committed files."""
+    parts = committed.committed_rows(spark, target)
+    return parts.groupBy(*keys, "date").agg(
+        F.sum("sum").alias("sum"), (F.sum("sum") / F.nullif(F.sum("n_present"), F.lit(0))).alias("mean"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.sum("n_values").alias("n_values"),
+    )
+
+
 def daily_stream(stream: DataFrame, keys: Sequence[str], lateness: str = "1 day") -> DataFrame:
     """Daily aggregates of arriving cells; a day is emitted when the watermark passes it."""
     return (

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from atlasweave.functions import dates
 from atlasweave.operators.keys import insert_ignore, keep_first, key_violations, upsert
 from atlasweave.plans.reports import constraint_violations
 from atlasweave.schemas import TABLES
-from atlasweave.session import scratch_path
-from atlasweave.sources import scans, sinks
+from atlasweave.session import scratch_path, stored
+from atlasweave.sources import scans, sinks, upsert_log
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
 from atlasweave.workloads.sql import lit, with_
@@ -180,6 +182,63 @@ def s14(spark, d):
     return upsert(existing, rows.where("o_orderkey % 2 = 1"), key, ["raw_value"], ["o_orderkey"])
 
 
+def _upserted(old: str, *batches: str) -> str:
+    """Rows of ``old`` (no key twice) after the batches: the last batch's value, the first note."""
+    key = "o_custkey, o_orderstatus"
+    reduced = ", ".join(
+        f"n{i} AS (SELECT {key}, arg_max(o_totalprice, o_orderkey) AS raw_value, arg_min(o_orderpriority, o_orderkey) AS note FROM orders WHERE {b} GROUP BY ALL)"
+        for i, b in enumerate(batches))
+    names = [f"n{i}" for i in range(len(batches))]
+    joins = " ".join(f"FULL JOIN {n} USING ({key})" for n in names)
+    return f"""
+WITH old AS (SELECT {key}, o_totalprice AS raw_value, o_orderpriority AS note FROM orders WHERE {old}
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY o_orderkey) = 1), {reduced}
+SELECT {key}, coalesce({", ".join(f"{n}.raw_value" for n in reversed(names))}, old.raw_value) AS raw_value,
+  coalesce(old.note, {", ".join(f"{n}.note" for n in names)}) AS note FROM old {joins}"""
+
+
+@query("s14_upsert_log", _upserted("o_orderkey % 4 = 0", "o_orderkey % 4 = 1", "o_orderkey % 4 = 2", "o_orderkey % 4 = 3"))
+def s14_log(spark, d):
+    """Four batches logged one after another, compacted in between, merged when read."""
+    key, target = ["o_custkey", "o_orderstatus"], scratch_path(spark, "upsert-log")
+    rows = t.table(spark, d, "orders").select(
+        *key, F.col("o_totalprice").alias("raw_value"), F.col("o_orderpriority").alias("note"), "o_orderkey")
+    first = keep_first(rows.where("o_orderkey % 4 = 0"), key, ["o_orderkey"])
+    upsert_log.append(first, target, key, ["raw_value"], ["o_orderkey"])
+    for batch in (1, 2, 3):
+        upsert_log.append(rows.where(f"o_orderkey % 4 = {batch}"), target, key, ["raw_value"], ["o_orderkey"])
+        if batch == 2:
+            upsert_log.compact(spark, target, key)
+    return upsert_log.current(spark, target, key).drop("o_orderkey")
+
+
+@query("s13_load_insert_ignore", with_("ev_a") + """
+, mine AS (SELECT event_id, disaster_type, iso3_code, start_date FROM ev_a),
+incoming AS (SELECT * FROM mine WHERE event_id % 3 <> 0), existing AS (SELECT * FROM mine WHERE event_id % 3 = 0)
+SELECT * FROM existing UNION ALL
+SELECT event_id, disaster_type, iso3_code, start_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY disaster_type, iso3_code, start_date ORDER BY event_id) AS rn FROM incoming) i
+WHERE disaster_type IS NULL OR iso3_code IS NULL OR start_date IS NULL OR (rn = 1 AND NOT EXISTS (
+  SELECT 1 FROM existing e WHERE e.disaster_type = i.disaster_type AND e.iso3_code = i.iso3_code AND e.start_date = i.start_date))""")
+def s13_load(spark, d):
+    """A table after rows with new keys were appended to its files."""
+    ev = stored(t.events_a(spark, d).select("event_id", "disaster_type", "iso3_code", "start_date"), "events")
+    target = scratch_path(spark, "events-table")
+    sinks.append_table(ev.where("event_id % 3 = 0"), target)
+    sinks.load_insert_ignore(
+        spark, target, ev.where("event_id % 3 <> 0"), ["disaster_type", "iso3_code", "start_date"], ["event_id"])
+    return spark.read.parquet(target)
+
+
+@query("s12_relation", "SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL")
+def s12(spark, d):
+    """A table of the catalog, bucketed by its key, read by name: grouping by the key does not move its rows."""
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    sinks.write_bucketed(t.table(spark, d, "orders"), name, ["o_custkey"], 8, scratch_path(spark, name))
+    return scans.read_relation(spark, name).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @query("s16_csv_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def s16(spark, d):
     source = t.table(spark, d, "customer")

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from atlasweave.operators import keys
+from atlasweave.operators.grids import Grid, coverage
 from atlasweave.operators.keys import keep_last
 from atlasweave.plans import indicators as ind
-from atlasweave.plans import reports, views
+from atlasweave.plans import materialised, reports, views, zonal
 from atlasweave.session import at_most, scratch_path, scratch_root
-from atlasweave.sources import scans, sinks
+from atlasweave.sources import committed, scans, sinks, upsert_log
 from atlasweave.streaming import incremental as inc
 
 
@@ -55,16 +59,36 @@ def test_observation_table_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dataset" in one._jdf.queryExecution().executedPlan().toString()
 
 
-def test_upsert_log(spark, tmp_path):
-    target = str(tmp_path / "log")
-    first = spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("b", 1, 20)], "k string, seq int, v int")
-    second = spark.createDataFrame([("a", 1, 12), ("c", 1, 30)], "k string, seq int, v int")
-    for _ in range(2):  # writing a batch again changes nothing
-        sinks.write_batch(first, target, 0, ["k"], ["seq"])
-        sinks.write_batch(second, target, 1, ["k"], ["seq"])
-        assert rows(sinks.current_rows(spark, target, ["k"], ["seq"]), "k", "v") == [("a", 12), ("b", 20), ("c", 30)]
-    sinks.compact(spark, target, ["k"], ["seq"], str(tmp_path / "log2"))
-    assert rows(sinks.current_rows(spark, str(tmp_path / "log2"), ["k"], ["seq"]), "k", "v") == [("a", 12), ("b", 20), ("c", 30)]
+@pytest.mark.parametrize("seed", range(3))
+def test_upsert_log_reads_as_the_batches_loaded_one_by_one(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    target, kind = str(tmp_path / "log"), "k string, seq int, a int, b int, note string"
+    table = spark.createDataFrame([], kind)
+    for batch in range(5):
+        data = [(rng.choice("pqrstu"), i, rng.choice([None, rng.randrange(9)]), rng.randrange(9), f"{batch}-{i}") for i in range(rng.randrange(1, 9))]
+        df = spark.createDataFrame(data, kind)
+        listed = rng.choice([["a"], ["b"], ["a", "b"]])
+        table = spark.createDataFrame(keys.upsert(table, df, ["k"], listed, ["seq"]).collect(), kind)
+        assert upsert_log.append(df, target, ["k"], listed, ["seq"]) == batch
+        if batch in (1, 3):
+            upsert_log.compact(spark, target, ["k"])
+        assert rows(upsert_log.current(spark, target, ["k"]), "k", "a", "b", "note") == rows(table, "k", "a", "b", "note")
+
+
+def test_parts_without_a_commit_are_not_read(spark, tmp_path):
+    target = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", 1, 10)], "k string, seq int, v int")
+    upsert_log.append(df, target, ["k"], ["v"], ["seq"])
+    broken = committed.write_part(upsert_log.reduced_batch(df.withColumn("v", F.lit(99)), ["k"], ["v"], ["seq"]), target, 1)
+    assert rows(upsert_log.current(spark, target, ["k"]), "k", "v") == [("a", 10)]
+    plan = upsert_log.current(spark, target, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan  # parts that are not committed are not opened
+    files = spark.createDataFrame([("f", 0, 1)], committed.MANIFEST)
+    committed.commit(files, target, 1, broken)
+    assert rows(upsert_log.current(spark, target, ["k"]), "k", "v") == [("a", 99)]
+    upsert_log.append(df.withColumn("v", F.lit(5)), target, ["k"], ["v"], ["seq"])
+    assert rows(upsert_log.current(spark, target, ["k"]), "k", "v") == [("a", 5)]
+    assert rows(committed.manifest(spark, target), "path") == [("batch 0",), ("batch 2",), ("f",)]
 
 
 def test_scratch_follows_the_session(spark):
@@ -87,14 +111,16 @@ def test_stream_upsert_resumes_and_marks_files(spark, tmp_path):
 
     def run():
         stream = inc.stream_files(spark, source, schema, pattern="*.parquet")
-        inc.upsert_stream(stream, target, state, ["k"], ["seq"], prepare=lambda df: df.drop("file_path"))
-        return rows(sinks.current_rows(spark, target, ["k"], ["seq"]), "k", "v")
+        inc.upsert_stream(stream, target, state, ["k"], ["seq"])
+        return rows(upsert_log.current(spark, target, ["k"]), "k", "v")
 
     assert run() == [("a", 1), ("b", 2)]
     assert run() == [("a", 1), ("b", 2)]  # nothing new: nothing loaded again
     put("f2", [("a", 3, 9), ("c", 4, 4)])
     assert run() == [("a", 9), ("b", 2), ("c", 4)]
-    manifest = spark.read.parquet(f"{target}_manifest")
+    state = str(tmp_path / "new-state")
+    assert run() == [("a", 9), ("b", 2), ("c", 4)]  # without its checkpoint: the manifest knows both files
+    manifest = committed.manifest(spark, target)
     assert manifest.count() == 2 and manifest.agg(F.sum("loaded_rows")).first()[0] == 4
     files = manifest.select("path").unionByName(spark.createDataFrame([("new",)], "path string"))
     assert rows(inc.pending(files, manifest, 0)) == [("new",)]
@@ -156,24 +182,21 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert last.where("k = 'hot'").first()["o"] == 19998
 
 
-def test_age_sex_labels_follow_their_rule():
-    labels = views.age_sex_labels()
-    assert len(labels) == 36 + 42
-    assert labels["population_sex_age_f_0_count"] == "Total Female Population Age <1"
-    assert labels["population_sex_age_m_80_count"] == "Total Male Population Age 80+"
-    assert labels["2021_2022_population_sex_age_f_5_9_count"] == "Total Female Population Aged 5-9 (2021-2022)"
-    assert labels["2021_2022_population_sex_age_m_100_2022_count"] == "Total Male Population Aged 100+ (2021-2022) "
-
-
 def test_wide_view_with_many_columns_uses_the_selected_statistic(spark):
     obs = spark.createDataFrame([
         ("population_age_sex", "USA", 0, "population_sex_age_f_0_count", 5.0, 1.0, None),
         ("population_age_sex", "USA", 0, "2021_2022_population_sex_age_m_0_4_count", 9.0, None, 7.0),
         ("climate", "USA", 0, "t2m", 9.0, 1.0, 7.0),
     ], "dataset string, gid string, admin_level int, variable string, sum double, mean double, raw_value double").withColumn("date", F.lit("2020-01-01").cast("date"))
-    row = views.wide_view(obs, "population_age_sex", views.age_sex_labels()).collect()
+    entries = [("population_age_sex", f"population_sex_age_f_{i}_count", f"Women of {i}") for i in range(77)]
+    entries += [("population_age_sex", "2021_2022_population_sex_age_m_0_4_count", "Boys"), (None, "t2m", "T"), ("climate", "t2m", "C")]
+    catalog = spark.createDataFrame(entries, "dataset string, variable string, label string")
+    labels = views.catalog_labels(catalog, "population_age_sex")
+    row = views.wide_view(obs, "population_age_sex", labels).collect()
     assert len(row) == 1 and len(row[0]) == 3 + 78
-    assert row[0]["Total Female Population Age <1"] == 5.0 and row[0]["Total Male Population Aged 0-4 (2021-2022)"] == 7.0
+    assert row[0]["Women of 0"] == 5.0 and row[0]["Women of 1"] is None and row[0]["Boys"] == 7.0
+    every = views.all_labels(catalog, {"climate": {"x": "X"}, "aerosol": {"b": "B"}})
+    assert len(every) == 80 and every["aerosol", "b"] == "B" and ("climate", "x") not in every
 
 
 def test_late_rows_make_a_day_be_aggregated_again(spark, tmp_path):
@@ -191,3 +214,59 @@ def test_late_rows_make_a_day_be_aggregated_again(spark, tmp_path):
     assert run() == {"2020-01-01": (1.0, 1), "2020-01-05": (5.0, 1)}
     put("f2", [("a", "2020-01-01 02:00:00", 10.0), ("a", "2020-01-09 01:00:00", 9.0)])
     assert run() == {"2020-01-01": (11.0, 2), "2020-01-05": (5.0, 1), "2020-01-09": (9.0, 1)}
+
+
+def test_a_late_file_adds_to_its_own_days(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    put = lambda name, data: spark.createDataFrame(data, "k string, time string, value double").withColumn("time", F.col("time").cast("timestamp")).coalesce(1).write.parquet(f"{source}/{name}")
+    put("f1", [("a", "2020-01-01 01:00:00", 1.0), ("a", "2020-01-05 01:00:00", 5.0), ("b", "2020-01-05 01:00:00", None)])
+    schema = spark.read.parquet(f"{source}/f1").schema
+
+    def run():
+        inc.load_daily(inc.stream_files(spark, source, schema, pattern="*.parquet"), target, state, ["k"])
+        return {(r["k"], str(r["date"])): (r["sum"], r["mean"], r["n_values"]) for r in inc.daily_table(spark, target, ["k"]).collect()}
+
+    assert run() == {("a", "2020-01-01"): (1.0, 1.0, 1), ("a", "2020-01-05"): (5.0, 5.0, 1), ("b", "2020-01-05"): (None, None, 1)}
+    put("f2", [("a", "2020-01-01 02:00:00", 10.0)])
+    assert run()[("a", "2020-01-01")] == (11.0, 5.5, 2)
+    parts = committed.committed_rows(spark, target)
+    assert parts.where("batch = 1").count() == 1  # the late file's own day, nothing else
+
+
+def test_refreshed_view_equals_the_view_built_anew(spark, tmp_path):
+    table, view = str(tmp_path / "obs"), str(tmp_path / "view")
+    kind = "dataset string, gid string, admin_level int, variable string, mean double, note string"
+    day = lambda data: spark.createDataFrame(data, kind).withColumn("date", F.lit("2020-01-01").cast("date"))
+    sinks.write_observations(day([("climate", "USA", 0, "t", 1.0, "n1"), ("climate", "USA.1", 1, "t", 2.0, "n2"), ("aerosol", "USA", 0, "b", 3.0, "n3")]), table)
+    build = lambda obs: obs.groupBy("dataset", "admin_level").agg(F.sum("mean").alias("total"), F.count("note").alias("notes"))
+    sinks.write_view(build(spark.read.parquet(table)), view, materialised.PARTITIONS)
+    untouched = lambda: {f for f in spark.read.parquet(view).inputFiles() if "dataset=aerosol" in f or "admin_level=1" in f}
+    before = untouched()
+    batch = day([("climate", "USA", 0, "t", 5.0, "m1"), ("climate", "MEX", 0, "t", 7.0, "m2"), ("climate", "MEX", 0, "t", 8.0, "m3")])
+    batch = batch.withColumn("seq", F.col("mean"))
+    touched = materialised.load_observations(spark, table, batch, ["seq"], ["mean"])
+    assert touched == [("climate", 0)]
+    plan = materialised.only(spark.read.parquet(table), touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((dataset" in plan or "PartitionFilters: [isnotnull(dataset" in plan
+    materialised.refresh_view(spark, view, table, build, touched)
+    assert rows(spark.read.parquet(view), "dataset", "admin_level", "total", "notes") == rows(build(spark.read.parquet(table)), "dataset", "admin_level", "total", "notes")
+    assert rows(spark.read.parquet(view).where("dataset = 'climate'"), "admin_level", "total") == [(0, 13.0), (1, 2.0)]
+    assert len(before) >= 2 and untouched() == before
+    # the row that created a key keeps its note
+    assert rows(spark.read.parquet(table).where("admin_level = 0 and dataset = 'climate'"), "gid", "note") == [("MEX", "m2"), ("USA", "n1")]
+
+
+def test_coverage_store_computes_new_outlines_only(spark, tmp_path):
+    grid, path = Grid("g", 0.0, 0.0, 1.0, 1.0, 10, 10), str(tmp_path / "store")
+    box = lambda x, w: [(False, [(x, 0.2), (x + w, 0.2), (x + w, 1.5), (x, 1.5), (x, 0.2)])]
+    kind = "gid string, admin_level int, rings array<struct<hole:boolean,points:array<struct<x:double,y:double>>>>"
+    make = lambda *units: spark.createDataFrame([(g, 1, box(x, w)) for g, x, w in units], kind)
+    first = make(("a", 0.5, 2.0), ("b", 3.25, 1.0), ("far", 50.0, 1.0), ("twin", 0.5, 2.0))
+    second = make(("a", 0.5, 2.0), ("b", 3.5, 1.0), ("far", 50.0, 1.0))
+    for units, new in ((first, 3), (first, 0), (second, 1)):
+        known = committed.manifest(spark, path).count()
+        got = zonal.stored_coverage(spark, units, grid, path)
+        assert rows(got) == rows(coverage(units, grid).select(*got.columns))
+        assert committed.manifest(spark, path).count() - known == new
+    other = Grid("h", 0.0, 0.0, 2.0, 1.0, 5, 10)
+    assert rows(zonal.stored_coverage(spark, second, other, path)) == rows(coverage(second, other).select(*got.columns))
