@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlasweave.functions.text import NameRule, normalize_name
-from atlasweave.session import at_most
+from atlasweave.session import stored
 
 
 def gazetteer(units: DataFrame, rule: NameRule = normalize_name) -> DataFrame:
@@ -199,6 +199,19 @@ def name_sets(mapping: DataFrame) -> DataFrame:
     )
 
 
+# --- fixed values: names that texts of a country use beside those of its mapping --
+EXTRA_NAMES = [("CHN", 1, "Hong Kong"), ("CHN", 1, "Macau")]
+
+
+def scanned_names(mapping: DataFrame) -> DataFrame:
+    """(iso3, level, name) that texts are scanned for: the mapping's names and the extra ones of its countries."""
+    names = name_sets(mapping)
+    for iso3, level, name in EXTRA_NAMES:
+        extra = mapping.where(F.col("iso3") == iso3).select("iso3", F.lit(level).alias("level"), F.lit(name).alias("name"))
+        names = names.unionByName(extra)
+    return names.distinct()
+
+
 # A text alternates between runs of word characters and runs of everything else.
 # Word boundaries lie exactly between two runs (and at a text end next to a
 # word), so "name as a whole word or phrase" means "a sequence of whole runs".
@@ -210,6 +223,22 @@ def _runs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
 
 
+def phrase_trie(listed: DataFrame) -> DataFrame:
+    """Every beginning of every phrase (_iso, _phrase): (_iso, depth, prefix, ends, more), stored.
+
+    ``depth`` counts runs. ``ends``: a phrase ends here; ``more``: a longer one goes on.
+    """
+    runs = F.col("_r")
+    prefixes = F.transform(
+        F.sequence(F.lit(1), F.size(runs)),
+        lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(runs, F.lit(1), k), "").alias("prefix"), (k == F.size(runs)).alias("ends")),
+    )
+    nodes = listed.select("_iso", "_phrase").distinct().withColumn("_r", _runs(F.col("_phrase"))).select("_iso", F.explode(prefixes).alias("p"))
+    return stored(
+        nodes.groupBy("_iso", "p.depth", "p.prefix").agg(F.bool_or("p.ends").alias("ends"), F.bool_or(~F.col("p.ends")).alias("more")), "phrase-trie"
+    )
+
+
 def scan_names(
     texts: DataFrame, names: DataFrame, row_id: str, iso3: str, text: str, broadcast_names: int = 300_000
 ) -> DataFrame:
@@ -217,51 +246,61 @@ def scan_names(
 
     Same matches as scanning with one alternation of the country's names, longest
     first, ignoring case: from the left, the longest name that starts there wins
-    and the search goes on behind it. Built as an equi join: the text is cut into
-    phrases of as many runs as names have, joined on (country, phrase), and the
-    overlapping hits of a text are thinned from left to right. A gazetteer of up to
-    ``broadcast_names`` phrases (counted) goes to every task, so that phrases are
-    looked up where they are cut and only hits are shuffled; a larger one is
-    joined by shuffling the phrases.
+    and the search goes on behind it. Built from equi joins with a trie of the names, one
+    table per depth: a place of a text is looked up by its first run of characters,
+    and only where some name begins like that is the next run put to it and looked up.
+    Overlapping hits of a text are thinned from left to right. Tries of up to
+    ``broadcast_names`` beginnings (counted) go to every task, so that only hits are
+    shuffled; larger ones are joined by shuffling what is still being followed.
 
     -> (row_id, iso3, name, level), one row per name entry that was found.
     """
     listed = names.where(F.col("name") != "").select(
         F.col("iso3").alias("_iso"), F.lower("name").alias("_phrase"), "level", "name"
     )
-    lookup = F.broadcast if at_most(listed, broadcast_names) else lambda df: df
-    known = lookup(listed.select("_iso", "_phrase").distinct())
+    trie = phrase_trie(listed)
+    size = trie.agg(
+        F.count(F.lit(1)).alias("n"), F.max("depth").alias("depth"),
+        F.bool_and((F.col("depth") > 1) | F.col("prefix").rlike(_WORD)).alias("words"),
+    ).first()
+    lookup = F.broadcast if size["n"] <= broadcast_names else lambda df: df
     same = (F.col("_c") == F.col("_iso")) & (F.col("phrase") == F.col("_phrase"))
-    # per country: how many runs its names have (a handful of small numbers), and
-    # the distance between places where a name can start: runs alternate, so it
-    # is every second one unless some name starts with a non-word character
-    sizes = names.groupBy(F.col("iso3").alias("_iso")).agg(
-        F.sort_array(F.collect_set(F.size(_runs(F.lower("name"))))).alias("sizes"),
-        F.when(F.bool_and(F.col("name").rlike(_WORD)), 2).otherwise(1).alias("step"),
-    )
     runs, total = F.col("runs"), F.size(F.col("runs"))
     # a text end is a word boundary only next to a word, so a first or last run
     # of other characters cannot be part of a phrase
     first = F.when(F.get(runs, F.lit(0)).rlike(_WORD), 1).otherwise(2)
     last = F.when(F.get(runs, total - 1).rlike(_WORD), total).otherwise(total - 1)
-
-    def of_size(n: Column) -> Column:
-        starts = F.when(F.col("last") - n + 1 >= F.col("first"), F.sequence("first", F.col("last") - n + 1, F.col("step")))
-        return F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")),
-            lambda i: F.struct(
-                i.alias("at"), n.alias("n"), F.array_join(F.slice(runs, i, n), "").alias("phrase")
-            ),
-        )
-
-    phrases = (
+    # runs alternate, so a name that begins with a word begins at every second one
+    starts = F.when(F.col("last") >= F.col("first"), F.sequence("first", "last", F.lit(2 if size["words"] else 1)))
+    deepest = size["depth"] or 1
+    begun = F.transform(
+        starts,
+        lambda i: F.struct(
+            i.alias("at"), F.get(runs, i - 1).alias("run"),
+            F.slice(runs, i + 1, F.least(F.lit(deepest - 1), F.col("last") - i)).alias("rest")),
+    )
+    followed = (
         texts.select(F.col(row_id), F.col(iso3).alias("_c"), _runs(F.lower(text)).alias("runs"))
         .withColumns({"first": first, "last": last})
-        .join(sizes, F.col("_c") == F.col("_iso"))
-        .select(row_id, "_c", F.explode(F.flatten(F.transform("sizes", of_size))).alias("p"))
-        .select(row_id, "_c", "p.at", "p.n", "p.phrase")
+        .select(row_id, "_c", F.explode(begun).alias("p"))
+        .select(row_id, "_c", "p.at", F.col("p.run").alias("phrase"), "p.rest")
     )
-    hits = phrases.join(known, same, "left_semi")
+    for depth in range(1, deepest + 1):
+        level = lookup(trie.where(F.col("depth") == depth).select("_iso", F.col("prefix").alias("_node"), F.col("ends").alias("_ends"), F.col("more").alias("_more")))
+        hit = F.when(F.col("_ends"), F.array(F.struct(F.lit(depth).alias("n"), F.col("phrase")))).otherwise(
+            F.array().cast("array<struct<n:int,phrase:string>>"))
+        if depth == 1:
+            met = followed.join(level, (F.col("_c") == F.col("_iso")) & (F.col("phrase") == F.col("_node"))).withColumn("found", hit)
+        else:
+            # a place that is followed no further asks for what no table has, each for something else
+            asked = F.coalesce("phrase", F.concat(F.lit("\u0000"), F.col("at").cast("string"), F.col(row_id).cast("string")))
+            met = followed.withColumn("_asked", asked).join(
+                level, (F.col("_c") == F.col("_iso")) & (F.col("_asked") == F.col("_node")), "left"
+            ).withColumn("found", F.concat("found", hit))
+        # a null run (the text ends) makes a null phrase
+        followed = met.select(
+            row_id, "_c", "at", F.when(F.col("_more"), F.concat("phrase", F.get("rest", F.lit(depth - 1)))).alias("phrase"), "rest", "found")
+    hits = followed.select(row_id, "_c", "at", F.explode("found").alias("f")).select(row_id, "_c", "at", "f.n", "f.phrase")
     # Cut the hits of a text into groups that overlap; between groups nothing has
     # to be decided. All of this happens after one exchange on the text's id.
     along = Window.partitionBy(row_id).orderBy("at", F.col("n").desc())
@@ -292,6 +331,82 @@ def scan_names(
     )
 
 
+def answered_places(
+    df: DataFrame,
+    mapping: DataFrame,
+    row_id: str,
+    iso3: str,
+    country: str,
+    columns: Mapping[int, str],
+    dissolved: str,
+    successors: Sequence[tuple[str, str]],
+) -> DataFrame:
+    """All lookups of a row's places at once: :func:`resolve_by_evidence` and then :func:`alias_lookup`.
+
+    Every place of a row is one question (country, name); a row of the dissolved country
+    asks each successor. The answers are one table with a row per country and name: its
+    main name at each level, and whether it is evidence. Questions are joined with it
+    once and packed back per row. ``df`` is read twice, ``mapping`` once if it is stored.
+    """
+    alias = alias_table(mapping, list(columns)).select(
+        F.col("iso3").alias("_iso"), F.col("alias").alias("_name"), F.col("level").alias("_lv"), F.col("main").alias("_main"), F.lit(False).alias("_ev"))
+    codes = [code for code, _ in successors]
+    evidence = name_sets(mapping.where(F.col("iso3").isin(codes))).where("level > 0").select(
+        F.col("iso3").alias("_iso"), F.col("name").alias("_name"), F.lit(None).cast("int").alias("_lv"), F.lit(None).cast("string").alias("_main"), F.lit(True).alias("_ev"))
+    answers = alias.unionByName(evidence).groupBy("_iso", "_name").agg(
+        *[F.max(F.when(F.col("_lv") == level, F.col("_main"))).alias(f"_main{level}") for level in columns], F.bool_or("_ev").alias("_ev"))
+    empty = F.array().cast("array<string>")
+
+    def items_of(level: int, column: str) -> Column:
+        return F.transform(
+            F.coalesce(F.col(column), empty),
+            lambda name, at: F.named_struct(F.lit("level"), F.lit(level), F.lit("at"), at, F.lit("name"), name))
+
+    listed = F.concat(*[items_of(level, column) for level, column in columns.items()])
+    asked = F.when(
+        F.col(iso3) == dissolved, F.array(*[F.struct(F.lit(rank).alias("rank"), F.lit(code).alias("of")) for rank, code in enumerate(codes)])
+    ).otherwise(F.array(F.struct(F.lit(None).cast("int").alias("rank"), F.col(iso3).alias("of"))))
+    questions = (
+        df.select(row_id, asked.alias("_asked"), listed.alias("_listed"))
+        .select(row_id, "_listed", F.explode("_asked").alias("a"))
+        .select(row_id, "a.rank", "a.of", F.explode("_listed").alias("q"))
+        .select(row_id, "rank", "of", "q.*")
+    )
+    main = F.lit(None).cast("string")
+    for level in columns:
+        main = F.when(F.col("level") == level, F.col(f"_main{level}")).otherwise(main)
+    packed = (
+        questions.join(answers, (F.col("of") == F.col("_iso")) & (F.col("name") == F.col("_name")), "left")
+        .groupBy(F.col(row_id).alias("_row"))
+        .agg(
+            F.min(F.when(F.col("_ev"), F.col("rank"))).alias("_rank"),
+            F.sort_array(F.collect_list(F.struct("level", "at", "rank", F.coalesce(main, "name").alias("name")))).alias("_items"),
+        )
+    )
+    # a column of its own: below, the country's name stands for the new country
+    joined = df.withColumn("_old", F.coalesce(F.col(iso3) == dissolved, F.lit(False))).join(packed, F.col(row_id) == F.col("_row"), "left")
+    old = F.col("_old")
+    code, title = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for rank, (c, t) in enumerate(successors):
+        code = F.when(F.col("_rank") == rank, c).otherwise(code)
+        title = F.when(F.col("_rank") == rank, t).otherwise(title)
+    joined = joined.where(~old | F.col("_rank").isNotNull())
+
+    def answered(level: int, column: str) -> Column:
+        mine = F.filter("_items", lambda i: (i["level"] == level) & (F.coalesce(i["rank"], F.lit(-1)) == F.when(old, F.col("_rank")).otherwise(-1)))
+        return F.when(F.col("_items").isNotNull() & F.col(column).isNotNull(), F.transform(mine, lambda i: i["name"])).otherwise(F.col(column))
+
+    return joined.select(
+        *[
+            F.when(old, code).otherwise(F.col(iso3)).alias(c) if c == iso3
+            else F.when(old, title).otherwise(F.col(country)).alias(c) if c == country
+            else answered(next(n for n, x in columns.items() if x == c), c).alias(c) if c in columns.values()
+            else F.col(c)
+            for c in df.columns
+        ]
+    )
+
+
 def resolve_by_evidence(
     df: DataFrame,
     names: DataFrame,

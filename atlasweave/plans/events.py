@@ -27,14 +27,14 @@ from atlasweave.operators.codes import (
     update_from,
 )
 from atlasweave.operators.places import (
-    alias_lookup,
+    answered_places,
     attach_units,
     contains_lookup,
-    name_sets,
-    resolve_by_evidence,
     scan_names,
+    scanned_names,
 )
 from atlasweave.operators.reshape import flatten_levels
+from atlasweave.session import stored
 
 # --- fixed values: source marks and source column names -----------------------
 SOURCE_A, SOURCE_B = "EMDAT", "IDMC"
@@ -104,14 +104,15 @@ def clean_events_a(raw: DataFrame, mapping: DataFrame) -> DataFrame:
         *[codes_of_type(codes, kind).alias(name) for kind, name in CODE_TYPES_A.items()],
         (~F.rtrim(_q("ISO")).isin(*remapped)).alias("_plain"),
     )
-    successor_names = name_sets(mapping.where(F.col("iso3").isin([c for c, _ in SUCCESSOR_COUNTRIES])))
-    located = resolve_by_evidence(
-        base, successor_names.where("level > 0"), "event_id", "iso3_code", "admin_level_0",
-        ["admin_level_1", "admin_level_2"], DISSOLVED_COUNTRY, SUCCESSOR_COUNTRIES,
-    )
+    base = stored(base, "events-a")  # dates, codes and JSON are worked out once
+    mapping = stored(mapping, "mapping")
     located = remap_countries(
-        located, REMAPS_WITH_PLACES, "iso3_code", "admin_level_0", "admin_level_1", "admin_level_2"
+        base, REMAPS_WITH_PLACES, "iso3_code", "admin_level_0", "admin_level_1", "admin_level_2"
     ).where(F.col("iso3_code").isNotNull())
+    located = answered_places(
+        located, mapping, "event_id", "iso3_code", "admin_level_0", {1: "admin_level_1", 2: "admin_level_2"},
+        DISSOLVED_COUNTRY, SUCCESSOR_COUNTRIES,
+    )
     named = (
         located.join(_main_countries(mapping), F.col("iso3_code") == F.col("_iso"), "left")
         .withColumn(
@@ -120,7 +121,6 @@ def clean_events_a(raw: DataFrame, mapping: DataFrame) -> DataFrame:
         )
         .drop("_iso", "_main0", "_plain")
     )
-    named = alias_lookup(named, mapping, "event_id", "iso3_code", {1: "admin_level_1", 2: "admin_level_2"})
     label = event_label(
         F.col("iso3_code"), F.col("disaster_type"), F.col("disaster_subtype"), F.col("start_date"),
         [F.lit(SOURCE_A), F.col("event_id")],
@@ -143,7 +143,8 @@ def found_places(raw: DataFrame, mapping: DataFrame, row_id: str, iso3: str, tex
 
     Order: longest found name first, then alphabetical; each main name once.
     """
-    names = name_sets(mapping)
+    mapping = stored(mapping, "mapping")
+    names = stored(scanned_names(mapping), "names")
     found = scan_names(raw, names, row_id, iso3, text).where("level > 0")
     hits = found.join(place_targets(mapping, names), ["iso3", "level", "name"])
     item = F.struct((-F.length("name")).alias("o"), "name", "main")
@@ -183,7 +184,8 @@ def clean_events_b(raw: DataFrame, mapping: DataFrame, type_map: DataFrame) -> D
             for kind, name in CODE_TYPES_B.items()
         ],
     )
-    base = remap_countries(base, REMAPS_PLAIN, "iso3_code", "admin_level_0")
+    base = stored(remap_countries(base, REMAPS_PLAIN, "iso3_code", "admin_level_0"), "events-b")
+    mapping = stored(mapping, "mapping")
     places = found_places(base.select("event_id", "iso3_code", "_text"), mapping, "event_id", "iso3_code", "_text")
     empty = F.array().cast("array<string>")
     named = (
@@ -225,6 +227,7 @@ def merge_events(a: DataFrame, b: DataFrame) -> DataFrame:
     """
     if "disaster_internal_displacements" not in a.columns:
         a = a.withColumn("disaster_internal_displacements", F.lit(None).cast("bigint"))
+    a, b = stored(a, "merged-a"), stored(b, "merged-b")  # each is asked for its rows and for its codes
     updated = update_from(a, b, "event_id", "event_id", "glide", "disaster_internal_displacements")
     unmatched = code_anti(b, a, "event_id", "glide")
     return updated.unionByName(unmatched, allowMissingColumns=True)

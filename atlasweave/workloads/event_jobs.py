@@ -75,12 +75,12 @@ def n1(spark, d):
 
 
 _PLACES = """
-, patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM name_sets) GROUP BY iso3),
+, patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM scan_sets) GROUP BY iso3),
 b AS (SELECT *, CASE iso_raw WHEN 'HKG' THEN 'CHN' WHEN 'MAC' THEN 'CHN' WHEN 'ANT' THEN 'NLD' WHEN 'AB9' THEN 'SDN' WHEN 'XKX' THEN 'XKO' ELSE iso_raw END AS iso3_code FROM raw_b),
 hits AS (SELECT DISTINCT event_id, iso3, unnest(regexp_extract_all(lower(text), p)) AS low FROM b JOIN patterns ON iso3 = iso3_code),
-named AS (SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN name_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name) WHERE n.level > 0),
+named AS (SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN scan_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name) WHERE n.level > 0),
 mains AS (SELECT event_id, n.level, n.name, CASE n.level WHEN 1 THEN arg_min(main1, seq) ELSE arg_min(main2, seq) END AS main FROM named n JOIN mapping m ON n.iso3 = m.iso3 AND CASE n.level
-  WHEN 1 THEN contains(lower(main1 || '|' || alt1), lower(n.name)) ELSE contains(lower(main2 || '|' || alt2 || '|' || coalesce(local2, '')), lower(n.name)) END
+  WHEN 1 THEN contains(lower(main1 || '|' || alt1 || '|' || coalesce(local1, '')), lower(n.name)) ELSE contains(lower(main2 || '|' || alt2 || '|' || coalesce(local2, '')), lower(n.name)) END
   GROUP BY event_id, n.level, n.iso3, n.name),
 firsts AS (SELECT event_id, level, main, min(lpad((1000 - length(name))::VARCHAR, 4, '0') || name) AS o FROM mains GROUP BY ALL),
 listed AS (SELECT event_id, level, string_agg(main, '|' ORDER BY o) AS names FROM firsts GROUP BY ALL)"""

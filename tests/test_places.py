@@ -125,6 +125,31 @@ def test_evidence_decides_successor(spark):
     assert rows(out, "id", "iso", "c") == [(1, "SRB", "Serbia"), (2, "MNE", "Montenegro"), (5, "FRA", "France")]
 
 
+def test_all_place_lookups_at_once_equal_one_after_the_other(spark):
+    rng = random.Random(8)
+    names = ["Nis", "Bar", "B", "Novi Sad", "x", "Nat 7", None]
+    mapping = spark.createDataFrame([
+        ("MNE", 3, "M", None, "Bar", "B|Nat 7", None, "Nis", "x", None), ("SRB", 1, "S", None, "Novi Sad", "Nat 7", "Nis", "Bar", None, "B"),
+        ("SRB", 2, "S", None, "Other", "Nat 7", None, "x", None, None), ("FRA", 4, "F", None, "Nis", "Bar", None, None, None, None)], MAPPING)
+    pick = lambda: rng.choice([None, [], [rng.choice(names) for _ in range(rng.randrange(4))]])
+    data = [(i, rng.choice(["SCG", "SCG", "SRB", "FRA", "USA", None]), "old", pick(), pick()) for i in range(80)]
+    df = spark.createDataFrame(data, "id int, iso string, c string, a array<string>, b array<string>")
+    successors, levels = [("SRB", "Serbia"), ("MNE", "Montenegro")], {1: "a", 2: "b"}
+    names_of = places.name_sets(mapping).where("level > 0 AND iso3 IN ('SRB', 'MNE')")
+    one = places.alias_lookup(
+        places.resolve_by_evidence(df, names_of, "id", "iso", "c", ["a", "b"], "SCG", successors), mapping, "id", "iso", levels)
+    both = places.answered_places(df, mapping, "id", "iso", "c", levels, "SCG", successors)
+    assert both.columns == df.columns and rows(both) == rows(one)
+
+
+def test_names_that_texts_of_a_country_use_besides(spark):
+    mapping = spark.createDataFrame([("CHN", 1, "China", None, "Xianggang", None, "Hong Kong SAR", None, None, None), ("USA", 2, "USA", None, "Texas", None, None, None, None, None)], MAPPING)
+    texts = spark.createDataFrame([(1, "CHN", "Typhoon - Hong Kong - 2020"), (2, "USA", "Fire in Macau, Texas"), (3, "CHN", "MACAU/x")], "id int, iso string, text string")
+    got = places.scan_names(texts, places.scanned_names(mapping), "id", "iso", "text")
+    assert rows(got, "id", "name", "level") == [(1, "Hong Kong", 1), (2, "Texas", 1), (3, "Macau", 1)]
+    assert rows(ev.found_places(texts, mapping, "id", "iso", "text"), "id", "admin_level_1") == [(1, ["Xianggang"]), (2, ["Texas"])]
+
+
 def test_merge_identity(spark):
     a = spark.createDataFrame([(1, ["x"]), (2, ["y"]), (3, None)], "event_id bigint, glide array<string>").withColumn("source", F.lit("EMDAT"))
     b = spark.createDataFrame([(7, ["x"], 5), (8, ["x"], 6), (9, ["n"], 1), (10, None, 2)], "event_id bigint, glide array<string>, disaster_internal_displacements bigint").withColumn("source", F.lit("IDMC"))
