@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from atlasweave.session import stored
+
 
 def _rest(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in set(keys)]
@@ -54,6 +56,7 @@ def insert_ignore(
     A key with a null part never conflicts, as in SQL, so such rows all pass.
     """
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    incoming = stored(incoming, "incoming")
     keyed = keep_first(incoming.where(~has_null), keys, order)
     new = keyed.join(_known_keys(existing, keyed, keys), list(keys), "left_anti")
     return new.select(*incoming.columns).unionByName(incoming.where(has_null))
@@ -78,7 +81,7 @@ def upsert(
     aggs = [F.max_by(F.struct(*replaced), by).alias("_new")]
     if others:
         aggs.append(F.min_by(F.struct(*others), by).alias("_first"))
-    batch = incoming.groupBy(*keys).agg(*aggs)
+    batch = stored(incoming.groupBy(*keys).agg(*aggs), "batch")
     hit = F.col("_new").isNotNull()
     changed = existing.join(batch.select(*keys, "_new"), list(keys), "left").select(
         *keys,

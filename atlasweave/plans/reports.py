@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from atlasweave.functions.text import nonempty
 from atlasweave.operators.codes import code_pair_counts, code_semi, shared_code_countries
 from atlasweave.operators.keys import top_k
-from atlasweave.operators.summaries import completeness, exact_quantiles
-from atlasweave.session import scratch_path
+from atlasweave.operators.reshape import union_tagged
+from atlasweave.operators.summaries import completeness, group_medians
+from atlasweave.session import scratch_path, stored
 from atlasweave.schemas import GRID_DATASETS, NAMED_DATASETS, TableRules
 
 # --- fixed values: columns of the completeness report ---------------------------
@@ -30,39 +31,43 @@ def _count(cond: Column) -> Column:
 
 
 def event_matching(a: DataFrame, b: DataFrame, merged: DataFrame) -> DataFrame:
-    """Totals, code availability, matches and places as (metric, value) rows."""
-
-    def melt(df: DataFrame, prefix: str = "") -> DataFrame:
-        return df.unpivot([], df.columns, "metric", "value").select(
-            F.concat(F.lit(prefix), "metric").alias("metric"), F.col("value").cast("double").alias("value")
-        )
+    """Totals, code availability, matches and places as (metric, value) rows.
 
+    The three tables are read once, as narrow rows tagged by table; totals and totals by
+    source come out of one aggregation over grouping sets.
+    """
+    located = F.coalesce(nonempty(F.col("admin_level_1")) | nonempty(F.col("admin_level_2")), F.lit(False))
+    tagged = stored(
+        union_tagged(
+            {
+                name: df.select(
+                    "event_id", "event_name", "source", "glide", nonempty(F.col("glide")).alias("has_code"), located.alias("has_place"))
+                for name, df in {"a": a, "b": b, "merged": merged}.items()
+            }, "section"),
+        "matching")
     total = F.count(F.lit(1))
-    with_codes = _count(nonempty(F.col("glide")))
-    part_a = melt(a.agg(total.alias("total_a"), with_codes.alias("a_with_code"), (total - with_codes).alias("a_without_code")))
-    located = _count(nonempty(F.col("admin_level_1")) | nonempty(F.col("admin_level_2")))
-    part_b = melt(
-        b.agg(
-            total.alias("total_b"), with_codes.alias("b_with_code"), (total - with_codes).alias("b_without_code"),
-            located.alias("b_with_places"),
-            F.coalesce(F.round(100.0 * located / F.nullif(total, F.lit(0)), 1), F.lit(0.0)).alias("b_places_pct"),
-        )
-    )
-    matched = code_semi(b, a, "event_id", "glide").agg(F.countDistinct("event_name").alias("b_matched"))
-    # the two single rows are stacked and added up rather than joined
-    both = matched.select("b_matched", F.lit(0).cast("bigint").alias("n")).unionByName(
-        b.agg(total.alias("n")).select(F.lit(0).cast("bigint").alias("b_matched"), "n")
-    )
-    part_match = melt(
-        both.agg(
-            F.sum("b_matched").alias("b_matched"), (F.sum("n") - F.sum("b_matched")).alias("b_unmatched")
-        )
-    )
-    part_merged = melt(merged.agg(total.alias("total_merged")))
-    by_source = merged.groupBy("source").agg(total.cast("double").alias("value")).select(
-        F.concat(F.lit("source_"), F.coalesce("source", F.lit("NULL"))).alias("metric"), "value"
-    )
-    return reduce(DataFrame.unionByName, [part_a, part_b, part_match, part_merged, by_source])
+    counts = tagged.groupingSets([["section"], ["section", "source"]], "section", "source").agg(
+        F.grouping("source").alias("all"), total.alias("n"), _count(F.col("has_code")).alias("with_code"), _count(F.col("has_place")).alias("with_places"))
+    pct = F.coalesce(F.round(100.0 * F.col("with_places") / F.nullif("n", F.lit(0)), 1), F.lit(0.0))
+    metric = lambda name, value: F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
+    shown = (
+        F.when((F.col("section") == "a") & (F.col("all") == 1), F.array(
+            metric("total_a", F.col("n")), metric("a_with_code", F.col("with_code")), metric("a_without_code", F.col("n") - F.col("with_code"))))
+        .when((F.col("section") == "b") & (F.col("all") == 1), F.array(
+            metric("total_b", F.col("n")), metric("b_with_code", F.col("with_code")), metric("b_without_code", F.col("n") - F.col("with_code")),
+            metric("b_with_places", F.col("with_places")), metric("b_places_pct", pct)))
+        .when((F.col("section") == "merged") & (F.col("all") == 1), F.array(metric("total_merged", F.col("n"))))
+        .when(F.col("section") == "merged", F.array(F.struct(
+            F.concat(F.lit("source_"), F.coalesce("source", F.lit("NULL"))).alias("metric"), F.col("n").cast("double").alias("value"))))
+    )
+    totals = counts.select(F.explode(shown).alias("m")).select("m.*")
+    part = lambda name: tagged.where(F.col("section") == name)
+    names = code_semi(part("b"), part("a"), "event_id", "glide").select("event_name", F.lit(1).alias("matched"))
+    matched = names.unionByName(part("b").select(F.lit(None).cast("string").alias("event_name"), F.lit(0).alias("matched"))).agg(
+        F.countDistinct("event_name").alias("b_matched"), _count(F.col("matched") == 0).alias("n"))
+    matches = matched.select(F.explode(F.array(
+        metric("b_matched", F.col("b_matched")), metric("b_unmatched", F.col("n") - F.col("b_matched")))).alias("m")).select("m.*")
+    return totals.unionByName(matches)
 
 
 def event_completeness(events: DataFrame, columns: Sequence[str] = tuple(EVENT_COLUMNS)) -> DataFrame:
@@ -75,7 +80,7 @@ def grid_completeness(obs: DataFrame) -> DataFrame:
     The table is first reduced to one row per (dataset, variable, unit); the
     distinct counts then run on that small table instead of expanding every row.
     """
-    mine = obs.where(F.col("dataset").isin(GRID_DATASETS))
+    mine = stored(obs.where(F.col("dataset").isin(GRID_DATASETS)).select("dataset", "variable", "gid", "missing_value_percentage"), "grid-rows")
     m = F.col("missing_value_percentage")
     small = mine.groupBy("dataset", "variable", "gid").agg(
         F.count(F.lit(1)).alias("n"), F.sum(m).alias("s"), F.count(m).alias("c"),
@@ -87,20 +92,12 @@ def grid_completeness(obs: DataFrame) -> DataFrame:
         F.sum("u10").alias("under_10"), F.sum("u30").alias("under_30"),
         F.countDistinct("variable").alias("n_variables"), F.countDistinct("gid").alias("n_units"),
     )
-    median = median_missing(mine)
-    return main.join(median, "dataset", "left").withColumn(
-        "median_missing", F.coalesce("median_missing", F.lit(0.0))
-    )
+    return main.join(median_missing(mine), "dataset")
 
 
 def median_missing(obs: DataFrame) -> DataFrame:
     """Exact median of the missing share per dataset; 0 when there is none."""
-    q = exact_quantiles(obs, "dataset", "missing_value_percentage", [0.5]).select(
-        "dataset", F.col("quantile").alias("median_missing")
-    )
-    return obs.select("dataset").distinct().join(q, "dataset", "left").select(
-        "dataset", F.coalesce("median_missing", F.lit(0.0)).alias("median_missing")
-    )
+    return group_medians(obs, "dataset", "missing_value_percentage", "median_missing", 0.0)
 
 
 def _named_reduced(obs: DataFrame) -> DataFrame:
@@ -186,7 +183,7 @@ def type_mismatches(a: DataFrame, b: DataFrame, k: int = 10) -> DataFrame:
 
 def countries_by_source(events: DataFrame) -> DataFrame:
     """Distinct countries and events, overall (source ``ALL``) and per source."""
-    small = events.groupBy("source", "iso3_code").agg(F.count(F.lit(1)).alias("n"))
+    small = stored(events.groupBy("source", "iso3_code").agg(F.count(F.lit(1)).alias("n")), "per-country")
     per = small.groupBy(F.coalesce("source", F.lit("NULL")).alias("source")).agg(
         F.countDistinct("iso3_code").alias("countries"), F.sum("n").alias("events")
     )
@@ -213,9 +210,9 @@ def top_countries(events: DataFrame, k: int = 20) -> DataFrame:
 
 def type_distribution(events: DataFrame, k: int = 25) -> DataFrame:
     """Events per group, per type (with countries) and for the top-k subtypes."""
-    small = events.groupBy("disaster_group", "disaster_type", "disaster_subtype", "iso3_code").agg(
+    small = stored(events.groupBy("disaster_group", "disaster_type", "disaster_subtype", "iso3_code").agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ), "per-type")
     none = F.lit(None)
     groups = small.groupBy("disaster_group").agg(F.sum("n").alias("events")).select(
         F.lit("group").alias("section"), F.coalesce("disaster_group", F.lit(NOT_CLASSIFIED)).alias("name"),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atlasweave.operators.reshape import combine_wide, pivot_max, renamed
+from atlasweave.operators.reshape import pivot_max, renamed
 from atlasweave.schemas import GRID_DATASETS, MEAN_DATASETS
+from atlasweave.session import stored
 
 # --- fixed values: labels, categories and variables of the views ---------------
 EVENT_LABELS = {
@@ -83,28 +84,6 @@ VEGETATION_LABELS = {"NDVI": "Normalized Difference Vegetation Index"}
 DENSITY_LABELS = {"Population_Weighted_Density_G": "WorldPop - Population Weighted Density - Geometric Mean"}
 
 
-def age_sex_labels() -> dict[str, str]:
-    """Column names of the population variables by sex and age, from their rule.
-
-    18 plain groups (<1, 1-4, then five years each, 80+) and 21 dated ones (five
-    years each, 100+) per sex. Names of dated male columns end in a blank from
-    age 45 on.
-    """
-    labels = {}
-    for code, sex in (("f", "Female"), ("m", "Male")):
-        for start in [0, 1, *range(5, 81, 5)]:
-            span = {0: "<1", 1: "1-4", 80: "80+"}.get(start, f"{start}-{start + 4}")
-            labels[f"population_sex_age_{code}_{start}_count"] = f"Total {sex} Population Age {span}"
-    for code, sex in (("f", "Female"), ("m", "Male")):
-        for start in range(0, 101, 5):
-            upto = "2022" if start == 100 else str(start + 4)
-            span = "100+" if start == 100 else f"{start}-{start + 4}"
-            tail = " " if code == "m" and start >= 45 else ""
-            name = f"2021_2022_population_sex_age_{code}_{start}_{upto}_count"
-            labels[name] = f"Total {sex} Population Aged {span} (2021-2022){tail}"
-    return labels
-
-
 def catalog_labels(catalog: DataFrame, dataset: str) -> dict[str, str]:
     """Variable -> column name of a dataset, for a pivot.
 
@@ -115,6 +94,17 @@ def catalog_labels(catalog: DataFrame, dataset: str) -> dict[str, str]:
     return {r["variable"]: r["label"] for r in rows.orderBy("variable").collect()}
 
 
+def all_labels(catalog: DataFrame, known: Mapping[str, Mapping[str, str]]) -> dict[tuple[str, str], str]:
+    """(dataset, variable) -> column name of every column of the combined view.
+
+    The catalog's entries, and for datasets it does not name the labels in ``known``.
+    """
+    rows = catalog.where(F.col("dataset").isNotNull()).select("dataset", "variable", "label").distinct()
+    listed = {(r["dataset"], r["variable"]): r["label"] for r in rows.orderBy("dataset", "variable").collect()}
+    named = {dataset for dataset, _ in listed}
+    return {(dataset, v): label for dataset, labels in known.items() if dataset not in named for v, label in labels.items()} | listed
+
+
 def selected_value(dataset: Column, variable: Column) -> Column:
     """The statistic that is the value of interest of a dataset and variable."""
     return (
@@ -173,8 +163,8 @@ def with_defaults(obs: DataFrame) -> DataFrame:
     )
 
 
-def long_view(obs: DataFrame, catalog: DataFrame, units: DataFrame) -> DataFrame:
-    """Every observation, labelled, with its selected value and country codes."""
+def long_view(obs: DataFrame, catalog: DataFrame, units: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every observation, labelled, with its selected value and country codes; ``keep`` names further columns to show."""
     level1 = units.where("admin_level = 1").select(F.col("gid").alias("_gid"), "iso3_1")
     labelled = label_variables(with_defaults(obs), catalog)
     return labelled.join(
@@ -187,7 +177,7 @@ def long_view(obs: DataFrame, catalog: DataFrame, units: DataFrame) -> DataFrame
         "unit",
         selected_value(F.col("dataset"), F.col("variable")).alias("selected_value"),
         F.substring("gid", 1, 3).alias("iso3_level_0"),
-        F.when(F.col("admin_level") == 1, F.col("iso3_1")).alias("iso3_level_1"),
+        F.when(F.col("admin_level") == 1, F.col("iso3_1")).alias("iso3_level_1"), *keep,
     )
 
 
@@ -248,19 +238,15 @@ def combined_view(obs: DataFrame, labels: Mapping[tuple[str, str], str]) -> Data
     )
 
 
-def combined_by_joins(parts: Sequence[DataFrame]) -> DataFrame:
-    """The same from separate wide tables (unique keys), as union and aggregation."""
-    return combine_wide(parts, ["gid", "admin_level", "date"])
-
-
 def country_event_view(wide: DataFrame, events: DataFrame) -> DataFrame:
     """Wide observations full-joined with events on (country, date).
 
     Written as a left join from the events plus the observations no event asks
     for: a full join cannot be split when one country and date holds a large
     part of all events, a left join and an anti join can. Null event keys match
-    nothing and stay.
+    nothing and stay. Both sides are stored first: each is asked twice.
     """
+    wide, events = stored(wide, "wide"), stored(events, "wide-events")
     ev = events.withColumnsRenamed({"iso3_code": "_iso", "start_date": "_start"})
     on = (F.col("_iso") == F.col("gid")) & (F.col("_start") == F.col("date"))
     event_side = (

@@ -51,12 +51,14 @@ def n5_unmatched(spark, d):
 
 @query("n5_weather_match", with_("indicators") + """
 , winners AS (SELECT * FROM located WHERE gid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gid, admin_level, year ORDER BY seq DESC, pos DESC) = 1)
-SELECT gid, admin_level, make_date(year, 1, 1) AS date, unnest(['surfacetempyear', 'relhumidityyear', 'totprecipyear']) AS variable,
+SELECT gid, admin_level, make_date(year, 1, 1) AS date,
+  '{"iso_code":"' || iso_code || '","country":"' || country || '","GDLCODE":"' || GDLCODE || '","level":"' || level || '","region":"' || region || '","continent":' ||
+    coalesce('"' || continent || '"', 'null') || ',"year":' || year || '}' AS metadata, unnest(['surfacetempyear', 'relhumidityyear', 'totprecipyear']) AS variable,
   unnest([TRY_CAST(nullif(trim(shdi), '') AS DOUBLE), TRY_CAST(nullif(trim(edindex), '') AS DOUBLE), TRY_CAST(nullif(trim(lifexp), '') AS DOUBLE)]) AS raw_value FROM winners""")
 def n5_weather(spark, d):
     raw = t.raw_indicators(spark, d).withColumnsRenamed({"shdi": "surfacetempyear", "edindex": "relhumidityyear", "lifexp": "totprecipyear"})
-    obs, _ = ind.load_indicators(raw, places.gazetteer(t.units(spark, d)), ind.WEATHER_VARIABLES)
-    return obs.select("gid", "admin_level", "date", "variable", "raw_value")
+    obs, _ = ind.load_indicators(raw, places.gazetteer(t.units(spark, d)), ind.WEATHER_VARIABLES, metadata=ind.WEATHER_METADATA)
+    return obs.select("gid", "admin_level", "date", "metadata", "variable", "raw_value")
 
 
 _NEW = ISO_REMAP.format(x="iso")

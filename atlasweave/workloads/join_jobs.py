@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlasweave.operators import codes, places
-from atlasweave.operators.reshape import flatten_levels
+from atlasweave.operators.reshape import combine_wide, flatten_levels
 from atlasweave.plans import reports, views
 from atlasweave.plans.events import found_places, place_targets
-from atlasweave.session import scratch_path
+from atlasweave.session import stored
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
-from atlasweave.workloads.sql import case_codes, normalize, with_
+from atlasweave.workloads.sql import DATASET_VARIABLES, DATASETS, SELECTED, case_codes, normalize, with_
 from atlasweave.workloads.tables import SPECIAL_CODES
 
 
@@ -46,7 +46,7 @@ def j5(spark, d):
     return codes.shared_code_countries(t.events_a(spark, d), t.events_b(spark, d), "glide", "iso3_code")
 
 
-@query("j6_catalog_label", with_("catalog") + """
+@query("j6_catalog_label", with_("catalog", "obs") + """
 SELECT o.dataset, coalesce(e.label, g.label, o.variable) AS label, coalesce(e.data_source, g.data_source, o.source) AS source, count(*) AS n_rows
 FROM obs o LEFT JOIN catalog e ON e.dataset = o.dataset AND e.variable = o.variable
 LEFT JOIN catalog g ON g.dataset IS NULL AND g.variable = o.variable GROUP BY ALL""")
@@ -66,33 +66,28 @@ def j7(spark, d):
         "gid", "admin_level", "iso3_1").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_WIDE = {"climate": views.CLIMATE_LABELS, "aerosol": views.AEROSOL_LABELS, "population": views.POPULATION_LABELS,
-         "soil_moisture": {"SMrz": "Root Zone Soil Moisture"}, "vegetation": {"NDVI": "NDVI"}}
-
-
 def _pivot_sql(name: str, dataset: str, labels, value: str) -> str:
     cols = ", ".join(f"max(CASE WHEN variable = '{v}' THEN {value} END) AS \"{label}\"" for v, label in labels.items())
     return f"{name} AS (SELECT gid, admin_level, date, {cols} FROM obs WHERE dataset = '{dataset}' GROUP BY ALL)"
 
 
 def _full_chain_sql() -> str:
-    names = [f"w{i}" for i in range(len(_WIDE))]
-    parts = []
-    for name, (ds, labels) in zip(names, _WIDE.items()):
-        value = "CASE variable WHEN 'population_count' THEN \"sum\" ELSE mean END" if ds == "population" else "mean"
-        parts.append(_pivot_sql(name, ds, labels, value))
+    """Eleven pivots, full-joined one after the other."""
+    names = [f"w{i}" for i in range(len(DATASETS))]
+    parts = [_pivot_sql(n, ds, {v: f"{ds}: {v}" for v in DATASET_VARIABLES[ds]}, f"({SELECTED})") for n, ds in zip(names, DATASETS)]
     joins = names[0] + "".join(f" FULL JOIN {n} USING (gid, admin_level, date)" for n in names[1:])
-    cols = ", ".join(f'round("{label}", 4) AS "{label}"' for labels in _WIDE.values() for label in labels.values())
+    cols = ", ".join(f'round("{ds}: {v}", 4) AS "{ds}: {v}"' for ds in DATASETS for v in DATASET_VARIABLES[ds])
     return with_("obs") + ", " + ", ".join(parts) + f" SELECT gid, admin_level, date, {cols} FROM {joins}"
 
 
 @query("j8_full_outer_chain", _full_chain_sql())
 def j8(spark, d):
-    obs = t.observations(spark, d)
-    labels = {(ds, v): label for ds, named in _WIDE.items() for v, label in named.items()}
-    mine = obs.where(F.col("dataset").isin(list(_WIDE)))
-    wide = views.combined_view(mine, labels)
-    return wide.select("gid", "admin_level", "date", *[F.round(f"`{c}`", 4).alias(c) for c in labels.values()])
+    """Wide tables of all eleven datasets, full-joined in one shuffle."""
+    obs = stored(t.observations(spark, d), "observations")
+    keys = ["gid", "admin_level", "date"]
+    parts = [views.wide_view(obs, ds, {v: f"{ds}: {v}" for v in DATASET_VARIABLES[ds]}) for ds in DATASETS]
+    wide = combine_wide(parts, keys)
+    return wide.select(*keys, *[F.round(f"`{c}`", 4).alias(c) for c in wide.columns if c not in keys])
 
 
 _EVENT_COLUMNS = ["event_id", "event_name", "disaster_type", "source", "total_deaths", "disaster_internal_displacements"]
@@ -161,38 +156,49 @@ FROM name_sets n JOIN mapping m ON n.iso3 = m.iso3 AND CASE n.level
   WHEN 2 THEN contains(lower(main2), lower(n.name)) OR contains(lower(alt2), lower(n.name)) OR coalesce(contains(lower(local2), lower(n.name)), false) END
 WHERE n.level > 0 GROUP BY ALL""")
 def j13(spark, d):
-    m = t.place_mapping(spark, d)
-    return place_targets(m, places.name_sets(m))
+    m = stored(t.place_mapping(spark, d), "mapping")
+    return place_targets(m, stored(places.name_sets(m), "names"))
 
 
 @query("j14_gazetteer_scan", with_("mapping", "raw_b") + """
-, patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM name_sets) GROUP BY iso3),
+, patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM scan_sets) GROUP BY iso3),
 hits AS (SELECT DISTINCT event_id, iso3, unnest(regexp_extract_all(lower(text), p)) AS low FROM raw_b JOIN patterns ON iso3 = CASE iso_raw WHEN 'HKG' THEN 'CHN' WHEN 'MAC' THEN 'CHN' WHEN 'ANT' THEN 'NLD' WHEN 'AB9' THEN 'SDN' WHEN 'XKX' THEN 'XKO' ELSE iso_raw END)
-SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN name_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name)""")
+SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN scan_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name)""")
 def j14(spark, d):
     raw = codes.remap_countries(
         t.raw_events_b(spark, d).select("event_id", F.trim("ISO3").alias("iso"), F.col("`Country / Territory`").alias("c"), F.col("Event Name").alias("text")),
         codes.REMAPS_PLAIN, "iso", "c")
-    return places.scan_names(raw, places.name_sets(t.place_mapping(spark, d)), "event_id", "iso", "text")
+    return places.scan_names(raw, stored(places.scanned_names(t.place_mapping(spark, d)), "names"), "event_id", "iso", "text")
 
 
-_ASCII = "regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g')"
+# Words are runs of letters, digits and underscores; a phrase is two of them with one blank between.
+_RUN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+"
+_SENTENCE_END = "(\\p{L}+ \\p{L}+)\\."
 
 
 @query("j14_gazetteer_documents", f"""
-WITH docs AS (SELECT doc_id, lang, {_ASCII} AS text FROM documents),
-phrases AS (SELECT DISTINCT lang, lower(p) AS p FROM (SELECT lang, regexp_extract(text, '([A-Za-z]+ [A-Za-z]+)\\.', 1) AS p FROM docs) WHERE p <> ''),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, text FROM documents),
+phrases AS (SELECT DISTINCT lang, lower(p) AS p FROM (SELECT lang, unnest(regexp_extract_all(text, '{_SENTENCE_END}', 1)) AS p FROM docs)),
 names AS (SELECT lang, p FROM phrases UNION SELECT lang, string_split(p, ' ')[2] FROM phrases),
-patterns AS (SELECT lang, '\\b(?:' || string_agg(p, '|' ORDER BY length(p) DESC, p) || ')\\b' AS pat FROM names GROUP BY lang)
-SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), pat)) AS name FROM docs JOIN patterns USING (lang)""")
+runs AS (SELECT r, doc_id, lang, unnest(l) AS run, generate_subscripts(l, 1) AS k FROM (
+  SELECT r, doc_id, lang, regexp_extract_all(lower(text), '{_RUN}') AS l FROM docs)),
+words AS (SELECT *, CASE WHEN lead(run) OVER w = ' ' THEN run || ' ' || lead(run, 2) OVER w END AS pair FROM runs WINDOW w AS (PARTITION BY r ORDER BY k)
+  QUALIFY regexp_matches(run, '^[\\p{{L}}\\p{{N}}_]')),
+known AS (SELECT w.*, p.p IS NOT NULL AS pair_known, s.p IS NOT NULL AS word_known FROM words w
+  LEFT JOIN names p ON p.lang = w.lang AND p.p = w.pair LEFT JOIN names s ON s.lang = w.lang AND s.p = w.run),
+chains AS (SELECT *, k // 2 - row_number() OVER (PARTITION BY r, pair_known ORDER BY k) AS chain FROM known),
+taken AS (SELECT *, pair_known AND row_number() OVER (PARTITION BY r, pair_known, chain ORDER BY k) % 2 = 1 AS pair_taken FROM chains),
+placed AS (SELECT *, coalesce(lag(pair_taken) OVER (PARTITION BY r ORDER BY k), false) AS covered FROM taken)
+SELECT DISTINCT doc_id, CASE WHEN pair_taken THEN pair ELSE run END AS name FROM placed WHERE pair_taken OR (word_known AND NOT covered)""")
 def j14_documents(spark, d):
-    docs = t.table(spark, d, "documents").select("doc_id", "lang", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("text"))
-    phrases = docs.select("lang", F.lower(F.regexp_extract("text", r"([A-Za-z]+ [A-Za-z]+)\.", 1)).alias("p")).where("p <> ''").distinct()
+    """All documents scanned, as they are, for the last two words and the last word of every sentence of their language."""
+    docs = t.table(spark, d, "documents").select("doc_id", "lang", "text")
+    ends = F.regexp_extract_all("text", F.lit(_SENTENCE_END), F.lit(1))
+    phrases = docs.select("lang", F.explode(F.array_distinct(F.transform(ends, F.lower))).alias("p")).distinct()
     names = phrases.select("lang", F.explode(F.array("p", F.element_at(F.split("p", " "), 2))).alias("name")).distinct()
-    path = scratch_path(spark, "names")  # a gazetteer is a table; here it is derived from the texts first
-    names.select(F.col("lang").alias("iso3"), F.lit(1).alias("level"), "name").write.parquet(path)
-    found = places.scan_names(docs, spark.read.parquet(path), "doc_id", "lang", "text")
-    return found.select("doc_id", "name")
+    # a gazetteer is a table; here it is derived from the texts first
+    names = stored(names.select(F.col("lang").alias("iso3"), F.lit(1).alias("level"), "name"), "names")
+    return places.scan_names(docs, names, "doc_id", "lang", "text").select("doc_id", "name")
 
 
 @query("j15_pair_map_nullsafe", """
@@ -266,11 +272,11 @@ def j22(spark, d):
 
 
 @query("n2_places_from_text", with_("mapping", "raw_b") + """
-, patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM name_sets) GROUP BY iso3),
+, patterns AS (SELECT iso3, '\\b(?:' || string_agg(low, '|' ORDER BY length(low) DESC, low) || ')\\b' AS p FROM (SELECT DISTINCT iso3, lower(name) AS low FROM scan_sets) GROUP BY iso3),
 hits AS (SELECT DISTINCT event_id, iso3, unnest(regexp_extract_all(lower(text), p)) AS low FROM raw_b JOIN patterns ON iso3 = iso_raw),
-named AS (SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN name_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name) WHERE n.level > 0)
+named AS (SELECT event_id, h.iso3, n.level, n.name FROM hits h JOIN scan_sets n ON h.iso3 = n.iso3 AND h.low = lower(n.name) WHERE n.level > 0)
 SELECT DISTINCT event_id, n.level, CASE n.level WHEN 1 THEN arg_min(main1, seq) ELSE arg_min(main2, seq) END AS main FROM named n JOIN mapping m ON n.iso3 = m.iso3 AND CASE n.level
-  WHEN 1 THEN contains(lower(main1 || '|' || alt1), lower(n.name)) ELSE contains(lower(main2 || '|' || alt2 || '|' || coalesce(local2, '')), lower(n.name)) END
+  WHEN 1 THEN contains(lower(main1 || '|' || alt1 || '|' || coalesce(local1, '')), lower(n.name)) ELSE contains(lower(main2 || '|' || alt2 || '|' || coalesce(local2, '')), lower(n.name)) END
 GROUP BY event_id, n.level, n.iso3, n.name""")
 def n2_places(spark, d):
     raw = t.raw_events_b(spark, d).select("event_id", F.trim("ISO3").alias("iso"), F.col("Event Name").alias("text"))

@@ -143,11 +143,15 @@ def v14(spark, d):
         .unionByName(parents))
 
 
-@query("v17_report_union")
+@query("v17_report_union", with_("obs") + """
+SELECT 'coverage' AS section, count(DISTINCT dataset) AS lines, NULL::VARCHAR AS error FROM obs
+UNION ALL SELECT 'broken', 0, 'AnalysisException' UNION ALL SELECT 'overlap', 1, NULL""")
 def v17(spark, d):
+    """Lines per section of a report, one section of which fails."""
     obs, ev = t.observations(spark, d), t.events(spark, d)
-    return reports.run_sections(spark, {
+    report = reports.run_sections(spark, {
         "coverage": lambda: reports.observation_coverage(obs),
         "broken": lambda: obs.select("no_such_column"),
         "overlap": lambda: reports.country_overlap(ev, obs),
     })
+    return report.groupBy("section").agg(F.count("line").alias("lines"), F.max("error").alias("error"))

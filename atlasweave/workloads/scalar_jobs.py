@@ -8,6 +8,7 @@ from atlasweave.functions import dates, geo, numbers, text
 from atlasweave.operators.grids import index_boxes, rejected_units
 from atlasweave.operators.reshape import renamed
 from atlasweave.plans.views import category, selected_value
+from atlasweave.session import stored
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
 from atlasweave.workloads.sql import CATEGORY, GRIDDED, SELECTED, cell_area, extract_places, normalize, with_
@@ -267,9 +268,12 @@ def f18(spark, d):
         F.round(F.min("v"), 6).alias("lo"), F.round(F.max("v"), 6).alias("hi"))
 
 
-@query("f21_short_uuid")
+@query("f21_short_uuid", "SELECT count(*) AS n_rows, count(*) AS n_hex, count(*) AS n_distinct FROM supplier")
 def f21(spark, d):
-    return t.table(spark, d, "customer").select("c_custkey", text.short_uuid().alias("short_id"))
+    """Random ids: one a row, eight hexadecimal digits, none twice (a repetition among so few has a chance of 1 in 10,000 or less)."""
+    ids = stored(t.table(spark, d, "supplier").select(text.short_uuid().alias("short_id")), "short-ids")
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("short_id").rlike("^[0-9a-f]{8}$")).alias("n_hex"),
+                   F.countDistinct("short_id").alias("n_distinct"))
 
 
 @query("f22_geometry_quality", """

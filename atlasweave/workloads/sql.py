@@ -4,16 +4,82 @@ from __future__ import annotations
 
 import math
 
-from atlasweave.plans.indicators import AREA_VARIABLES, INDEX_VARIABLES
-from atlasweave.schemas import DATASETS, GRID_DATASETS, MEAN_DATASETS
-from atlasweave.workloads.tables import (
-    CLIMATE_BY_EVENT,
-    DISPLACED_CODES,
-    GRID,
-    SPECIAL_CODES,
-    SPECIAL_CODES_B,
-    VARIABLES,
-)
+# The twins state their constants themselves: nothing here comes from the code they check.
+
+# --- fixed values: datasets and variables -----------------------------------------
+GRID_DATASETS = [
+    "climate", "aerosol", "burnt_area", "soil_moisture", "vegetation", "land_class", "population", "population_age_sex",
+]
+DATASETS = [*GRID_DATASETS, "indicators", "displacement", "weighted_density"]
+MEAN_DATASETS = ["climate", "aerosol", "burnt_area", "soil_moisture", "vegetation"]
+INDEX_VARIABLES = [
+    "shdi", "healthindex", "edindex", "incindex", "sgdi", "shdif", "shdim", "healthindexf",
+    "healthindexm", "edindexf", "edindexm", "lifexp", "lifexpf", "lifexpm", "lgnic", "pop",
+]
+WEATHER_VARIABLES = ["surfacetempyear", "relhumidityyear", "totprecipyear"]
+AREA_VARIABLES = [
+    "iwi", "iwipov70", "iwipov50", "iwipov35", "internet", "cellphone", "thtwithin", "thtbetween",
+    "urban", "edyr25", "womedyr25", "menedyr25", "workwom", "wagri", "wwrklow", "wwrkhigh", "hagri",
+    "hwrklow", "hwrkhigh", "agedifmar", "agemarw20", "tfr", "stunting", "haz", "whz", "waz", "bmiz",
+    "dtp3age1", "measlage1", "regpopm", "popshare", "age09", "age1019", "age2029", "age3039",
+    "age4049", "age5059", "age6069", "age7079", "age8089", "age90hi", "hhsize", "popworkage",
+    "popold", "infmort", "u5mort", "pipedwater", "electr",
+]
+AGE_GROUPS = ["0-4", "5-11", "12-17", "18-59", "60+"]
+DATASET_VARIABLES = {
+    "climate": [
+        "2m_temperature", "evaporation", "maximum_2m_temperature_since_previous_post_processing",
+        "minimum_2m_temperature_since_previous_post_processing", "surface_net_solar_radiation", "total_precipitation",
+    ],
+    "aerosol": ["BCSMASS", "DUSMASS25", "OCSMASS"],
+    "burnt_area": ["Monthly Burnt Area (Total)"],
+    "soil_moisture": ["SMrz"],
+    "vegetation": ["NDVI"],
+    "land_class": [f"{10 * k}_class_{k}" for k in range(1, 39)],
+    "population": ["population_count", "population_density"],
+    "population_age_sex": [
+        *[f"population_sex_age_{sex}_{age}_count" for sex in "fm" for age in (0, 1, *range(5, 81, 5))],
+        *[f"2021_2022_population_sex_age_{sex}_{age}_count" for sex in "fm" for age in range(0, 101, 5)],
+    ],
+    "indicators": [*INDEX_VARIABLES, *WEATHER_VARIABLES, *AREA_VARIABLES],
+    "displacement": [
+        "Conflict Total Displacement", "Conflict Internal Displacements", "Disaster Total Displacement", "Disaster Internal Displacements",
+        *[f"{cause}_{sex}_{age}" for cause in ("Conflict", "Disaster") for sex in ("Both sexes", "Female", "Male") for age in AGE_GROUPS],
+    ],
+    "weighted_density": ["Population_Weighted_Density_G"],
+}
+
+# --- fixed values: words and marks that are never a place name --------------------
+IGNORED_PLACE_WORDS = [
+    "", "incl", "total",
+    "north", "south", "east", "west",
+    "western", "eastern", "northern", "southern", "central",
+    "north-western", "north-eastern", "south-western", "south-eastern",
+    "north west", "north east", "south west", "south east",
+    "north-west", "north-east", "south-west", "south-east",
+    "second 25%", "third 25%", "lowest 25%", "highest 25%",
+    "urban", "rural", "poor", "nonpoor",
+]
+PERCENTAGE_MARKS = ["25%", "50%", "75%", "100%"]
+DIRECTION_MARKS = ["north-west", "north-east", "south-west", "south-east"]
+
+# --- fixed values: how the adapters read the benchmark tables ---------------------
+CLIMATE_BY_EVENT = {
+    "view": "total_precipitation",
+    "click": "2m_temperature",
+    "purchase": "maximum_2m_temperature_since_previous_post_processing",
+    "signup": "minimum_2m_temperature_since_previous_post_processing",
+    "error": "DUSMASS25",
+}
+SPECIAL_CODES = ["HKG", "MAC", "ANT", "SCG", "AB9", "XKK", "SRB", "MNE", "CHN", "XKO"]
+SPECIAL_CODES_B = ["HKG", "MAC", "ANT", "SCG", "AB9", "XKX", "SRB", "MNE", "CHN", "XKO"]
+DISPLACED_CODES = ["HKG", "MAC", "CHN", "XKX", "AB9", "SDN"]
+
+
+class GRID:
+    """The grid of the gridded twins: half a degree from (0, 0)."""
+
+    dlon, dlat, ncols, nrows = 0.5, 0.5, 72, 48
 
 
 def lit(text: str) -> str:
@@ -38,7 +104,8 @@ def initcap(x: str) -> str:
 
 
 _DS = texts(DATASETS)
-_VAR = texts(VARIABLES)
+_VAR = "[" + ", ".join(texts(DATASET_VARIABLES[d]) for d in DATASETS) + "]"
+_COUNTS = "[" + ", ".join(str(len(DATASET_VARIABLES[d])) for d in DATASETS) + "]"
 
 SELECTED = (
     "CASE WHEN dataset = 'population' AND variable = 'population_count' THEN \"sum\" "
@@ -64,8 +131,6 @@ def strip(x: str) -> str:
 
 def extract_places(region: str) -> str:
     """A DuckDB list expression with the places of a region label."""
-    from atlasweave.functions.text import DIRECTION_MARKS, IGNORED_PLACE_WORDS, PERCENTAGE_MARKS
-
     body = f"replace(replace({region}, 'County of ', ''), ' and ', ', ')"
     inner = f"regexp_extract({body}, '\\(([^)]+)\\)', 1)"
     comma = lambda s: f"list_transform(string_split({s}, ','), lambda p: {strip('p')})"
@@ -94,9 +159,9 @@ _OP = """order_places AS (
   FROM orders o JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
-_OBS1 = """obs1 AS (
+_OBS1 = f"""obs1 AS (
   SELECT (l_partkey % 11)::INT AS ds,
-    (CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END * 2 + CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END)::INT AS v6,
+    ((l_orderkey * 7 + l_linenumber) % 78 % {_COUNTS}[(l_partkey % 11)::INT + 1])::INT AS v,
     n_nationkey AS n, n_regionkey AS r, date_trunc('month', l_shipdate::DATE)::DATE AS date,
     sum(l_quantity) AS s, count(*) AS c, min(l_quantity) AS lo, max(l_quantity) AS hi,
     count(*) FILTER (WHERE l_discount < 0.03) AS gaps
@@ -113,16 +178,15 @@ _OBS = f"""obs AS (
     CASE WHEN ds < 8 AND c <> 3 THEN round(100.0::DOUBLE * gaps / c, 2) END AS missing_value_percentage,
     'SRC_' || {_DS}[ds + 1] AS source, CASE WHEN ds % 2 = 0 THEN 'u' END AS unit
   FROM (
-    SELECT ds, {_VAR}[ds * 6 + v6 + 1] AS variable, date, l AS admin_level,
+    SELECT ds, {_VAR}[ds + 1][v + 1] AS variable, date, l AS admin_level,
       CASE WHEN l = 0 THEN 'R0' || r ELSE 'R0' || r || '.' || n || '_1' END AS gid,
       sum(s) AS s, sum(c)::BIGINT AS c, min(lo) AS lo, max(hi) AS hi, sum(gaps)::BIGINT AS gaps
     FROM obs1, (VALUES (0), (1)) lv(l) GROUP BY ALL))"""
 
-_CATALOG = """catalog AS (
-  SELECT DISTINCT CASE WHEN dataset <> 'climate' THEN dataset END AS dataset, variable,
-    'Label of ' || variable AS label,
-    CASE WHEN dataset <> 'population' THEN 'Cat ' || dataset END AS data_source
-  FROM obs WHERE dataset NOT IN ('land_class', 'aerosol'))"""
+_CATALOG = f"""catalog AS (
+  SELECT CASE WHEN ds <> 'climate' THEN ds END AS dataset, variable, 'Label of ' || variable AS label,
+    CASE WHEN ds <> 'population' THEN 'Cat ' || ds END AS data_source, ds
+  FROM (SELECT {_DS}[i + 1] AS ds, unnest({_VAR}[i + 1]) AS variable FROM range(11) r(i)) WHERE ds <> 'aerosol')"""
 
 _LAYER = f"""layer AS (
   SELECT 'R0' || r_regionkey AS gid_0, r_name AS name_0, 'R0' || r_regionkey || '.' || n_nationkey || '_1' AS gid_1,
@@ -162,7 +226,8 @@ _EVA = f"""ev_a AS (
     CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 500 END AS total_affected, o_totalprice AS total_damage_adjusted,
     NULL::DOUBLE AS reconstruction_costs_adjusted, CASE WHEN o_orderkey % 9 = 0 THEN o_totalprice / 4 END AS aid_contribution,
     NULL::BIGINT AS disaster_internal_displacements, 'EMDAT' AS source,
-    CASE WHEN o_orderkey % 12 = 0 THEN ['FL-' || (o_orderkey // 4 % 5000), 'EQ-' || (o_orderkey % 1000)]
+    CASE WHEN o_orderkey % 16 = 4 THEN list_transform(range(40), lambda i: 'HV-' || ((o_orderkey // 16 + i) % 45))
+      WHEN o_orderkey % 12 = 0 THEN ['FL-' || (o_orderkey // 4 % 5000), 'EQ-' || (o_orderkey % 1000)]
       WHEN o_orderkey % 4 = 0 THEN ['FL-' || (o_orderkey // 4 % 5000)] END AS glide
   FROM order_places)"""
 
@@ -173,7 +238,8 @@ _EVB = """ev_b AS (
     CASE WHEN event_id % 2 = 0 THEN [n_name] END AS admin_level_1, NULL::VARCHAR[] AS admin_level_2,
     (DATE '1995-01-01' + (event_id % 2500)::INT)::DATE AS start_date,
     CASE WHEN event_id % 6 <> 0 THEN floor(value)::BIGINT END AS disaster_internal_displacements, 'IDMC' AS source,
-    CASE WHEN event_id % 15 = 0 THEN ['FL-' || (event_id // 3 % 5000), 'EQ-' || (event_id % 1000)]
+    CASE WHEN event_id % 20 = 7 THEN list_transform(range(40), lambda i: 'HV-' || ((event_id // 20 + i) % 45))
+      WHEN event_id % 15 = 0 THEN ['FL-' || (event_id // 3 % 5000), 'EQ-' || (event_id % 1000)]
       WHEN event_id % 3 = 0 THEN ['FL-' || (event_id // 3 % 5000)] END AS glide
   FROM events JOIN nation ON user_id % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -281,8 +347,8 @@ histogram AS (
 
 _MAPPING = f"""mapping AS (
   SELECT {case_codes('c_nationkey', SPECIAL_CODES)} AS iso3, (c_nationkey * 100 + ascii(c_mktsegment))::BIGINT AS seq,
-    'Country ' || c_nationkey AS main0, 'Land ' || c_nationkey AS alt0, CASE WHEN c_nationkey > 5 THEN 'NATION_' ELSE 'Hinterland ' END || c_nationkey AS main1,
-    CASE WHEN c_nationkey > 5 THEN 'Nat ' || c_nationkey || '|Great Nat ' || c_nationkey ELSE 'Far Land ' || c_nationkey END AS alt1, NULL::VARCHAR AS local1,
+    'Country ' || c_nationkey AS main0, 'Land ' || c_nationkey AS alt0, 'NATION_' || c_nationkey AS main1,
+    'Nat ' || c_nationkey || '|Great Nat ' || c_nationkey AS alt1, CASE WHEN c_nationkey = 8 THEN 'Hong Kong SAR|Macau SAR' END AS local1,
     {initcap('c_mktsegment')} || ' District' AS main2, lower(c_mktsegment) || '|Old ' || lower(c_mktsegment) || ' town' AS alt2,
     CASE WHEN c_nationkey % 2 = 0 THEN 'L' || lower(c_mktsegment) END AS local2
   FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer)),
@@ -290,8 +356,10 @@ main_country AS (SELECT iso3, arg_min(main0, seq) AS main0 FROM mapping GROUP BY
 name_sets AS (
   SELECT DISTINCT iso3, level, trim(name) AS name FROM (
     SELECT iso3, 0 AS level, unnest(string_split(main0 || '|' || alt0, '|')) AS name FROM mapping
-    UNION ALL SELECT iso3, 1, unnest(string_split(main1 || '|' || alt1, '|')) FROM mapping
-    UNION ALL SELECT iso3, 2, unnest(string_split(main2 || '|' || alt2 || coalesce('|' || local2, ''), '|')) FROM mapping))"""
+    UNION ALL SELECT iso3, 1, unnest(string_split(main1 || '|' || alt1 || coalesce('|' || local1, ''), '|')) FROM mapping
+    UNION ALL SELECT iso3, 2, unnest(string_split(main2 || '|' || alt2 || coalesce('|' || local2, ''), '|')) FROM mapping)),
+scan_sets AS (
+  SELECT * FROM name_sets UNION SELECT DISTINCT iso3, 1, unnest(['Hong Kong', 'Macau']) FROM mapping WHERE iso3 = 'CHN')"""
 
 _N = "(user_id % 25)"
 _RAWB = f"""raw_b AS (
@@ -300,7 +368,7 @@ _RAWB = f"""raw_b AS (
       WHEN 0 THEN 'Flood - nation_' || {_N} || ' - ' || seg || ' 20240101'
       WHEN 1 THEN 'Storm in Great Nat ' || {_N} || ', ' || seg || '/household'
       WHEN 2 THEN 'Quake near Nat ' || {_N} || '0 and x' || seg || 'x'
-      ELSE 'Land ' || {_N} || ': ' || seg END AS text,
+      ELSE CASE WHEN {_N} < 2 THEN 'Storm at Hong Kong/Macau' ELSE 'Land ' || {_N} || ': ' || seg END END AS text,
     ts::DATE AS start_date, CASE WHEN event_id % 6 <> 0 THEN floor(value)::BIGINT END AS displaced,
     event_type AS hazard, CASE WHEN event_id % 2 = 0 THEN event_type END AS hazard_sub,
     CASE event_id % 3 WHEN 0 THEN 'FL-' || (event_id // 3 % 5000) || '-ABC:Glide Number; x:' || event_id || ':IFRC Appeal ID'
@@ -352,7 +420,7 @@ PARTS: dict[str, tuple[str, list[str]]] = {
     "order_places": (_OP, []),
     "obs1": (_OBS1, []),
     "obs": (_OBS, ["obs1"]),
-    "catalog": (_CATALOG, ["obs"]),
+    "catalog": (_CATALOG, []),
     "layer": (_LAYER, []),
     "units": (_UNITS, ["layer"]),
     "gaz": (_GAZ, ["units"]),

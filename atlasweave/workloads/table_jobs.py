@@ -27,7 +27,7 @@ def a4(spark, d):
     return _rounded(views.wide_view(t.observations(spark, d), "climate", views.CLIMATE_LABELS), views.CLIMATE_LABELS.values())
 
 
-_AGE_SEX = {v: v for v in sorted(set(t.VARIABLES[42:48]))}
+_AGE_SEX = {v: v for v in t.DATASET_VARIABLES["population_age_sex"][::13]}
 
 
 @query("a5_pivot_selected", with_("obs") + f"""

@@ -7,39 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from atlasweave.operators.grids import Grid
-from atlasweave.plans.indicators import AGE_GROUPS, INDEX_VARIABLES
-from atlasweave.schemas import DATASETS
+from atlasweave.plans.indicators import AGE_GROUPS, AREA_VARIABLES, INDEX_VARIABLES, WEATHER_VARIABLES
+from atlasweave.plans.views import category
+from atlasweave.schemas import DATASETS, MEAN_DATASETS
 
 GRID = Grid("g1", lon0=0.0, lat0=0.0, dlon=0.5, dlat=0.5, ncols=72, nrows=48)
 
-# variable of a row: six per dataset, picked by return flag and line status
-VARIABLES = [
-    # climate
-    "2m_temperature", "evaporation", "maximum_2m_temperature_since_previous_post_processing",
-    "minimum_2m_temperature_since_previous_post_processing", "surface_net_solar_radiation", "total_precipitation",
-    # aerosol
-    "BCSMASS", "BCSMASS", "DUSMASS25", "DUSMASS25", "OCSMASS", "OCSMASS",
-    # burnt_area
-    *["Monthly Burnt Area (Total)"] * 6,
-    # soil_moisture
-    *["SMrz"] * 6,
-    # vegetation
-    *["NDVI"] * 6,
-    # land_class
-    "10_cropland", "20_forest", "30_shrubland", "40_urban", "50_bare", "60_water",
-    # population
-    "population_count", "population_density", "population_count", "population_density", "population_count", "population_density",
-    # population_age_sex
-    "population_sex_age_f_10_count", "population_sex_age_m_10_count", "population_sex_age_f_20_count",
-    "population_sex_age_m_20_count", "2021_2022_population_sex_age_t_f_10_count", "2021_2022_population_sex_age_t_m_10_count",
-    # indicators
-    "shdi", "healthindex", "surfacetempyear", "relhumidityyear", "totprecipyear", "pop",
-    # displacement
-    "Conflict Total Displacement", "Conflict Internal Displacements", "Disaster Total Displacement",
-    "Disaster Internal Displacements", "Conflict_Male_0-4", "Disaster_Female_60+",
-    # weighted_density
-    *["Population_Weighted_Density_G"] * 6,
-]
+# The variables of each dataset, in the datasets' order.
+DATASET_VARIABLES = {
+    "climate": [
+        "2m_temperature", "evaporation", "maximum_2m_temperature_since_previous_post_processing",
+        "minimum_2m_temperature_since_previous_post_processing", "surface_net_solar_radiation", "total_precipitation",
+    ],
+    "aerosol": ["BCSMASS", "DUSMASS25", "OCSMASS"],
+    "burnt_area": ["Monthly Burnt Area (Total)"],
+    "soil_moisture": ["SMrz"],
+    "vegetation": ["NDVI"],
+    "land_class": [f"{10 * k}_class_{k}" for k in range(1, 39)],
+    "population": ["population_count", "population_density"],
+    "population_age_sex": [
+        *[f"population_sex_age_{sex}_{age}_count" for sex in "fm" for age in (0, 1, *range(5, 81, 5))],
+        *[f"2021_2022_population_sex_age_{sex}_{age}_count" for sex in "fm" for age in range(0, 101, 5)],
+    ],
+    "indicators": [*INDEX_VARIABLES, *WEATHER_VARIABLES, *AREA_VARIABLES],
+    "displacement": [
+        "Conflict Total Displacement", "Conflict Internal Displacements", "Disaster Total Displacement", "Disaster Internal Displacements",
+        *[f"{cause}_{sex}_{age}" for cause in ("Conflict", "Disaster") for sex in ("Both sexes", "Female", "Male") for age in AGE_GROUPS],
+    ],
+    "weighted_density": ["Population_Weighted_Density_G"],
+}
 
 
 _schemas: dict[str, StructType] = {}
@@ -62,6 +58,16 @@ def _pick(values: list[str], index: str) -> Column:
     return F.expr(f"element_at(array({listed}), CAST({index} + 1 AS INT))")
 
 
+def _variable_counts(ds: str) -> str:
+    """How many variables the dataset number ``ds`` has, as SQL."""
+    return f"element_at(array({', '.join(str(len(DATASET_VARIABLES[d])) for d in DATASETS)}), {ds} + 1)"
+
+
+def _pick_variable(ds: str, v: str) -> Column:
+    lists = ", ".join("array(" + ", ".join(f"'{name}'" for name in DATASET_VARIABLES[d]) + ")" for d in DATASETS)
+    return F.expr(f"element_at(element_at(array({lists}), CAST({ds} + 1 AS INT)), CAST({v} + 1 AS INT))")
+
+
 def gid1_of(region: str, nation: str) -> Column:
     return F.expr(f"concat('R0', {region}, '.', {nation}, '_1')")
 
@@ -86,18 +92,18 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
     )
     rows = table(spark, d, "lineitem").selectExpr(
         "l_orderkey", "CAST(l_partkey % 11 AS INT) AS ds",
-        "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END * 2 + CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END AS v6",
+        "CAST((l_orderkey * 7 + l_linenumber) % 78 AS INT) AS v",
         "trunc(CAST(l_shipdate AS DATE), 'month') AS date", "l_quantity AS q", "l_discount",
     )
     fine = (
         rows.join(places, F.expr("l_orderkey = o_orderkey"))
-        .groupBy("ds", "v6", "n_nationkey", "n_regionkey", "date")
+        .groupBy("ds", F.expr(f"v % {_variable_counts('ds')}").alias("v"), "n_nationkey", "n_regionkey", "date")
         .agg(*[F.expr(e) for e in (
             "sum(q) AS s", "count(1) AS n", "min(q) AS lo", "max(q) AS hi", "count_if(l_discount < 0.03) AS gaps")])
     )
     # the country level is added up from the (far smaller) unit level
     named = fine.select(
-        "ds", _pick(VARIABLES, "ds * 6 + v6").alias("variable"), "date", "s", "n", "lo", "hi", "gaps",
+        "ds", _pick_variable("ds", "v").alias("variable"), "date", "s", "n", "lo", "hi", "gaps",
         F.expr(
             "explode(array(named_struct('admin_level', 0, 'gid', concat('R0', n_regionkey)),"
             " named_struct('admin_level', 1, 'gid', concat('R0', n_regionkey, '.', n_nationkey, '_1')))) AS u"),
@@ -122,13 +128,19 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of the variables that occur; some only by name, some missing."""
-    obs = observations(spark, d).select("dataset", "variable").distinct()
-    by_name = F.col("dataset") == "climate"
-    return obs.where(~F.col("dataset").isin("land_class", "aerosol")).select(
-        F.when(~by_name, F.col("dataset")).alias("dataset"), "variable",
+    """The variable catalog: climate entries go by name only, aerosol has none."""
+    rows = [(dataset, v) for dataset, named in DATASET_VARIABLES.items() if dataset != "aerosol" for v in named]
+    listed = spark.createDataFrame(rows, "d string, variable string")
+    none = F.lit(None).cast("string")
+    return listed.select(
+        F.when(F.col("d") != "climate", F.col("d")).alias("dataset"), "variable",
         F.concat(F.lit("Label of "), "variable").alias("label"),
-        F.when(F.col("dataset") != "population", F.concat(F.lit("Cat "), "dataset")).alias("data_source"),
+        F.when(F.col("d") != "population", F.concat(F.lit("Cat "), "d")).alias("data_source"),
+        category(F.col("d"), F.col("variable")).alias("category"), none.alias("unit"), none.alias("pre_calculation"),
+        F.concat_ws(" of ", "variable", "d").alias("description"),
+        F.when(F.col("d").isin(MEAN_DATASETS), "mean").otherwise("raw_value").alias("selected_value"),
+        F.lit("1992-1998").alias("temporal_coverage"), F.lit("month").alias("temporal_resolution"), F.lit("all units").alias("geo_coverage"),
+        F.concat(F.lit("SRC_"), "d").alias("original_source"),
     )
 
 
@@ -285,7 +297,9 @@ def events_a(spark: SparkSession, d: str) -> DataFrame:
         "CASE WHEN o_orderkey % 9 = 0 THEN o_totalprice / 4 END AS aid_contribution",
         "CAST(NULL AS BIGINT) AS disaster_internal_displacements", "'EMDAT' AS source", "CAST(NULL AS STRING) AS metadata",
         f"{none} AS usgs",
-        "CASE WHEN o_orderkey % 12 = 0 THEN array(concat('FL-', o_orderkey div 4 % 5000), concat('EQ-', o_orderkey % 1000)) "
+        # one row in sixteen has 40 of 45 codes that very many rows share
+        "CASE WHEN o_orderkey % 16 = 4 THEN transform(sequence(0, 39), i -> concat('HV-', (o_orderkey div 16 + i) % 45)) "
+        "WHEN o_orderkey % 12 = 0 THEN array(concat('FL-', o_orderkey div 4 % 5000), concat('EQ-', o_orderkey % 1000)) "
         "WHEN o_orderkey % 4 = 0 THEN array(concat('FL-', o_orderkey div 4 % 5000)) END AS glide",
         f"{none} AS dfo",
     )
@@ -305,7 +319,8 @@ def events_b(spark: SparkSession, d: str) -> DataFrame:
             "date_add(DATE '1995-01-01', CAST(event_id % 2500 AS INT)) AS start_date",
             "CASE WHEN event_id % 6 <> 0 THEN CAST(floor(value) AS BIGINT) END AS disaster_internal_displacements",
             "'IDMC' AS source", "CAST(NULL AS STRING) AS metadata",
-            "CASE WHEN event_id % 15 = 0 THEN array(concat('FL-', event_id div 3 % 5000), concat('EQ-', event_id % 1000)) "
+            "CASE WHEN event_id % 20 = 7 THEN transform(sequence(0, 39), i -> concat('HV-', (event_id div 20 + i) % 45)) "
+            "WHEN event_id % 15 = 0 THEN array(concat('FL-', event_id div 3 % 5000), concat('EQ-', event_id % 1000)) "
             "WHEN event_id % 3 = 0 THEN array(concat('FL-', event_id div 3 % 5000)) END AS glide",
             f"{none} AS local_identifier", f"{none} AS ifrc_appeal_id", f"{none} AS government_assigned_identifier",
         )
@@ -332,14 +347,14 @@ def country_code(nation: str, codes: list[str]) -> Column:
 
 
 def place_mapping(spark: SparkSession, d: str) -> DataFrame:
-    """The place mapping: a row per (nation, market segment); texts do not use the names of the first nations."""
+    """The place mapping: a row per (nation, market segment), with the names that texts use."""
     pairs = table(spark, d, "customer").select("c_nationkey", "c_mktsegment").distinct()
     return pairs.selectExpr(
         f"{code_sql('c_nationkey', SPECIAL_CODES)} AS iso3",
         "CAST(c_nationkey * 100 + ascii(c_mktsegment) AS BIGINT) AS seq",
         "concat('Country ', c_nationkey) AS main0", "concat('Land ', c_nationkey) AS alt0",
-        "concat(CASE WHEN c_nationkey > 5 THEN 'NATION_' ELSE 'Hinterland ' END, c_nationkey) AS main1",
-        "CASE WHEN c_nationkey > 5 THEN concat('Nat ', c_nationkey, '|Great Nat ', c_nationkey) ELSE concat('Far Land ', c_nationkey) END AS alt1", "CAST(NULL AS STRING) AS local1",
+        "concat('NATION_', c_nationkey) AS main1", "concat('Nat ', c_nationkey, '|Great Nat ', c_nationkey) AS alt1",
+        "CASE WHEN c_nationkey = 8 THEN 'Hong Kong SAR|Macau SAR' END AS local1",
         "concat(initcap(c_mktsegment), ' District') AS main2",
         "concat(lower(c_mktsegment), '|Old ', lower(c_mktsegment), ' town') AS alt2",
         "CASE WHEN c_nationkey % 2 = 0 THEN concat('L', lower(c_mktsegment)) END AS local2",
@@ -388,7 +403,8 @@ def raw_events_b(spark: SparkSession, d: str) -> DataFrame:
         "Year": "year(ts)",
         "Event Name": f"CASE event_id % 4 WHEN 0 THEN concat('Flood - nation_', {n}, ' - ', {seg}, ' 20240101') "
         f"WHEN 1 THEN concat('Storm in Great Nat ', {n}, ', ', {seg}, '/household') "
-        f"WHEN 2 THEN concat('Quake near Nat ', {n}, '0 and x', {seg}, 'x') ELSE concat('Land ', {n}, ': ', {seg}) END",
+        f"WHEN 2 THEN concat('Quake near Nat ', {n}, '0 and x', {seg}, 'x') "
+        f"ELSE CASE WHEN {n} < 2 THEN 'Storm at Hong Kong/Macau' ELSE concat('Land ', {n}, ': ', {seg}) END END",
         "Date of Event (start)": "CAST(ts AS DATE)",
         "Disaster Internal Displacements": "CASE WHEN event_id % 6 <> 0 THEN CAST(floor(value) AS DOUBLE) END",
         "Hazard Type": "event_type", "Hazard Sub Type": "CASE WHEN event_id % 2 = 0 THEN event_type END",

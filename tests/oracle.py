@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 
 import duckdb
 
@@ -18,6 +20,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def scans(df) -> Counter:
+    """How often the plan of ``df`` scans each benchmark table."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return Counter(m for m in re.findall(r"FileScan parquet[^\n]*?/(\w+)\.parquet", plan) if m in TABLES)
+
+
 def _cell(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return ("", "")

@@ -10,7 +10,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from tests.oracle import compare, connect
+from tests.oracle import compare, connect, scans
 
 SF = "/root/testdata/sf0.001"
 SOME = [
@@ -46,6 +46,12 @@ def test_plan_has_no_nested_loops_or_python(spark, name):
         assert bad not in plan
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_sources_are_scanned_at_most_twice(spark, name):
+    """What several branches need is stored first, so no plan reads a source for each of them."""
+    assert max(scans(entry.queries()[name](spark, SF)).values(), default=0) <= 2
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
