@@ -25,6 +25,7 @@ from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,8 @@ from atlasweave.llm.license_texts import TEMPLATES
 COVERAGE = 0.8
 #: Of templates with fewer words every word must be aligned, with none between: one word tells such notices apart.
 SHORT = 12
-#: Gaps without anchors are aligned exactly up to so many pairs of words, beyond that word by word from the left.
-EXACT_PAIRS = 40_000
+#: Gaps without anchors of up to so many pairs of words are aligned in one table; larger ones are halved until they fit.
+TABLE = 40_000
 
 
 def rising(values: list[int]) -> list[int]:
@@ -62,15 +63,25 @@ def rising(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def _lengths(a: list[int], b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a`` and every beginning of ``b``, one row held at a time."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], np.where(b == x, row[:-1] + 1, 0)))
+    return row
+
+
 def _common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Pairs of a longest common subsequence of two short lists."""
-    if len(a) * len(b) > EXACT_PAIRS:
-        pairs, start = [], 0
-        for i, x in enumerate(a):
-            if x in b[start:]:
-                start = b.index(x, start) + 1
-                pairs.append((i, start - 1))
-        return pairs
+    """Pairs of a longest common subsequence, in memory that grows with the lengths, not with their product.
+
+    Beyond a small table the halves of ``a`` are aligned with the two parts of ``b`` that suit them best.
+    """
+    if len(a) > 1 and len(a) * len(b) > TABLE:
+        half, other = len(a) // 2, np.array(b)
+        upper = _lengths(a[:half], other)
+        lower = _lengths(a[half:][::-1], other[::-1])[::-1]
+        cut = int(np.argmax(upper + lower))
+        return _common(a[:half], b[:cut]) + [(i + half, j + cut) for i, j in _common(a[half:], b[cut:])]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         row, below = best[i], best[i + 1]
