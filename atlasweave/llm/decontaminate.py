@@ -6,8 +6,9 @@ between separators and is long enough for a window is indexed, all windows are
 searched backwards at once, occurrences are located, and their spans merged per
 document. Documents need no shuffle.
 
-Items are taken in blocks of a bounded number of words, one after another, each of
-which is broadcast; a document passes them in turn.
+Items are taken in blocks of a bounded number of words, one after another: a block is
+collected and broadcast, the documents with hits are stored, and it is given up before
+the next one is read. One block needs neither the stored table nor the join that follows.
 
 Defined cases: null or empty texts have no words; an item without words has no
 window; a null item_id is the empty string; rows that repeat an item_id count once;
@@ -29,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from atlasweave.llm.catalog import query, table
 from atlasweave.llm.fm_index import FMIndex
+from atlasweave.llm.stored import stored
 
 WINDOW = 10
 #: Words of items in a block, and words of documents that are indexed together, about.
@@ -125,9 +127,8 @@ def merged(one: list[tuple[int, int]], two: list[tuple[int, int]]) -> list[tuple
     return out
 
 
-def _pass(rows: DataFrame, block: list[tuple[str, bytes]], window: int) -> DataFrame:
-    """``rows`` (row, text, n_words, spans, items) with what ``block`` adds."""
-    shipped = rows.sparkSession.sparkContext.broadcast(block)
+def _pass(rows: DataFrame, shipped, window: int) -> DataFrame:
+    """``rows`` (row, text, n_words, spans, items) with what the block of items that is ``shipped``, a broadcast, adds."""
     kinds, names = [to_arrow_type(f.dataType) for f in rows.schema.fields], rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +173,34 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, keep: list[str], window:
     rows = docs.select(
         F.struct(*[docs[c] for c in keep]).alias("row"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.expr(f"cast(array() as {FOUND})").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
+
+    def of_block(block: int):
+        own = placed.where(F.col("block") == block).select("item", "text").collect()  # about ``block_words`` words
+        return docs.sparkSession.sparkContext.broadcast([(r["item"], bytes(r["text"])) for r in own])
+
+    if blocks == 1:
+        return _pass(rows, of_block(0), window).drop("text")
+    # One block is held at a time: what it finds, rows with a hit only, is stored before the next one is read.
+    same = F.sha2(F.concat_ws("|", F.to_json("row", {"ignoreNullFields": "false"}), F.hex(F.coalesce("text", F.lit(b"")))), 256).alias("same")
+    hits = None
     for block in range(blocks):
-        own = [(r["item"], bytes(r["text"])) for r in placed.where(F.col("block") == block).select("item", "text").collect()]
-        rows = _pass(rows, own, window)
-    return rows.drop("text")
+        shipped = of_block(block)
+        found = stored(_pass(rows, shipped, window).where(F.size("spans") > 0).select(same, "spans", "items"), "block-hits")
+        shipped.unpersist()
+        hits = found if hits is None else hits.unionByName(found)
+    joined = stored(hits.groupBy(F.col("same").alias("hit")).agg(
+        F.flatten(F.collect_set("spans")).alias("all_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("all_items")), "hits")
+    # Intervals in order, each put to the one before where they meet.
+    together = F.aggregate(
+        F.array_sort("all_spans"), F.expr(f"cast(array() as {FOUND})"),
+        lambda x, s: F.when((F.size(x) > 0) & (s["start"] <= F.element_at(x, -1)["end"]), F.concat(
+            F.slice(x, F.lit(1), F.size(x) - 1),
+            F.array(F.named_struct(F.lit("start"), F.element_at(x, -1)["start"], F.lit("end"), F.greatest(F.element_at(x, -1)["end"], s["end"])))),
+        ).otherwise(F.concat(x, F.array(s))))
+    counted = _pass(rows, docs.sparkSession.sparkContext.broadcast([]), window).select("row", same, "n_words")
+    return counted.join(joined, F.col("same") == F.col("hit"), "left").select(
+        "row", "n_words", F.when(F.col("hit").isNull(), F.expr(f"cast(array() as {FOUND})")).otherwise(together).alias("spans"),
+        F.coalesce("all_items", F.expr("cast(array() as array<string>)")).alias("items"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
