@@ -7,11 +7,11 @@ squares. So a pair, such as an insult together with a group mention, can count f
 more than its two terms.
 
 The machine is fitted on a bounded sample of labelled rows (``sample_rows`` of each
-label, about, picked by a hash of doc_id). Buckets are chosen (``features`` at most)
-whose counts by label lie ``least_gain`` standard deviations from chance, and with them
-the most common ones, which can matter in pairs. Fitting is data-parallel: in
-each round every part of the sample, held by one task, improves the weights it is
-given, and the driver averages what the parts return, whose size is fixed.
+label, about, picked by a hash of doc_id). Every bucket that ``least_docs`` documents of
+the sample have gets a weight and a vector, whether it tells anything alone or not.
+Fitting is data-parallel: in each round every part of the sample, held by one task,
+improves the weights it is given and returns the change of those it touched; the driver
+averages the changes. The sample bounds what is returned, and ``BUCKETS`` bounds the machine.
 
 Scoring reads every whole text and uses nothing else of a row.
 
@@ -120,8 +120,7 @@ def _slots(terms: set[int], buckets: np.ndarray) -> np.ndarray:
     return at[buckets[at] == own] if len(buckets) else at[:0]
 
 
-def fit(labelled: DataFrame, sample_rows: int = 6000, features: int = 4096, least_docs: int = 5,
-        least_gain: float = 4.0, rounds: int = 8) -> Machine:
+def fit(labelled: DataFrame, sample_rows: int = 6000, least_docs: int = 5, rounds: int = 8) -> Machine:
     """A machine from rows (doc_id, text, label 0 or 1)."""
     spark = labelled.sparkSession
     rows = labelled.where("label IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", F.col("label").cast("int").alias("label"))
@@ -141,16 +140,8 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, features: int = 4096, leas
     part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(PARTS)).cast("int")
     sample = stored(sample.select(part.alias("part"), "label", F.col("text").cast("binary").alias("text")).mapInArrow(
         terms_of, "part int, label int, terms array<long>"), "toxicity-sample")
-    total = sample.agg(F.sum(F.lit(1.0)).alias("n"), F.sum("label").alias("y")).first()
-    n, y = total["n"] or 0.0, float(total["y"] or 0)
-    share = y / n if n else 0.5
-    tells = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("y")).where(F.col("n") >= least_docs)
-    gain = F.abs(F.col("y") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-9))
-    telling = tells.where(gain >= least_gain).orderBy(gain.desc(), "term").limit(features).select("term")
-    common = tells.orderBy(F.col("n").desc(), "term").limit(min(features // 8, int(n // 20))).select("term")
-    chosen = {r["term"] for r in telling.union(common).collect()}
-    buckets = np.array(sorted(chosen), np.int64)
+    frequent = sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_docs)
+    buckets = np.sort(frequent.select("term").toPandas()["term"].to_numpy(np.int64))  # at most BUCKETS, and what the sample has
     rng = np.random.default_rng(7)
     machine = Machine(0.0, buckets, np.zeros(len(buckets)), rng.normal(0, 0.01, (len(buckets), FACTORS)))
     for turn in range(rounds):
@@ -160,15 +151,21 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, features: int = 4096, leas
             now = Machine(*shipped)
             rows = [_slots(set(t), now.buckets) for t in frame["terms"]]
             new = improved(now, rows, frame["label"].to_numpy(float), np.random.default_rng([turn, int(key[0])]))
-            flat = np.concatenate([[new.bias], new.weights, new.vectors.ravel()])
-            return pd.DataFrame({"n": [len(frame)], "flat": [flat.tolist()]})
+            moved = np.flatnonzero((new.weights != now.weights) | (new.vectors != now.vectors).any(axis=1))
+            change = np.concatenate([[new.bias - now.bias], new.weights[moved] - now.weights[moved], (new.vectors - now.vectors)[moved].ravel()])
+            return pd.DataFrame({"n": [len(frame)], "moved": [moved.tolist()], "change": [change.tolist()]})
 
-        got = sample.groupBy("part").applyInPandas(step, "n long, flat array<double>").collect()  # PARTS rows of fixed size
+        got = sample.groupBy("part").applyInPandas(step, "n long, moved array<long>, change array<double>").collect()  # PARTS rows
         if not got:
             break
-        flat = np.average([r["flat"] for r in got], axis=0, weights=[r["n"] for r in got])
-        size = len(buckets)
-        machine = Machine(float(flat[0]), buckets, flat[1 : 1 + size], flat[1 + size :].reshape(size, FACTORS))
+        n = sum(r["n"] for r in got)
+        bias, weights, vectors = machine.bias, machine.weights.copy(), machine.vectors.copy()
+        for r in got:
+            moved, change = np.array(r["moved"], np.int64), np.array(r["change"]) * (r["n"] / n)
+            bias += change[0]
+            weights[moved] += change[1 : 1 + len(moved)]
+            vectors[moved] += change[1 + len(moved) :].reshape(len(moved), FACTORS)
+        machine = Machine(float(bias), buckets, weights, vectors)
     return machine
 
 
