@@ -202,7 +202,7 @@ def brute_windows(docs, items, size):
     return out
 
 
-@pytest.mark.parametrize("block_words", [10**6, 8])
+@pytest.mark.parametrize("block_words", [10**6, 8, 1])
 def test_decontamination(spark, block_words):
     rng = random.Random(5)
     items = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 6)))) for i in range(12)] + [(None, "a b c"), (3, None), (3, "d")]
@@ -300,6 +300,33 @@ def test_machine_learns_a_pair(spark):
     assert got[0] > 0.7 and max(got[k] for k in (1, 2, 3)) < 0.5 and got[4] == got[5]
 
 
+def test_pair_sum_is_the_double_loop():
+    rng = np.random.default_rng(3)
+    machine = toxicity.Machine(0.3, np.arange(12), rng.normal(size=12), rng.normal(size=(12, 8)))
+    for size in (0, 1, 2, 7, 12):
+        slots = rng.choice(12, size, replace=False)
+        slow = machine.bias + sum(machine.weights[i] for i in slots) + sum(
+            float(machine.vectors[i] @ machine.vectors[j]) for k, i in enumerate(slots) for j in slots[k + 1 :])
+        assert abs(machine.raw(slots) - slow) < 1e-9
+
+
+def test_pairs_of_rare_terms_that_tell_nothing_alone(spark):
+    """Insult with group mention is toxic; either alone is not, and neither is among the commonest words."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(3000):
+        kind = i % 4
+        words = [f"w{min(int(rng.expovariate(0.01)), 900)}" for _ in range(25)]
+        words += [f"insult{rng.randrange(4)}"] * (kind in (0, 1)) + [f"group{rng.randrange(4)}"] * (kind in (0, 2))
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(kind == 0)))
+    machine = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    asked = spark.createDataFrame([(k, " ".join([f"w{rng.randrange(60)}" for _ in range(12)] + extra)) for k, extra in enumerate(
+        [["insult1", "group2"], ["insult3", "group0"], ["insult1"], ["group2"], []])], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(asked, machine, ["doc_id"]).collect()}
+    assert min(got[0], got[1]) > max(got[2], got[3], got[4])
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     for labelled in ("doc_id long, text string, label int",):
         none = toxicity.fit(spark.createDataFrame([], labelled))
@@ -427,6 +454,53 @@ def test_passages_with_wide_gaps_and_edits_near_an_end():
     assert passages.repeated(a, b, 46) == []
 
 
+@pytest.mark.parametrize("share", [0.0, 0.04, 0.08])
+def test_near_passages_are_found(share):
+    """Of passages of 60 to 150 words with edited words, those that stay similar enough are found, and only similar ones reported."""
+    rng = random.Random(int(share * 100))
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shingles = passages.Tokens()
+    due = caught = 0
+    for _ in range(150):
+        own = [word() for _ in range(rng.randint(60, 150))]
+        other = []
+        for w in own:
+            edit = rng.random() < share / 5  # an edit costs five shingles
+            other += [] if edit and rng.random() < 0.3 else [word()] if edit else [w]
+        pad = lambda: [word() for _ in range(rng.randint(0, 80))]
+        a, b = (shingles(" ".join(x).encode()) for x in (pad() + own + pad(), pad() + other + pad()))
+        got = passages.repeated(a, b, 46)
+        x, y = (set(shingles(" ".join(w).encode()).tolist()) for w in (own, other))
+        if len(x & y) >= 0.8 * len(x | y) and len(own) >= 60 <= len(other):
+            due += 1
+            caught += bool(got)
+        for s, e, u, v in got:
+            x, y = set(a[s:e].tolist()), set(b[u:v].tolist())
+            assert e - s >= 46 <= v - u and len(x & y) >= 0.8 * len(x | y)
+    assert due > 20 and caught >= 0.98 * due
+
+
+def test_passages_in_other_places_and_of_words_that_recur():
+    fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
+    shingles = passages.Tokens()
+    p, q, loop = fresh(60, "p"), fresh(70, "q"), ["x", "y"] * 40
+    a = shingles(" ".join(p + q + fresh(9, "a")).encode())
+    b = shingles(" ".join(q + fresh(300, "b") + p).encode())
+    assert len(passages.repeated(a, b, 46)) == 2 and len(passages.repeated(b, a, 46)) == 2
+    a, b = (shingles(" ".join(fresh(40, n) + loop + fresh(40, n + "z")).encode()) for n in "cd")
+    for s, e, u, v in passages.repeated(a, b, 46):
+        x, y = set(a[s:e].tolist()), set(b[u:v].tolist())
+        assert len(x & y) >= 0.8 * len(x | y)
+
+
+def test_a_passage_in_the_second_row_of_a_doc_id(spark):
+    fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
+    shared = fresh(60, "s")
+    rows = [(1, " ".join(fresh(30, "a") + shared)), (2, " ".join(fresh(90, "b"))), (2, " ".join(shared + fresh(40, "c")))]
+    got = {r["doc_id"]: r["class_id"] for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1}
+
+
 # licenses
 
 def test_patience_alignment():
@@ -437,6 +511,26 @@ def test_patience_alignment():
     assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
 
 
+def test_gaps_without_anchors_are_aligned_exactly_at_any_size(monkeypatch):
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    rng = random.Random(14)
+    for table in (1, 30, 40_000):
+        monkeypatch.setattr(licenses, "TABLE", table)
+        for n, m in ((0, 5), (1, 9), (12, 30), (60, 45), (220, 230)):
+            a, b = [rng.randrange(5) for _ in range(n)], [rng.randrange(5) for _ in range(m)]
+            pairs = licenses._common(a, b)
+            assert len(pairs) == longest(a, b) and all(a[i] == b[j] for i, j in pairs)
+            assert all(i < k and j < l for (i, j), (k, l) in zip(pairs, pairs[1:]))
+
+
 def test_licenses(spark, odd, empty):
     mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 200)
     worn = " ".join(w for k, w in enumerate(mit.split()) if k % 11)
