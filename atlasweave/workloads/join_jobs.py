@@ -17,12 +17,12 @@ from atlasweave.workloads.tables import SPECIAL_CODES
 
 @query("j1_code_semi", with_("codes") + "SELECT event_id, event_name FROM ev_b WHERE event_id IN (SELECT b_id FROM code_pairs)")
 def j1(spark, d):
-    return codes.code_semi(t.events_b(spark, d), t.events_a(spark, d), "event_id", "glide").select("event_id", "event_name")
+    return codes.code_semi(stored(t.events_b(spark, d), "events-b"), t.events_a(spark, d), "event_id", "glide").select("event_id", "event_name")
 
 
 @query("j2_code_anti", with_("codes") + "SELECT event_id, event_name FROM ev_b WHERE event_id NOT IN (SELECT b_id FROM code_pairs)")
 def j2(spark, d):
-    return codes.code_anti(t.events_b(spark, d), t.events_a(spark, d), "event_id", "glide").select("event_id", "event_name")
+    return codes.code_anti(stored(t.events_b(spark, d), "events-b"), t.events_a(spark, d), "event_id", "glide").select("event_id", "event_name")
 
 
 @query("j3_code_pairs_same_country", with_("codes") + """
@@ -35,7 +35,7 @@ def j3(spark, d):
 SELECT event_id, disaster_internal_displacements FROM ev WHERE source = 'EMDAT'""")
 def j4(spark, d):
     return codes.update_from(
-        t.events_a(spark, d), t.events_b(spark, d), "event_id", "event_id", "glide", "disaster_internal_displacements"
+        stored(t.events_a(spark, d), "events-a"), t.events_b(spark, d), "event_id", "event_id", "glide", "disaster_internal_displacements"
     ).select("event_id", "disaster_internal_displacements")
 
 
@@ -145,7 +145,7 @@ def j12(spark, d):
     src = t.order_places(spark, d).select(
         F.col("o_orderkey").alias("event_id"), t.country_code("n_nationkey", SPECIAL_CODES).alias("iso"),
         F.array(low, F.lit("Elsewhere"), F.concat(F.lit("Old "), low, F.lit(" town"))).alias("names"))
-    out = places.alias_lookup(src, t.place_mapping(spark, d), "event_id", "iso", {2: "names"})
+    out = places.alias_lookup(stored(src, "listed"), t.place_mapping(spark, d), "event_id", "iso", {2: "names"})
     return out.select("event_id", F.array_join("names", "|").alias("names"))
 
 
@@ -229,7 +229,7 @@ def j16(spark, d):
         listed.alias("admin1"))
     names = places.name_sets(t.place_mapping(spark, d)).where("level > 0")
     return places.resolve_by_evidence(
-        src, names, "event_id", "iso", "country", ["admin1"], "SCG", [("SRB", "Serbia"), ("MNE", "Montenegro")]
+        stored(src, "listed"), names, "event_id", "iso", "country", ["admin1"], "SCG", [("SRB", "Serbia"), ("MNE", "Montenegro")]
     ).select("event_id", "iso", "country")
 
 

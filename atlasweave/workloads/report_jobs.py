@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from atlasweave.operators.keys import key_violations
 from atlasweave.plans import reports
 from atlasweave.schemas import GRID_DATASETS, NAMED_DATASETS, TABLES
+from atlasweave.session import stored
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
 from atlasweave.workloads.sql import in_list, with_
@@ -134,7 +135,7 @@ SELECT * FROM (
   UNION ALL SELECT 'events', 'iso3_code longer than 3', count(*) FILTER (length(iso3_code) > 3) FROM ev
   UNION ALL SELECT 'admin_units', 'parent missing', count(*) FROM units u WHERE admin_level > 0 AND NOT EXISTS (SELECT 1 FROM units p WHERE p.gid = u.parent_gid AND p.admin_level = u.admin_level - 1))""")
 def v14(spark, d):
-    units = t.units(spark, d)
+    units = stored(t.units(spark, d), "units")
     parents = reports.parent_violations(units).agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit("admin_units").alias("table_name"), F.lit("parent missing").alias("rule"), "violations")
     return (

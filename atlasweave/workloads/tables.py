@@ -10,6 +10,7 @@ from atlasweave.operators.grids import Grid
 from atlasweave.plans.indicators import AGE_GROUPS, AREA_VARIABLES, INDEX_VARIABLES, WEATHER_VARIABLES
 from atlasweave.plans.views import category
 from atlasweave.schemas import DATASETS, MEAN_DATASETS
+from atlasweave.session import stored
 
 GRID = Grid("g1", lon0=0.0, lat0=0.0, dlon=0.5, dlat=0.5, ncols=72, nrows=48)
 
@@ -416,7 +417,7 @@ def raw_events_b(spark: SparkSession, d: str) -> DataFrame:
 
 def type_map(spark: SparkSession, d: str) -> DataFrame:
     """Hazard pairs that occur -> disaster pairs; one type is left unmapped."""
-    seen = table(spark, d, "events").where("event_type <> 'error'").select("event_type").distinct()
+    seen = stored(table(spark, d, "events").where("event_type <> 'error'").select("event_type").distinct(), "event-types")
     both = seen.selectExpr(
         "event_type AS `Hazard Type`", "event_type AS `Hazard Sub Type`", "upper(event_type) AS `Disaster Type`",
         "concat('Sub ', event_type) AS `Disaster Subtype`", "1 AS seq",
