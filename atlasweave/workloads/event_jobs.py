@@ -121,3 +121,13 @@ JOIN units u ON f.admin_level = u.admin_level AND f.admin_name = u.name AND (f.i
 def n4(spark, d):
     u = t.units(spark, d).select("gid", "iso3", "admin_level", "name", "level_type")
     return ev.events_with_geometry(t.events(spark, d), u).select("source", "event_id", "admin_level", "admin_name", "gid", "level_type")
+
+
+@query("p9_stored_lists", with_("ev") + """
+SELECT event_id, source, CASE WHEN len(admin_level_1) > 0 THEN array_to_string(admin_level_1, '|') END AS admin_level_1, admin_level_1 IS NOT NULL AND len(admin_level_1) = 0 AS emptied,
+  CASE WHEN len(glide) > 0 THEN array_to_string(glide, '|') END AS glide FROM ev""")
+def p9_stored(spark, d):
+    """Merged events in the form they are loaded in: empty lists are null."""
+    events = t.events(spark, d).withColumn("emptied", F.coalesce(F.size("admin_level_1") == 0, F.lit(False)))
+    return ev.stored_lists(events).select(
+        "event_id", "source", F.array_join("admin_level_1", "|").alias("admin_level_1"), "emptied", F.array_join("glide", "|").alias("glide"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlasweave.operators import grids, resample
-from atlasweave.plans import zonal
+from atlasweave.plans import views, zonal
+from atlasweave.plans.materialised import PARTITIONS, load_observations, refresh_view
 from atlasweave.session import scratch_path
+from atlasweave.session import stored as keep
 from atlasweave.sources import sinks
 from atlasweave.workloads import query
 from atlasweave.workloads import tables as t
@@ -73,6 +75,25 @@ def z5(spark, d):
     return z.select("gid", "date", "variable", "missing_value_percentage", F.col("mean").isNull().alias("empty"))
 
 
+@query("z9_cells_to_view", with_("coverage", "cells") + _zonal_sql("daily", "cell_area", "box") + """
+SELECT gid, admin_level, date, CASE WHEN variable = 'DUSMASS25' THEN variable ELSE 'Label of ' || variable END AS variable,
+  round(mean, 6) AS selected_value, round("sum", 4) AS "sum", missing_value_percentage, coalesce(unit, 'N/A') AS unit FROM zonal""")
+def z9(spark, d):
+    """The load path as one job: cells to statistics to the observation table to a refreshed view, in two overlapping loads."""
+    table, view = scratch_path(spark, "observations"), scratch_path(spark, "long-view")
+    shapes, catalog, units = t.shaped_units(spark, d), t.catalog(spark, d), keep(t.units(spark, d), "units")
+    cov, cells = zonal.touched(stored(spark, d)), keep(t.daily_cells(spark, d), "daily-cells")
+    observed = lambda part: zonal.grid_observations(part, cov, "climate", "reanalysis", units=shapes)
+    build = lambda obs: views.long_view(obs, catalog, units, keep=("dataset",))
+    sinks.write_observations(observed(cells.where("dayofmonth(date) <= 15")), table)
+    sinks.write_view(build(spark.read.parquet(table)), view, PARTITIONS)
+    batch = observed(cells.where("dayofmonth(date) > 10")).withColumn("seq", F.lit(1))
+    refresh_view(spark, view, table, build, load_observations(spark, table, batch, ["seq"]))
+    return spark.read.parquet(view).select(
+        "gid", "admin_level", "date", "variable", F.round("selected_value", 6).alias("selected_value"), F.round("sum", 4).alias("sum"),
+        "missing_value_percentage", "unit")
+
+
 @query("z6_class_histogram", with_("classes") + """
 , ext AS (SELECT gid, (max(lat_idx) - min(lat_idx) + 1) * (max(lon_idx) - min(lon_idx) + 1) AS box FROM coverage GROUP BY gid)
 SELECT h.gid, date, variable, n_cells, round(percentage, 4) AS percentage,
