@@ -153,15 +153,15 @@ def fit(labelled: DataFrame, sample_rows: int = 6000, least_docs: int = 5, round
             new = improved(now, rows, frame["label"].to_numpy(float), np.random.default_rng([turn, int(key[0])]))
             moved = np.flatnonzero((new.weights != now.weights) | (new.vectors != now.vectors).any(axis=1))
             change = np.concatenate([[new.bias - now.bias], new.weights[moved] - now.weights[moved], (new.vectors - now.vectors)[moved].ravel()])
-            return pd.DataFrame({"n": [len(frame)], "moved": [moved.tolist()], "change": [change.tolist()]})
+            return pd.DataFrame({"n": [len(frame)], "moved": [moved.astype(np.int32).tobytes()], "change": [change.astype(np.float32).tobytes()]})
 
-        got = sample.groupBy("part").applyInPandas(step, "n long, moved array<long>, change array<double>").collect()  # PARTS rows
+        got = sample.groupBy("part").applyInPandas(step, "n long, moved binary, change binary").collect()  # PARTS rows
         if not got:
             break
         n = sum(r["n"] for r in got)
         bias, weights, vectors = machine.bias, machine.weights.copy(), machine.vectors.copy()
         for r in got:
-            moved, change = np.array(r["moved"], np.int64), np.array(r["change"]) * (r["n"] / n)
+            moved, change = np.frombuffer(r["moved"], np.int32), np.frombuffer(r["change"], np.float32) * (r["n"] / n)
             bias += change[0]
             weights[moved] += change[1 : 1 + len(moved)]
             vectors[moved] += change[1 + len(moved) :].reshape(len(moved), FACTORS)
