@@ -310,23 +310,6 @@ def test_pair_sum_is_the_double_loop():
         assert abs(machine.raw(slots) - slow) < 1e-9
 
 
-def test_pairs_of_rare_terms_that_tell_nothing_alone(spark):
-    """Insult with group mention is toxic; either alone is not, and neither is among the commonest words."""
-    rng = random.Random(13)
-    rows = []
-    for i in range(3000):
-        kind = i % 4
-        words = [f"w{min(int(rng.expovariate(0.01)), 900)}" for _ in range(25)]
-        words += [f"insult{rng.randrange(4)}"] * (kind in (0, 1)) + [f"group{rng.randrange(4)}"] * (kind in (0, 2))
-        rng.shuffle(words)
-        rows.append((i, " ".join(words), int(kind == 0)))
-    machine = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
-    asked = spark.createDataFrame([(k, " ".join([f"w{rng.randrange(60)}" for _ in range(12)] + extra)) for k, extra in enumerate(
-        [["insult1", "group2"], ["insult3", "group0"], ["insult1"], ["group2"], []])], "doc_id long, text string")
-    got = {r["doc_id"]: r["score"] for r in toxicity.score(asked, machine, ["doc_id"]).collect()}
-    assert min(got[0], got[1]) > max(got[2], got[3], got[4])
-
-
 def test_toxicity_odd_rows(spark, odd, empty):
     for labelled in ("doc_id long, text string, label int",):
         none = toxicity.fit(spark.createDataFrame([], labelled))
