@@ -484,6 +484,29 @@ def test_a_passage_in_the_second_row_of_a_doc_id(spark):
     assert got == {1: 1, 2: 1}
 
 
+def test_passages_around_a_popular_phrase(spark):
+    """Of three documents with a phrase of 40 words the last two share 50 around it: any one hash function finds them, whatever the first has."""
+    fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
+    rows = []
+    for t in range(60):
+        phrase = fresh(40, f"p{t}x")
+        wide = fresh(t % 11, f"q{t}x") + phrase + fresh(10 - t % 11, f"r{t}x")
+        for k, own in enumerate((phrase, wide, wide)):
+            rows.append((3 * t + k, " ".join(fresh(60, f"a{t}x{k}x") + own + fresh(60, f"z{t}x{k}x"))))
+    found = passages.candidates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 50, hashes=1, enough=1)
+    assert {(3 * t + 1, 3 * t + 2) for t in range(60)} <= {(r["a"], r["b"]) for r in found.collect()}
+
+
+def test_windows_of_a_signature_in_several_batches():
+    rows = [(k, n, d, 5, 0, 50) for k, n, d in ((1, 1, 1), (2, 1, 1), (2, 1, 2), (2, 5, 3), (2, 7, 4), (2, 7, 5), (3, 1, 1), (3, 1, 2), (4, 1, 1), (4, 2, 2))]
+    want_pairs = {(2, 1, 2), (2, 4, 5), (3, 1, 2)}
+    for size in range(1, 11):
+        batches = [passages._batch(np.array(rows[i : i + size], np.int64)) for i in range(0, 10, size)]
+        out = [r for b in passages._joined(iter(batches)) for r in b.to_pylist()]
+        assert {(r["key"], r["doc"], r["doc2"]) for r in out if r["doc2"] is not None} == want_pairs
+        assert sorted((r["key"], r["doc"]) for r in out if r["doc2"] is None) == [(2, 1), (2, 3), (2, 4), (4, 1), (4, 2)]
+
+
 # licenses
 
 def test_patience_alignment():
