@@ -6,10 +6,14 @@
 2. Trigrams of trusted documents (labelled quality 1, in four of five folds) are
    counted, and the tables of an interpolated modified Kneser-Ney model derived from
    them: continuation counts, contexts, discounts from counts of counts. N-grams of all
-   orders are rows of one table, keyed by their hashes.
-3. Documents lie in shards of a bounded number of words. The distinct n-grams of
-   each shard are joined with that table, and the answers go back to the shard,
-   in which each document adds up its bits.
+   orders are in one table, keyed by their hashes and bucketed by ranges of them.
+   Counting goes in waves (``WAVES``) by the hash of a bigram: one wave has all trigrams that
+   begin with its bigrams and all that end with them.
+3. Documents, in as many waves, lie in shards of a bounded number of words. The distinct
+   n-grams of each shard are looked up range by range, and the answers go back to the
+   shard, in which each document adds up its bits.
+   Keys are sent and kept as sorted differences, in blocks; what a wave has written
+   besides its results goes before the next one begins.
 4. Thresholds: per language, a quantile of the bits per word of the trusted documents
    in the fifth fold, which were not counted. Few words say little, so a document's
    mean is drawn to the language's by ``steady`` words; few documents carry no quantile,
@@ -27,12 +31,15 @@ label. Other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,11 +48,18 @@ from xxhash import xxh64_intdigest
 
 from atlasweave.llm.catalog import query, table
 from atlasweave.llm.language_id import remainder
-from atlasweave.llm.stored import stored
+from atlasweave.llm.stored import appended, stored
+from atlasweave.session import scratch_path
 
 BUCKETS = 1 << 16
 UNKNOWN_WORDS = 1 << 20
 SHARD_WORDS = 2_000_000
+#: Counting and asking are cut into so many jobs at most, a power of two, each of so many bytes of text at least.
+WAVES, WAVE_BYTES = 16, 4_000_000
+#: Words of trusted text in a block, and for each range of keys.
+BLOCK_WORDS, RANGE_WORDS = 1_000_000, 1_000_000
+#: Joins of labels with texts are cut into so many jobs.
+TEXT_WAVES = 4
 FOLDS = 5
 QUANTILE = 0.99
 BEYOND = 5
@@ -167,11 +181,20 @@ def chained(x: np.ndarray, seed) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: A trigram's key has these bits of its context's key, so that both are in one range of keys.
+_HIGH = 0xFFFF << 48
+
+
+def _ending(w: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Keys of the trigrams of contexts, by their keys, and words."""
+    return (before & np.uint64(_HIGH)) | (chained(w, before) & np.uint64(~_HIGH & 0xFFFFFFFFFFFFFFFF))
+
+
 def grams(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
     """Keys of the context (a, b), the trigram and the bigram (b, w); words are their own keys."""
     seed = np.uint64(42)
     before = chained(b, chained(a, seed))
-    return before, chained(w, before), chained(w, chained(b, seed))
+    return before, _ending(w, before), chained(w, chained(b, seed))
 
 
 _EDGE = [np.full(1, BEGIN, np.uint64), grams(*np.full((3, 1), BEGIN, np.uint64))[0]]
@@ -192,27 +215,237 @@ def _words(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x[at - 2], x[at - 1], x[at]
 
 
-def _longs(x: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(x).view(np.int64))
+def _dense(x: np.ndarray) -> bytes:
+    """64-bit numbers, compressed byte place by byte place."""
+    places = np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(places.tobytes())
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(places.T).view(np.uint64).ravel()
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted keys."""
+    return _dense(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(packed), dtype=np.uint64)
+
+
+def _ranges(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
+    """(number, first, end) of each range of keys, of ``parts`` in all, that sorted ``keys`` have."""
+    which = keys // np.uint64((1 << 64) // parts + 1)
+    cuts = [0, *(np.flatnonzero(which[1:] != which[:-1]) + 1).tolist(), len(which)]
+    for first, end in zip(cuts, cuts[1:]):
+        if first < end:
+            yield int(which[first]), first, end
+
+
+def _block(ids: list[np.ndarray]) -> tuple[bytes, bytes]:
+    """Words of several documents, with two BEGIN before each: the distinct ones, common first, and their numbers."""
+    edge = np.full(2, BEGIN, np.uint64)
+    names, at, n = np.unique(np.concatenate([x for own in ids for x in (edge, own)]), return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return _dense(names[order]), _dense(place[at])
 
 
-def counted_trigrams(rows: DataFrame) -> DataFrame:
-    """(a, b, w, c): how often each trigram occurs in ``rows`` (ids)."""
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(n, names, at): the words of ``rows`` (ids) in blocks, and how many there are."""
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        held, size = [], 0
+
+        def block():
+            names, at = _block(held)
+            return pa.RecordBatch.from_pydict({"n": [size], "names": [names], "at": [at]})
+
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                a, b, w = _words([x.as_py() for x in batch.slice(start, 1024).column(0)])
-                _, at, n = np.unique(grams(a, b, w)[1], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([_longs(a[at]), _longs(b[at]), _longs(w[at]), pa.array(n.astype(np.int64))], ["a", "b", "w", "c"])
+            for packed in batch.column(0):
+                held.append(np.frombuffer(unpack(packed.as_py()), np.uint64))
+                size += len(held[-1])
+                if size >= BLOCK_WORDS:
+                    yield block()
+                    held, size = [], 0
+        if held:
+            yield block()
 
-    return rows.select("ids").mapInArrow(run, "a long, b long, w long, c long").groupBy("a", "b", "w").agg(F.sum("c").alias("c"))
+    return rows.select("ids").mapInArrow(run, "n long, names binary, at binary")
 
 
-def _discounts(counts: DataFrame, c: str) -> list[float]:
+def _sent(blocks: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
+    """(part, kind, x, y, z) per block and range: of trigrams that begin with a bigram of the wave (kind 0) its key, theirs
+    and their counts; of those that end with one (kind 1) their keys, the second and the third word."""
+
+    def mine(keys):
+        return (keys & np.uint64(waves - 1)) == np.uint64(wave)
+
+    def run(batches):
+        for batch in batches:
+            for names, at in zip(batch.column(0), batch.column(1)):
+                x = _numbers(names.as_py())[_numbers(at.as_py()).astype(np.int64)]
+                pair = chained(x[1:], chained(x[:-1], np.uint64(42)))
+                real = x[2:] != np.uint64(BEGIN)
+                out = []
+                on = np.flatnonzero(real & mine(pair[:-1]))
+                key, first, n = np.unique(_ending(x[on + 2], pair[on]), return_index=True, return_counts=True)
+                begin = pair[on[first]]
+                order = np.argsort(begin, kind="stable")
+                begin, key, n = begin[order], key[order], n[order]
+                out += [(p, 0, _steps(begin[s:e]), _dense(key[s:e]), _dense(n[s:e])) for p, s, e in _ranges(begin, parts)]
+                on = np.flatnonzero(real & mine(pair[1:]))
+                key, first = np.unique(_ending(x[on + 2], pair[on]), return_index=True)
+                on = on[first]
+                order = np.argsort(pair[on + 1], kind="stable")
+                key, on = key[order], on[order]
+                out += [(p, 1, _dense(key[s:e]), _dense(x[on[s:e] + 1]), _dense(x[on[s:e] + 2])) for p, s, e in _ranges(pair[on + 1], parts)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _SENT)], ["part", "kind", "x", "y", "z"])
+
+    return blocks.select("names", "at").mapInArrow(run, "part int, kind int, x binary, y binary, z binary")
+
+
+_SENT = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+#: Blocks of the model: keys of n-grams of an order (0: words, from one range of bigrams); their counts and, as contexts,
+#: their totals and how many counts of 1, 2 and more they have.
+MODEL = "part int, kind int, keys binary, counts binary"
+
+
+def _modelled(rows: list[tuple]) -> pa.Table:
+    """Rows (part, kind, sorted keys, counts) of the model."""
+    cols = list(zip(*[(p, k, _steps(keys), _dense(counts.ravel())) for p, k, keys, counts in rows if len(keys)])) or [()] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(cols, _SENT[:4])], ["part", "kind", "keys", "counts"])
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys and the sums of their counts (a row for each kind of count)."""
+    names, at = np.unique(keys, return_inverse=True)
+    out = np.zeros((len(counts), len(names)), np.int64)
+    for row, own in zip(out, counts):
+        np.add.at(row, at, own.astype(np.int64))
+    return names, out
+
+
+def _as_contexts(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of contexts, and (0, total, number of counts of 1, 2, more) from the counts ``c`` in them."""
+    return _summed(keys, np.stack([np.zeros(len(c), np.int64), c, c == 1, c == 2, c > 2]))
+
+
+def _together(*some: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([keys for keys, _ in some]), np.concatenate([counts for _, counts in some], axis=1))
+
+
+def _single(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and (how often each is there, 0, 0, 0, 0)."""
+    names, n = np.unique(keys, return_counts=True)
+    return names, np.stack([n, *np.zeros((4, len(n)), np.int64)])
+
+
+def _reduced(key, table):
+    """Blocks of bigrams and trigrams of a range, and of what they say of words."""
+    part, kinds = key[0].as_py(), table.column("kind").to_numpy()
+    x, y, z = (table.column(c).to_pylist() for c in "xyz")
+
+    def joined(kind, column, read=_numbers):
+        return np.concatenate([np.empty(0, np.uint64), *[read(column[i]) for i in np.flatnonzero(kinds == kind)]])
+
+    begin, tri, n = joined(0, x, _keys), joined(0, y), joined(0, z)
+    tri, first, at = np.unique(tri, return_index=True, return_inverse=True)
+    c = np.bincount(at, n, len(tri)).astype(np.int64)
+    _, once = np.unique(joined(1, x), return_index=True)
+    b, w = joined(1, y)[once], joined(1, z)[once]
+    two, once, before = np.unique(chained(w, chained(b, np.uint64(42))), return_index=True, return_counts=True)
+    b, w = b[once], w[once]
+    bigrams = _together(_as_contexts(begin[first], c), (two, np.stack([before, *np.zeros((4, len(two)), np.int64)])))
+    return _modelled([(part, 3, tri, c), (part, 2, *bigrams), (part, 0, *_together(_as_contexts(b, before), _single(w)))])
+
+
+def _counts(packed: bytes, kind: int) -> np.ndarray:
+    return _numbers(packed).astype(np.int64).reshape(1 if kind == 3 else 5, -1)
+
+
+def _words_by_range(rows: DataFrame, parts: int) -> DataFrame:
+    """What ``rows`` of the model say of words, added up, a block per range of words."""
+
+    def run(batches):
+        for batch in batches:
+            got = [(_keys(k.as_py()), _counts(c.as_py(), 0)) for k, c in zip(batch.column(0), batch.column(1))]
+            if got:
+                keys, counts = _together(*got)
+                yield from _modelled([(p, 0, keys[s:e], counts[:, s:e]) for p, s, e in _ranges(keys, parts)]).to_batches()
+
+    def merged(key, table):
+        got = [(_keys(k), _counts(c, 0)) for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist())]
+        return _modelled([(key[0].as_py(), 1, *_together(*got))])
+
+    return rows.select("keys", "counts").mapInArrow(run, MODEL).groupBy("part").applyInArrow(merged, MODEL)
+
+
+@contextmanager
+def _tables(spark: SparkSession):
+    """A function that makes an empty table, of columns and perhaps bucketed; all go in the end."""
+    made = []
+
+    def make(columns: str, buckets: str = "") -> str:
+        made.append(f"quality_{uuid.uuid4().hex}")
+        spark.sql(f"CREATE TABLE {made[-1]} ({columns}) USING parquet {buckets}")
+        return made[-1]
+
+    try:
+        yield make
+    finally:
+        for name in made:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _trusted_blocks(docs: DataFrame, ids: DataFrame, make, words: list[str] | None) -> DataFrame:
+    blocks = make("n bigint, names binary, at binary")
+    for wave in range(TEXT_WAVES):
+        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_WAVES)) == wave)
+        appended(_blocks(numbered(part.join(ids, F.col("doc_id") == F.col("__id"), "left_semi"), words)), blocks)
+    return docs.sparkSession.table(blocks)
+
+
+def counted_model(docs: DataFrame, ids: DataFrame, make, words: list[str] | None, waves: int) -> tuple[DataFrame, int]:
+    """The model of those ``docs`` whose doc_id is in ``ids`` (__id), and its number of ranges."""
+    spark = docs.sparkSession
+    with _tables(spark) as passing:
+        blocks = _trusted_blocks(docs, ids, passing, words)
+        size = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
+        parts = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_WORDS)), 1 << 15)
+        name, of_words = make(MODEL, f"CLUSTERED BY (part) INTO {parts} BUCKETS"), passing(MODEL)
+        for wave in range(waves):
+            reduced = _sent(blocks, wave, waves, parts).groupBy("part").applyInArrow(_reduced, MODEL).persist(StorageLevel.DISK_ONLY)
+            appended(reduced.where("kind > 0"), name)
+            appended(_words_by_range(reduced.where("kind = 0"), parts), of_words)
+            reduced.unpersist(blocking=True)
+        appended(_words_by_range(spark.table(of_words), parts), name)
+    return spark.table(name), parts
+
+
+def _counts_of_counts(known: DataFrame) -> dict[int, np.ndarray]:
+    """Per order: how many n-grams have a count of 1, 2, 3, 4 and 5 or more, the sum of all, and how many are word 0."""
+
+    def run(batches):
+        for batch in batches:
+            for kind, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                c = _counts(counts, kind)[0]
+                low = np.bincount(np.minimum(c, 5), minlength=6)[1:].tolist()
+                zero = int((_keys(keys[:])[c > 0] == 0).sum()) if kind == 1 else 0
+                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "n": pa.array([[*low, int(c.sum()), zero]], pa.list_(pa.int64()))})
+
+    sums = known.select("kind", "keys", "counts").mapInArrow(run, "kind int, n array<long>").groupBy("kind").agg(
+        *[F.sum(F.col("n")[i]).alias(f"n{i}") for i in range(7)])
+    return {r["kind"]: np.array(r[1:]) for r in sums.collect()}
+
+
+def _discounts_of(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     """Discounts of counts 1, 2, and 3 or more, from the numbers of counts 1 to 4."""
-    n = {r[c]: r["n"] for r in counts.where(F.col(c) <= 4).groupBy(c).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
     if not n1:
         return [0.5, 0.5, 0.5]
     y = n1 / (n1 + 2 * n2)
@@ -220,6 +453,11 @@ def _discounts(counts: DataFrame, c: str) -> list[float]:
     return [float(min(max(d, 0.05), k - 0.05)) for k, d in enumerate(raw, 1)]
 
 
+def _discounts(counts: DataFrame, c: str) -> list[float]:
+    n = {r[c]: r["n"] for r in counts.where(F.col(c) <= 4).groupBy(c).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return _discounts_of(*(n.get(k, 0) for k in (1, 2, 3, 4)))
+
+
 def model(counts: DataFrame, words: int | None = None) -> tuple[DataFrame, float, float]:
     """Tables of the model of ``counts`` (a, b, w, c): (key, own, total, left), count of words in contexts, share of an unknown word.
 
@@ -239,7 +477,8 @@ def model(counts: DataFrame, words: int | None = None) -> tuple[DataFrame, float
         return own, table.groupBy(context.alias("key")).agg(F.sum("c").cast("double").alias("total"), F.sum(off).alias("left")).select(
             "key", zero.alias("own"), "total", "left")
 
-    own3, of3 = parts(counts, F.xxhash64("a", "b", "w"), F.xxhash64("a", "b"))
+    high = F.lit(_HIGH - (1 << 64))
+    own3, of3 = parts(counts, F.xxhash64("a", "b").bitwiseAND(high).bitwiseOR(F.xxhash64("a", "b", "w").bitwiseAND(F.bitwise_not(high))), F.xxhash64("a", "b"))
     own2, of2 = parts(c2, F.xxhash64("b", "w"), F.col("b"))
     own1, whole = parts(c1, F.col("w"))
     if words is None:
@@ -294,35 +533,82 @@ def scored(docs: DataFrame, labels: DataFrame, share: float | None = None, shard
 
     With ``share``, words that are not that common are one word, 0; without, every word of trusted text counts.
     """
+    spark = docs.sparkSession
     good = labels.groupBy(F.col("doc_id").alias("__id")).agg((F.max("quality") == 1).alias("trusted"))
-    rows = numbered(docs, None if share is None else vocabulary(docs, share)[0])
-    rows = rows.join(good, F.col("doc_id") == F.col("__id"), "left").select(
-        "doc_id", "lang", "n_words", "ids",
-        F.coalesce("trusted", F.lit(False)).alias("trusted"), F.coalesce(remainder(F.col("doc_id"), FOLDS) == FOLDS - 1, F.lit(False)).alias("held"))
-    rows = stored(rows, "numbered")
-    shards = max(1, -(-(rows.agg(F.sum("n_words").alias("n")).first()["n"] or 0) // shard_words))
-    known, whole, even = model(stored(counted_trigrams(rows.where("trusted AND NOT held")), "trigrams"))
-    rows = rows.select(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int").alias("shard"), "*")
+    words = None if share is None else vocabulary(docs, share)[0]
+    path = scratch_path(spark, "quality-shards")
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
+    waves = min(WAVES, 1 << max(0, (size // WAVE_BYTES).bit_length() - 1))
+    with _tables(spark) as make:
+        known, parts = counted_model(docs, good.where(F.col("trusted") & (remainder(F.col("__id"), FOLDS) != FOLDS - 1)), make, words, waves)
+        n = _counts_of_counts(known)
+        low = {order: n.get(order, np.zeros(7, np.int64)) for order in (1, 2, 3)}
+        off = {order: np.array([0.0, *_discounts_of(*low[order][:4].tolist())]) for order in low}
+        whole, left = float(low[1][5]), float(low[1][:2] @ off[1][1:3] + low[1][2:5].sum() * off[1][3])
+        even = (left / whole if whole else 1.0) / (int(low[1][:5].sum() - low[1][6]) + UNKNOWN_WORDS)
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (6 * waves * shard_words))
+        for wave in range(waves):
+            part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(waves)) == wave)
+            _answered(part, known, parts, off, whole or 1.0, even, shards, words, path)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = spark.read.schema(f"doc_id {kind}, lang string, n_words long, total_bits double").parquet(path)
+    return rows.join(good, F.col("doc_id") == F.col("__id"), "left").select(
+        "doc_id", "lang", "n_words", F.coalesce("trusted", F.lit(False)).alias("trusted"),
+        F.coalesce(remainder(F.col("doc_id"), FOLDS) == FOLDS - 1, F.lit(False)).alias("held"), "total_bits")
+
+
+def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.ndarray], whole: float, even: float,
+              shards: int, words: list[str] | None, path: str) -> None:
+    """Appends (doc_id, lang, n_words, total_bits) of ``docs`` to the files in ``path``."""
 
     def wanted(key, table):
-        a, b, w = _words([x.as_py() for x in table.column("ids")])
-        _, tri, two = grams(a, b, w)
+        _, tri, two = grams(*(of := _words([x.as_py() for x in table.column("ids")])))
         # Every context is also a bigram or begins a document.
-        keys = np.unique(np.concatenate([w, two, tri, *_EDGE]))
-        return pa.table({"shard": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "key": _longs(keys)})
+        keys = np.unique(np.concatenate([of[2], two, tri, *_EDGE]))
+        out = [(p, key[0].as_py(), _steps(keys[s:e])) for p, s, e in _ranges(keys, parts)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["part", "shard", "keys"])
+
+    def looked_up(key, asked, model):
+        held = []
+        for kind, keys, counts in zip(*(model.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
+            counts = _counts(counts, kind)
+            own = counts[0] - off[kind][np.minimum(counts[0], 3)]
+            rest = [counts[1], off[kind + 1][1:] @ counts[2:]] if kind < 3 else [np.zeros(len(own))] * 2
+            held.append((_keys(keys), np.stack([own, *rest]).astype(np.float32)))
+        names = np.concatenate([np.empty(0, np.uint64), *[k for k, _ in held]])
+        order = np.argsort(names, kind="stable")
+        names, rows = names[order], np.concatenate([np.empty((3, 0), np.float32), *[r for _, r in held]], axis=1)[:, order]
+        out = []
+        for shard, packed in zip(asked.column("shard").to_pylist(), asked.column("keys").to_pylist()):
+            keys = _keys(packed)
+            at = np.minimum(np.searchsorted(names, keys), max(len(names) - 1, 0))
+            at = at[names[at] == keys] if len(names) else at[:0]
+            if len(at):
+                out.append((shard, _steps(names[at]), zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(rows[:, at]).tobytes())))
+        cols = list(zip(*out)) or [()] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()))], ["shard", "keys", "rows"])
 
     def total(key, docs, answers):
+        unpack = zstandard.ZstdDecompressor().decompress
+        keys = [_keys(k) for k in answers.column("keys").to_pylist()]
+        rows = [np.frombuffer(unpack(r), np.float32).reshape(3, -1) for r in answers.column("rows").to_pylist()]
+        keys, rows = np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate([np.empty((3, 0), np.float32), *rows], axis=1)
+        held = pa.table([pa.array(keys.view(np.int64)), *[pa.array(r) for r in rows]], ["key", "own", "total", "left"])
         parts, sizes = docs.column("ids").to_pylist(), docs.column("n_words").to_numpy()
-        bits = code_lengths(*_words(parts), answers, whole, even)
+        bits = code_lengths(*_words(parts), held, whole, even)
         ends = np.cumsum(sizes)
         sums = np.concatenate([[0.0], np.cumsum(bits)])
         return docs.drop_columns(["shard", "ids"]).append_column("total_bits", pa.array(sums[ends] - sums[ends - sizes], pa.float64()))
 
-    asked = rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "shard int, key long")
-    answers = asked.withColumnRenamed("key", "asked").join(known, F.col("asked") == F.col("key")).select("shard", "key", "own", "total", "left")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
-        total, f"doc_id {kind}, lang string, n_words long, trusted boolean, held boolean, total_bits double")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    with _tables(docs.sparkSession) as make:
+        name = make(f"shard int, doc_id {kind}, lang string, n_words bigint, ids binary")
+        appended(numbered(docs, words).select(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int").alias("shard"), "*"), name)
+        rows = docs.sparkSession.table(name)
+        asked = rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "part int, shard int, keys binary")
+        answers = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(looked_up, "shard int, keys binary, rows binary")
+        appended(rows.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
+            total, f"doc_id {kind}, lang string, n_words long, total_bits double"), path=path)
 
 
 def assessed(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, steady: int = STEADY, **how) -> DataFrame:

@@ -375,6 +375,37 @@ def test_every_trusted_word_is_known(spark):
     assert got[100] + 3 < got[101] and got[102] + 3 < got[103]
 
 
+def test_waves_make_one_model(spark, tmp_path, monkeypatch):
+    """Bits by waves equal those of one model of all counts, and only the results of the waves stay on disk."""
+    monkeypatch.setattr(quality, "WAVE_BYTES", 1_000)
+    monkeypatch.setattr(quality, "BLOCK_WORDS", 300)
+    rng = random.Random(21)
+    texts = [" ".join(f"w{min(int(rng.expovariate(0.02)), 400)}" for _ in range(rng.randrange(60))) for _ in range(120)] * 2
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(200)], "doc_id long, quality int")
+    before = {t.name for t in spark.catalog.listTables()}
+    root = str(tmp_path)
+    monkeypatch.setattr(quality, "scratch_path", lambda spark, label: f"{root}/{label}")
+    monkeypatch.setattr("atlasweave.llm.stored.scratch_path", lambda spark, label: f"{root}/{label}")
+    rows = quality.scored(frame(spark, texts).repartition(3), labels).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    files = [p.stat().st_size for p in tmp_path.rglob("*.parquet") if "/kn-" not in str(p)]
+    assert sum(1 for r in rows if r["trusted"] and not r["held"]) > 80
+    assert set(p.name for p in tmp_path.iterdir()) == {"quality-shards"} and files
+    counts: dict = {}
+    mine = {i: np.array([quality.word_id(w) for w in t.split()], np.uint64) for i, t in enumerate(texts)}
+    for r in rows:
+        if r["trusted"] and not r["held"]:
+            x = np.concatenate([np.full(2, quality.BEGIN, np.uint64), mine[r["doc_id"]]])
+            for gram in zip(*(x[k : len(x) - 2 + k].view(np.int64).tolist() for k in range(3))):
+                counts[gram] = counts.get(gram, 0) + 1
+    known, total, even = quality.model(spark.createDataFrame([(*g, c) for g, c in counts.items()], "a long, b long, w long, c long").cache())
+    known = known.toArrow()
+    for r in rows:
+        x = np.concatenate([np.full(2, quality.BEGIN, np.uint64), mine[r["doc_id"]]])
+        bits = quality.code_lengths(x[:-2], x[1:-1], x[2:], known, total, even).sum()
+        assert r["n_words"] == len(x) - 2 and abs(r["total_bits"] - bits) < 1e-3 * (1 + bits)
+
+
 def test_threshold_is_no_maximum(spark, monkeypatch):
     """One bad label in two hundred does not set a threshold, nor does the only held-out document of a language."""
     kind = "doc_id long, lang string, n_words long, trusted boolean, held boolean, total_bits double"
