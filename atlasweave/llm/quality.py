@@ -7,8 +7,8 @@
    counted, and the tables of an interpolated modified Kneser-Ney model derived from
    them: continuation counts, contexts, discounts from counts of counts. N-grams of all
    orders are in one table, keyed by their hashes and bucketed by ranges of them.
-   Counting goes in waves (``WAVES``) by the hash of a bigram: one wave has all trigrams that
-   begin with its bigrams and all that end with them.
+   Counting goes in waves (``WAVES``) by ranges of the hash of a bigram: one wave has all
+   trigrams that begin with its bigrams and all that end with them.
 3. Documents, in as many waves, lie in shards of a bounded number of words. The distinct
    n-grams of each shard are looked up range by range, and the answers go back to the
    shard, in which each document adds up its bits.
@@ -131,7 +131,13 @@ def numbered(docs: DataFrame, words: list[str] | None = None) -> DataFrame:
 
     def run(batches):
         only = None if shipped.value is None else set(shipped.value)
-        known: dict[str, int] = {}
+
+        class Known(dict):
+            def __missing__(self, word):
+                self[word] = number = word_id(word) if only is None or word in only else 0
+                return number
+
+        known = Known()
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -141,9 +147,6 @@ def numbered(docs: DataFrame, words: list[str] | None = None) -> DataFrame:
                     known.clear()
                 for text in part.column(2):
                     own = text.as_py().decode("utf-8", "replace").split() if text.is_valid else []
-                    for w in own:
-                        if w not in known:
-                            known[w] = word_id(w) if only is None or w in only else 0
                     ids = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
                     sizes.append(len(ids))
                     packed.append(packer.compress(ids.tobytes()))
@@ -226,6 +229,17 @@ def _numbers(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(places.T).view(np.uint64).ravel()
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct values, the place of one in ``x`` for each, the number of its value for each of ``x``)."""
+    order = np.argsort(x)
+    x = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    number = np.empty(len(x), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return x[new], order[new], number
+
+
 def _steps(keys: np.ndarray) -> bytes:
     """Sorted keys."""
     return _dense(np.diff(keys, prepend=np.uint64(0)))
@@ -236,8 +250,8 @@ def _keys(packed: bytes) -> np.ndarray:
 
 
 def _ranges(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
-    """(number, first, end) of each range of keys, of ``parts`` in all, that sorted ``keys`` have."""
-    which = keys // np.uint64((1 << 64) // parts + 1)
+    """(number, first, end) of each range of keys, of ``parts`` (a power of two) in all, that sorted ``keys`` have."""
+    which = keys >> np.uint64(65 - parts.bit_length())
     cuts = [0, *(np.flatnonzero(which[1:] != which[:-1]) + 1).tolist(), len(which)]
     for first, end in zip(cuts, cuts[1:]):
         if first < end:
@@ -283,7 +297,7 @@ def _sent(blocks: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
     and their counts; of those that end with one (kind 1) their keys, the second and the third word."""
 
     def mine(keys):
-        return (keys & np.uint64(waves - 1)) == np.uint64(wave)
+        return (keys >> np.uint64(48)) >> np.uint64(17 - waves.bit_length()) == np.uint64(wave)
 
     def run(batches):
         for batch in batches:
@@ -293,13 +307,13 @@ def _sent(blocks: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
                 real = x[2:] != np.uint64(BEGIN)
                 out = []
                 on = np.flatnonzero(real & mine(pair[:-1]))
-                key, first, n = np.unique(_ending(x[on + 2], pair[on]), return_index=True, return_counts=True)
-                begin = pair[on[first]]
+                key, first, number = _distinct(_ending(x[on + 2], pair[on]))
+                begin, n = pair[on[first]], np.bincount(number)
                 order = np.argsort(begin, kind="stable")
                 begin, key, n = begin[order], key[order], n[order]
                 out += [(p, 0, _steps(begin[s:e]), _dense(key[s:e]), _dense(n[s:e])) for p, s, e in _ranges(begin, parts)]
                 on = np.flatnonzero(real & mine(pair[1:]))
-                key, first = np.unique(_ending(x[on + 2], pair[on]), return_index=True)
+                key, first, _ = _distinct(_ending(x[on + 2], pair[on]))
                 on = on[first]
                 order = np.argsort(pair[on + 1], kind="stable")
                 key, on = key[order], on[order]
@@ -324,11 +338,8 @@ def _modelled(rows: list[tuple]) -> pa.Table:
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted keys and the sums of their counts (a row for each kind of count)."""
-    names, at = np.unique(keys, return_inverse=True)
-    out = np.zeros((len(counts), len(names)), np.int64)
-    for row, own in zip(out, counts):
-        np.add.at(row, at, own.astype(np.int64))
-    return names, out
+    names, _, at = _distinct(keys)
+    return names, np.stack([np.bincount(at, own, len(names)).astype(np.int64) for own in counts])  # exact below 2 ** 53
 
 
 def _as_contexts(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -342,8 +353,8 @@ def _together(*some: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndar
 
 def _single(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and (how often each is there, 0, 0, 0, 0)."""
-    names, n = np.unique(keys, return_counts=True)
-    return names, np.stack([n, *np.zeros((4, len(n)), np.int64)])
+    names, _, at = _distinct(keys)
+    return names, np.stack([n := np.bincount(at, minlength=len(names)), *np.zeros((4, len(n)), np.int64)])
 
 
 def _reduced(key, table):
@@ -355,12 +366,12 @@ def _reduced(key, table):
         return np.concatenate([np.empty(0, np.uint64), *[read(column[i]) for i in np.flatnonzero(kinds == kind)]])
 
     begin, tri, n = joined(0, x, _keys), joined(0, y), joined(0, z)
-    tri, first, at = np.unique(tri, return_index=True, return_inverse=True)
+    tri, first, at = _distinct(tri)
     c = np.bincount(at, n, len(tri)).astype(np.int64)
-    _, once = np.unique(joined(1, x), return_index=True)
+    _, once, _ = _distinct(joined(1, x))
     b, w = joined(1, y)[once], joined(1, z)[once]
-    two, once, before = np.unique(chained(w, chained(b, np.uint64(42))), return_index=True, return_counts=True)
-    b, w = b[once], w[once]
+    two, once, at = _distinct(chained(w, chained(b, np.uint64(42))))
+    b, w, before = b[once], w[once], np.bincount(at, minlength=len(two))
     bigrams = _together(_as_contexts(begin[first], c), (two, np.stack([before, *np.zeros((4, len(two)), np.int64)])))
     return _modelled([(part, 3, tri, c), (part, 2, *bigrams), (part, 0, *_together(_as_contexts(b, before), _single(w)))])
 
@@ -417,7 +428,7 @@ def counted_model(docs: DataFrame, ids: DataFrame, make, words: list[str] | None
     with _tables(spark) as passing:
         blocks = _trusted_blocks(docs, ids, passing, words)
         size = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
-        parts = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_WORDS)), 1 << 15)
+        parts = 1 << min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_WORDS, WAVES) - 1, (1 << 15) - 1).bit_length()
         name, of_words = make(MODEL, f"CLUSTERED BY (part) INTO {parts} BUCKETS"), passing(MODEL)
         for wave in range(waves):
             reduced = _sent(blocks, wave, waves, parts).groupBy("part").applyInArrow(_reduced, MODEL).persist(StorageLevel.DISK_ONLY)
@@ -561,41 +572,66 @@ def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.n
               shards: int, words: list[str] | None, path: str) -> None:
     """Appends (doc_id, lang, n_words, total_bits) of ``docs`` to the files in ``path``."""
 
+    def sequence(packed):
+        """Words with two BEGIN before each document, what ends a trigram, and distinct words, bigrams and trigrams."""
+        unpack, edge = zstandard.ZstdDecompressor().decompress, np.full(2, BEGIN, np.uint64)
+        x = np.concatenate([edge, *[y for p in packed for y in (edge, np.frombuffer(unpack(p), np.uint64))]])
+        pair = chained(x[1:], chained(x[:-1], np.uint64(42)))
+        real = np.flatnonzero(x[2:] != np.uint64(BEGIN))
+        return x, real, [_distinct(x), _distinct(pair), _distinct(_ending(x[real + 2], pair[real]))]
+
     def wanted(key, table):
-        _, tri, two = grams(*(of := _words([x.as_py() for x in table.column("ids")])))
-        # Every context is also a bigram or begins a document.
-        keys = np.unique(np.concatenate([of[2], two, tri, *_EDGE]))
-        out = [(p, key[0].as_py(), _steps(keys[s:e])) for p, s, e in _ranges(keys, parts)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["part", "shard", "keys"])
+        _, _, asked = sequence(table.column("ids").to_pylist())
+        out = [(p, kind, key[0].as_py(), _steps(keys[s:e])) for kind, (keys, _, _) in enumerate(asked, 1) for p, s, e in _ranges(keys, parts)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (*_SENT[:2], pa.int32(), pa.binary()))], ["part", "kind", "shard", "keys"])
 
     def looked_up(key, asked, model):
-        held = []
-        for kind, keys, counts in zip(*(model.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
-            counts = _counts(counts, kind)
-            own = counts[0] - off[kind][np.minimum(counts[0], 3)]
-            rest = [counts[1], off[kind + 1][1:] @ counts[2:]] if kind < 3 else [np.zeros(len(own))] * 2
-            held.append((_keys(keys), np.stack([own, *rest]).astype(np.float32)))
-        names = np.concatenate([np.empty(0, np.uint64), *[k for k, _ in held]])
-        order = np.argsort(names, kind="stable")
-        names, rows = names[order], np.concatenate([np.empty((3, 0), np.float32), *[r for _, r in held]], axis=1)[:, order]
-        out = []
-        for shard, packed in zip(asked.column("shard").to_pylist(), asked.column("keys").to_pylist()):
-            keys = _keys(packed)
-            at = np.minimum(np.searchsorted(names, keys), max(len(names) - 1, 0))
-            at = at[names[at] == keys] if len(names) else at[:0]
-            if len(at):
-                out.append((shard, _steps(names[at]), zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(rows[:, at]).tobytes())))
-        cols = list(zip(*out)) or [()] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()))], ["shard", "keys", "rows"])
+        part, out, packer = key[0].as_py(), [], zstandard.ZstdCompressor(level=1)
+        blocks = list(zip(*(model.column(c).to_pylist() for c in ("kind", "keys", "counts"))))
+        for kind in (1, 2, 3):
+            held = [(_keys(keys), _counts(counts, kind)) for own, keys, counts in blocks if own == kind]
+            if not held:
+                continue
+            names, counts = held[0] if len(held) == 1 else _together(*held)
+            rows = [counts[0] - off[kind][np.minimum(counts[0], 3)]]
+            if kind < 3:
+                rows += [counts[1], off[kind + 1][1:] @ counts[2:]]
+            rows = np.stack(rows).astype(np.float32)
+            mine = np.flatnonzero(asked.column("kind").to_numpy() == kind).tolist()
+            for shard, packed in zip(asked.column("shard").take(mine).to_pylist(), asked.column("keys").take(mine).to_pylist()):
+                keys = _keys(packed)
+                at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+                there = names[at] == keys
+                if there.any():
+                    places = np.ascontiguousarray(rows[:, at[there]]).view(np.uint8).reshape(-1, 4).T
+                    out.append((part, kind, shard, np.packbits(there).tobytes(), packer.compress(np.ascontiguousarray(places).tobytes())))
+        cols = list(zip(*out)) or [()] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (*_SENT[:2], pa.int32(), pa.binary(), pa.binary()))], ["part", "kind", "shard", "there", "rows"])
 
     def total(key, docs, answers):
         unpack = zstandard.ZstdDecompressor().decompress
-        keys = [_keys(k) for k in answers.column("keys").to_pylist()]
-        rows = [np.frombuffer(unpack(r), np.float32).reshape(3, -1) for r in answers.column("rows").to_pylist()]
-        keys, rows = np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate([np.empty((3, 0), np.float32), *rows], axis=1)
-        held = pa.table([pa.array(keys.view(np.int64)), *[pa.array(r) for r in rows]], ["key", "own", "total", "left"])
-        parts, sizes = docs.column("ids").to_pylist(), docs.column("n_words").to_numpy()
-        bits = code_lengths(*_words(parts), held, whole, even)
+        x, real, asked = sequence(docs.column("ids").to_pylist())
+        got = {(p, k): (there, rows) for p, k, there, rows in zip(*(answers.column(c).to_pylist() for c in ("part", "kind", "there", "rows")))}
+        held = []  # own, total and left of each word, bigram and trigram
+        for kind, (keys, _, number) in enumerate(asked, 1):
+            rows = np.zeros((1 if kind == 3 else 3, len(keys)), np.float64)
+            for p, s, e in _ranges(keys, parts):
+                if (p, kind) in got:
+                    there, values = got[p, kind]
+                    at = s + np.flatnonzero(np.unpackbits(np.frombuffer(there, np.uint8), count=e - s))
+                    places = np.frombuffer(unpack(values), np.uint8).reshape(4, -1)
+                    rows[:, at] = np.ascontiguousarray(places.T).view(np.float32).reshape(len(rows), -1)
+            held.append(rows[:, number])
+        words, pairs, triples = held
+        w = x[real + 2]
+        p = words[0, real + 2] / whole + even * np.where(w == 0, UNKNOWN_WORDS, 1)
+        for own, context, at in ((pairs[0, real + 1], words, real + 1), (triples[0], pairs, real)):
+            all_of, left = context[1, at], context[2, at]
+            seen = all_of > 0
+            all_of = np.where(seen, all_of, 1.0)
+            p = own / all_of + np.where(seen, left / all_of, 1.0) * p
+        bits = np.where(w == 0, np.log2(UNKNOWN_WORDS), 0.0) - np.log2(p)
+        sizes = docs.column("n_words").to_numpy()
         ends = np.cumsum(sizes)
         sums = np.concatenate([[0.0], np.cumsum(bits)])
         return docs.drop_columns(["shard", "ids"]).append_column("total_bits", pa.array(sums[ends] - sums[ends - sizes], pa.float64()))
@@ -605,8 +641,9 @@ def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.n
         name = make(f"shard int, doc_id {kind}, lang string, n_words bigint, ids binary")
         appended(numbered(docs, words).select(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int").alias("shard"), "*"), name)
         rows = docs.sparkSession.table(name)
-        asked = rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "part int, shard int, keys binary")
-        answers = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(looked_up, "shard int, keys binary, rows binary")
+        asked = rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "part int, kind int, shard int, keys binary")
+        answers = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
+            looked_up, "part int, kind int, shard int, there binary, rows binary")
         appended(rows.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
             total, f"doc_id {kind}, lang string, n_words long, total_bits double"), path=path)
 
