@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -225,18 +226,28 @@ def units(pieces_of):
 
 def encode_units(fresh: list, pieces_of, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ends) of ``fresh`` units: their distinct pieces are encoded together."""
-    numbers, at, count = Numbered(), [], []
-    for unit in fresh:
-        own = list(map(numbers.__getitem__, pieces_of(unit)))
-        at.extend(own)
-        count.append(len(own))
+    numbers, count = Numbered(), np.zeros(len(fresh), np.int64)
+    # Units without white space are split in one text: their own spaces are the only ones, and only their first pieces begin with one.
+    plain = np.fromiter((isinstance(unit, str) and unit.split() == [unit] for unit in fresh), bool, len(fresh))
+    found = pieces_of(tuple([" " + " ".join(itertools.compress(fresh, plain))])) if plain.any() else []
+    first = np.flatnonzero(np.fromiter((p[0] == " " for p in found), bool, len(found)))
+    count[plain] = np.diff(first, append=len(found))
+    rest = [pieces_of(fresh[k]) for k in np.flatnonzero(~plain).tolist()]
+    count[~plain] = [len(own) for own in rest]
+    pieces = itertools.chain(found, *rest)
+    which = np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(found) + sum(map(len, rest)))
+    # The pieces of each unit, in the order of the units.
+    order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+    begin = np.empty(len(fresh), np.int64)
+    begin[order] = np.cumsum(count[order]) - count[order]
+    stops = np.cumsum(count)
+    which = which[np.arange(len(which)) + np.repeat(begin - stops + count, count)]
     ids, ends = replay([p.encode() for p in numbers], merges)
-    which = np.array(at, np.int64)
     size = np.diff(ends, prepend=0)[which]
     stops = np.cumsum(size)
     total = int(stops[-1]) if len(stops) else 0
     flat = ids[np.arange(total) + np.repeat(ends[which] - stops, size)]
-    return flat, np.concatenate([[0], stops])[np.cumsum(np.array(count, np.int64))]
+    return flat, np.concatenate([[0], stops])[np.cumsum(count)]
 
 
 class Portions:

@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import xxhash
 
 import corpus_pipeline
@@ -375,6 +376,19 @@ def test_every_trusted_word_is_known(spark):
     assert got[100] + 3 < got[101] and got[102] + 3 < got[103]
 
 
+def test_plain_units_are_split_at_once():
+    """The pattern runs once over all units without white space; ids are those of units split on their own."""
+    merges = bpe.Merges(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    split, pieces_of = bpe.units(regex.compile(public_tokenizers.PATTERN).findall)
+    texts = ["the cat's 1234 ... don't", "", "  two  spaces", "tab\tand\nline  end \n", "x\u00a0y z\u0085w \u2003q", "a \x1cb c\x1f d", "'s 're 12ab \u0661\u0662\u0663\u0664 \u00e9t\u00e9"]
+    fresh = list(dict.fromkeys(u for t in texts for u in split(t)))
+    calls = []
+    ids, ends = bpe.encode_units(fresh, lambda u: calls.append(u) or pieces_of(u), merges)
+    assert len(calls) < len(fresh)
+    for unit, own in zip(fresh, np.split(ids, ends[:-1])):
+        assert own.tolist() == [i for p in pieces_of(unit) for i in merges.one(p.encode())]
+
+
 def test_waves_make_one_model(spark, tmp_path, monkeypatch):
     """Bits by waves equal those of one model of all counts, and only the results of the waves stay on disk."""
     monkeypatch.setattr(quality, "WAVE_BYTES", 1_000)
