@@ -573,9 +573,10 @@ def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.n
     """Appends (doc_id, lang, n_words, total_bits) of ``docs`` to the files in ``path``."""
 
     def sequence(packed):
-        """Words with two BEGIN before each document, what ends a trigram, and distinct words, bigrams and trigrams."""
+        """Words with two BEGIN before each document, where trigrams begin, and distinct words, bigrams and trigrams."""
         unpack, edge = zstandard.ZstdDecompressor().decompress, np.full(2, BEGIN, np.uint64)
-        x = np.concatenate([edge, *[y for p in packed for y in (edge, np.frombuffer(unpack(p), np.uint64))]])
+        # Two more in the end, so that what is asked does not depend on the order of documents.
+        x = np.concatenate([*[y for p in packed for y in (edge, np.frombuffer(unpack(p), np.uint64))], edge])
         pair = chained(x[1:], chained(x[:-1], np.uint64(42)))
         real = np.flatnonzero(x[2:] != np.uint64(BEGIN))
         return x, real, [_distinct(x), _distinct(pair), _distinct(_ending(x[real + 2], pair[real]))]
