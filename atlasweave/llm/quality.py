@@ -9,9 +9,10 @@
    orders are in one table, keyed by their hashes and bucketed by ranges of them.
    Counting goes in waves (``WAVES``) by ranges of the hash of a bigram: one wave has all
    trigrams that begin with its bigrams and all that end with them.
-3. Documents, in as many waves, lie in shards of a bounded number of words. The distinct
-   n-grams of each shard are looked up range by range, and the answers go back to the
-   shard, in which each document adds up its bits.
+3. Documents, in as many waves, lie in shards of a bounded number of words, in the order
+   they are read. The distinct n-grams of each shard are looked up range by range, and
+   the answers go back to the shard, in which each document adds up its bits. The numbers
+   of shards and ranges follow the text, not the settings of the session.
    Keys are sent and kept as sorted differences, in blocks; what a wave has written
    besides its results goes before the next one begins.
 4. Thresholds: per language, a quantile of the bits per word of the trusted documents
@@ -39,7 +40,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,11 +54,12 @@ from atlasweave.session import scratch_path
 
 BUCKETS = 1 << 16
 UNKNOWN_WORDS = 1 << 20
-SHARD_WORDS = 2_000_000
+#: Words of a shard, and bytes of text that a task of a wave has at least, if there are as many.
+SHARD_WORDS, TASK_BYTES = 500_000, 1_500_000
 #: Counting and asking are cut into so many jobs at most, a power of two, each of so many bytes of text at least.
-WAVES, WAVE_BYTES = 16, 4_000_000
+WAVES, WAVE_BYTES = 8, 4_000_000
 #: Words of trusted text in a block, and for each range of keys.
-BLOCK_WORDS, RANGE_WORDS = 1_000_000, 1_000_000
+BLOCK_WORDS, RANGE_WORDS = 1_000_000, 500_000
 #: Joins of labels with texts are cut into so many jobs.
 TEXT_WAVES = 4
 FOLDS = 5
@@ -123,39 +125,63 @@ def vocabulary(docs: DataFrame, share: float) -> tuple[list[str], int]:
     return sorted(r["word"] for r in found.select("word").collect()), number  # 1 / share words at most
 
 
-def numbered(docs: DataFrame, words: list[str] | None = None) -> DataFrame:
-    """(doc_id, lang, n_words, ids): ids are compressed 64-bit hashes of words; 0 for what is not in ``words``, if given."""
+class _Numbers(dict):
+    """Numbers of the words of a block by first occurrence; ``ids`` has their 64-bit hashes, 0 for what is not in ``only``, if given."""
+
+    def __init__(self, only: set[str] | None):
+        self.ids, self.only = {BEGIN: 0}, only
+
+    def __missing__(self, word):
+        name = word_id(word) if self.only is None or word in self.only else 0
+        self[word] = number = self.ids.setdefault(name, len(self.ids))
+        return number
+
+
+def blocks(docs: DataFrame, words: list[str] | None, most: int) -> DataFrame:
+    """(shard, docs, n, names, at): documents in blocks of about ``most`` words, in the order in which tasks read them.
+
+    ``docs`` has their doc_id, lang and n_words, ``names`` the different words as hashes and ``at``
+    the number of each word among them, with two BEGIN (number 0) before each document.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(words)
     kind = docs.schema["doc_id"].dataType
     arrow_id = to_arrow_type(kind)
+    row = T.StructType([T.StructField("doc_id", kind), T.StructField("lang", T.StringType()), T.StructField("n_words", T.LongType())])
+    fields = ["doc_id", "lang", "n_words"]
 
     def run(batches):
         only = None if shipped.value is None else set(shipped.value)
+        first = TaskContext.get().partitionId() << 32
+        made = 0
+        numbers, size, parts, ats = _Numbers(only), 0, [], []
+        edge = np.zeros(2, np.int64)
 
-        class Known(dict):
-            def __missing__(self, word):
-                self[word] = number = word_id(word) if only is None or word in only else 0
-                return number
+        def block():
+            own = pa.StructArray.from_arrays([pa.concat_arrays(c) for c in zip(*parts)], fields)
+            names = np.fromiter(numbers.ids, np.uint64, len(numbers.ids))
+            cols = [pa.array([first + made]), pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own),
+                    pa.array([size]), pa.array([_dense(names)]), pa.array([_dense(np.concatenate(ats))])]
+            return pa.RecordBatch.from_arrays(cols, ["shard", "docs", "n", "names", "at"])
 
-        known = Known()
-        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                sizes, packed = [], []
-                if len(known) > 500_000:
-                    known.clear()
-                for text in part.column(2):
+            ids, langs = batch.column(0).cast(arrow_id), batch.column(1)
+            for start in range(0, batch.num_rows, 64):
+                sizes = []
+                for text in batch.column(2).slice(start, 64):
                     own = text.as_py().decode("utf-8", "replace").split() if text.is_valid else []
-                    ids = np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
-                    sizes.append(len(ids))
-                    packed.append(packer.compress(ids.tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(arrow_id), part.column(1), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
-                    ["doc_id", "lang", "n_words", "ids"])
-
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("lang", T.StringType()),
-                           T.StructField("n_words", T.LongType()), T.StructField("ids", T.BinaryType())])
+                    ats += [edge, np.fromiter(map(numbers.__getitem__, own), np.int64, len(own))]
+                    sizes.append(len(own))
+                parts.append((ids.slice(start, 64), langs.slice(start, 64), pa.array(sizes, pa.int64())))
+                size += sum(sizes) + 2 * len(sizes)
+                if size >= most:
+                    yield block()
+                    made += 1
+                    numbers, size, parts, ats = _Numbers(only), 0, [], []
+        if parts:
+            yield block()
+
+    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("docs", T.ArrayType(row)), T.StructField("n", T.LongType()),
+                           T.StructField("names", T.BinaryType()), T.StructField("at", T.BinaryType())])
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
     return docs.select("doc_id", lang, F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
 
@@ -169,19 +195,31 @@ def trigrams(ids: np.ndarray, begin: int) -> np.ndarray:
 def chained(x: np.ndarray, seed) -> np.ndarray:
     """Spark's xxhash64 of a long: that of two columns is chained(second, chained(first, 42))."""
     one, two, three, four, five = (np.uint64(k) for k in (
-        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-    def rolled(v, k):
-        return (v << np.uint64(k)) | (v >> np.uint64(64 - k))
-
-    h = np.zeros(len(x), np.uint64) + seed + five + np.uint64(8)
-    h ^= rolled(x * two, 31) * one
-    h = rolled(h, 27) * one + four
-    h ^= h >> np.uint64(33)
-    h *= two
-    h ^= h >> np.uint64(29)
-    h *= three
-    return h ^ (h >> np.uint64(32))
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5 + 8))
+
+    def roll(v, k):
+        high = v << np.uint64(k)
+        v >>= np.uint64(64 - k)
+        v |= high
+
+    seeds = np.broadcast_to(np.asarray(seed, np.uint64), len(x))
+    out = np.empty(len(x), np.uint64)
+    for start in range(0, len(x), 1 << 14):  # what stays in a processor's cache
+        h = seeds[start : start + (1 << 14)] + five
+        v = x[start : start + (1 << 14)] * two
+        roll(v, 31)
+        v *= one
+        h ^= v
+        roll(h, 27)
+        h *= one
+        h += four
+        h ^= h >> np.uint64(33)
+        h *= two
+        h ^= h >> np.uint64(29)
+        h *= three
+        h ^= h >> np.uint64(32)
+        out[start : start + (1 << 14)] = h
+    return out
 
 
 #: A trigram's key has these bits of its context's key, so that both are in one range of keys.
@@ -200,22 +238,13 @@ def grams(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]
     return before, _ending(w, before), chained(w, chained(b, seed))
 
 
-_EDGE = [np.full(1, BEGIN, np.uint64), grams(*np.full((3, 1), BEGIN, np.uint64))[0]]
+def _laid(names: bytes, at: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: different words, the number of each word, and the keys of the bigrams.
 
-
-def _words(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, w): every word w of the documents with the two before it."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    edge = np.full(2, BEGIN, np.uint64)
-    found = [np.concatenate([edge, np.frombuffer(unpack(p), np.uint64)]) for p in packed]
-    if not found:
-        return (np.empty(0, np.uint64),) * 3
-    x = np.concatenate([*found, edge])
-    first = np.cumsum([0] + [len(f) for f in found[:-1]])
-    real = np.ones(len(x), bool)
-    real[first] = real[first + 1] = real[-2:] = False
-    at = np.flatnonzero(real)
-    return x[at - 2], x[at - 1], x[at]
+    There are two BEGIN in the end too, so that what is asked does not depend on the order of documents.
+    """
+    x, number = _numbers(names), np.concatenate([_numbers(at).astype(np.int64), np.zeros(2, np.int64)])
+    return x, number, chained(x[number[1:]], chained(x, np.uint64(42))[number[:-1]])
 
 
 def _dense(x: np.ndarray) -> bytes:
@@ -240,6 +269,14 @@ def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x[new], order[new], number
 
 
+def _sorted(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 def _steps(keys: np.ndarray) -> bytes:
     """Sorted keys."""
     return _dense(np.diff(keys, prepend=np.uint64(0)))
@@ -258,41 +295,7 @@ def _ranges(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
             yield int(which[first]), first, end
 
 
-def _block(ids: list[np.ndarray]) -> tuple[bytes, bytes]:
-    """Words of several documents, with two BEGIN before each: the distinct ones, common first, and their numbers."""
-    edge = np.full(2, BEGIN, np.uint64)
-    names, at, n = np.unique(np.concatenate([x for own in ids for x in (edge, own)]), return_inverse=True, return_counts=True)
-    order = np.argsort(-n, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return _dense(names[order]), _dense(place[at])
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    """(n, names, at): the words of ``rows`` (ids) in blocks, and how many there are."""
-
-    def run(batches):
-        unpack = zstandard.ZstdDecompressor().decompress
-        held, size = [], 0
-
-        def block():
-            names, at = _block(held)
-            return pa.RecordBatch.from_pydict({"n": [size], "names": [names], "at": [at]})
-
-        for batch in batches:
-            for packed in batch.column(0):
-                held.append(np.frombuffer(unpack(packed.as_py()), np.uint64))
-                size += len(held[-1])
-                if size >= BLOCK_WORDS:
-                    yield block()
-                    held, size = [], 0
-        if held:
-            yield block()
-
-    return rows.select("ids").mapInArrow(run, "n long, names binary, at binary")
-
-
-def _sent(blocks: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
+def _sent(rows: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
     """(part, kind, x, y, z) per block and range: of trigrams that begin with a bigram of the wave (kind 0) its key, theirs
     and their counts; of those that end with one (kind 1) their keys, the second and the third word."""
 
@@ -302,9 +305,9 @@ def _sent(blocks: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for names, at in zip(batch.column(0), batch.column(1)):
-                x = _numbers(names.as_py())[_numbers(at.as_py()).astype(np.int64)]
-                pair = chained(x[1:], chained(x[:-1], np.uint64(42)))
-                real = x[2:] != np.uint64(BEGIN)
+                x, number, pair = _laid(names.as_py(), at.as_py())
+                x = x[number]
+                real = number[2:] != 0
                 out = []
                 on = np.flatnonzero(real & mine(pair[:-1]))
                 key, first, number = _distinct(_ending(x[on + 2], pair[on]))
@@ -321,7 +324,7 @@ def _sent(blocks: DataFrame, wave: int, waves: int, parts: int) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _SENT)], ["part", "kind", "x", "y", "z"])
 
-    return blocks.select("names", "at").mapInArrow(run, "part int, kind int, x binary, y binary, z binary")
+    return rows.select("names", "at").mapInArrow(run, "part int, kind int, x binary, y binary, z binary")
 
 
 _SENT = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -415,23 +418,25 @@ def _tables(spark: SparkSession):
 
 
 def _trusted_blocks(docs: DataFrame, ids: DataFrame, make, words: list[str] | None) -> DataFrame:
-    blocks = make("n bigint, names binary, at binary")
+    name = make("n bigint, names binary, at binary")
     for wave in range(TEXT_WAVES):
         part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_WAVES)) == wave)
-        appended(_blocks(numbered(part.join(ids, F.col("doc_id") == F.col("__id"), "left_semi"), words)), blocks)
-    return docs.sparkSession.table(blocks)
+        trusted = part.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+        appended(blocks(trusted, words, BLOCK_WORDS).select("n", "names", "at"), name)
+    return docs.sparkSession.table(name)
 
 
 def counted_model(docs: DataFrame, ids: DataFrame, make, words: list[str] | None, waves: int) -> tuple[DataFrame, int]:
     """The model of those ``docs`` whose doc_id is in ``ids`` (__id), and its number of ranges."""
     spark = docs.sparkSession
     with _tables(spark) as passing:
-        blocks = _trusted_blocks(docs, ids, passing, words)
-        size = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
-        parts = 1 << min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_WORDS, WAVES) - 1, (1 << 15) - 1).bit_length()
+        trusted = _trusted_blocks(docs, ids, passing, words)
+        size = trusted.agg(F.sum("n").alias("n")).first()["n"] or 0
+        # As many as the text asks for, each within one wave.
+        parts = 1 << min(max(size // RANGE_WORDS, 2 * waves) - 1, (1 << 15) - 1).bit_length()
         name, of_words = make(MODEL, f"CLUSTERED BY (part) INTO {parts} BUCKETS"), passing(MODEL)
         for wave in range(waves):
-            reduced = _sent(blocks, wave, waves, parts).groupBy("part").applyInArrow(_reduced, MODEL).persist(StorageLevel.DISK_ONLY)
+            reduced = _sent(trusted, wave, waves, parts).groupBy("part").applyInArrow(_reduced, MODEL).persist(StorageLevel.DISK_ONLY)
             appended(reduced.where("kind > 0"), name)
             appended(_words_by_range(reduced.where("kind = 0"), parts), of_words)
             reduced.unpersist(blocking=True)
@@ -557,10 +562,10 @@ def scored(docs: DataFrame, labels: DataFrame, share: float | None = None, shard
         off = {order: np.array([0.0, *_discounts_of(*low[order][:4].tolist())]) for order in low}
         whole, left = float(low[1][5]), float(low[1][:2] @ off[1][1:3] + low[1][2:5].sum() * off[1][3])
         even = (left / whole if whole else 1.0) / (int(low[1][:5].sum() - low[1][6]) + UNKNOWN_WORDS)
-        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (6 * waves * shard_words))
+        tasks = max(1, size // (waves * TASK_BYTES))
         for wave in range(waves):
             part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(waves)) == wave)
-            _answered(part, known, parts, off, whole or 1.0, even, shards, words, path)
+            _answered(blocks(part.coalesce(tasks), words, shard_words), known, parts, off, whole or 1.0, even, path)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = spark.read.schema(f"doc_id {kind}, lang string, n_words long, total_bits double").parquet(path)
     return rows.join(good, F.col("doc_id") == F.col("__id"), "left").select(
@@ -568,23 +573,22 @@ def scored(docs: DataFrame, labels: DataFrame, share: float | None = None, shard
         F.coalesce(remainder(F.col("doc_id"), FOLDS) == FOLDS - 1, F.lit(False)).alias("held"), "total_bits")
 
 
-def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.ndarray], whole: float, even: float,
-              shards: int, words: list[str] | None, path: str) -> None:
-    """Appends (doc_id, lang, n_words, total_bits) of ``docs`` to the files in ``path``."""
+def _answered(shards: DataFrame, known: DataFrame, parts: int, off: dict[int, np.ndarray], whole: float, even: float, path: str) -> None:
+    """Appends (doc_id, lang, n_words, total_bits) of the documents of ``shards`` to the files in ``path``."""
 
-    def sequence(packed):
-        """Words with two BEGIN before each document, where trigrams begin, and distinct words, bigrams and trigrams."""
-        unpack, edge = zstandard.ZstdDecompressor().decompress, np.full(2, BEGIN, np.uint64)
-        # Two more in the end, so that what is asked does not depend on the order of documents.
-        x = np.concatenate([*[y for p in packed for y in (edge, np.frombuffer(unpack(p), np.uint64))], edge])
-        pair = chained(x[1:], chained(x[:-1], np.uint64(42)))
-        real = np.flatnonzero(x[2:] != np.uint64(BEGIN))
-        return x, real, [_distinct(x), _distinct(pair), _distinct(_ending(x[real + 2], pair[real]))]
+    def thirds(x, number, pair):
+        """Where trigrams begin, and their keys."""
+        real = np.flatnonzero(number[2:])
+        return real, _ending(x[number[real + 2]], pair[real])
 
-    def wanted(key, table):
-        _, _, asked = sequence(table.column("ids").to_pylist())
-        out = [(p, kind, key[0].as_py(), _steps(keys[s:e])) for kind, (keys, _, _) in enumerate(asked, 1) for p, s, e in _ranges(keys, parts)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (*_SENT[:2], pa.int32(), pa.binary()))], ["part", "kind", "shard", "keys"])
+    def wanted(batches):
+        for batch in batches:
+            for shard, names, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                x, number, pair = _laid(names.as_py(), at.as_py())
+                asked = np.sort(x), _sorted(pair), _sorted(thirds(x, number, pair)[1])
+                out = [(p, kind, shard, _steps(keys[s:e])) for kind, keys in enumerate(asked, 1) for p, s, e in _ranges(keys, parts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*_SENT[:2], pa.int64(), pa.binary()))],
+                                                 ["part", "kind", "shard", "keys"])
 
     def looked_up(key, asked, model):
         part, out, packer = key[0].as_py(), [], zstandard.ZstdCompressor(level=1)
@@ -607,14 +611,18 @@ def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.n
                     places = np.ascontiguousarray(rows[:, at[there]]).view(np.uint8).reshape(-1, 4).T
                     out.append((part, kind, shard, np.packbits(there).tobytes(), packer.compress(np.ascontiguousarray(places).tobytes())))
         cols = list(zip(*out)) or [()] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (*_SENT[:2], pa.int32(), pa.binary(), pa.binary()))], ["part", "kind", "shard", "there", "rows"])
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (*_SENT[:2], pa.int64(), pa.binary(), pa.binary()))], ["part", "kind", "shard", "there", "rows"])
 
-    def total(key, docs, answers):
+    def total(key, shard, answers):
         unpack = zstandard.ZstdDecompressor().decompress
-        x, real, asked = sequence(docs.column("ids").to_pylist())
+        x, at_word, pair = _laid(shard.column("names")[0].as_py(), shard.column("at")[0].as_py())
+        real, triple = thirds(x, at_word, pair)
+        names, _, number = _distinct(x)
+        asked = [(names, number[at_word])]
+        asked += [(keys, number) for keys, _, number in map(_distinct, (pair, triple))]
         got = {(p, k): (there, rows) for p, k, there, rows in zip(*(answers.column(c).to_pylist() for c in ("part", "kind", "there", "rows")))}
         held = []  # own, total and left of each word, bigram and trigram
-        for kind, (keys, _, number) in enumerate(asked, 1):
+        for kind, (keys, number) in enumerate(asked, 1):
             rows = np.zeros((1 if kind == 3 else 3, len(keys)), np.float64)
             for p, s, e in _ranges(keys, parts):
                 if (p, kind) in got:
@@ -624,7 +632,7 @@ def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.n
                     rows[:, at] = np.ascontiguousarray(places.T).view(np.float32).reshape(len(rows), -1)
             held.append(rows[:, number])
         words, pairs, triples = held
-        w = x[real + 2]
+        w = x[at_word[real + 2]]
         p = words[0, real + 2] / whole + even * np.where(w == 0, UNKNOWN_WORDS, 1)
         for own, context, at in ((pairs[0, real + 1], words, real + 1), (triples[0], pairs, real)):
             all_of, left = context[1, at], context[2, at]
@@ -632,19 +640,20 @@ def _answered(docs: DataFrame, known: DataFrame, parts: int, off: dict[int, np.n
             all_of = np.where(seen, all_of, 1.0)
             p = own / all_of + np.where(seen, left / all_of, 1.0) * p
         bits = np.where(w == 0, np.log2(UNKNOWN_WORDS), 0.0) - np.log2(p)
-        sizes = docs.column("n_words").to_numpy()
+        docs = shard.column("docs").combine_chunks().flatten()
+        sizes = docs.field("n_words").to_numpy()
         ends = np.cumsum(sizes)
         sums = np.concatenate([[0.0], np.cumsum(bits)])
-        return docs.drop_columns(["shard", "ids"]).append_column("total_bits", pa.array(sums[ends] - sums[ends - sizes], pa.float64()))
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    with _tables(docs.sparkSession) as make:
-        name = make(f"shard int, doc_id {kind}, lang string, n_words bigint, ids binary")
-        appended(numbered(docs, words).select(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int").alias("shard"), "*"), name)
-        rows = docs.sparkSession.table(name)
-        asked = rows.select("shard", "ids").groupBy("shard").applyInArrow(wanted, "part int, kind int, shard int, keys binary")
+        return pa.table([*docs.flatten(), pa.array(sums[ends] - sums[ends - sizes], pa.float64())], ["doc_id", "lang", "n_words", "total_bits"])
+
+    kind = shards.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
+    with _tables(shards.sparkSession) as make:
+        name = make(f"shard bigint, docs {shards.schema['docs'].dataType.simpleString()}, names binary, at binary")
+        appended(shards.select("shard", "docs", "names", "at"), name)
+        rows = shards.sparkSession.table(name)
+        asked = rows.select("shard", "names", "at").mapInArrow(wanted, "part int, kind int, shard long, keys binary")
         answers = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
-            looked_up, "part int, kind int, shard int, there binary, rows binary")
+            looked_up, "part int, kind int, shard long, there binary, rows binary")
         appended(rows.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(
             total, f"doc_id {kind}, lang string, n_words long, total_bits double"), path=path)
 

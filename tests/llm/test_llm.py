@@ -419,6 +419,26 @@ def test_waves_make_one_model(spark, tmp_path, monkeypatch):
         assert r["n_words"] == len(x) - 2 and abs(r["total_bits"] - bits) < 1e-3 * (1 + bits)
 
 
+def test_shards_and_ranges_follow_the_text(spark, monkeypatch):
+    """However many partitions a session has, little text makes few shards, each of which asks few ranges of keys."""
+    answered, made = quality._answered, []
+
+    def counted(rows, known, parts, *rest):
+        made.append(rows.count() * parts)
+        answered(rows, known, parts, *rest)
+
+    monkeypatch.setattr(quality, "_answered", counted)
+    texts = [f"the cat and dog {k % 7} of house {k % 5}" for k in range(80)]
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        rows = quality.scored(frame(spark, texts).repartition(20), labels).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert sorted(r["doc_id"] for r in rows) == list(range(80)) and sum(made) <= 4
+
+
 def test_threshold_is_no_maximum(spark, monkeypatch):
     """One bad label in two hundred does not set a threshold, nor does the only held-out document of a language."""
     kind = "doc_id long, lang string, n_words long, trusted boolean, held boolean, total_bits double"
