@@ -9,7 +9,7 @@
    orders are in one table, keyed by their hashes and bucketed by ranges of them.
    Counting goes in waves (``WAVES``) by ranges of the hash of a bigram: one wave has all
    trigrams that begin with its bigrams and all that end with them.
-3. Documents, in as many waves, lie in shards of a bounded number of words, in the order
+3. Documents, in waves too, lie in shards of a bounded number of words, in the order
    they are read. The distinct n-grams of each shard are looked up range by range, and
    the answers go back to the shard, in which each document adds up its bits. The numbers
    of shards and ranges follow the text, not the settings of the session.
@@ -55,11 +55,11 @@ from atlasweave.session import scratch_path
 BUCKETS = 1 << 16
 UNKNOWN_WORDS = 1 << 20
 #: Words of a shard, and bytes of text that a task of a wave has at least, if there are as many.
-SHARD_WORDS, TASK_BYTES = 500_000, 1_500_000
-#: Counting and asking are cut into so many jobs at most, a power of two, each of so many bytes of text at least.
-WAVES, WAVE_BYTES = 8, 4_000_000
+SHARD_WORDS, TASK_BYTES = 800_000, 1_500_000
+#: Counting (a power of two) and asking are cut into so many jobs at most, each of so many bytes of text at least.
+WAVES, ASKING_WAVES, WAVE_BYTES = 8, 10, 4_000_000
 #: Words of trusted text in a block, and for each range of keys.
-BLOCK_WORDS, RANGE_WORDS = 1_000_000, 500_000
+BLOCK_WORDS, RANGE_WORDS = 1_000_000, 1_000_000
 #: Joins of labels with texts are cut into so many jobs.
 TEXT_WAVES = 4
 FOLDS = 5
@@ -562,9 +562,10 @@ def scored(docs: DataFrame, labels: DataFrame, share: float | None = None, shard
         off = {order: np.array([0.0, *_discounts_of(*low[order][:4].tolist())]) for order in low}
         whole, left = float(low[1][5]), float(low[1][:2] @ off[1][1:3] + low[1][2:5].sum() * off[1][3])
         even = (left / whole if whole else 1.0) / (int(low[1][:5].sum() - low[1][6]) + UNKNOWN_WORDS)
-        tasks = max(1, size // (waves * TASK_BYTES))
-        for wave in range(waves):
-            part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(waves)) == wave)
+        asking = min(ASKING_WAVES, max(1, size // WAVE_BYTES))
+        tasks = max(1, size // (asking * TASK_BYTES))
+        for wave in range(asking):
+            part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(asking)) == wave)
             _answered(blocks(part.coalesce(tasks), words, shard_words), known, parts, off, whole or 1.0, even, path)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = spark.read.schema(f"doc_id {kind}, lang string, n_words long, total_bits double").parquet(path)
@@ -598,18 +599,17 @@ def _answered(shards: DataFrame, known: DataFrame, parts: int, off: dict[int, np
             if not held:
                 continue
             names, counts = held[0] if len(held) == 1 else _together(*held)
-            rows = [counts[0] - off[kind][np.minimum(counts[0], 3)]]
-            if kind < 3:
-                rows += [counts[1], off[kind + 1][1:] @ counts[2:]]
-            rows = np.stack(rows).astype(np.float32)
             mine = np.flatnonzero(asked.column("kind").to_numpy() == kind).tolist()
             for shard, packed in zip(asked.column("shard").take(mine).to_pylist(), asked.column("keys").take(mine).to_pylist()):
                 keys = _keys(packed)
                 at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
                 there = names[at] == keys
                 if there.any():
-                    places = np.ascontiguousarray(rows[:, at[there]]).view(np.uint8).reshape(-1, 4).T
-                    out.append((part, kind, shard, np.packbits(there).tobytes(), packer.compress(np.ascontiguousarray(places).tobytes())))
+                    found = counts[:, at[there]]
+                    # Counts are small, and take less than what they come to.
+                    found = np.ascontiguousarray(found, np.min_scalar_type(found.max()))
+                    places = np.ascontiguousarray(found.view(np.uint8).reshape(-1, found.itemsize).T)
+                    out.append((part, kind, shard, np.packbits(there).tobytes(), packer.compress(places.tobytes())))
         cols = list(zip(*out)) or [()] * 5
         return pa.table([pa.array(c, t) for c, t in zip(cols, (*_SENT[:2], pa.int64(), pa.binary(), pa.binary()))], ["part", "kind", "shard", "there", "rows"])
 
@@ -623,14 +623,17 @@ def _answered(shards: DataFrame, known: DataFrame, parts: int, off: dict[int, np
         got = {(p, k): (there, rows) for p, k, there, rows in zip(*(answers.column(c).to_pylist() for c in ("part", "kind", "there", "rows")))}
         held = []  # own, total and left of each word, bigram and trigram
         for kind, (keys, number) in enumerate(asked, 1):
-            rows = np.zeros((1 if kind == 3 else 3, len(keys)), np.float64)
+            counts = np.zeros((1 if kind == 3 else 5, len(keys)), np.int64)
             for p, s, e in _ranges(keys, parts):
                 if (p, kind) in got:
                     there, values = got[p, kind]
                     at = s + np.flatnonzero(np.unpackbits(np.frombuffer(there, np.uint8), count=e - s))
-                    places = np.frombuffer(unpack(values), np.uint8).reshape(4, -1)
-                    rows[:, at] = np.ascontiguousarray(places.T).view(np.float32).reshape(len(rows), -1)
-            held.append(rows[:, number])
+                    places = np.frombuffer(unpack(values), np.uint8).reshape(-1, len(counts) * len(at))
+                    counts[:, at] = np.ascontiguousarray(places.T).view(f"u{len(places)}").reshape(len(counts), -1)
+            rows = [counts[0] - off[kind][np.minimum(counts[0], 3)]]
+            if kind < 3:
+                rows += [counts[1], off[kind + 1][1:] @ counts[2:]]
+            held.append(np.stack(rows)[:, number])
         words, pairs, triples = held
         w = x[at_word[real + 2]]
         p = words[0, real + 2] / whole + even * np.where(w == 0, UNKNOWN_WORDS, 1)

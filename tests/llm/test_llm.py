@@ -428,15 +428,15 @@ def test_shards_and_ranges_follow_the_text(spark, monkeypatch):
         answered(rows, known, parts, *rest)
 
     monkeypatch.setattr(quality, "_answered", counted)
-    texts = [f"the cat and dog {k % 7} of house {k % 5}" for k in range(80)]
-    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    texts = [f"the cat and dog {k % 7} of house {k % 5}" for k in range(600)]  # counts beyond one byte
+    labels = spark.createDataFrame([(i, 1) for i in range(580)], "doc_id long, quality int")
     was = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", 40)
     try:
         rows = quality.scored(frame(spark, texts).repartition(20), labels).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", was)
-    assert sorted(r["doc_id"] for r in rows) == list(range(80)) and sum(made) <= 4
+    assert sorted(r["doc_id"] for r in rows) == list(range(600)) and sum(made) <= 4 and max(r["total_bits"] / r["n_words"] for r in rows) < 3
 
 
 def test_threshold_is_no_maximum(spark, monkeypatch):
