@@ -548,6 +548,25 @@ def test_a_passage_in_the_second_row_of_a_doc_id(spark):
     assert got == {1: 1, 2: 1}
 
 
+def test_passages_are_verified_in_waves(spark, monkeypatch):
+    """A job sends the stretches of its share of the pairs; together they find what one job finds."""
+    rng = random.Random(5)
+    shared = [[f"s{k}w{i}" for i in range(60)] for k in range(6)]
+    rows = [(i, " ".join([f"d{i}x{rng.random()}" for _ in range(20)] + shared[i % 6])) for i in range(18)]
+    docs, sizes, verified = spark.createDataFrame(rows, "doc_id long, text string"), [], passages.verified
+
+    def counted(docs, found, *rest):
+        sizes.append(found.count())
+        return verified(docs, found, *rest)
+
+    monkeypatch.setattr(passages, "verified", counted)
+    whole = sorted((r["doc_id"], r["class_id"], r["links"], r["repeated_words"]) for r in passages.repeated_passages(docs).collect())
+    monkeypatch.setattr(passages, "WAVE_PAIRS", 5)
+    parts = sorted((r["doc_id"], r["class_id"], r["links"], r["repeated_words"]) for r in passages.repeated_passages(docs).collect())
+    assert whole == parts and len(whole) == 18
+    assert len(sizes) > 2 and sum(sizes[1:]) == sizes[0] and max(sizes[1:]) < sizes[0]
+
+
 def test_passages_around_a_popular_phrase(spark):
     """Of three documents with a phrase of 40 words the last two share 50 around it: any one hash function finds them, whatever the first has."""
     fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
