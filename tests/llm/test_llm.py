@@ -580,6 +580,34 @@ def test_passages_around_a_popular_phrase(spark):
     assert {(3 * t + 1, 3 * t + 2) for t in range(60)} <= {(r["a"], r["b"]) for r in found.collect()}
 
 
+def test_passages_beside_one_with_a_gap(spark):
+    """Of three documents two share 50 words; the third has them around seven others, too far apart for a passage, and stands for neither."""
+    fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
+    rows = []
+    for t in range(60):
+        own = fresh(50, f"p{t}x")
+        for k, part in enumerate((own[:25] + fresh(7, f"g{t}x") + own[25:], own, own)):
+            rows.append((3 * t + k, " ".join(fresh(60, f"a{t}x{k}x") + part + fresh(60, f"z{t}x{k}x"))))
+    found = passages.candidates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 50, hashes=1, enough=1)
+    assert {(3 * t + 1, 3 * t + 2) for t in range(60)} <= {(r["a"], r["b"]) for r in found.collect()}
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 4])
+def test_every_place_of_a_passage_is_found(spark, rows_per_task):
+    """A document that has another's passage twice has two spans, whichever of the two comes first."""
+    fresh = lambda n, name: [f"{name}{k}" for k in range(n)]
+    rows, want = [], {}
+    for t, size in enumerate((50, 120)):
+        for k, (twice, once) in enumerate(((0, 1), (1, 0))):
+            doc = 4 * t + 2 * k
+            own = fresh(size, f"p{doc}x")
+            text = fresh(30, f"a{doc}x") + own + fresh(150, f"b{doc}x") + own + fresh(40, f"c{doc}x")
+            rows += [(doc + twice, " ".join(text)), (doc + once, " ".join(fresh(20, f"d{doc}x") + own + fresh(30, f"e{doc}x")))]
+            want |= {doc + twice: [(30, 30 + size), (180 + size, 180 + 2 * size)], doc + once: [(20, 20 + size)]}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8 // rows_per_task)
+    assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in passages.repeated_passages(docs).collect()} == want
+
+
 def test_windows_of_a_signature_in_several_batches():
     rows = [(k, n, d, 5, 0, 50) for k, n, d in ((1, 1, 1), (2, 1, 1), (2, 1, 2), (2, 5, 3), (2, 7, 4), (2, 7, 5), (3, 1, 1), (3, 1, 2), (4, 1, 1), (4, 2, 2))]
     want_pairs = {(2, 1, 2), (2, 4, 5), (3, 1, 2)}
