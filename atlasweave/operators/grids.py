@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.functions.geo import bounding_box, cell_area, geometry_problem, ring_area2
 from atlasweave.functions.numbers import normalized_difference
-from atlasweave.session import sized_broadcast, stored
+from atlasweave.session import at_most, sized_broadcast, stored
 
 # Outlines are taken to this fine a part of a column or row (10 nm of a cell of a quarter
 # degree), which is what rounding of coordinates leaves. Widths counted in such parts are
@@ -258,6 +258,21 @@ def with_every_date(extents: DataFrame, dates: DataFrame, units: DataFrame | Non
     return named.join(dates, "_salt").drop("_salt").join(extents, ["grid_id", "gid", "admin_level"], "left")
 
 
+def _in_units(summed: DataFrame, cov: DataFrame, broadcast_cells: int) -> DataFrame:
+    """Sums of cells with each unit that covers the cell.
+
+    Sums of up to ``broadcast_cells`` rows (counted) are sent to every task, and the coverage is
+    dealt by unit: a unit's rows are made and added up in one place, and none of them is shuffled.
+    Else a coverage table of up to so many rows is sent to every task, and the sums are weighed and
+    pre-aggregated in place. Larger ones join by cell index.
+    """
+    if at_most(summed, broadcast_cells):
+        # a number of tasks is given, as coverage rows are few bytes and many rows come of each
+        tasks = int(cov.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return cov.repartition(tasks, "gid").join(F.broadcast(summed), _CELL)
+    return summed.join(sized_broadcast(cov, broadcast_cells), _CELL)
+
+
 def zonal_statistics(
     cells: DataFrame,
     cov: DataFrame,
@@ -277,30 +292,25 @@ def zonal_statistics(
     ``missing`` relates absent cells to the enclosing ``box`` or to the
     ``covered`` cells.
 
-    A coverage table of up to ``broadcast_cells`` rows (counted) is sent to every
-    task: the cells are then read once, weighed and pre-aggregated in place, and
-    only partial sums are shuffled. Larger ones join by cell index; tables
-    bucketed by it (``sinks.write_bucketed``) join without moving the cells.
+    What lies in a cell on a date is added up first, as all of it has the same weight in a
+    unit, and then meets the units that cover the cell (:func:`_in_units`).
     """
-    # Cells outside all units stay, without a unit: their dates count. So one pass over the
-    # cells gives both the sums per unit and, added up from those, the dates of each grid.
-    joined = cells.select(*_CELL, "date", "variable", "value", "unit").join(
-        sized_broadcast(cov.select(*_CELL, "gid", "admin_level", "weight"), broadcast_cells), _CELL, "left"
-    )
+    # The sums give both the units' and, cells outside all units included, the dates of each grid.
     v, w = F.col("value"), F.col("weight")
-    weigh = w if legacy_null_weight else F.when(v.isNotNull(), w)
-    passed = joined.groupBy(*_GROUP).agg(
-        F.sum(v * w).alias("_vw"),
-        F.sum(weigh).alias("_w"),
-        F.sum(v).alias("sum"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.count(v).alias("valid_cells"),
-        F.max("unit").alias("unit"),
+    # A cell's few units of measure are keys, as the greatest text of a group would have to be found by sorting.
+    summed = cells.groupBy(*_CELL, "date", "variable", "unit").agg(
+        F.sum(v).alias("_s"), F.count(v).alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    summed = stored(summed, "cell-sums")
+    joined = _in_units(summed, cov.select(*_CELL, "gid", "admin_level", "weight"), broadcast_cells)
+    stats = joined.groupBy(*_GROUP).agg(
+        F.sum(F.col("_s") * w).alias("_vw"),
+        F.sum(w * F.col("_rows") if legacy_null_weight else F.when(F.col("_n") > 0, w * F.col("_n"))).alias("_w"),
+        F.sum("_s").alias("sum"),
+        F.min("_lo").alias("min"),
+        F.max("_hi").alias("max"),
+        F.sum("_n").alias("valid_cells"),
     )
-    passed = stored(passed, "zonal-sums")
-    dates = passed.groupBy("grid_id", "date", "variable").agg(F.max("unit").alias("unit"))
-    stats = passed.where(F.col("gid").isNotNull()).drop("unit")
+    dates = summed.groupBy("grid_id", "date", "variable").agg(F.max("unit").alias("unit"))
     spine = with_every_date(unit_extents(cov), dates, units)
     total = F.col("box_cells") if missing == "box" else F.col("covered_cells")
     valid = F.coalesce("valid_cells", F.lit(0))

@@ -165,6 +165,22 @@ def test_class_histogram_and_rows(spark):
     assert obs[0]["metadata"].startswith('[{"class":"10_cropland","count":2')
 
 
+@pytest.mark.parametrize("limit", [500_000, 1, 0])
+def test_readings_of_a_cell_are_added_up_before_they_meet_units(spark, monkeypatch, limit):
+    """However many readings a cell has on a date, each unit that covers it meets one row of a unit of measure."""
+    box = [(False, _closed([(0.0, 0.0), (0.5, 0.0), (0.5, 0.25), (0.0, 0.25)]))]
+    units = spark.createDataFrame([(f"u{k}", 2, box) for k in range(20)], UNITS)
+    cov, met = grids.touched_cells(units, G), []
+    cells = spark.range(900).select(
+        F.lit("g").alias("grid_id"), F.lit(4).alias("lat_idx"), F.lit(4).alias("lon_idx"), F.lit("2020-01-01").cast("date").alias("date"), F.lit("t").alias("variable"),
+        F.expr("CASE WHEN id % 3 <> 0 THEN CAST(id % 2 AS DOUBLE) END").alias("value"), F.expr("CASE WHEN id % 5 = 0 THEN 'K' END").alias("unit"))
+    joined = grids._in_units
+    monkeypatch.setattr(grids, "_in_units", lambda *args: met.append(joined(*args)) or met[-1])
+    for row in grids.zonal_statistics(cells, cov, broadcast_cells=limit).collect():
+        assert (row["sum"], row["mean"], row["min"], row["max"], row["missing_value_percentage"], row["unit"]) == (300.0, pytest.approx(0.5), 0.0, 1.0, -59900.0, "K")
+    assert [m.count() for m in met] == [40]
+
+
 def test_bucketed_tables_join_without_moving_cells(spark, tmp_path):
     cells = spark.range(2000).select(F.lit("g").alias("grid_id"), (F.col("id") % 16).cast("int").alias("lat_idx"), (F.col("id") % 12).cast("int").alias("lon_idx"), F.col("id").cast("double").alias("value"))
     cov = cells.select("grid_id", "lat_idx", "lon_idx").distinct().withColumn("weight", F.lit(1.0))
