@@ -340,12 +340,17 @@ def class_histogram(
     class without a flag is ``Unknown``. -> (gid, admin_level, date, class_id,
     variable, n_cells, percentage, missing_value_percentage of the enclosing box)
     """
-    counted = (
+    # what lies in a cell is counted first, then added up for the units that cover it
+    summed = stored(
         cells.where(F.col("value").isNotNull())
-        .select(*_CELL, "date", F.col("value").cast("int").alias("class_id"))
-        .join(sized_broadcast(cov.select(*_CELL, "gid", "admin_level"), broadcast_cells), _CELL)
+        .groupBy(*_CELL, "date", F.col("value").cast("int").alias("class_id"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "cell-classes",
+    )
+    counted = (
+        _in_units(summed, cov.select(*_CELL, "gid", "admin_level"), broadcast_cells)
         .groupBy("grid_id", "gid", "admin_level", "date", "class_id")
-        .agg(F.count(F.lit(1)).alias("n_cells"))
+        .agg(F.sum("_n").alias("n_cells"))
     )
     # after the count a unit and date has one row per class
     total = F.sum("n_cells").over(Window.partitionBy("grid_id", "gid", "admin_level", "date"))

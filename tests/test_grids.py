@@ -167,7 +167,7 @@ def test_class_histogram_and_rows(spark):
 
 @pytest.mark.parametrize("limit", [500_000, 1, 0])
 def test_readings_of_a_cell_are_added_up_before_they_meet_units(spark, monkeypatch, limit):
-    """However many readings a cell has on a date, each unit that covers it meets one row of a unit of measure."""
+    """However many readings a cell has on a date, each unit that covers it meets one row of a unit of measure or class."""
     box = [(False, _closed([(0.0, 0.0), (0.5, 0.0), (0.5, 0.25), (0.0, 0.25)]))]
     units = spark.createDataFrame([(f"u{k}", 2, box) for k in range(20)], UNITS)
     cov, met = grids.touched_cells(units, G), []
@@ -178,7 +178,9 @@ def test_readings_of_a_cell_are_added_up_before_they_meet_units(spark, monkeypat
     monkeypatch.setattr(grids, "_in_units", lambda *args: met.append(joined(*args)) or met[-1])
     for row in grids.zonal_statistics(cells, cov, broadcast_cells=limit).collect():
         assert (row["sum"], row["mean"], row["min"], row["max"], row["missing_value_percentage"], row["unit"]) == (300.0, pytest.approx(0.5), 0.0, 1.0, -59900.0, "K")
-    assert [m.count() for m in met] == [40]
+    shown = grids.class_histogram(cells, cov, spark.createDataFrame([(0, "none")], "value int, meaning string"), broadcast_cells=limit).collect()
+    assert {(r["variable"], r["n_cells"]) for r in shown} == {("0_none", 300), ("1_Unknown", 300)} and len(shown) == 40
+    assert [m.count() for m in met] == [40, 40]
 
 
 def test_bucketed_tables_join_without_moving_cells(spark, tmp_path):
