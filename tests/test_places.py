@@ -54,6 +54,19 @@ def test_scan_matches_definition(spark, seed):
         assert {(r["id"], r["iso3"], r["name"], r["level"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("limit", [300_000, 0])
+def test_texts_are_scanned_in_waves(spark, monkeypatch, limit):
+    """Each job shuffles the places of its share of the texts; together they find what one job finds."""
+    names = spark.createDataFrame([("A", 1, "x y"), ("A", 2, "X Y"), ("A", 2, "z")], "iso3 string, level int, name string")
+    texts = spark.createDataFrame([(i, "A", "x y z, x z") for i in range(40)], "id int, iso string, text string")
+    whole = sorted(map(tuple, places.scan_names(texts, names, "id", "iso", "text", broadcast_names=limit).collect()))
+    written = []
+    monkeypatch.setattr(places, "WAVE_CHARS", 100)
+    monkeypatch.setattr(places, "appended", lambda df, path, put=places.appended: written.append(put(df, path)))
+    assert sorted(map(tuple, places.scan_names(texts, names, "id", "iso", "text", broadcast_names=limit).collect())) == whole
+    assert len(written) == 5 and len(whole) == 120
+
+
 def test_scan_example(spark):
     names = spark.createDataFrame([("USA", 2, "Los Angeles"), ("USA", 1, "California"), ("USA", 2, "Angeles")], "iso3 string, level int, name string")
     texts = spark.createDataFrame([(1, "USA", "Earthquake - North - Los Angeles 20100101")], "id int, iso string, text string")
